@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference is a batch pipeline: it has no streams, watermarks, windows or
+stateful operators, so nothing is built here.  Its layers are written tables,
+so a later round could land raw CSV incrementally with ``readStream.csv`` and
+``trigger(availableNow=True)`` into the same bronze layer without changing the
+silver/gold plans.
+"""
