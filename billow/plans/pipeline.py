@@ -18,7 +18,8 @@ from billow.plans.clean import cleaned, count_exprs, group_for_clean, parse_date
 from billow.plans.enrich import enrich_subscriptions
 from billow.plans.quality import dq_report, gate, raw_vs_bronze
 from billow.sources.csv import list_csv_datasets, read_csv
-from billow.sources.layers import Layers, ingest, read_layer, save_gold_table, write_layer
+from billow.sources.layers import (Layers, ingest, read_layer, run_concurrently, save_gold_table,
+                                   write_layer)
 from billow.spec import COLS, REQUIRED_COLUMNS, BillingColumns, DatasetSpec, billing_specs
 
 STEP_SCHEMA = StructType([
@@ -38,24 +39,37 @@ class RunResult:
     gold: dict[str, str] = field(default_factory=dict)
 
 
+def _clean_one(spark: SparkSession, layers: Layers, name: str, spec: DatasetSpec,
+               cols: BillingColumns) -> list[tuple] | None:
+    bronze = read_layer(spark, layers.table("bronze", name))
+    if bronze is None:
+        return None
+    g = group_for_clean(parse_dates(bronze, spec), spec)
+    exprs, steps = count_exprs(g)
+    obs = Observation(f"clean_{name}")
+    g.rows = g.rows.observe(obs, *exprs)
+    silver = cleaned(g)
+    if name == "subscriptions":
+        silver = enrich_subscriptions(silver, read_layer(spark, layers.table("bronze", "sales_tags")), cols)
+    write_layer(silver, layers.table("silver", name))
+    return steps_from_counts(name, obs.get, steps)
+
+
 def transform(spark: SparkSession, layers: Layers, specs: Mapping[str, DatasetSpec],
               cols: BillingColumns = COLS, result: RunResult | None = None) -> RunResult:
-    """Bronze -> silver for every spec'd dataset, in spec order."""
+    """Bronze -> silver for every spec'd dataset (independent jobs, run concurrently).
+
+    Each silver table depends on bronze only (subscriptions also on bronze
+    sales tags), so the datasets do not wait for each other.
+    """
     result = result or RunResult()
-    for name, spec in specs.items():
-        bronze = read_layer(spark, layers.table("bronze", name))
-        if bronze is None:
+    done = run_concurrently({name: (lambda n=name, s=spec: _clean_one(spark, layers, n, s, cols))
+                             for name, spec in specs.items()})
+    for name in specs:
+        if done[name] is None:
             result.skipped.append(name)
-            continue
-        g = group_for_clean(parse_dates(bronze, spec), spec)
-        exprs, steps = count_exprs(g)
-        obs = Observation(f"clean_{name}")
-        g.rows = g.rows.observe(obs, *exprs)
-        silver = cleaned(g)
-        if name == "subscriptions":
-            silver = enrich_subscriptions(silver, read_layer(spark, layers.table("bronze", "sales_tags")), cols)
-        write_layer(silver, layers.table("silver", name))
-        result.steps.extend(steps_from_counts(name, obs.get, steps))
+        else:
+            result.steps.extend(done[name])
     return result
 
 
@@ -73,8 +87,9 @@ def model(spark: SparkSession, layers: Layers, cols: BillingColumns = COLS,
     if silver["invoicing"] is not None:
         tables["fct_sales"] = marts.fct_sales(silver["invoicing"])
         tables["fct_profitability"] = marts.fct_profitability(silver["invoicing"], silver["costs"], cols)
-    return {name: save_gold_table(spark, df, name, database, layers.gold)
-            for name, df in tables.items()}
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{layers.gold}'")
+    return run_concurrently({name: (lambda n=name, df=df: save_gold_table(spark, df, n, database))
+                             for name, df in tables.items()})
 
 
 def run_pipeline(spark: SparkSession, layers: Layers,

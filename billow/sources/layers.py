@@ -7,7 +7,8 @@ recomputing from raw.  Gold tables are catalog tables answering Spark SQL.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -44,6 +45,21 @@ class Layers:
         return f"{getattr(self, layer)}/{name}"
 
 
+# Independent per-dataset jobs are submitted from a few driver threads, so a
+# small dataset's job does not leave executors idle while a large one runs.
+MAX_CONCURRENT_JOBS = 4
+
+
+def run_concurrently(tasks: Mapping[str, Callable[[], object]],
+                     max_workers: int = MAX_CONCURRENT_JOBS) -> dict[str, object]:
+    """Run independent Spark actions from a thread pool; re-raise the first failure."""
+    if len(tasks) <= 1 or max_workers <= 1:
+        return {name: fn() for name, fn in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Overwrite a layer table as Parquet (also when it has 0 rows)."""
     w = df.write.mode("overwrite")
@@ -73,11 +89,12 @@ def ingest(spark: SparkSession, raw: str, bronze: str,
     row count written per dataset.
     """
     schemas = schemas or {}
-    written = {}
-    for name, path in list_csv_datasets(spark, raw).items():
-        df = read_csv(spark, path, schemas.get(name))
-        written[name] = write_observed(df, f"{bronze}/{name}", f"ingest_{name}")
-    return written
+
+    def one(name: str, path: str) -> Callable[[], int]:
+        return lambda: write_observed(read_csv(spark, path, schemas.get(name)), f"{bronze}/{name}",
+                                      f"ingest_{name}")
+    return run_concurrently({name: one(name, path)
+                             for name, path in list_csv_datasets(spark, raw).items()})
 
 
 def save_gold_table(spark: SparkSession, df: DataFrame, name: str, database: str = "gold",
