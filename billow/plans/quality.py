@@ -16,7 +16,6 @@ from pyspark.sql.types import BooleanType, LongType, StringType, StructField, St
 
 from billow.functions.money import money
 from billow.operators.aggregate import decode_null_key
-from billow.operators.dedup import row_duplicate_count
 from billow.spec import COLS, ORDINAL, POST_DQ_KEYS, BillingColumns
 
 REPORT_SCHEMA = StructType([
@@ -53,16 +52,22 @@ def _data(df: DataFrame) -> DataFrame:
 def dataset_checks(name: str, df: DataFrame, keys: Sequence[str],
                    compare_rows: DataFrame | None = None, compare_label: str = "bronze_rows",
                    parity: bool = False) -> DataFrame:
-    """Row count, emptiness, key presence, key nulls (one pass) and duplicates (one grouping).
+    """Row count, emptiness, key presence, key nulls and duplicates of one table.
 
+    All counts come from ONE grouping of the whole row: rows = sum of group
+    sizes, duplicates = rows - groups, key nulls = sizes of groups whose key
+    is null.  The grouping is partially aggregated before its shuffle, so
+    many copies of one row never meet in one task.
     ``compare_rows``: the other layer; its count is reported (``parity``: must match).
     """
     data = _data(df)
     present_keys = [k for k in keys if k in data.columns]
-    stats = data.agg(F.count(F.lit(1)).alias("rows"),
-                     *[F.count_if(F.col(f"`{k}`").isNull()).alias(f"n{i}")
-                       for i, k in enumerate(present_keys)])
-    rows = F.col("rows")
+    groups = data.groupBy(*[F.col(f"`{c}`") for c in data.columns]).agg(F.count(F.lit(1)).alias("__c"))
+    stats = groups.agg(
+        F.coalesce(F.sum("__c"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("groups"),
+        *[F.coalesce(F.sum(F.when(F.col(f"`{k}`").isNull(), F.col("__c"))), F.lit(0)).alias(f"n{i}")
+          for i, k in enumerate(present_keys)])
+    rows, dups = F.col("rows"), F.col("rows") - F.col("groups")
     items = [_row(name, "row_count", None, rows, _null(), _null()),
              _row(name, "not_empty", None, rows, _null(), rows > 0)]
     for k in keys:
@@ -71,22 +76,14 @@ def dataset_checks(name: str, df: DataFrame, keys: Sequence[str],
             items.append(_row(name, "null_count", k, n, F.lit(0), n == 0))
         else:
             items.append(_row(name, "key_present", k, _null(), _null(), F.lit(False)))
-    parts = [stats.select(F.inline(F.array(*items)))]
-    dup = row_duplicate_count(data, exclude=(), name="d")
-    parts.append(dup.select(F.inline(F.array(
-        _row(name, "duplicate_rows", None, F.col("d"), F.lit(0), F.col("d") == 0)))))
+    items.append(_row(name, "duplicate_rows", None, dups, F.lit(0), dups == 0))
+    out = stats.select(F.inline(F.array(*items)))
     if compare_rows is not None:
         other = _data(compare_rows).agg(F.count(F.lit(1)).alias("o"))
-        if parity:
-            both = other.select(F.inline(F.array(
-                _row(name, "row_count_parity", None, _null(), F.col("o"), _null()))))
-        else:
-            both = other.select(F.inline(F.array(
-                _row(name, compare_label, None, F.col("o"), _null(), _null()))))
-        parts.append(both)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        label = "row_count_parity" if parity else compare_label
+        value, expected = (_null(), F.col("o")) if parity else (F.col("o"), _null())
+        out = out.unionByName(other.select(F.inline(F.array(
+            _row(name, label, None, value, expected, _null())))))
     return out
 
 
