@@ -267,14 +267,12 @@ def q_cost_duplicate_groups(spark, d):
 def q_sales_by_month(spark, d):
     s = marts.monthly_sum(roles.invoices_null_month(spark, d), "subscription_id", "start",
                           "calculated_cost", "sales_amount", False)
-    from billow.operators.aggregate import decode_null_key
-    return s.select("subscription_id", decode_null_key(marts.MONTH_KEY).alias("month"), "sales_amount")
+    return s.select("subscription_id", marts.month_text(), "sales_amount")
 
 
 def q_cost_by_month(spark, d):
-    from billow.operators.aggregate import decode_null_key
     s = marts.monthly_sum(_silver_costs(spark, d), "subscription_id", "month", "Cost", "cost_amount", True)
-    return s.select("subscription_id", decode_null_key(marts.MONTH_KEY).alias("month"), "cost_amount")
+    return s.select("subscription_id", marts.month_text(), "cost_amount")
 
 
 def q_fct_sales(spark, d):

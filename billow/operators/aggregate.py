@@ -9,25 +9,6 @@ from pyspark.sql import functions as F
 
 from billow.functions.money import money_sum
 
-# Stands in for a null text key while joining; cannot be a yyyy-MM period.
-NULL_KEY_SENTINEL = ""
-
-
-def encode_null_key(c: Column | str, sentinel: str = NULL_KEY_SENTINEL) -> Column:
-    """Null text key -> sentinel, so a plain equi-join matches null to null.
-
-    Applied before aggregating, both sides hash-partition on the same plain
-    expression and the join reuses that partitioning (a ``<=>`` join would
-    re-shuffle both sides).
-    """
-    col = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(col, F.lit(sentinel))
-
-
-def decode_null_key(c: Column | str, sentinel: str = NULL_KEY_SENTINEL) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return F.when(col != F.lit(sentinel), col)
-
 
 def sum_by(df: DataFrame, keys: Sequence[str | Column], amount: str, out: str) -> DataFrame:
     """Exact money sum per key; an all-null group sums to 0.0."""

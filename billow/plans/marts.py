@@ -1,10 +1,13 @@
 """Gold dimensions and facts.
 
 Plan shape of ``fct_profitability``: both monthly sums group on
-``(subscription_id, month_key)`` with a partial aggregate before the shuffle;
-the left join then reuses that hash partitioning, so sales, costs and join
-together cost one exchange per side and none for the join.  A null month is
-carried as a sentinel key so null matches null with a plain equi-join.
+``(subscription_id, month start, month missing)`` with a partial aggregate
+before the shuffle; the left join then reuses that hash partitioning, so
+sales, costs and join together cost one exchange per side and none for the
+join.  A null month is carried as a placeholder date plus a "missing" flag, so
+null matches null with a plain equi-join (exactly: the flag tells the
+placeholder from a real date).  The ``yyyy-MM`` text is formatted after the
+aggregation, once per group instead of once per row.
 """
 
 from __future__ import annotations
@@ -16,11 +19,13 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from billow.functions.dates import dayfirst_date, lenient_date, month_period
 from billow.functions.money import money_sum
 from billow.functions.text import churn_flag
-from billow.operators.aggregate import decode_null_key, encode_null_key
 from billow.operators.dedup import keep_first
 from billow.spec import COLS, ORDINAL, BillingColumns
 
-MONTH_KEY = "__month_key"
+MONTH_KEY = "__month_start"
+MONTH_MISSING = "__month_missing"
+MONTH_KEYS = [MONTH_KEY, MONTH_MISSING]
+_PLACEHOLDER_MONTH = "1970-01-01"
 
 
 def _drop_ordinal(df: DataFrame) -> DataFrame:
@@ -55,10 +60,21 @@ def _as_date(df: DataFrame, col: str, dayfirst: bool) -> F.Column:
 
 def monthly_sum(df: DataFrame, key: str, date_col: str, amount: str, out: str,
                 dayfirst: bool) -> DataFrame:
-    """Exact sum of ``amount`` per ``(key, yyyy-MM of date_col)``; null month kept as a group."""
-    month = encode_null_key(month_period(_as_date(df, date_col, dayfirst)))
-    return (df.select(F.col(key), month.alias(MONTH_KEY), F.col(amount))
-              .groupBy(key, MONTH_KEY).agg(money_sum(amount).alias(out)))
+    """Exact sum of ``amount`` per ``key`` and calendar month of ``date_col``.
+
+    Grouped on ``(key, month start, month missing)``; a null month is its own
+    group.  Use ``month_text()`` to turn the month keys into ``yyyy-MM``.
+    """
+    start = F.trunc(_as_date(df, date_col, dayfirst), "MM")
+    return (df.select(F.col(key),
+                      F.coalesce(start, F.lit(_PLACEHOLDER_MONTH).cast("date")).alias(MONTH_KEY),
+                      start.isNull().alias(MONTH_MISSING), F.col(amount))
+              .groupBy(key, *MONTH_KEYS).agg(money_sum(amount).alias(out)))
+
+
+def month_text() -> F.Column:
+    """``yyyy-MM`` of the month keys; null for the missing-month group."""
+    return F.when(~F.col(MONTH_MISSING), month_period(MONTH_KEY)).alias("month")
 
 
 def profitability_schema(df: DataFrame, cols: BillingColumns = COLS) -> StructType:
@@ -82,12 +98,12 @@ def fct_profitability(invoicing: DataFrame, costs: DataFrame | None,
     sales = monthly_sum(invoicing, sub, cols.invoice_start, cols.invoice_amount, "sales_amount", False)
     if costs is not None and cols.cost_month in costs.columns and cols.cost_amount in costs.columns:
         cost_by = monthly_sum(costs, sub, cols.cost_month, cols.cost_amount, "cost_amount", True)
-        joined = sales.join(cost_by, [sub, MONTH_KEY], "left")
+        joined = sales.join(cost_by, [sub, *MONTH_KEYS], "left")
     else:
         joined = sales.withColumn("cost_amount", F.lit(None).cast("double"))
     cost = F.coalesce(F.col("cost_amount"), F.lit(0.0))
     return joined.select(
-        F.col(sub), decode_null_key(MONTH_KEY).alias("month"),
+        F.col(sub), month_text(),
         F.col("sales_amount").cast("double").alias("sales_amount"),
         cost.alias("cost_amount"),
         (F.col("sales_amount") - cost).alias("profit"),

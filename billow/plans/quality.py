@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from billow.functions.money import money
-from billow.operators.aggregate import decode_null_key
 from billow.spec import COLS, ORDINAL, POST_DQ_KEYS, BillingColumns
 
 REPORT_SCHEMA = StructType([
@@ -152,12 +151,12 @@ def reconcile_sales(invoicing: DataFrame, fct: DataFrame, cols: BillingColumns =
 
 def orphan_costs(costs: DataFrame, invoicing: DataFrame, cols: BillingColumns = COLS) -> DataFrame:
     """Cost months with no invoice in that month (they drop out of the profit fact)."""
-    from billow.plans.marts import MONTH_KEY, monthly_sum
+    from billow.plans.marts import MONTH_KEYS, month_text, monthly_sum
     sub = cols.subscription_id
     cost_by = monthly_sum(costs, sub, cols.cost_month, cols.cost_amount, "cost_amount", True)
     sales_keys = monthly_sum(invoicing, sub, cols.invoice_start, cols.invoice_amount, "s", False)
-    orphans = cost_by.join(sales_keys.select(sub, MONTH_KEY), [sub, MONTH_KEY], "left_anti")
-    return orphans.select(F.col(sub), decode_null_key(MONTH_KEY).alias("month"), "cost_amount")
+    orphans = cost_by.join(sales_keys.select(sub, *MONTH_KEYS), [sub, *MONTH_KEYS], "left_anti")
+    return orphans.select(F.col(sub), month_text(), "cost_amount")
 
 
 __all__ = ["DataQualityError", "REPORT_SCHEMA", "dataset_checks", "dq_report", "gate",
