@@ -65,7 +65,8 @@ class Grouped:
 
 def group_for_clean(parsed: DataFrame, spec: DatasetSpec) -> Grouped:
     cols = list(parsed.columns)
-    key = present(parsed, spec.keep_last_by)
+    # keep-last needs its whole key; with a key column missing the step is skipped
+    key = list(spec.keep_last_by) if len(present(parsed, spec.keep_last_by)) == len(spec.keep_last_by) else []
     required = present(parsed, spec.required)
     if key:
         payload = [c for c in cols if c not in key]

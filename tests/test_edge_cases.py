@@ -158,3 +158,9 @@ def test_money_sum_is_order_independent(spark):
     df = spark.createDataFrame([("k", v) for v in vals], "k string, v double").repartition(7)
     from billow.functions import money_sum
     assert df.groupBy("k").agg(money_sum("v").alias("s")).first().s == 1.0
+
+
+def test_keep_last_skipped_without_its_whole_key(spark):
+    df = spark.createDataFrame([("S", 1.0), ("S", 2.0)], "subscription_id string, Cost double")
+    out = clean_dataset(df, billing_specs()["costs"])
+    assert sorted(r.Cost for r in out.collect()) == [1.0, 2.0]
