@@ -17,7 +17,8 @@ from billow.plans import marts
 from billow.plans.clean import cleaned, count_exprs, group_for_clean, parse_dates, steps_from_counts
 from billow.plans.enrich import enrich_subscriptions
 from billow.plans.quality import dq_report, gate, raw_vs_bronze
-from billow.sources.csv import list_csv_datasets, read_csv
+from billow.session import apply_scale_settings
+from billow.sources.csv import folder_bytes, list_csv_datasets, read_csv
 from billow.sources.layers import (Layers, ingest, read_layer, run_concurrently, save_gold_table,
                                    write_layer)
 from billow.spec import COLS, REQUIRED_COLUMNS, BillingColumns, DatasetSpec, billing_specs
@@ -96,10 +97,17 @@ def run_pipeline(spark: SparkSession, layers: Layers,
                  schemas: Mapping[str, StructType] | None = None,
                  specs: Mapping[str, DatasetSpec] | None = None,
                  cols: BillingColumns = COLS, database: str = "gold",
-                 pre_checks: bool = False, post_gate: bool = True) -> RunResult:
-    """Ingest, (optional pre-check), transform, post-check + gate, model."""
+                 pre_checks: bool = False, post_gate: bool = True,
+                 size_session: bool = False) -> RunResult:
+    """Ingest, (optional pre-check), transform, post-check + gate, model.
+
+    ``size_session``: derive shuffle and split sizes from the raw input size
+    (``session.apply_scale_settings``) for settings the cluster left unset.
+    """
     specs = specs or billing_specs()
     result = RunResult()
+    if size_session:
+        apply_scale_settings(spark, folder_bytes(spark, layers.raw))
     result.ingested = ingest(spark, layers.raw, layers.bronze, schemas)
     if pre_checks:
         raw = list_csv_datasets(spark, layers.raw)

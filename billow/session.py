@@ -46,6 +46,39 @@ def build_session(master: str | None = None, app_name: str = "billow",
     return spark
 
 
+MB = 1 << 20
+
+
+def scale_settings(input_bytes: int, cores: int) -> dict[str, str]:
+    """Shuffle and scan sizing for a run over ``input_bytes`` on ``cores`` task slots.
+
+    Scan splits of 256 MB; an initial shuffle width of about one partition per
+    256 MB of input (at least 2 waves of the cluster, at most 64k) that AQE then
+    coalesces towards 128 MB per partition.  Partial aggregation shrinks most
+    shuffles far below the input size, which the coalescing absorbs; skewed
+    join partitions are split by AQE.
+    """
+    width = max(2 * cores, min(65536, input_bytes // (256 * MB) + 1))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 * MB),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * MB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MB),
+    }
+
+
+def apply_scale_settings(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    """Set ``scale_settings`` on the session, but only where the cluster left them unset."""
+    launched = spark.sparkContext.getConf()
+    applied = {}
+    for k, v in scale_settings(input_bytes, spark.sparkContext.defaultParallelism).items():
+        if not launched.contains(k):
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied
+
+
 def _session_checkpoint_dir(spark: SparkSession) -> str | None:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:

@@ -34,6 +34,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Total size of the files under ``folder`` (file-system metadata only)."""
+    fs, jpath = _hadoop_fs(spark, folder)
+    return int(fs.getContentSummary(jpath).getLength()) if fs.exists(jpath) else 0
+
+
 def list_csv_datasets(spark: SparkSession, folder: str) -> dict[str, str]:
     """Every ``*.csv`` entry directly in ``folder`` (not recursive) -> dataset name.
 
