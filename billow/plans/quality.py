@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
@@ -28,18 +28,6 @@ class DataQualityError(RuntimeError):
     """Raised by ``gate`` when any check failed."""
 
 
-def _row(dataset: str, check: str, column: str | None, value: Column, expected: Column,
-         passed: Column) -> Column:
-    return F.struct(F.lit(dataset).alias("dataset"), F.lit(check).alias("check"),
-                    F.lit(column).cast("string").alias("column_name"),
-                    value.cast("bigint").alias("value"), expected.cast("bigint").alias("expected"),
-                    passed.cast("boolean").alias("passed"))
-
-
-def _null() -> Column:
-    return F.lit(None)
-
-
 def _literal_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
@@ -48,6 +36,22 @@ def _data(df: DataFrame) -> DataFrame:
     return df.drop(ORDINAL) if ORDINAL in df.columns else df
 
 
+def _sql_text(v: str | None) -> str:
+    return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("'", "''") + "'"
+
+
+def _row_sql(dataset: str, check: str, column: str | None, value: str, expected: str,
+             passed: str) -> str:
+    """One report row as a SQL struct over the columns of a one-row aggregate."""
+    return (f"named_struct('dataset', {_sql_text(dataset)}, 'check', {_sql_text(check)}, "
+            f"'column_name', {_sql_text(column)}, 'value', CAST({value} AS BIGINT), "
+            f"'expected', CAST({expected} AS BIGINT), 'passed', CAST({passed} AS BOOLEAN))")
+
+
+def _rows(one_row: DataFrame, rows: list[str]) -> DataFrame:
+    return one_row.select(F.expr(f"inline(array({', '.join(rows)}))"))
+
+
 def dataset_checks(name: str, df: DataFrame, keys: Sequence[str],
                    compare_rows: DataFrame | None = None, compare_label: str = "bronze_rows",
                    parity: bool = False) -> DataFrame:
@@ -66,23 +70,21 @@ def dataset_checks(name: str, df: DataFrame, keys: Sequence[str],
         F.coalesce(F.sum("__c"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("groups"),
         *[F.coalesce(F.sum(F.when(F.col(f"`{k}`").isNull(), F.col("__c"))), F.lit(0)).alias(f"n{i}")
           for i, k in enumerate(present_keys)])
-    rows, dups = F.col("rows"), F.col("rows") - F.col("groups")
-    items = [_row(name, "row_count", None, rows, _null(), _null()),
-             _row(name, "not_empty", None, rows, _null(), rows > 0)]
+    items = [_row_sql(name, "row_count", None, "rows", "NULL", "NULL"),
+             _row_sql(name, "not_empty", None, "rows", "NULL", "rows > 0")]
     for k in keys:
         if k in present_keys:
-            n = F.col(f"n{present_keys.index(k)}")
-            items.append(_row(name, "null_count", k, n, F.lit(0), n == 0))
+            n = f"n{present_keys.index(k)}"
+            items.append(_row_sql(name, "null_count", k, n, "0", f"{n} = 0"))
         else:
-            items.append(_row(name, "key_present", k, _null(), _null(), F.lit(False)))
-    items.append(_row(name, "duplicate_rows", None, dups, F.lit(0), dups == 0))
-    out = stats.select(F.inline(F.array(*items)))
+            items.append(_row_sql(name, "key_present", k, "NULL", "NULL", "false"))
+    items.append(_row_sql(name, "duplicate_rows", None, "rows - groups", "0", "rows - groups = 0"))
+    out = _rows(stats, items)
     if compare_rows is not None:
         other = _data(compare_rows).agg(F.count(F.lit(1)).alias("o"))
-        label = "row_count_parity" if parity else compare_label
-        value, expected = (_null(), F.col("o")) if parity else (F.col("o"), _null())
-        out = out.unionByName(other.select(F.inline(F.array(
-            _row(name, label, None, value, expected, _null())))))
+        row = (_row_sql(name, "row_count_parity", None, "NULL", "o", "NULL") if parity
+               else _row_sql(name, compare_label, None, "o", "NULL", "NULL"))
+        out = out.unionByName(_rows(other, [row]))
     return out
 
 
@@ -118,9 +120,7 @@ def raw_vs_bronze(name: str, raw: DataFrame, bronze: DataFrame, required: Sequen
                            .withColumn("side", F.lit("bronze")))
               .agg(F.max(F.when(F.col("side") == "bronze", F.col("n"))).alias("value"),
                    F.max(F.when(F.col("side") == "raw", F.col("n"))).alias("expected")))
-    row_parity = counts.select(F.inline(F.array(
-        _row(name, "row_count", None, F.col("value"), F.col("expected"),
-             F.col("value") == F.col("expected")))))
+    row_parity = _rows(counts, [_row_sql(name, "row_count", None, "value", "expected", "value = expected")])
     col_parity = _literal_rows(raw.sparkSession, [(name, "column_count", None, bronze_cols, raw_cols,
                                                    bronze_cols == raw_cols)])
     checks = dataset_checks(name, bronze, [c for c in required if c in _data(bronze).columns])

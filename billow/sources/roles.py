@@ -28,7 +28,16 @@ STATUS_BY_ORDER_STATUS = {
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    """A test table, listed once per session (the tables are read-only).
+
+    Reusing the DataFrame reuses its file index: the listing and footer
+    reads happen once instead of once per query that touches the table.
+    """
+    cache = spark.__dict__.setdefault("_billow_tables", {})
+    path = f"{d.rstrip('/')}/{name}.parquet"
+    if path not in cache:
+        cache[path] = spark.read.parquet(path)
+    return cache[path]
 
 
 def _line_order(copy: Column | None = None) -> Column:
