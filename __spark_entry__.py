@@ -77,9 +77,11 @@ def _lineitem_with_copies(spark, d):
 def _write_roles_as_raw(spark, d, raw):
     """Role tables -> raw CSV files named like the billing exports.
 
-    File order matters only inside a keep-first / keep-last group, so each
-    group is put in one file (hash partition on the group key) and sorted
-    there; no global sort is needed.
+    File order matters only inside a keep-first / keep-last group, so only
+    the datasets with such groups are sorted, on (group key, row order).  The
+    sort range-partitions, so a hot key is split over several part files, whose
+    names follow the ranges; a hash partition on the key would put a hot key
+    in one task.
     """
     grouped = (("Customers.csv", roles.customers_with_copies(spark, d), "customer_id"),
                ("Subscriptions.csv", roles.subscriptions_raw(spark, d), None),
@@ -88,7 +90,7 @@ def _write_roles_as_raw(spark, d, raw):
                ("Sales tags.csv", roles.sales_tags(spark, d), "subscription_id"))
     def write(df, key, path):
         if key:
-            df = df.repartition(key).sortWithinPartitions(key, ORDINAL)
+            df = df.orderBy(key, ORDINAL)
         return lambda: csvsrc.write_csv(df, path)
     layers.run_concurrently({f: write(df, key, f"{raw}/{f}") for f, df, key in grouped})
 

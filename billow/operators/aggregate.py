@@ -1,19 +1,12 @@
-"""Grouped sums and counts; null grouping keys are kept as their own group."""
+"""Grouped counts; null grouping keys are kept as their own group."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billow.functions.money import money_sum
-
-
-def sum_by(df: DataFrame, keys: Sequence[str | Column], amount: str, out: str) -> DataFrame:
-    """Exact money sum per key; an all-null group sums to 0.0."""
-    return df.groupBy(*keys).agg(money_sum(amount).alias(out))
-
 
 def group_count(df: DataFrame, keys: Sequence[str], out: str = "count") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))

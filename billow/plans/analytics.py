@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from billow.functions.money import money, round_money
 from billow.operators.aggregate import group_count
+from billow.operators.joins import semi_join
 from billow.spec import COLS, BillingColumns
 
 
@@ -46,8 +47,7 @@ def top_customers(fct: DataFrame, dim_sub: DataFrame, dim_cust: DataFrame, k: in
     per_sub = fct.groupBy(sub).agg(F.sum(money("sales_amount")).alias("__s"))
     per_cust = (per_sub.join(dim_sub.select(sub, ref), [sub], "inner")
                        .groupBy(ref).agg(F.sum("__s").alias("__s")))
-    known = dim_cust.select(F.col(cid).alias(ref))
-    ranked = per_cust.join(known, [ref], "left_semi").select(
+    ranked = semi_join(per_cust, dim_cust, ref, cid).select(
         F.col(ref).alias(cid), round_money("__s").alias("total_sales"))
     return ranked.orderBy(F.col("total_sales").desc(), F.col(cid).asc()).limit(k)
 

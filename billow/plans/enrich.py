@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from billow.functions.text import sale_type
+from billow.operators.joins import left_join
 from billow.spec import COLS, ORDINAL, BillingColumns
 
 TAG_ORDER = "__tag_order"
@@ -32,7 +33,7 @@ def enrich_subscriptions(subs: DataFrame, tags: DataFrame | None,
     pairs = sale_type_pairs(tags, cols)
     if ORDINAL in pairs.columns:
         pairs = pairs.withColumnRenamed(ORDINAL, TAG_ORDER)
-    joined = subs.join(pairs, [cols.subscription_id], "left")
+    joined = left_join(subs, pairs, [cols.subscription_id])
     out = []
     for c in subs.columns:
         if c == ORDINAL:

@@ -9,7 +9,6 @@ than a machine-local temp directory.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -102,12 +101,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([root, "billow", uuid.uuid4().hex, *parts])
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (used only by tests that inspect files)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def cpu_count() -> int:
-    return os.cpu_count() or 1

@@ -49,10 +49,13 @@ def list_csv_datasets(spark: SparkSession, folder: str) -> dict[str, str]:
     fs, _ = _hadoop_fs(spark, folder)
     jvm = spark.sparkContext._jvm
     statuses = fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder.rstrip("/") + "/*.csv")) or []
-    found = {}
+    found: dict[str, str] = {}
     for st in sorted(statuses, key=lambda s: s.getPath().toString()):
         p = st.getPath()
-        found[normalise_dataset_name(p.getName())] = p.toString()
+        name = normalise_dataset_name(p.getName())
+        if name in found:
+            raise ValueError(f"{found[name]} and {p.toString()} are both dataset {name!r}")
+        found[name] = p.toString()
     return found
 
 

@@ -164,3 +164,11 @@ def test_keep_last_skipped_without_its_whole_key(spark):
     df = spark.createDataFrame([("S", 1.0), ("S", 2.0)], "subscription_id string, Cost double")
     out = clean_dataset(df, billing_specs()["costs"])
     assert sorted(r.Cost for r in out.collect()) == [1.0, 2.0]
+
+
+def test_status_domain_is_known(spark):
+    from billow.plans.analytics import value_domain
+    from billow.sources import roles
+    from billow.spec import STATUS_VALUES
+    got = {r.status for r in value_domain(roles.subscriptions_raw(spark, "/root/testdata/sf0.001"), "status").collect()}
+    assert got and got <= set(STATUS_VALUES)
