@@ -350,6 +350,17 @@ def q_orphan_costs(spark, d):
     return quality.orphan_costs(costs, roles.invoices_not_returned(spark, d))
 
 
+def q_reconcile_costs(spark, d):
+    costs = dedup.keep_last(roles.costs(spark, d), ["subscription_id", "month"])
+    inv = roles.invoices_not_returned(spark, d)
+    return quality.reconcile_costs(costs, marts.fct_profitability(inv, costs), inv)
+
+
+def q_sale_type_domain(spark, d):
+    return analytics.value_domain(marts.dim_subscription(_silver_subscriptions(spark, d)), "sale_type",
+                                  drop_null=False)
+
+
 def q_reconcile_sales(spark, d):
     return quality.reconcile_sales(roles.invoices(spark, d), _fct_profitability(spark, d))
 
@@ -400,6 +411,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline_profitability": q_pipeline_profitability,
     "orphan_costs": q_orphan_costs,
     "reconcile_sales": q_reconcile_sales,
+    "reconcile_costs": q_reconcile_costs,
+    "sale_type_domain": q_sale_type_domain,
 }
 
 
@@ -495,6 +508,12 @@ CTES = {
                   "SUM(CAST(Cost AS DECIMAL(18,6))) AS c FROM cost_silver GROUP BY ALL"),
     "inv_nr": ("SELECT l_orderkey AS subscription_id, l_extendedprice AS calculated_cost, l_shipdate AS start "
                "FROM lineitem WHERE l_returnflag <> 'R'"),
+    "nr_sales_m": ("SELECT subscription_id, strftime(start, '%Y-%m') AS month, "
+                   "SUM(CAST(calculated_cost AS DECIMAL(18,6))) AS s FROM inv_nr GROUP BY ALL"),
+    "nr_fct": ("SELECT s.subscription_id, s.month, COALESCE(c.c, 0) AS c FROM nr_sales_m s LEFT JOIN costs_m c "
+               "ON s.subscription_id = c.subscription_id AND s.month IS NOT DISTINCT FROM c.month"),
+    "nr_orphan": ("SELECT c.subscription_id, c.month, c.c FROM costs_m c WHERE NOT EXISTS (SELECT 1 FROM "
+                  "nr_sales_m s WHERE s.subscription_id = c.subscription_id AND s.month IS NOT DISTINCT FROM c.month)"),
 }
 _DEPS = {
     "cust_src": [], "sub_raw": ["sub_base"], "sub_clean": ["sub_raw"], "pairs": ["tags"],
@@ -503,7 +522,8 @@ _DEPS = {
     "cost_last": ["cost"], "cost_raw": ["cost_base"], "cost_parsed": ["cost_raw"],
     "cost_kept": ["cost_parsed"], "cost_silver": ["cost_kept"], "sales_m": ["inv"],
     "costs_m": ["cost_last"], "fct": ["sales_m", "costs_m"], "p_sales_m": ["inv_silver"],
-    "p_costs_m": ["cost_silver"],
+    "p_costs_m": ["cost_silver"], "nr_sales_m": ["inv_nr"], "nr_fct": ["nr_sales_m", "costs_m"],
+    "nr_orphan": ["nr_sales_m", "costs_m"],
 }
 
 
@@ -676,6 +696,18 @@ ORACLE = {
         "SELECT c.subscription_id, c.month, CAST(c.c AS DOUBLE) AS cost_amount FROM costs_m c "
         "WHERE NOT EXISTS (SELECT 1 FROM inv_nr i WHERE i.subscription_id = c.subscription_id "
         "AND strftime(i.start, '%Y-%m') IS NOT DISTINCT FROM c.month)", "costs_m", "inv_nr"),
+    "reconcile_costs": _with(
+        "SELECT COALESCE(a.subscription_id, b.subscription_id, o.subscription_id) AS subscription_id, "
+        "CAST(COALESCE(a.t, 0) AS DOUBLE) AS silver_cost, CAST(COALESCE(b.t, 0) AS DOUBLE) AS gold_cost, "
+        "CAST(COALESCE(o.t, 0) AS DOUBLE) AS orphan_cost, "
+        "CAST(COALESCE(a.t, 0) - COALESCE(b.t, 0) - COALESCE(o.t, 0) AS DOUBLE) AS difference "
+        "FROM (SELECT subscription_id, SUM(CAST(Cost AS DECIMAL(18,6))) AS t FROM cost_last GROUP BY ALL) a "
+        "FULL JOIN (SELECT subscription_id, SUM(CAST(CAST(c AS DOUBLE) AS DECIMAL(18,6))) AS t FROM nr_fct "
+        "GROUP BY ALL) b ON a.subscription_id = b.subscription_id "
+        "FULL JOIN (SELECT subscription_id, SUM(CAST(CAST(c AS DOUBLE) AS DECIMAL(18,6))) AS t FROM nr_orphan "
+        "GROUP BY ALL) o ON COALESCE(a.subscription_id, b.subscription_id) = o.subscription_id",
+        "cost_last", "nr_fct", "nr_orphan"),
+    "sale_type_domain": _with("SELECT DISTINCT sale_type FROM dim_sub", "dim_sub"),
     "reconcile_sales": _with(
         "SELECT COALESCE(r.subscription_id, g.subscription_id) AS subscription_id, "
         "CAST(COALESCE(r.t, 0) AS DOUBLE) AS raw_sales, CAST(COALESCE(g.t, 0) AS DOUBLE) AS gold_sales, "

@@ -149,6 +149,25 @@ def reconcile_sales(invoicing: DataFrame, fct: DataFrame, cols: BillingColumns =
                        g.cast("double").alias("gold_sales"), (r - g).cast("double").alias("difference"))
 
 
+def reconcile_costs(costs: DataFrame, fct: DataFrame, invoicing: DataFrame,
+                    cols: BillingColumns = COLS) -> DataFrame:
+    """Per subscription: silver cost total = gold cost total + orphan cost total.
+
+    Every silver cost lands either in a gold month (a month with sales) or in
+    an orphan month; ``difference`` should be 0.
+    """
+    sub = cols.subscription_id
+    zero = F.lit(0).cast("decimal(38,6)")
+    silver = costs.groupBy(sub).agg(F.sum(money(cols.cost_amount)).alias("__silver"))
+    gold = fct.groupBy(sub).agg(F.sum(money("cost_amount")).alias("__gold"))
+    orphan = orphan_costs(costs, invoicing, cols).groupBy(sub).agg(
+        F.sum(money("cost_amount")).alias("__orphan"))
+    both = silver.join(gold, [sub], "full").join(orphan, [sub], "full")
+    s, g, o = (F.coalesce(F.col(c), zero) for c in ("__silver", "__gold", "__orphan"))
+    return both.select(F.col(sub), s.cast("double").alias("silver_cost"), g.cast("double").alias("gold_cost"),
+                       o.cast("double").alias("orphan_cost"), (s - g - o).cast("double").alias("difference"))
+
+
 def orphan_costs(costs: DataFrame, invoicing: DataFrame, cols: BillingColumns = COLS) -> DataFrame:
     """Cost months with no invoice in that month (they drop out of the profit fact)."""
     from billow.plans.marts import MONTH_KEYS, month_text, monthly_sum

@@ -21,3 +21,11 @@ def test_entry_runs(spark):
     df = e.entry(spark)
     assert df.columns == ["subscription_id", "month", "sales_amount", "cost_amount", "profit"]
     assert df.count() > 0
+
+
+def test_reconciliations_balance(spark):
+    import __spark_entry__ as e
+    for name in ("reconcile_sales", "reconcile_costs"):
+        df = e.queries()[name](spark, SF)
+        assert df.where("difference <> 0").count() == 0, name
+        assert df.count() > 0
