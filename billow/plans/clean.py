@@ -68,21 +68,24 @@ def group_for_clean(parsed: DataFrame, spec: DatasetSpec) -> Grouped:
     # keep-last needs its whole key; with a key column missing the step is skipped
     key = list(spec.keep_last_by) if len(present(parsed, spec.keep_last_by)) == len(spec.keep_last_by) else []
     required = present(parsed, spec.required)
+    order = [c for c in spec.order_by if c in cols]
+    # the ordinal goes on into silver only when a later keep-first needs it
+    out_cols = cols if spec.keep_row_order else [c for c in cols if c != ORDINAL]
     if key:
-        payload = [c for c in cols if c not in key]
-        order = [c for c in spec.order_by if c in cols]
+        payload = [c for c in out_cols if c not in key]
         fields = [_q(c).alias(f"__o{i}") for i, c in enumerate(order)] + [_q(c) for c in payload]
         g = parsed.groupBy(*[_q(k) for k in key]).agg(
             F.count(F.lit(1)).alias(_N), F.max(F.struct(*fields)).alias(_PICK))
-        rows = g.select(*[(_q(c) if c in key else F.col(_PICK).getField(c).alias(c)) for c in cols],
+        rows = g.select(*[(_q(c) if c in key else F.col(_PICK).getField(c).alias(c)) for c in out_cols],
                         F.col(_N))
-        return Grouped(rows, cols, True, required)
+        return Grouped(rows, out_cols, True, required)
     data = [c for c in cols if c != ORDINAL]
     aggs = [F.count(F.lit(1)).alias(_N)]
-    if ORDINAL in cols:
+    if ORDINAL in out_cols:
+        # first copy's ordinal: a struct minimum, planned as a sort aggregate
         aggs.append(F.min(_q(ORDINAL)).alias(ORDINAL))
     g = parsed.groupBy(*[_q(c) for c in data]).agg(*aggs)
-    return Grouped(g.select(*[_q(c) for c in cols], F.col(_N)), cols, False, required)
+    return Grouped(g.select(*[_q(c) for c in out_cols], F.col(_N)), out_cols, False, required)
 
 
 def _all_present(cols: list[str]) -> Column:

@@ -8,7 +8,7 @@ role views derived from the TPC-H-ish test tables (``sources.roles``).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for the same results.
@@ -72,15 +72,19 @@ class DatasetSpec:
     date_order: str = "ymd"                      # "ydm" reproduces the reference's swap
     order_by: tuple[str, ...] = (ORDINAL,)       # what "latest"/"first" means
     post_dq_keys: tuple[str, ...] | None = None  # None: not in the post-DQ gate
+    keep_row_order: bool = True                  # carry the ordinal into silver
 
     def with_order(self, *cols: str) -> "DatasetSpec":
-        return DatasetSpec(self.name, self.required, self.keep_last_by,
-                           self.timestamp_name_parts, self.dayfirst_date_columns,
-                           self.date_order, tuple(cols), self.post_dq_keys)
+        return replace(self, order_by=tuple(cols))
 
 
 def billing_specs(order_by: tuple[str, ...] = (ORDINAL,)) -> dict[str, DatasetSpec]:
-    """The five billing datasets in processing order."""
+    """The five billing datasets in processing order.
+
+    Only customers and subscriptions keep their row order in silver: the gold
+    dimensions take the first row per key.  Invoicing, costs and tags need no
+    order after cleaning, so their dedupe is a plain hash aggregation.
+    """
     return {
         "customers": DatasetSpec("customers", REQUIRED_COLUMNS["customers"],
                                  order_by=order_by,
@@ -90,15 +94,15 @@ def billing_specs(order_by: tuple[str, ...] = (ORDINAL,)) -> dict[str, DatasetSp
                                      post_dq_keys=POST_DQ_KEYS["subscriptions"]),
         "invoicing": DatasetSpec("invoicing", REQUIRED_COLUMNS["invoicing"],
                                  timestamp_name_parts=INVOICE_DATE_NAME_PARTS,
-                                 order_by=order_by,
+                                 order_by=order_by, keep_row_order=False,
                                  post_dq_keys=POST_DQ_KEYS["invoicing"]),
         "costs": DatasetSpec("costs", REQUIRED_COLUMNS["costs"],
                              keep_last_by=COST_KEEP_LAST_KEY,
                              dayfirst_date_columns=("month",),
-                             order_by=order_by,
+                             order_by=order_by, keep_row_order=False,
                              post_dq_keys=POST_DQ_KEYS["costs"]),
         "sales_tags": DatasetSpec("sales_tags", REQUIRED_COLUMNS["sales_tags"],
-                                  order_by=order_by),
+                                  order_by=order_by, keep_row_order=False),
     }
 
 
