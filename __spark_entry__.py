@@ -361,6 +361,31 @@ def q_sale_type_domain(spark, d):
                                   drop_null=False)
 
 
+def _gold_run(spark, d):
+    """Gold database of one pipeline run over the role tables, once per session and folder."""
+    runs = spark.__dict__.setdefault("_billow_gold_runs", {})
+    if d not in runs:
+        root = scratch_path(spark, "gold_run")
+        run = layers.Layers(root)
+        _write_roles_as_raw(spark, d, run.raw)
+        db = "gold_" + root.rstrip("/").split("/")[-2][:12]
+        run_pipeline(spark, run, RAW_SCHEMAS, database=db)
+        runs[d] = db
+    return runs[d]
+
+
+def q_gold_sql_monthly_profit(spark, d):
+    return analytics.gold_sql(spark, "monthly_profit", _gold_run(spark, d))
+
+
+def q_gold_sql_churn_summary(spark, d):
+    return analytics.gold_sql(spark, "churn_summary", _gold_run(spark, d))
+
+
+def q_gold_sql_top_customers(spark, d):
+    return analytics.gold_sql(spark, "top_customers", _gold_run(spark, d))
+
+
 def q_reconcile_sales(spark, d):
     return quality.reconcile_sales(roles.invoices(spark, d), _fct_profitability(spark, d))
 
@@ -413,6 +438,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_sales": q_reconcile_sales,
     "reconcile_costs": q_reconcile_costs,
     "sale_type_domain": q_sale_type_domain,
+    "gold_sql_monthly_profit": q_gold_sql_monthly_profit,
+    "gold_sql_churn_summary": q_gold_sql_churn_summary,
+    "gold_sql_top_customers": q_gold_sql_top_customers,
 }
 
 
@@ -433,6 +461,12 @@ _LINE_ORDER_ASC = "l_shipdate, l_linenumber, l_partkey, l_suppkey, l_extendedpri
 _LI_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, "
             "l_tax, l_returnflag, l_linestatus, l_shipdate")
 
+_PROFIT_SELECT_P = ("SELECT s.subscription_id, s.month, CAST(s.s AS DOUBLE) AS sales_amount, "
+                    "COALESCE(CAST(c.c AS DOUBLE), 0.0) AS cost_amount, "
+                    "CAST(s.s AS DOUBLE) - COALESCE(CAST(c.c AS DOUBLE), 0.0) AS profit "
+                    "FROM p_sales_m s LEFT JOIN p_costs_m c ON s.subscription_id = c.subscription_id "
+                    "AND s.month IS NOT DISTINCT FROM c.month")
+
 CTES = {
     "cust": "SELECT c_custkey AS customer_id, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "cust_src": ("SELECT c_custkey AS customer_id, c_name, c_nationkey, c_acctbal, c_mktsegment, 1 AS copy_no "
@@ -514,6 +548,9 @@ CTES = {
                "ON s.subscription_id = c.subscription_id AND s.month IS NOT DISTINCT FROM c.month"),
     "nr_orphan": ("SELECT c.subscription_id, c.month, c.c FROM costs_m c WHERE NOT EXISTS (SELECT 1 FROM "
                   "nr_sales_m s WHERE s.subscription_id = c.subscription_id AND s.month IS NOT DISTINCT FROM c.month)"),
+    "p_fct": _PROFIT_SELECT_P,
+    "p_churn": ("SELECT subscription_id, (COALESCE(regexp_matches(lower(status), 'cancel|terminate|churn'), false) "
+                "OR cancelled_at IS NOT NULL) AS is_churned FROM enriched"),
 }
 _DEPS = {
     "cust_src": [], "sub_raw": ["sub_base"], "sub_clean": ["sub_raw"], "pairs": ["tags"],
@@ -523,7 +560,7 @@ _DEPS = {
     "cost_kept": ["cost_parsed"], "cost_silver": ["cost_kept"], "sales_m": ["inv"],
     "costs_m": ["cost_last"], "fct": ["sales_m", "costs_m"], "p_sales_m": ["inv_silver"],
     "p_costs_m": ["cost_silver"], "nr_sales_m": ["inv_nr"], "nr_fct": ["nr_sales_m", "costs_m"],
-    "nr_orphan": ["nr_sales_m", "costs_m"],
+    "nr_orphan": ["nr_sales_m", "costs_m"], "p_fct": ["p_sales_m", "p_costs_m"], "p_churn": ["enriched"],
 }
 
 
@@ -558,12 +595,6 @@ def _dq_rows(ds: str, silver: str, bronze: str, keys: list[str], cols: str) -> s
     return "\nUNION ALL ".join(parts)
 
 
-_PROFIT_SELECT = ("SELECT s.subscription_id, s.month, CAST(s.s AS DOUBLE) AS sales_amount, "
-                  "COALESCE(CAST(c.c AS DOUBLE), 0.0) AS cost_amount, "
-                  "CAST(s.s AS DOUBLE) - COALESCE(CAST(c.c AS DOUBLE), 0.0) AS profit "
-                  "FROM {s} s LEFT JOIN {c} c ON s.subscription_id = c.subscription_id "
-                  "AND s.month IS NOT DISTINCT FROM c.month")
-
 ORACLE = {
     "ingest_roundtrip": CTES["cust"],
     "csv_inferred": ("SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size, "
@@ -690,8 +721,7 @@ ORACLE = {
         "\nSELECT 'customers'",
         ",\ncust_silver AS (SELECT DISTINCT customer_id, c_name, c_nationkey, c_acctbal, c_mktsegment "
         "FROM cust_src WHERE customer_id IS NOT NULL)\nSELECT 'customers'", 1),
-    "pipeline_profitability": _with(_PROFIT_SELECT.format(s="p_sales_m", c="p_costs_m"),
-                                    "p_sales_m", "p_costs_m"),
+    "pipeline_profitability": _with("SELECT * FROM p_fct", "p_fct"),
     "orphan_costs": _with(
         "SELECT c.subscription_id, c.month, CAST(c.c AS DOUBLE) AS cost_amount FROM costs_m c "
         "WHERE NOT EXISTS (SELECT 1 FROM inv_nr i WHERE i.subscription_id = c.subscription_id "
@@ -708,6 +738,14 @@ ORACLE = {
         "GROUP BY ALL) o ON COALESCE(a.subscription_id, b.subscription_id) = o.subscription_id",
         "cost_last", "nr_fct", "nr_orphan"),
     "sale_type_domain": _with("SELECT DISTINCT sale_type FROM dim_sub", "dim_sub"),
+    "gold_sql_monthly_profit": _with("SELECT subscription_id, month, ROUND(SUM(profit), 2) AS total_profit "
+                                     "FROM p_fct GROUP BY subscription_id, month", "p_fct"),
+    "gold_sql_churn_summary": _with("SELECT is_churned, COUNT(*) AS subs FROM p_churn GROUP BY is_churned",
+                                    "p_churn"),
+    "gold_sql_top_customers": _with(
+        "SELECT c.customer_id, ROUND(SUM(f.sales_amount), 2) AS total_sales FROM p_fct f "
+        "JOIN dim_sub d ON f.subscription_id = d.subscription_id JOIN dim_cust c ON d.Customer = c.customer_id "
+        "GROUP BY c.customer_id ORDER BY total_sales DESC, c.customer_id LIMIT 5", "p_fct", "dim_sub", "dim_cust"),
     "reconcile_sales": _with(
         "SELECT COALESCE(r.subscription_id, g.subscription_id) AS subscription_id, "
         "CAST(COALESCE(r.t, 0) AS DOUBLE) AS raw_sales, CAST(COALESCE(g.t, 0) AS DOUBLE) AS gold_sales, "
