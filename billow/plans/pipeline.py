@@ -74,9 +74,23 @@ def transform(spark: SparkSession, layers: Layers, specs: Mapping[str, DatasetSp
     return result
 
 
+# Gold tables stored in hash buckets of their join key (one row per key, or
+# per key and month / sale type, so no key can dominate a bucket).
+GOLD_BUCKET_KEYS = {
+    "dim_customer": "customer_id",
+    "dim_subscription": "subscription_id",
+    "fct_profitability": "subscription_id",
+    "fct_churn": "subscription_id",
+}
+
+
 def model(spark: SparkSession, layers: Layers, cols: BillingColumns = COLS,
-          database: str = "gold") -> dict[str, str]:
-    """Silver -> gold catalog tables (always replaced, also when empty)."""
+          database: str = "gold", buckets: int | None = None) -> dict[str, str]:
+    """Silver -> gold catalog tables (always replaced, also when empty).
+
+    Facts and dimensions joined on subscription id share ``buckets`` hash
+    buckets of it, so the fact-to-dimension join over gold needs no shuffle.
+    """
     silver = {n: read_layer(spark, layers.table("silver", n))
               for n in ("customers", "subscriptions", "invoicing", "costs")}
     tables: dict[str, DataFrame] = {}
@@ -89,8 +103,10 @@ def model(spark: SparkSession, layers: Layers, cols: BillingColumns = COLS,
         tables["fct_sales"] = marts.fct_sales(silver["invoicing"])
         tables["fct_profitability"] = marts.fct_profitability(silver["invoicing"], silver["costs"], cols)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{layers.gold}'")
-    return run_concurrently({name: (lambda n=name, df=df: save_gold_table(spark, df, n, database))
-                             for name, df in tables.items()})
+    keys = {n: (cols.customer_id if k == "customer_id" else cols.subscription_id)
+            for n, k in GOLD_BUCKET_KEYS.items()}
+    return run_concurrently({name: (lambda n=name, df=df: save_gold_table(
+        spark, df, n, database, bucket_by=keys.get(n), buckets=buckets)) for name, df in tables.items()})
 
 
 def run_pipeline(spark: SparkSession, layers: Layers,

@@ -105,3 +105,13 @@ def test_hot_key_keep_last_correct(spark, hot_share):
     hot = kept.where("k = 0").first()
     assert hot.ord == n - hot_share and hot.v == 2 * (n - hot_share)
     assert "partial_max" in plan(kept)
+
+
+def test_gold_fact_dimension_join_is_bucketed(spark):
+    with no_broadcast(spark):
+        df = e.q_gold_sql_top_customers(spark, SF)
+        text = simple(df)
+    assert text.count("Bucketed: true") == 3
+    # only the joined rows move, re-keyed by customer; fact and dimensions stay put
+    assert text.count("Exchange hashpartitioning") == 1
+    assert df.count() == 5
