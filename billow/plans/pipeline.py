@@ -28,7 +28,6 @@ STEP_SCHEMA = StructType([
     StructField("rows_before", LongType()), StructField("rows_after", LongType()),
     StructField("rows_dropped", LongType()),
 ])
-GOLD_TABLES = ("dim_customer", "dim_subscription", "fct_sales", "fct_profitability", "fct_churn")
 
 
 @dataclass
@@ -139,7 +138,8 @@ def run_pipeline(spark: SparkSession, layers: Layers,
     transform(spark, layers, specs, cols, result)
     silver = {n: read_layer(spark, layers.table("silver", n)) for n in specs}
     bronze = {n: read_layer(spark, layers.table("bronze", n)) for n in specs}
-    result.dq = dq_report(silver, bronze)
+    result.dq = dq_report(silver, bronze, {n: s.post_dq_keys for n, s in specs.items()
+                                            if s.post_dq_keys is not None})
     if post_gate:
         gate(result.dq)
     result.gold = model(spark, layers, cols, database)
