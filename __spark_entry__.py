@@ -301,6 +301,10 @@ def q_churn_partition_check(spark, d):
     return analytics.churn_partition_check(marts.fct_churn(_silver_subscriptions(spark, d)))
 
 
+def q_churn_fanout(spark, d):
+    return analytics.churn_fanout(marts.fct_churn(_silver_subscriptions(spark, d)))
+
+
 def q_monthly_profit(spark, d):
     return analytics.monthly_profit(_fct_profitability(spark, d))
 
@@ -428,6 +432,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fct_churn": q_fct_churn,
     "churn_summary": q_churn_summary,
     "churn_partition_check": q_churn_partition_check,
+    "churn_fanout": q_churn_fanout,
     "monthly_profit": q_monthly_profit,
     "top_customers": q_top_customers,
     "sample_profitability": q_sample_profitability,
@@ -688,6 +693,13 @@ ORACLE = {
         "COUNT(*) FILTER (WHERE NOT is_churned) AS is_not_churned_cnt, "
         "COUNT(*) = COUNT(*) FILTER (WHERE is_churned) + COUNT(*) FILTER (WHERE NOT is_churned) AS balanced "
         "FROM churn", "churn"),
+    "churn_fanout": _with(
+        "SELECT CAST(SUM(n) AS BIGINT) AS churn_rows, COUNT(*) AS subscriptions, "
+        "CAST(SUM(n) - COUNT(*) AS BIGINT) AS fanout_rows, "
+        "CAST(COALESCE(SUM(CASE WHEN churned THEN n END), 0) AS BIGINT) AS churned_rows, "
+        "COUNT(*) FILTER (WHERE churned) AS churned_subscriptions "
+        "FROM (SELECT subscription_id, COUNT(*) AS n, bool_or(is_churned) AS churned FROM churn "
+        "GROUP BY subscription_id)", "churn"),
     "monthly_profit": _with(
         "SELECT subscription_id, month, CAST(ROUND(SUM(CAST(profit AS DECIMAL(18,6))), 2) AS DOUBLE) "
         "AS total_profit FROM fct GROUP BY subscription_id, month", "fct"),

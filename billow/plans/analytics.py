@@ -54,6 +54,25 @@ def churn_partition_check(fct_churn: DataFrame) -> DataFrame:
     ).withColumn("balanced", F.col("total_cnt") == F.col("is_churned_cnt") + F.col("is_not_churned_cnt"))
 
 
+def churn_fanout(fct_churn: DataFrame, cols: BillingColumns = COLS) -> DataFrame:
+    """How much the sale-type fan-out inflates the churn fact.
+
+    A subscription with several sale types has one churn row per type.  Rows
+    are first counted per subscription (partial aggregation before the
+    shuffle), then totalled: rows, distinct subscriptions, the extra rows, and
+    churn counted both ways.
+    """
+    per_sub = fct_churn.groupBy(cols.subscription_id).agg(
+        F.count(F.lit(1)).alias("n"), F.max("is_churned").alias("churned"))
+    return per_sub.agg(
+        F.sum("n").alias("churn_rows"),
+        F.count(F.lit(1)).alias("subscriptions"),
+        (F.sum("n") - F.count(F.lit(1))).alias("fanout_rows"),
+        F.coalesce(F.sum(F.when(F.col("churned"), F.col("n"))), F.lit(0)).alias("churned_rows"),
+        F.count_if(F.col("churned")).alias("churned_subscriptions"),
+    )
+
+
 def top_customers(fct: DataFrame, dim_sub: DataFrame, dim_cust: DataFrame, k: int = 5,
                   cols: BillingColumns = COLS) -> DataFrame:
     """Top ``k`` customers by rounded sales (ties by customer id).
