@@ -172,3 +172,11 @@ def test_status_domain_is_known(spark):
     from billow.spec import STATUS_VALUES
     got = {r.status for r in value_domain(roles.subscriptions_raw(spark, "/root/testdata/sf0.001"), "status").collect()}
     assert got and got <= set(STATUS_VALUES)
+
+
+def test_windows_export_bom_and_crlf(spark, tmp_path):
+    path = tmp_path / "costs.csv"
+    path.write_bytes(b"\xef\xbb\xbfsubscription_id,Cost\r\nS1,1.5\r\nS2,NA\r\n")
+    df = read_csv(spark, str(path), StructType([StructField("Cost", DoubleType())]), with_ordinal=False)
+    assert df.columns == ["subscription_id", "Cost"]
+    assert [(r.subscription_id, r.Cost) for r in df.collect()] == [("S1", 1.5), ("S2", None)]
