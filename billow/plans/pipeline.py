@@ -34,6 +34,7 @@ STEP_SCHEMA = StructType([
 class RunResult:
     ingested: dict[str, int] = field(default_factory=dict)
     skipped: list[str] = field(default_factory=list)
+    warnings: list[str] = field(default_factory=list)
     steps: list[tuple] = field(default_factory=list)
     dq: DataFrame | None = None
     gold: dict[str, str] = field(default_factory=dict)
@@ -124,6 +125,7 @@ def run_pipeline(spark: SparkSession, layers: Layers,
     if size_session:
         apply_scale_settings(spark, folder_bytes(spark, layers.raw))
     result.ingested = ingest(spark, layers.raw, layers.bronze, schemas)
+    result.warnings.extend(f"{n}: not in raw, skipped" for n in specs if n not in result.ingested)
     if pre_checks:
         raw = list_csv_datasets(spark, layers.raw)
         reports = [raw_vs_bronze(n, read_csv(spark, p, (schemas or {}).get(n)),

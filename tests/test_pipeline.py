@@ -48,6 +48,7 @@ def test_missing_costs_fails_gate_but_model_gives_zero_cost(spark, tmp_path):
     # without the gate the model keeps every sale with cost 0.0
     result = run_pipeline(spark, Layers(root), database="gold_nocost", post_gate=False)
     assert "costs" in result.skipped
+    assert result.warnings == ["costs: not in raw, skipped", "sales_tags: not in raw, skipped"]
     rows = spark.sql("SELECT * FROM gold_nocost.fct_profitability").collect()
     assert [(r.subscription_id, r.month, r.sales_amount, r.cost_amount) for r in rows] == [
         ("S1", "2022-09", 10.5, 0.0)]
