@@ -92,11 +92,15 @@ def top_customers(fct: DataFrame, dim_sub: DataFrame, dim_cust: DataFrame, k: in
     return ranked.orderBy(F.col("total_sales").desc(), F.col(cid).asc()).limit(k)
 
 
-def sample_rows(spark, view: str, columns: Sequence[str], order_by: Sequence[str], n: int = 10) -> DataFrame:
-    """``SELECT cols FROM view ORDER BY ... LIMIT n`` through Spark SQL (nulls first)."""
+def sample_rows(spark, table: str, columns: Sequence[str], order_by: Sequence[str], n: int = 10) -> DataFrame:
+    """``SELECT cols FROM table ORDER BY ... LIMIT n`` through Spark SQL (nulls first).
+
+    ``table`` is a view name or ``database.table``.
+    """
     cols = ", ".join(f"`{c}`" for c in columns)
     order = ", ".join(f"`{c}` ASC NULLS FIRST" for c in order_by)
-    return spark.sql(f"SELECT {cols} FROM `{view}` ORDER BY {order} LIMIT {int(n)}")
+    name = ".".join(f"`{part}`" for part in table.split("."))
+    return spark.sql(f"SELECT {cols} FROM {name} ORDER BY {order} LIMIT {int(n)}")
 
 
 def like_counts(subs: DataFrame, status: str = COLS.status, needle: str = "CANCELLED") -> DataFrame:

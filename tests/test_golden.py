@@ -123,3 +123,23 @@ def test_gold_sum_equals_invoices(golden_run):
     gold = spark.sql(f"SELECT SUM(sales_amount) AS s FROM {db}.fct_profitability").first().s
     inv = spark.read.parquet(layers.table("silver", "invoicing")).agg(F.sum("calculated_cost")).first()[0]
     assert abs(gold - inv) < 1e-9
+
+
+def test_command_line_run(tmp_path):
+    import os
+    import subprocess
+    import sys
+    raw = tmp_path / "raw"
+    write_csv_file(str(raw / "Customers.csv"), ["customer_id", "name"], [("C1", "Ada")])
+    write_csv_file(str(raw / "Subscriptions.csv"), ["subscription_id", "Customer", "status", "cancelled_at"],
+                   [("S1", "C1", "SUBSCRIPTION_STATUS_CANCELLED", None)])
+    write_csv_file(str(raw / "Invoicing.csv"), ["subscription_id", "calculated_cost", "start", "end", "created_at"],
+                   S1_INVOICES)
+    write_csv_file(str(raw / "Costs.csv"), ["subscription_id", "month", "Cost"], S1_COSTS)
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=repo, PYSPARK_SUBMIT_ARGS="--master local[2] pyspark-shell")
+    out = subprocess.run([sys.executable, "-m", "billow", "run", "--root", str(tmp_path), "--query"],
+                         capture_output=True, text=True, timeout=600, cwd=str(tmp_path), env=env)
+    assert out.returncode == 0, out.stderr[-3000:]
+    assert "fct_profitability" in out.stdout and "2022-10" in out.stdout
+    assert "Churn summary" in out.stdout
