@@ -15,6 +15,9 @@ DAYFIRST_FORMAT = "d/M/yyyy"
 ISO_DATE_FORMAT = "yyyy-M-d"
 # The reference's day-first reading of ISO text swaps day and month.
 YDM_DATE_FORMAT = "yyyy-d-M"
+# A time followed by a zone: Z, +05, +0530 or -05:00.
+ZONE_SUFFIX = r"\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|[+-]\d{2}(:?\d{2})?)$"
+SECONDS_PER_DAY = 86400
 
 
 def _col(c: Column | str) -> Column:
@@ -31,8 +34,17 @@ def lenient_timestamp(c: Column | str) -> Column:
 
 
 def lenient_date(c: Column | str) -> Column:
-    """Timestamp text -> its calendar date in UTC (``2022-10-05T23:30-05:00`` -> 2022-10-06)."""
-    return F.to_date(lenient_timestamp(c))
+    """Timestamp text -> its calendar date in UTC, whatever the session time zone.
+
+    Text without a zone is a UTC wall-clock time: its own date.  Text with a
+    zone is an instant: the UTC day it falls on
+    (``2022-10-05T23:30:00-05:00`` -> 2022-10-06).  Bad text -> null.
+    """
+    text = _col(c).cast("string")
+    instant_day = F.date_from_unix_date(
+        F.floor(F.unix_seconds(F.try_to_timestamp(text)) / SECONDS_PER_DAY).cast("int"))
+    wall_clock_day = F.to_date(text.try_cast("timestamp_ntz"))
+    return F.when(text.rlike(ZONE_SUFFIX), instant_day).otherwise(wall_clock_day)
 
 
 def dayfirst_date(c: Column | str, date_order: str = "ymd") -> Column:
@@ -47,7 +59,7 @@ def dayfirst_date(c: Column | str, date_order: str = "ymd") -> Column:
     return F.coalesce(
         F.try_to_date(text, iso),
         F.try_to_date(text, DAYFIRST_FORMAT),
-        F.to_date(F.try_to_timestamp(text)),
+        lenient_date(text),
     )
 
 

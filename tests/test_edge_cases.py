@@ -180,3 +180,19 @@ def test_windows_export_bom_and_crlf(spark, tmp_path):
     df = read_csv(spark, str(path), StructType([StructField("Cost", DoubleType())]), with_ordinal=False)
     assert df.columns == ["subscription_id", "Cost"]
     assert [(r.subscription_id, r.Cost) for r in df.collect()] == [("S1", 1.5), ("S2", None)]
+
+
+def test_dates_do_not_depend_on_session_time_zone(spark):
+    values = ["2022-10-05 23:42:38.6228", "2022-10-05", "2022-10-05T23:30:00-05:00",
+              "2022-10-05T01:30:00Z", "2022-10-05T01:30:00+0530", "15/10/2022", "bad"]
+    df = _one_col(spark, values)
+    expect = [dt.date(2022, 10, 5), dt.date(2022, 10, 5), dt.date(2022, 10, 6), dt.date(2022, 10, 5),
+              dt.date(2022, 10, 4), None, None]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert [r.d for r in df.select(lenient_date("v").alias("d")).collect()] == expect, zone
+            assert df.select(dayfirst_date("v").alias("d")).collect()[5].d == dt.date(2022, 10, 15)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
