@@ -15,11 +15,20 @@ DAYFIRST_FORMAT = "d/M/yyyy"
 ISO_DATE_FORMAT = "yyyy-M-d"
 # The reference's day-first reading of ISO text swaps day and month.
 YDM_DATE_FORMAT = "yyyy-d-M"
-# A time followed by a zone: Z, +05, +0530 or -05:00.
-ZONE_SUFFIX = r"\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|[+-]\d{2}(:?\d{2})?)$"
 SECONDS_PER_DAY = 86400
 
 
+def has_zone(text: Column) -> Column:
+    """Text with a time and a zone suffix: ``Z``, ``+05``, ``+0530`` or ``-05:00``.
+
+    A character test instead of a regular expression (it runs once per value
+    of every timestamp column): ISO text without a zone ends in digits, ``:``
+    or ``.``, so a sign at a suffix position or a final ``Z`` marks a zone.
+    """
+    sign = lambda pos: F.substring(text, pos, 1).isin("+", "-")
+    return (F.instr(text, ":") > 0) & (text.endswith("Z") | sign(-3) | sign(-5) | sign(-6))
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -44,7 +53,7 @@ def lenient_date(c: Column | str) -> Column:
     instant_day = F.date_from_unix_date(
         F.floor(F.unix_seconds(F.try_to_timestamp(text)) / SECONDS_PER_DAY).cast("int"))
     wall_clock_day = F.to_date(text.try_cast("timestamp_ntz"))
-    return F.when(text.rlike(ZONE_SUFFIX), instant_day).otherwise(wall_clock_day)
+    return F.when(has_zone(text), instant_day).otherwise(wall_clock_day)
 
 
 def dayfirst_date(c: Column | str, date_order: str = "ymd") -> Column:
