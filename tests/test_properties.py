@@ -65,3 +65,27 @@ def test_monthly_sum_matches_model(spark, rows, parts):
         if m is not None:
             want[key] += m
     assert got == {k: float(v) for k, v in want.items()}
+
+
+_PART = st.sampled_from(["2022", "22", "1", "01", "9", "12", "13", "31", "32", "0"])
+DATE_TEXT = st.one_of(
+    st.builds(lambda y, m, d: f"{y}-{m}-{d}", _PART, _PART, _PART),
+    st.builds(lambda d, m, y: f"{d}/{m}/{y}", _PART, _PART, _PART),
+    st.builds(lambda y, m, d, t: f"{y}-{m}-{d}{t}", _PART, _PART, _PART,
+              st.sampled_from(["T10:30:00", " 23:59:59.5", "T23:30:00-05:00", "T01:00:00Z"])),
+    st.text(alphabet="0123456789-/:TZ +.", max_size=12),
+)
+
+
+@SETTINGS
+@given(values=st.lists(DATE_TEXT, min_size=1, max_size=30), order=st.sampled_from(["ymd", "ydm"]))
+def test_dayfirst_dispatch_equals_trying_formats_in_turn(spark, values, order):
+    from pyspark.sql import functions as F
+
+    from billow.functions.dates import (DAYFIRST_FORMAT, ISO_DATE_FORMAT, YDM_DATE_FORMAT,
+                                        dayfirst_date, lenient_date)
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    iso = YDM_DATE_FORMAT if order == "ydm" else ISO_DATE_FORMAT
+    chain = F.coalesce(F.try_to_date("v", iso), F.try_to_date("v", DAYFIRST_FORMAT), lenient_date("v"))
+    diff = df.where(~dayfirst_date("v", order).eqNullSafe(chain)).collect()
+    assert diff == []
