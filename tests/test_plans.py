@@ -115,3 +115,42 @@ def test_gold_fact_dimension_join_is_bucketed(spark):
     # only the joined rows move, re-keyed by customer; fact and dimensions stay put
     assert text.count("Exchange hashpartitioning") == 1
     assert df.count() == 5
+
+
+@contextlib.contextmanager
+def confs(spark, **settings):
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_hot_subscription_join_is_split_by_aqe(spark):
+    """A subscription holding a third of all rows: AQE splits its join partition."""
+    from billow.plans.enrich import enrich_subscriptions
+    n = 60000
+    subs = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("subscription_id"),
+        F.lit("C").alias("Customer"), F.col("id").cast("string").alias("status"))
+    tags = spark.range(n).select((F.col("id") % 1000).alias("subscription_id"),
+                                 F.concat(F.lit("t"), (F.col("id") % 3).cast("string"), F.lit(":x")).alias("tag"))
+    # thresholds scaled down to the test size (defaults: 256 MB, factor 5)
+    with confs(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
+                         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+                         "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        out = enrich_subscriptions(subs, tags)
+        rows = out.collect()
+        final = simple(out)
+    hot = [r for r in rows if r.subscription_id == 0]
+    assert len(hot) == (n // 3) * 3                # every hot row x its 3 sale types
+    assert "SortMergeJoin(skew=true)" in final, final
