@@ -89,3 +89,59 @@ def test_dayfirst_dispatch_equals_trying_formats_in_turn(spark, values, order):
     chain = F.coalesce(F.try_to_date("v", iso), F.try_to_date("v", DAYFIRST_FORMAT), lenient_date("v"))
     diff = df.where(~dayfirst_date("v", order).eqNullSafe(chain)).collect()
     assert diff == []
+
+
+COST_ROWS = st.lists(st.tuples(st.sampled_from(["s1", "s2", None]),
+                               st.sampled_from(["2022-01-01", "01/02/2022", "bad", None]),
+                               st.sampled_from([1.5, 2.25, None])), max_size=30)
+
+
+def _model_clean_costs(rows):
+    """Reference order: parse month, keep last per (sub, month), drop null sub, dedupe."""
+    month = {"2022-01-01": "2022-01-01", "01/02/2022": "2022-02-01"}
+    parsed = [(s, month.get(m), c) for s, m, c in rows]
+    last = {}
+    for s, m, c in parsed:                  # file order: later rows win
+        last[(s, m)] = (s, m, c)
+    kept = list(last.values())
+    not_null = [r for r in kept if r[0] is not None]
+    return set(not_null), [("keep_last", len(rows), len(kept)),
+                           ("not_null:subscription_id", len(kept), len(not_null)),
+                           ("dedupe", len(not_null), len(set(not_null)))]
+
+
+@SETTINGS
+@given(rows=COST_ROWS, parts=st.integers(1, 4))
+def test_clean_costs_and_step_counts_match_model(spark, rows, parts):
+    from billow.plans.clean import clean_dataset, dropped_rows_report
+    from billow.spec import billing_specs
+    spec = billing_specs()["costs"].with_order("ord")
+    df = spark.createDataFrame([(s, m, c, i) for i, (s, m, c) in enumerate(rows)],
+                               "subscription_id string, month string, Cost double, ord int").repartition(parts)
+    want_rows, want_steps = _model_clean_costs(rows)
+    got_rows = {(r.subscription_id, str(r.month) if r.month else None, r.Cost)
+                for r in clean_dataset(df, spec).collect()}
+    assert got_rows == want_rows
+    got_steps = [(r.step, r.rows_before, r.rows_after) for r in dropped_rows_report(df, spec).collect()]
+    assert got_steps == want_steps
+
+
+@SETTINGS
+@given(sales=st.lists(st.tuples(st.sampled_from(["s1", "s2"]), st.sampled_from(["2022-01-05", "2022-02-10", None]),
+                                st.sampled_from([10.0, 2.5, None])), max_size=20),
+       costs=st.lists(st.tuples(st.sampled_from(["s1", "s2", "s3"]), st.sampled_from(["2022-01-01", "01/02/2022", None]),
+                                st.sampled_from([1.25, 4.0])), max_size=20))
+def test_profitability_matches_model(spark, sales, costs):
+    inv = spark.createDataFrame(sales, "subscription_id string, start string, calculated_cost double")
+    cst = spark.createDataFrame(costs, "subscription_id string, month string, Cost double")
+    got = {(r.subscription_id, r.month): (r.sales_amount, r.cost_amount, r.profit)
+           for r in marts.fct_profitability(inv, cst).collect()}
+    inv_month = {"2022-01-05": "2022-01", "2022-02-10": "2022-02"}
+    cost_month = {"2022-01-01": "2022-01", "01/02/2022": "2022-02"}
+    s_tot, c_tot = {}, {}
+    for s, d, a in sales:
+        s_tot[(s, inv_month.get(d))] = s_tot.get((s, inv_month.get(d)), Decimal(0)) + Decimal(str(a or 0))
+    for s, d, a in costs:
+        c_tot[(s, cost_month.get(d))] = c_tot.get((s, cost_month.get(d)), Decimal(0)) + Decimal(str(a))
+    want = {k: (float(v), float(c_tot.get(k, 0)), float(v) - float(c_tot.get(k, 0))) for k, v in s_tot.items()}
+    assert got == want
