@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from billow.plans import marts
 from billow.plans.clean import cleaned, count_exprs, group_for_clean, parse_dates, steps_from_counts
 from billow.plans.enrich import enrich_subscriptions
-from billow.plans.quality import dq_report, gate, raw_vs_bronze
+from billow.plans.quality import REPORT_SCHEMA, dq_report, gate, raw_vs_bronze
 from billow.session import apply_scale_settings
 from billow.sources.csv import folder_bytes, list_csv_datasets, read_csv
 from billow.sources.layers import (Layers, ingest, read_layer, run_concurrently, save_gold_table,
@@ -140,10 +140,14 @@ def run_pipeline(spark: SparkSession, layers: Layers,
     transform(spark, layers, specs, cols, result)
     silver = {n: read_layer(spark, layers.table("silver", n)) for n in specs}
     bronze = {n: read_layer(spark, layers.table("bronze", n)) for n in specs}
-    result.dq = dq_report(silver, bronze, {n: s.post_dq_keys for n, s in specs.items()
-                                            if s.post_dq_keys is not None})
+    report = dq_report(silver, bronze, {n: s.post_dq_keys for n, s in specs.items()
+                                        if s.post_dq_keys is not None})
+    # a few dozen rows: computed once, kept, so reading the report later does
+    # not scan the silver tables again
+    rows = report.collect()
+    result.dq = spark.createDataFrame(rows, REPORT_SCHEMA)
     if post_gate:
-        gate(result.dq)
+        gate(rows)
     result.gold = model(spark, layers, cols, database)
     return result
 

@@ -128,9 +128,15 @@ def raw_vs_bronze(name: str, raw: DataFrame, bronze: DataFrame, required: Sequen
     return row_parity.unionByName(col_parity).unionByName(checks)
 
 
-def gate(report: DataFrame) -> None:
-    """Raise ``DataQualityError`` listing the failed checks, if any."""
-    failed = report.where(~F.coalesce(F.col("passed"), F.lit(True))).collect()
+def gate(report: DataFrame | list) -> None:
+    """Raise ``DataQualityError`` listing the failed checks, if any.
+
+    ``report``: the report DataFrame, or its rows already collected.
+    """
+    if isinstance(report, DataFrame):
+        failed = report.where(~F.coalesce(F.col("passed"), F.lit(True))).collect()
+    else:
+        failed = [r for r in report if r.passed is False]
     if failed:
         lines = [f"{r.dataset}: {r.check}{' ' + r.column_name if r.column_name else ''}"
                  f" = {r.value}" for r in failed]
