@@ -126,8 +126,8 @@ def q_csv_all_strings(spark, d):
 
 def q_csv_folder_scan(spark, d):
     raw = scratch_path(spark, "raw")
-    csvsrc.write_csv(roles.table(spark, d, "region"), f"{raw}/Region.csv")
-    csvsrc.write_csv(roles.table(spark, d, "nation"), f"{raw}/Nation names.csv")
+    csvsrc.write_csv(roles.customers(spark, d), f"{raw}/Customers.csv")
+    csvsrc.write_csv(roles.subscriptions(spark, d), f"{raw}/Subscription export.csv")
     parts = [csvsrc.read_csv(spark, path, with_ordinal=False)
              .agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("dataset"), "row_count")
              for name, path in csvsrc.list_csv_datasets(spark, raw).items()]
@@ -613,8 +613,8 @@ ORACLE = {
                      "p_retailprice FROM part"),
     "csv_all_strings": ("SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type, "
                         "CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice FROM part"),
-    "csv_folder_scan": ("SELECT 'nation_names' AS dataset, COUNT(*) AS row_count FROM nation "
-                        "UNION ALL SELECT 'region', COUNT(*) FROM region"),
+    "csv_folder_scan": ("SELECT 'customers' AS dataset, COUNT(*) AS row_count FROM customer "
+                        "UNION ALL SELECT 'subscription_export', COUNT(*) FROM orders"),
     "gold_table_roundtrip": CTES["cust"],
     "null_tokens": ("SELECT c_custkey AS customer_id, c_name, CASE WHEN c_custkey % 5 = 4 THEN c_mktsegment END "
                     "AS c_mktsegment FROM customer"),
