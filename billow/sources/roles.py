@@ -14,6 +14,8 @@ an order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +49,7 @@ def _line_order(copy: Column | None = None) -> Column:
     return F.struct(*fields).alias(ORDINAL)
 
 
-def _with_copies(df: DataFrame, copies: DataFrame, order: callable) -> DataFrame:
+def _with_copies(df: DataFrame, copies: DataFrame, order: Callable[[Column], Column]) -> DataFrame:
     return df.select("*", order(F.lit(0))).unionByName(copies.select("*", order(F.lit(1))))
 
 
@@ -68,8 +70,9 @@ def customers_with_copies(spark: SparkSession, d: str) -> DataFrame:
 
 # -- subscriptions -----------------------------------------------------------
 def status_text(order_status: Column) -> Column:
-    expr = F.when(F.lit(False), F.lit(None))
-    for code, text in STATUS_BY_ORDER_STATUS.items():
+    (code, text), *rest = STATUS_BY_ORDER_STATUS.items()
+    expr = F.when(order_status == code, F.lit(text))
+    for code, text in rest:
         expr = expr.when(order_status == code, F.lit(text))
     return expr
 
