@@ -114,7 +114,7 @@ def run_pipeline(spark: SparkSession, layers: Layers,
                  specs: Mapping[str, DatasetSpec] | None = None,
                  cols: BillingColumns = COLS, database: str = "gold",
                  pre_checks: bool = False, post_gate: bool = True,
-                 size_session: bool = False) -> RunResult:
+                 size_session: bool = False, multiline: bool = False) -> RunResult:
     """Ingest, (optional pre-check), transform, post-check + gate, model.
 
     ``size_session``: derive shuffle and split sizes from the raw input size
@@ -124,11 +124,11 @@ def run_pipeline(spark: SparkSession, layers: Layers,
     result = RunResult()
     if size_session:
         apply_scale_settings(spark, folder_bytes(spark, layers.raw))
-    result.ingested = ingest(spark, layers.raw, layers.bronze, schemas)
+    result.ingested = ingest(spark, layers.raw, layers.bronze, schemas, multiline)
     result.warnings.extend(f"{n}: not in raw, skipped" for n in specs if n not in result.ingested)
     if pre_checks:
         raw = list_csv_datasets(spark, layers.raw)
-        reports = [raw_vs_bronze(n, read_csv(spark, p, (schemas or {}).get(n)),
+        reports = [raw_vs_bronze(n, read_csv(spark, p, (schemas or {}).get(n), multiline=multiline),
                                  read_layer(spark, layers.table("bronze", n)),
                                  REQUIRED_COLUMNS.get(n, ()))
                    for n, p in raw.items() if n in REQUIRED_COLUMNS]

@@ -81,18 +81,19 @@ def write_observed(df: DataFrame, path: str, name: str) -> int:
 
 
 def ingest(spark: SparkSession, raw: str, bronze: str,
-           schemas: Mapping[str, StructType] | None = None) -> dict[str, int]:
+           schemas: Mapping[str, StructType] | None = None, multiline: bool = False) -> dict[str, int]:
     """Every raw ``*.csv`` -> bronze Parquet of the same (normalised) name.
 
     Missing-value tokens become null, known columns get their types, and the
     row ordinal is stored so later stages need not rebuild it.  Returns the
-    row count written per dataset.
+    row count written per dataset.  ``multiline``: quoted fields may hold line
+    breaks (each file is then read by one task, as it cannot be split).
     """
     schemas = schemas or {}
 
     def one(name: str, path: str) -> Callable[[], int]:
-        return lambda: write_observed(read_csv(spark, path, schemas.get(name)), f"{bronze}/{name}",
-                                      f"ingest_{name}")
+        return lambda: write_observed(read_csv(spark, path, schemas.get(name), multiline=multiline),
+                                      f"{bronze}/{name}", f"ingest_{name}")
     return run_concurrently({name: one(name, path)
                              for name, path in list_csv_datasets(spark, raw).items()})
 

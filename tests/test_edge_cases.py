@@ -196,3 +196,10 @@ def test_dates_do_not_depend_on_session_time_zone(spark):
             assert df.select(dayfirst_date("v").alias("d")).collect()[5].d == dt.date(2022, 10, 15)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_quoted_line_breaks_need_multiline(spark, tmp_path):
+    path = tmp_path / "Customers.csv"
+    path.write_text('customer_id,note\nC1,"two\nlines"\nC2,plain\n')
+    rows = read_csv(spark, str(path), with_ordinal=False, multiline=True).collect()
+    assert [(r.customer_id, r.note) for r in rows] == [("C1", "two\nlines"), ("C2", "plain")]
