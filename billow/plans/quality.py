@@ -1,9 +1,9 @@
 """Data-quality report, gate and reconciliations.
 
 A report is a DataFrame ``(dataset, check, column_name, value, expected,
-passed)``.  Per dataset the counts and null counts come from one aggregation
-pass and the duplicate count from one grouping; only the (few dozen) report
-rows ever reach the driver, in ``gate``.
+passed)``.  Per dataset, row count, key null counts and duplicate count all
+come from one grouping of the whole row; only the (few dozen) report rows
+ever reach the driver, in ``gate``.
 """
 
 from __future__ import annotations
