@@ -91,22 +91,13 @@ def dataset_checks(name: str, df: DataFrame, keys: Sequence[str],
 def dq_report(silver: Mapping[str, DataFrame | None], bronze: Mapping[str, DataFrame | None],
               keys: Mapping[str, Sequence[str]] = POST_DQ_KEYS) -> DataFrame:
     """Post-transform report over the silver tables (bronze counts informational)."""
-    spark = None
-    parts = []
-    for name, key_cols in keys.items():
-        df = silver.get(name)
-        if df is None:
-            parts.append(("missing", name))
-            continue
-        spark = df.sparkSession
-        parts.append(dataset_checks(name, df, key_cols, bronze.get(name)))
-    if spark is None:
+    present = {n: silver[n] for n in keys if silver.get(n) is not None}
+    if not present:
         raise DataQualityError("no silver dataset to check")
-    out = _literal_rows(spark, [(n, "present", None, None, None, False)
-                                for _, n in [p for p in parts if isinstance(p, tuple)]])
-    for p in parts:
-        if not isinstance(p, tuple):
-            out = out.unionByName(p)
+    spark = next(iter(present.values())).sparkSession
+    out = _literal_rows(spark, [(n, "present", None, None, None, False) for n in keys if n not in present])
+    for name, df in present.items():
+        out = out.unionByName(dataset_checks(name, df, keys[name], bronze.get(name)))
     return out
 
 
