@@ -14,6 +14,7 @@ an order.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +43,22 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return cache[path]
 
 
+def per_session(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Build a role view once per session and folder; later calls reuse the plan.
+
+    A DataFrame is an immutable plan, so reusing it is safe; every query
+    still runs it in full.  This only saves rebuilding the plan on the driver.
+    """
+    @functools.wraps(build)
+    def cached(spark: SparkSession, d: str) -> DataFrame:
+        views = spark.__dict__.setdefault("_billow_roles", {})
+        key = (build.__name__, d.rstrip("/"))
+        if key not in views:
+            views[key] = build(spark, d)
+        return views[key]
+    return cached
+
+
 def _line_order(copy: Column | None = None) -> Column:
     fields = [F.col(c) for c in LINE_ORDER]
     if copy is not None:
@@ -54,11 +71,13 @@ def _with_copies(df: DataFrame, copies: DataFrame, order: Callable[[Column], Col
 
 
 # -- customers ---------------------------------------------------------------
+@per_session
 def customers(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").select(
         F.col("c_custkey").alias("customer_id"), "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
+@per_session
 def customers_with_copies(spark: SparkSession, d: str) -> DataFrame:
     """Customers of nation 3 appear twice; the renamed copy comes first in order."""
     base = customers(spark, d)
@@ -77,6 +96,7 @@ def status_text(order_status: Column) -> Column:
     return expr
 
 
+@per_session
 def subscriptions(spark: SparkSession, d: str) -> DataFrame:
     """One row per order, no derived nulls or copies."""
     o = table(spark, d, "orders")
@@ -86,6 +106,7 @@ def subscriptions(spark: SparkSession, d: str) -> DataFrame:
                     F.col("o_orderpriority").alias("plan"), F.col("o_totalprice").alias("amount"))
 
 
+@per_session
 def subscriptions_raw(spark: SparkSession, d: str) -> DataFrame:
     """Null id where key % 100 = 99, null status where key % 10 = 0,
     and whole-row copies of the 2-HIGH open orders."""
@@ -112,6 +133,7 @@ def tag_text(p_type: Column, p_brand: Column, p_size: Column) -> Column:
              .otherwise(F.concat(p_type, F.lit(":"), p_brand)))
 
 
+@per_session
 def sales_tags(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
     p = table(spark, d, "part")
@@ -122,6 +144,7 @@ def sales_tags(spark: SparkSession, d: str) -> DataFrame:
 
 
 # -- invoices ----------------------------------------------------------------
+@per_session
 def invoices(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
     return li.select(F.col("l_orderkey").alias("subscription_id"), F.col("l_linenumber").alias("line_no"),
@@ -129,6 +152,7 @@ def invoices(spark: SparkSession, d: str) -> DataFrame:
                      F.col("l_shipdate").alias("start"))
 
 
+@per_session
 def invoices_not_returned(spark: SparkSession, d: str) -> DataFrame:
     """Invoices of the lines that are not returned (the cost role's complement)."""
     li = table(spark, d, "lineitem").where(F.col("l_returnflag") != "R")
@@ -136,6 +160,7 @@ def invoices_not_returned(spark: SparkSession, d: str) -> DataFrame:
                      F.col("l_extendedprice").alias("calculated_cost"), F.col("l_shipdate").alias("start"))
 
 
+@per_session
 def invoices_null_month(spark: SparkSession, d: str) -> DataFrame:
     """No start date on line 7, no amount where the discount is 0."""
     li = table(spark, d, "lineitem")
@@ -148,6 +173,7 @@ def _day(c: str) -> Column:
     return F.date_format(F.col(c), "yyyy-MM-dd")
 
 
+@per_session
 def invoices_raw(spark: SparkSession, d: str) -> DataFrame:
     """Text dates (created_at with and without fraction, bad on line 7) and
     whole-row copies of line 1."""
@@ -167,6 +193,7 @@ def invoices_raw(spark: SparkSession, d: str) -> DataFrame:
 
 
 # -- costs -------------------------------------------------------------------
+@per_session
 def costs(spark: SparkSession, d: str) -> DataFrame:
     """Returned lines; month = first day of the ship month."""
     li = table(spark, d, "lineitem").where(F.col("l_returnflag") == "R")
@@ -183,6 +210,7 @@ def cost_month_text(shipdate: str, orderkey: str, linenumber: str) -> Column:
              .otherwise(F.concat(F.lit("01/"), dmy)))
 
 
+@per_session
 def costs_raw(spark: SparkSession, d: str) -> DataFrame:
     """Null id where key % 10 = 0, month as ISO (even keys) or dd/MM/yyyy (odd)
     text, 'bad' on line 7, and whole-row copies of line 1."""
