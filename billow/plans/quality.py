@@ -53,7 +53,7 @@ def _rows(one_row: DataFrame, rows: list[str]) -> DataFrame:
 
 
 def dataset_checks(name: str, df: DataFrame, keys: Sequence[str],
-                   compare_rows: DataFrame | None = None, compare_label: str = "bronze_rows",
+                   compare_rows: DataFrame | int | None = None, compare_label: str = "bronze_rows",
                    parity: bool = False) -> DataFrame:
     """Row count, emptiness, key presence, key nulls and duplicates of one table.
 
@@ -61,7 +61,8 @@ def dataset_checks(name: str, df: DataFrame, keys: Sequence[str],
     sizes, duplicates = rows - groups, key nulls = sizes of groups whose key
     is null.  The grouping is partially aggregated before its shuffle, so
     many copies of one row never meet in one task.
-    ``compare_rows``: the other layer; its count is reported (``parity``: must match).
+    ``compare_rows``: the other layer, or its row count when already known
+    (e.g. observed while it was written); reported (``parity``: must match).
     """
     data = _data(df)
     present_keys = [k for k in keys if k in data.columns]
@@ -81,16 +82,22 @@ def dataset_checks(name: str, df: DataFrame, keys: Sequence[str],
     items.append(_row_sql(name, "duplicate_rows", None, "rows - groups", "0", "rows - groups = 0"))
     out = _rows(stats, items)
     if compare_rows is not None:
-        other = _data(compare_rows).agg(F.count(F.lit(1)).alias("o"))
+        if isinstance(compare_rows, DataFrame):
+            other = _data(compare_rows).agg(F.count(F.lit(1)).alias("o"))
+        else:
+            other = stats.select(F.lit(int(compare_rows)).cast("bigint").alias("o"))
         row = (_row_sql(name, "row_count_parity", None, "NULL", "o", "NULL") if parity
                else _row_sql(name, compare_label, None, "o", "NULL", "NULL"))
         out = out.unionByName(_rows(other, [row]))
     return out
 
 
-def dq_report(silver: Mapping[str, DataFrame | None], bronze: Mapping[str, DataFrame | None],
+def dq_report(silver: Mapping[str, DataFrame | None], bronze: Mapping[str, DataFrame | int | None],
               keys: Mapping[str, Sequence[str]] = POST_DQ_KEYS) -> DataFrame:
-    """Post-transform report over the silver tables (bronze counts informational)."""
+    """Post-transform report over the silver tables (bronze counts informational).
+
+    ``bronze``: bronze tables, or their row counts when already known.
+    """
     present = {n: silver[n] for n in keys if silver.get(n) is not None}
     if not present:
         raise DataQualityError("no silver dataset to check")
