@@ -29,7 +29,8 @@ def _run(args: argparse.Namespace) -> int:
     layers = Layers(args.root, raw_dir=args.raw)
     try:
         result = run_pipeline(spark, layers, database=args.database, pre_checks=args.pre_checks,
-                              post_gate=not args.no_gate, size_session=True, multiline=args.multiline)
+                              post_gate=not args.no_gate, size_session=True, multiline=args.multiline,
+                              start_at=args.start_at)
     except DataQualityError as exc:
         print(f"stopped: {exc}", file=sys.stderr)
         return 1
@@ -71,6 +72,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--no-gate", action="store_true", help="write gold even if a check fails")
     run.add_argument("--query", action="store_true", help="print the gold sample and churn summary")
     run.add_argument("--multiline", action="store_true", help="quoted CSV fields may hold line breaks")
+    run.add_argument("--start-at", default="ingest", choices=("ingest", "transform", "model"),
+                     help="restart from the bronze (transform) or silver (model) layer of a previous run")
     run.set_defaults(fn=_run)
     query = sub.add_parser("query", help="sample profitability and churn summary from gold")
     query.add_argument("--database", default="gold")

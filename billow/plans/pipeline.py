@@ -109,38 +109,52 @@ def model(spark: SparkSession, layers: Layers, cols: BillingColumns = COLS,
         spark, df, n, database, bucket_by=keys.get(n), buckets=buckets)) for name, df in tables.items()})
 
 
+STAGES = ("ingest", "transform", "model")
+
+
 def run_pipeline(spark: SparkSession, layers: Layers,
                  schemas: Mapping[str, StructType] | None = None,
                  specs: Mapping[str, DatasetSpec] | None = None,
                  cols: BillingColumns = COLS, database: str = "gold",
                  pre_checks: bool = False, post_gate: bool = True,
-                 size_session: bool = False, multiline: bool = False) -> RunResult:
+                 size_session: bool = False, multiline: bool = False,
+                 start_at: str = "ingest") -> RunResult:
     """Ingest, (optional pre-check), transform, post-check + gate, model.
 
     ``size_session``: derive shuffle and split sizes from the raw input size
     (``session.apply_scale_settings``) for settings the cluster left unset.
+    ``start_at``: "transform" or "model" restarts a failed run from the layer
+    the previous stage already wrote (bronze or silver) instead of from raw.
+    The quality check before the model always runs.
     """
+    if start_at not in STAGES:
+        raise ValueError(f"start_at must be one of {STAGES}")
     specs = specs or billing_specs()
     result = RunResult()
     if size_session:
         apply_scale_settings(spark, folder_bytes(spark, layers.raw))
-    result.ingested = ingest(spark, layers.raw, layers.bronze, schemas, multiline)
-    result.warnings.extend(f"{n}: not in raw, skipped" for n in specs if n not in result.ingested)
-    if pre_checks:
-        raw = list_csv_datasets(spark, layers.raw)
-        reports = [raw_vs_bronze(n, read_csv(spark, p, (schemas or {}).get(n), multiline=multiline),
-                                 read_layer(spark, layers.table("bronze", n)),
-                                 REQUIRED_COLUMNS.get(n, ()))
-                   for n, p in raw.items() if n in REQUIRED_COLUMNS]
-        if reports:
-            pre = reports[0]
-            for r in reports[1:]:
-                pre = pre.unionByName(r)
-            gate(pre)
-    transform(spark, layers, specs, cols, result)
+    if start_at == "ingest":
+        result.ingested = ingest(spark, layers.raw, layers.bronze, schemas, multiline)
+        result.warnings.extend(f"{n}: not in raw, skipped" for n in specs if n not in result.ingested)
+        if pre_checks:
+            raw = list_csv_datasets(spark, layers.raw)
+            reports = [raw_vs_bronze(n, read_csv(spark, p, (schemas or {}).get(n), multiline=multiline),
+                                     read_layer(spark, layers.table("bronze", n)),
+                                     REQUIRED_COLUMNS.get(n, ()))
+                       for n, p in raw.items() if n in REQUIRED_COLUMNS]
+            if reports:
+                pre = reports[0]
+                for r in reports[1:]:
+                    pre = pre.unionByName(r)
+                gate(pre)
+    if start_at in ("ingest", "transform"):
+        transform(spark, layers, specs, cols, result)
     silver = {n: read_layer(spark, layers.table("silver", n)) for n in specs}
-    # bronze row counts were observed while ingest wrote bronze: no recount
-    report = dq_report(silver, dict(result.ingested), {n: s.post_dq_keys for n, s in specs.items()
+    # bronze row counts observed while ingest wrote bronze need no recount;
+    # on a restart the bronze tables are counted
+    bronze = (dict(result.ingested) if start_at == "ingest"
+              else {n: read_layer(spark, layers.table("bronze", n)) for n in specs})
+    report = dq_report(silver, bronze, {n: s.post_dq_keys for n, s in specs.items()
                                         if s.post_dq_keys is not None})
     # a few dozen rows: computed once, kept, so reading the report later does
     # not scan the silver tables again

@@ -54,3 +54,19 @@ def test_missing_costs_fails_gate_but_model_gives_zero_cost(spark, tmp_path):
         ("S1", "2022-09", 10.5, 0.0)]
     failed = {(r.dataset, r.check) for r in result.dq.collect() if r.passed is False}
     assert failed == {("costs", "present")}
+
+
+def test_restart_from_written_layers(spark, tmp_path):
+    root = str(tmp_path)
+    _raw(root)
+    first = run_pipeline(spark, Layers(root), database="gold_restart", post_gate=False)
+    before = sorted(map(tuple, spark.sql("SELECT * FROM gold_restart.fct_profitability").collect()))
+    for stage in ("transform", "model"):
+        again = run_pipeline(spark, Layers(root), database="gold_restart", post_gate=False, start_at=stage)
+        assert again.ingested == {}
+        assert (again.steps == []) == (stage == "model")
+        assert sorted(map(tuple, spark.sql("SELECT * FROM gold_restart.fct_profitability").collect())) == before
+        bronze_rows = {r.dataset: r.value for r in again.dq.collect() if r.check == "bronze_rows"}
+        assert bronze_rows == {n: c for n, c in first.ingested.items() if n in bronze_rows}
+    with pytest.raises(ValueError):
+        run_pipeline(spark, Layers(root), start_at="silver")
