@@ -2,14 +2,14 @@
 
     python -m billow run --root <layers folder> [--raw <raw csv folder>] [--database gold]
                          [--pre-checks] [--no-gate]
-    python -m billow query [--database gold] [--rows 10]
+    python -m billow query [--database gold | --root <layers folder>] [--rows 10]
 
 ``run`` ingests every ``*.csv`` of the raw folder, cleans, checks, and writes
 the gold tables; it prints the run report (rows ingested, rows dropped per
 step, quality checks) and exits with status 1 when the quality gate fails.
-``query`` prints a sample of the profitability fact and the churn summary.
-With a session-only catalog, ``query`` sees the tables of a ``run`` in the
-same process only; with a shared metastore it sees them from anywhere.
+``query`` prints a sample of the profitability fact and the churn summary,
+from the catalog (a shared metastore) or, with ``--root``, straight from the
+gold folder of a run.
 """
 
 from __future__ import annotations
@@ -57,7 +57,17 @@ def _show_gold(spark, database: str, rows: int) -> None:
 
 def _query(args: argparse.Namespace) -> int:
     spark = build_session(app_name="billow-query")
-    _show_gold(spark, args.database, args.rows)
+    database = args.database
+    if args.root:
+        # read the gold tables from the layer folder (no shared metastore needed)
+        from billow.sources.layers import Layers, read_layer
+        gold = Layers(args.root).gold
+        for name in ("dim_customer", "dim_subscription", "fct_sales", "fct_profitability", "fct_churn"):
+            df = read_layer(spark, f"{gold}/{name}")
+            if df is not None:
+                df.createOrReplaceGlobalTempView(name)
+        database = spark.conf.get("spark.sql.globalTempDatabase", "global_temp")
+    _show_gold(spark, database, args.rows)
     return 0
 
 
@@ -77,6 +87,7 @@ def main(argv: list[str] | None = None) -> int:
     run.set_defaults(fn=_run)
     query = sub.add_parser("query", help="sample profitability and churn summary from gold")
     query.add_argument("--database", default="gold")
+    query.add_argument("--root", default=None, help="read gold from this layers folder instead of the catalog")
     query.add_argument("--rows", type=int, default=10)
     query.set_defaults(fn=_query)
     args = parser.parse_args(argv)

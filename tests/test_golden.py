@@ -147,3 +147,8 @@ def test_command_line_run(tmp_path):
     assert out.returncode == 0, out.stderr[-3000:]
     assert "fct_profitability" in out.stdout and "2022-10" in out.stdout
     assert "Churn summary" in out.stdout
+    # a separate process reads gold from the folder, like a later query session
+    later = subprocess.run([sys.executable, "-m", "billow", "query", "--root", str(tmp_path)],
+                           capture_output=True, text=True, timeout=600, cwd=str(tmp_path), env=env)
+    assert later.returncode == 0, later.stderr[-3000:]
+    assert "2022-10" in later.stdout and "true" in later.stdout
