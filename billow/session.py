@@ -69,10 +69,16 @@ def scale_settings(input_bytes: int, cores: int) -> dict[str, str]:
 
 def apply_scale_settings(spark: SparkSession, input_bytes: int) -> dict[str, str]:
     """Set ``scale_settings`` on the session, but only where the cluster left them unset."""
-    launched = spark.sparkContext.getConf()
+    try:
+        launched = spark.sparkContext.getConf()
+        cores = spark.sparkContext.defaultParallelism
+        was_set = launched.contains
+    except Exception:  # noqa: BLE001 - Spark Connect: judge by the session conf
+        cores = int(spark.conf.get("spark.default.parallelism", "200"))
+        was_set = lambda k: spark.conf.get(k, None) is not None
     applied = {}
-    for k, v in scale_settings(input_bytes, spark.sparkContext.defaultParallelism).items():
-        if not launched.contains(k):
+    for k, v in scale_settings(input_bytes, cores).items():
+        if not was_set(k):
             spark.conf.set(k, v)
             applied[k] = v
     return applied
@@ -82,7 +88,10 @@ def _session_checkpoint_dir(spark: SparkSession) -> str | None:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir
-    opt = spark.sparkContext._jsc.sc().getCheckpointDir()
+    try:
+        opt = spark.sparkContext._jsc.sc().getCheckpointDir()
+    except Exception:  # noqa: BLE001 - no SparkContext in this client (Spark Connect)
+        return None
     return opt.get() if opt.isDefined() else None
 
 
@@ -93,7 +102,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return found
     warehouse = spark.conf.get("spark.sql.warehouse.dir")
     chosen = warehouse.rstrip("/") + "/_billow_checkpoints"
-    spark.sparkContext.setCheckpointDir(chosen)
+    try:
+        spark.sparkContext.setCheckpointDir(chosen)
+    except Exception:  # noqa: BLE001 - Spark Connect: scratch tables only need the path
+        return chosen
     return _session_checkpoint_dir(spark) or chosen
 
 

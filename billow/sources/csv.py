@@ -22,22 +22,43 @@ from billow.spec import NULL_TOKENS, ORDINAL
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs, jpath
+    """Hadoop file system of ``path``, or None without JVM access (Spark Connect)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+    except Exception:  # noqa: BLE001 - no SparkContext / JVM in this client
+        return None
+
+
+def _file_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """``path`` and ``length`` of every file under ``folder``; contents are not read."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .load(folder).select("path", "length"))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """File-system metadata check on the driver (no data is read)."""
-    fs, jpath = _hadoop_fs(spark, path)
-    return bool(fs.exists(jpath))
+    fs = _hadoop_fs(spark, path)
+    if fs is not None:
+        return bool(fs[0].exists(fs[1]))
+    try:
+        _file_listing(spark, path).schema
+        return True
+    except Exception as exc:  # noqa: BLE001
+        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+            return False
+        raise
 
 
 def folder_bytes(spark: SparkSession, folder: str) -> int:
     """Total size of the files under ``folder`` (file-system metadata only)."""
-    fs, jpath = _hadoop_fs(spark, folder)
-    return int(fs.getContentSummary(jpath).getLength()) if fs.exists(jpath) else 0
+    fs = _hadoop_fs(spark, folder)
+    if fs is not None:
+        return int(fs[0].getContentSummary(fs[1]).getLength()) if fs[0].exists(fs[1]) else 0
+    if not path_exists(spark, folder):
+        return 0
+    return int(_file_listing(spark, folder).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
 
 
 def list_csv_datasets(spark: SparkSession, folder: str) -> dict[str, str]:
@@ -46,19 +67,43 @@ def list_csv_datasets(spark: SparkSession, folder: str) -> dict[str, str]:
     An entry may be a file or a folder of part files.  Names are normalised:
     ``Sales tags.csv`` -> ``sales_tags``.
     """
-    fs, _ = _hadoop_fs(spark, folder)
-    jvm = spark.sparkContext._jvm
-    statuses = fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder.rstrip("/") + "/*.csv")) or []
+    base = folder.rstrip("/")
+    fs = _hadoop_fs(spark, folder)
+    if fs is not None:
+        jvm = spark.sparkContext._jvm
+        statuses = fs[0].globStatus(jvm.org.apache.hadoop.fs.Path(base + "/*.csv")) or []
+        entries = [(st.getPath().getName(), st.getPath().toString()) for st in statuses]
+    else:
+        entries = _entries_from_listing(spark, base)
     found: dict[str, str] = {}
-    for st in sorted(statuses, key=lambda s: s.getPath().toString()):
-        p = st.getPath()
-        name = normalise_dataset_name(p.getName())
+    for file_name, path in sorted(entries, key=lambda e: e[1]):
+        name = normalise_dataset_name(file_name)
         if name in found:
-            raise ValueError(f"{found[name]} and {p.toString()} are both dataset {name!r}")
-        found[name] = p.toString()
+            raise ValueError(f"{found[name]} and {path} are both dataset {name!r}")
+        found[name] = path
     return found
 
 
+def _entries_from_listing(spark: SparkSession, base: str) -> list[tuple[str, str]]:
+    """Top-level ``*.csv`` entries of ``base`` from a file listing (paths only reach the driver)."""
+    if not path_exists(spark, base):
+        return []
+    if "://" in base:
+        base_path = base.split("://", 1)[1]
+    else:
+        base_path = base[len("file:"):] if base.startswith("file:") else base
+    base_path = base_path.rstrip("/") + "/"
+    entries: dict[str, str] = {}
+    for row in _file_listing(spark, base).select("path").collect():
+        at = row.path.find(base_path)
+        if at < 0:
+            continue
+        top = row.path[at + len(base_path):].split("/", 1)[0]
+        if top.lower().endswith(".csv"):
+            entries[top] = row.path[: at + len(base_path)] + top
+    return sorted(entries.items())
+
+
 ORDINAL_TYPE = StructType([StructField("file", StringType()),
                            StructField("offset", LongType()),
                            StructField("row", LongType())])

@@ -203,3 +203,21 @@ def test_quoted_line_breaks_need_multiline(spark, tmp_path):
     path.write_text('customer_id,note\nC1,"two\nlines"\nC2,plain\n')
     rows = read_csv(spark, str(path), with_ordinal=False, multiline=True).collect()
     assert [(r.customer_id, r.note) for r in rows] == [("C1", "two\nlines"), ("C2", "plain")]
+
+
+def test_file_metadata_without_jvm_access(spark, tmp_path, monkeypatch):
+    """The Spark-only fallbacks (for clients without JVM access) give the same answers."""
+    from billow.sources import csv as csvsrc
+    write_csv_file(str(tmp_path / "Customers.csv"), ["customer_id"], [("C",)])
+    write_csv_file(str(tmp_path / "Sales tags.csv" / "part-0.csv"), ["subscription_id", "tag"], [("S", "a:b")])
+    write_csv_file(str(tmp_path / "sub" / "nested.csv"), ["x"], [("1",)])
+    folder, missing = str(tmp_path), str(tmp_path / "nope")
+    with_jvm = (csvsrc.list_csv_datasets(spark, folder), csvsrc.path_exists(spark, folder),
+                csvsrc.path_exists(spark, missing), csvsrc.folder_bytes(spark, folder))
+    monkeypatch.setattr(csvsrc, "_hadoop_fs", lambda *_: None)
+    without = (csvsrc.list_csv_datasets(spark, folder), csvsrc.path_exists(spark, folder),
+               csvsrc.path_exists(spark, missing), csvsrc.folder_bytes(spark, folder))
+    norm = lambda d: {k: v.replace("file:", "") for k, v in d.items()}
+    assert norm(without[0]) == norm(with_jvm[0]) and sorted(with_jvm[0]) == ["customers", "sales_tags"]
+    assert without[1:] == with_jvm[1:] and with_jvm[1:3] == (True, False)
+    assert read_csv(spark, without[0]["sales_tags"], with_ordinal=False).count() == 1
