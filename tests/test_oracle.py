@@ -29,3 +29,23 @@ def test_reconciliations_balance(spark):
         df = e.queries()[name](spark, SF)
         assert df.where("difference <> 0").count() == 0, name
         assert df.count() > 0
+
+
+def test_every_query_has_an_oracle():
+    import __spark_entry__ as e
+    assert set(e.queries()) == set(e.oracle_sql())
+
+
+def test_bench_prints_one_json_line(tmp_path):
+    import json
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF, BENCH_CPUS="2", BENCH_REPEAT="1")
+    out = subprocess.run([sys.executable, os.path.join(repo, "bench.py")], capture_output=True, text=True,
+                         timeout=900, env=env, cwd=str(tmp_path))
+    lines = [line for line in out.stdout.splitlines() if line.strip()]
+    assert len(lines) == 1, out.stdout[-2000:] + out.stderr[-2000:]
+    result = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(result) and result["unit"] == "sec"
+    assert result["sf"] == 0.001 and len(result["queries"]) >= 10
