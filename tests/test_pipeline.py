@@ -70,3 +70,11 @@ def test_restart_from_written_layers(spark, tmp_path):
         assert bronze_rows == {n: c for n, c in first.ingested.items() if n in bronze_rows}
     with pytest.raises(ValueError):
         run_pipeline(spark, Layers(root), start_at="silver")
+
+
+def test_empty_dimension_is_still_written(spark, tmp_path):
+    root = str(tmp_path)
+    _raw(root, customers=())            # header only
+    result = run_pipeline(spark, Layers(root), database="gold_empty_dim", post_gate=False)
+    assert spark.sql("SELECT COUNT(*) AS n FROM gold_empty_dim.dim_customer").first().n == 0
+    assert "dim_customer" in result.gold
