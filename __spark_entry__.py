@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType, TimestampType)
 
+from billow.functions import dayfirst_date, month_period, sale_type
 from billow.operators import dedup, nulls
 from billow.plans import analytics, clean, enrich, marts, quality
 from billow.plans.pipeline import run_pipeline
@@ -217,13 +218,11 @@ def q_status_domain(spark, d):
 
 
 def q_month_period(spark, d):
-    from billow.functions import month_period
     inv = roles.invoices_null_month(spark, d)
     return inv.select("subscription_id", "start", month_period("start").alias("month"))
 
 
 def q_dayfirst_dates(spark, d):
-    from billow.functions import dayfirst_date
     o = roles.table(spark, d, "orders")
     text = roles.date_text("o_orderdate", "o_orderkey")
     return o.select(F.col("o_orderkey").alias("subscription_id"), text.alias("order_date_text"),
@@ -231,7 +230,6 @@ def q_dayfirst_dates(spark, d):
 
 
 def q_sale_type(spark, d):
-    from billow.functions import sale_type
     t = roles.sales_tags(spark, d)
     return t.select("subscription_id", "tag", sale_type("tag").alias("sale_type"))
 
