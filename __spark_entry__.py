@@ -459,8 +459,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_fct_profitability(spark, SF0001)
 
 
+try:
+    import corpus_pipeline as _pipeline
+    from billow.llm import queries as _llm
+except ModuleNotFoundError as err:
+    if err.name not in ("corpus_pipeline", "billow.llm"):
+        raise
+    _pipeline = _llm = None  # the training-data subpackage is not installed
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return QUERIES | ({**_llm.QUERIES, "pipeline": _pipeline.run} if _llm else {})
 
 
 # -- oracle (DuckDB SQL) ----------------------------------------------------------
@@ -774,4 +783,5 @@ ORACLE = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    more = {**_llm.ORACLE, "pipeline": _pipeline.ORACLE_SQL} if _llm else {}
+    return ORACLE | {k: v for k, v in more.items() if v}

@@ -33,7 +33,7 @@ def test_reconciliations_balance(spark):
 
 def test_every_query_has_an_oracle():
     import __spark_entry__ as e
-    assert set(e.queries()) == set(e.oracle_sql())
+    assert set(e.QUERIES) == set(e.ORACLE)
 
 
 def test_bench_prints_one_json_line(tmp_path):
