@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from billow.llm import token_counts
+from billow.llm import quality_rules, token_counts
 from billow.llm.common import table
 
 
@@ -14,5 +14,9 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op6_token_counts,)}
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op6_token_counts, op5_quality_rules)}
 ORACLE: dict[str, str] = {}
