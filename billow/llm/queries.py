@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from billow.llm import quality_rules, token_counts
+from billow.llm import line_crf, quality_rules, token_counts
 from billow.llm.common import table
 
 
@@ -18,5 +18,9 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_token_counts, op5_quality_rules)}
+def op4_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.line_crf_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op4_line_crf, op5_quality_rules, op6_token_counts)}
 ORACLE: dict[str, str] = {}
