@@ -33,7 +33,7 @@ FOLDS = 5
 THRESHOLD = 0.3
 #: Feature rows scored at a time, so that memory follows neither text nor batch size.
 BLOCK_LINES = 50_000
-OWN = 12
+OWN = 17
 WIDTH = 3 * OWN + 2
 SYMBOLS, STOPS = b"#*$%&|<>", b".,;:!?"
 UPPER, DIGITS, SPACE = bytes(range(65, 91)), bytes(range(48, 58)), b" \t\n\x0b\x0c\r"
@@ -53,9 +53,12 @@ def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     for i, raw in enumerate(raws, 1):
         n, words = len(raw), raw.split()
         m = len(words)
-        own[i] = (1, np.log1p(n) / 8, share_of(raw, SYMBOLS), share_of(raw, UPPER), share_of(raw, DIGITS),
-                  share_of(raw, STOPS), (n - m) / (10 * m + 10), len(set(words)) / (m + 1),
-                  (len(set(zip(words, words[1:]))) + 1) / m if m > 1 else 1, m == 0, times[raw] > 1 and m > 0, min(m, 20) / 20)
+        symbols, upper, kinds = share_of(raw, SYMBOLS), share_of(raw, UPPER), len(set(words)) / (m + 1)
+        pairs = (len(set(zip(words, words[1:]))) + 1) / m if m > 1 else 1
+        own[i] = (1, np.log1p(n) / 8, symbols, upper, share_of(raw, DIGITS), share_of(raw, STOPS), (n - m) / (10 * m + 10),
+                  kinds, pairs, m == 0, times[raw] > 1 and m > 0, min(m, 20) / 20,
+                  symbols > 0.03, upper > 0.3, m > 4 and kinds < 0.4, m > 4 and pairs < 0.6,
+                  m > 4 and sum(map(bytes.__eq__, words, words[1:])) > 0.2 * m)
     ends = np.zeros((len(raws), 2), dtype=np.float32)
     ends[0, 0] = ends[-1, 1] = 1
     return np.hstack([own[1:-1], own[:-2], own[2:], ends]), np.fromiter((len(r) + 1 for r in raws), float)
@@ -100,7 +103,7 @@ def log_odds(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
-def fit(chains: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 200, ridge: float = 1e-4) -> dict:
+def fit(chains: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 150, ridge: float = 1e-2) -> dict:
     """Weights that maximise the mean conditional log likelihood per line (Adam on the exact gradient, over
     standardised features), and the calibration.  chains: (features, line lengths, label) of documents."""
     sizes = np.concatenate([n for _, n, _ in chains]).astype(float)
