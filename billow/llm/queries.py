@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from billow.llm import line_crf, quality_rules, token_counts
+from billow.llm import line_crf, ngram_join, quality_rules, token_counts
 from billow.llm.common import table
 
 
@@ -22,5 +22,9 @@ def op4_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.line_crf_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op4_line_crf, op5_quality_rules, op6_token_counts)}
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+QUERIES = {f.__name__: f for f in (op4_line_crf, op5_quality_rules, op6_token_counts, op7_ngram_jaccard_join)}
 ORACLE: dict[str, str] = {}
