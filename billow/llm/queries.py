@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from billow.llm import line_crf, ngram_join, quality_rules, token_counts
+from billow.llm import hash_index, line_crf, ngram_join, quality_rules, token_counts
 from billow.llm.common import table
 
 
@@ -26,5 +26,10 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op4_line_crf, op5_quality_rules, op6_token_counts, op7_ngram_jaccard_join)}
+def op10_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_index.nearest(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+QUERIES = {f.__name__: f for f in (op4_line_crf, op5_quality_rules, op6_token_counts, op7_ngram_jaccard_join,
+                                    op10_hash_index)}
 ORACLE: dict[str, str] = {}
