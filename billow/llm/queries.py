@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from billow.llm import hash_index, line_crf, ngram_join, pitman_yor, quality_rules, token_counts
+from billow.llm import hash_index, line_crf, ngram_join, pitman_yor, quality_rules, sanitise, token_counts
 from billow.llm.common import table
 
 
@@ -30,10 +30,14 @@ def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.pitman_yor_scores(table(spark, sf_dir, "documents"))
 
 
+def op9_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_index.nearest(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
 QUERIES = {f.__name__: f for f in (op4_line_crf, op5_quality_rules, op6_token_counts, op7_ngram_jaccard_join,
-                                    op8_pitman_yor, op10_hash_index)}
+                                    op8_pitman_yor, op9_sanitise, op10_hash_index)}
 ORACLE: dict[str, str] = {}
