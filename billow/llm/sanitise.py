@@ -65,10 +65,10 @@ def with_spans(df: DataFrame, name: str, needs: str, pattern: str, kind: int, va
     a, b, c = f"{name}_m", f"{name}_gap", f"{name}_len"
     df = df.withColumn(a, F.expr(f"IF({needs}, regexp_extract_all(text, {pattern}, 0), array())"))
     df = df.withColumn(b, F.expr(f"IF(size({a}) > 0, split(text, {pattern}, -1), array())"))
-    df = df.withColumn(c, F.expr(f"IF(size({a}) > 0, transform({a}, (m, i) -> CAST(length(m) + length({b}[i]) AS BIGINT)), array())"))
+    # whatever a loop reads is named twice, so that the optimizer keeps it a column and does not repeat it in the loop
+    df = df.withColumn(c, F.expr(f"IF(size({a}) > 0 AND size({b}) > 0, transform({a}, (m, i) -> CAST(length(m) + length({b}[i]) AS BIGINT)), array())"))
     df = df.withColumn(f"{name}_sum", F.expr(f"""IF(size({c}) > 0, transform(sequence(0, (size({c}) - 1) div {STEP}),
         s -> aggregate(slice({c}, CAST(s * {STEP} + 1 AS INT), {STEP}), 0L, (x, y) -> x + y)), array())"""))
-    # the sums are named twice, so that the optimizer keeps them a column of their own and out of the loop
     df = df.withColumn(f"{name}_end", F.expr(f"""IF(size({name}_sum) = 0, array(), transform({c}, (y, i) -> {c}[i]
         + aggregate(slice({name}_sum, 1, CAST(i div {STEP} AS INT)), 0L, (p, q) -> p + q)
         + aggregate(slice({c}, CAST((i div {STEP}) * {STEP} + 1 AS INT), i % {STEP}), 0L, (p, q) -> p + q)))"""))
