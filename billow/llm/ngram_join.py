@@ -16,9 +16,10 @@ A document's set holds 64-bit hashes of its distinct word n-grams.  Steps:
    those that differ too much (a lower bound of the difference, so no link is
    lost), and the rest are compared set with set.
 5. *Long runs.*  In a run of more than ``RUN`` groups each one is first paired with
-   the run's first group only.  Once links and components are known, what is left,
-   pairs across components, is filtered in blocks of ``BLOCK`` members by bitmaps,
-   and verified as well.  No pair is left out for a run's length.
+   one group of the run only.  Once links and components are known, what is left,
+   pairs across components, is filtered by bitmaps in blocks of ``BLOCK`` members.
+   Of two components the pair with the nearest bitmaps is verified first; then all
+   pairs whose components are still apart.  No pair is left out for a run's length.
 6. *Components* give each document the smallest doc_id that links reach.
 
 Defined results: null or empty texts and texts without words have an empty set,
@@ -44,7 +45,7 @@ COUNTERS = 1 << 20
 CHUNK = 1 << 12
 #: Packed ranges of hashes per partition of the input.
 RANGES = 8
-RUN = 32
+RUN = 8
 BLOCK = 2000
 #: Class ids that may be broadcast as a filter; beyond, Spark joins by shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -175,7 +176,7 @@ def run_pairs(packed: DataFrame, percent: int) -> DataFrame:
     def runs(part: pd.DataFrame) -> pd.DataFrame:
         e = np.frombuffer(b"".join(part.packed), ENTRY)
         e = e[np.lexsort((e["gid"], e["size"], e["token"]))]
-        starts = np.flatnonzero(np.r_[True, e["token"][1:] != e["token"][:-1]])
+        starts = runs_of(e["token"])
         lens = np.diff(np.r_[starts, len(e)])
         length = np.repeat(lens, lens)
         found = []
@@ -188,14 +189,22 @@ def run_pairs(packed: DataFrame, percent: int) -> DataFrame:
             found.append(np.stack([a["gid"][ok], b["gid"][ok]], 1))
         pairs = np.unique(np.sort(np.concatenate(found or [np.empty((0, 2), np.int64)]), axis=1), axis=0)
         out = [pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})]
-        for s, n in zip(starts[lens > RUN], lens[lens > RUN]):
-            r = e[s:s + n]
-            out.append(pd.DataFrame({"a": r["gid"], "b": r["gid"][0], "token": r["token"].astype(np.int64), "size": r["size"].astype(np.int64),
-                                     "pos": r["pos"].astype(np.int64), "length": n}))
-        return pd.concat(out).reindex(columns=["a", "b", "token", "size", "pos", "length"]).astype(
-            {"a": "int64", "b": "int64", "token": "Int64", "size": "Int64", "pos": "Int64", "length": "Int64"})
+        long = np.flatnonzero(length > RUN)
+        if len(long):
+            r = e[long]
+            first = np.minimum.reduceat(r["gid"], runs_of(r["token"]))  # the same group leads the runs of a cluster
+            stars = np.unique(np.stack([r["gid"], np.repeat(first, lens[lens > RUN])], 1), axis=0)
+            out.append(pd.DataFrame({"a": stars[:, 0], "b": stars[:, 1]}))
+            out.append(pd.DataFrame({"a": r["gid"], "token": r["token"].astype(np.int64), "pos": r["pos"].astype(np.int64), "length": length[long]}))
+        names = ["a", "b", "token", "pos", "length"]  # nullable whole numbers throughout: hashes don't fit doubles
+        return pd.concat([x.astype("Int64").reindex(columns=names).astype("Int64") for x in out]).assign(part=part.part.iloc[0])
 
-    return packed.groupBy("part").applyInPandas(runs, "a long, b long, token long, size long, pos long, length long")
+    return packed.groupBy("part").applyInPandas(runs, "part int, a long, b long, token long, pos long, length long")
+
+
+def runs_of(column: np.ndarray) -> np.ndarray:
+    """Start of each run of equal values."""
+    return np.flatnonzero(np.r_[True, column[1:] != column[:-1]])
 
 
 def bits_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -259,29 +268,48 @@ def verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, perce
     return stored(both.mapInPandas(similar, "a binary, b binary"), "ngram_links")
 
 
-def left_over(members: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Class pairs of long runs across components, filtered block against block."""
-    rows = members.select(F.col("a").alias("gid"), "token", "pos", F.ceil(F.col("length") / BLOCK).alias("blocks"))
+def left_over(members: DataFrame, classes: DataFrame, labels: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Class pairs of long runs across components, filtered block against block; with ``best`` the nearest of
+    two components only."""
     known = classes.join(labels.withColumnRenamed("node", "cid"), "cid", "left") \
         .select("gid", "cid", "size", "bits", F.coalesce("label", "cid").alias("label"))
-    rows = rows.join(known, "gid").withColumn("own", F.expr("pmod(xxhash64(cid), blocks)"))
-    rows = rows.withColumn("other", F.expr("explode(sequence(0L, blocks - 1))")).select(
-        "token", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "cid", "size", "pos", "bits", "label")
+    rows = members.select(F.col("a").alias("gid"), "part", "token", "pos", F.ceil(F.col("length") / BLOCK).alias("blocks")).join(known, "gid")
+    rows = rows.withColumn("own", F.expr("pmod(xxhash64(cid), blocks)")).withColumn("other", F.expr("explode(sequence(0L, blocks - 1))")).select(
+        "part", "token", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "cid", "size", "pos", "bits", "label")
 
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        first, second = pdf[pdf.own == pdf.lo].reset_index(drop=True), pdf[pdf.own == pdf.hi].reset_index(drop=True)
-        out = [pd.DataFrame({"a": [], "b": []})]
-        bits, label = as_bits(second.bits), second.label.to_numpy()
-        size, pos, cid = second["size"].to_numpy(), second.pos.to_numpy(), second.cid.to_numpy()
-        for r in first.itertuples():
-            at = np.flatnonzero((label != r.label) & (100 * np.minimum(size, r.size) >= percent * np.maximum(size, r.size))
-                                & (np.minimum(size - pos, r.size - r.pos) >= needed(size + r.size, percent)))
-            at = at[bits_apart(bits[at], np.frombuffer(r.bits, np.uint64)) <= size[at] + r.size - 2 * needed(size[at] + r.size, percent)]
-            out.append(pd.DataFrame({"a": [r.cid] * len(at), "b": cid[at]}))
-        return pd.concat(out)
-
-    found = rows.groupBy("token", "lo", "hi").applyInPandas(block, "a binary, b binary")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pdf = pdf.sort_values("token", kind="stable")
+        label, _ = pd.factorize(pdf.label)
+        token, own, size, pos = (pdf[c].to_numpy() for c in ("token", "own", "size", "pos"))
+        bits, cid, names = as_bits(pdf.bits), pdf.cid.to_numpy(), pdf.label.to_numpy()
+        lo, hi, out = pdf.lo.iloc[0], pdf.hi.iloc[0], []
+        starts = runs_of(token)
+        mixed = np.minimum.reduceat(label, starts) < np.maximum.reduceat(label, starts)
+        for s, t in zip(starts[mixed], np.r_[starts[1:], len(token)][mixed]):
+            y = s + np.flatnonzero(own[s:t] == hi)
+            for x in np.array_split(s + np.flatnonzero(own[s:t] == lo), -(-(t - s) // 500)):
+                total = size[x][:, None] + size[y]
+                need = needed(total, percent)
+                fit = (label[x][:, None] != label[y]) & (100 * np.minimum(size[x][:, None], size[y]) >= percent * np.maximum(size[x][:, None], size[y])) \
+                    & (np.minimum((size - pos)[x][:, None], (size - pos)[y]) >= need)
+                i, k = np.nonzero(fit)
+                room = (total - 2 * need)[i, k] - bits_apart(bits[x[i]], bits[y[k]])
+                ok = room >= 0
+                out.append(np.stack([x[i[ok]], y[k[ok]], room[ok]], 1))
+        found = np.concatenate([np.empty((0, 3), np.int64), *out]).astype(np.int64)
+        a, b = found[:, 0], found[:, 1]
+        swap = np.array([cid[i] > cid[k] for i, k in zip(a, b)], bool) if len(found) else np.zeros(0, bool)
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        pairs = pd.DataFrame({"a": cid[a], "b": cid[b], "la": [min(names[i], names[k]) for i, k in zip(a, b)],
+                              "lb": [max(names[i], names[k]) for i, k in zip(a, b)], "room": found[:, 2]})
+        if best:
+            pairs = pairs.sort_values(["room", "a", "b"], ascending=[False, True, True]).drop_duplicates(["la", "lb"])
+        return pairs.drop_duplicates(["a", "b"])
+
+    found = rows.groupBy("part", "lo", "hi").applyInPandas(block, "a binary, b binary, la binary, lb binary, room long")
+    if best:
+        found = found.groupBy("la", "lb").agg(F.max_by(F.struct("a", "b"), "room").alias("p")).select("p.*")
+    return found.select("a", "b").distinct()
 
 
 def class_table(signed: DataFrame) -> DataFrame:
@@ -304,14 +332,14 @@ def find_links(texts: DataFrame, classes: DataFrame, n: int, percent: int) -> Da
     ranges = RANGES * texts.rdd.getNumPartitions()
     found = stored(run_pairs(entries(groups, ranges), percent), "ngram_runs")
     own_short, own_long = group_runs(classes)
-    members = found.where("token IS NOT NULL").select("a", "token", "pos", "length").unionByName(own_long)
+    members = found.where("token IS NOT NULL").select("a", "part", "token", "pos", "length").unionByName(own_long.withColumn("part", F.expr(f"CAST(pmod(token, {ranges}) AS INT)")))
     slim = classes.drop("prefix")
-    pairs = expand(found.where("a <> b").select("a", "b").union(own_short), slim, percent)
+    pairs = expand(found.where("token IS NULL AND a <> b").select("a", "b").union(own_short), slim, percent)
     links = verify(pairs, slim, texts, n, percent)
-    if members.isEmpty():
-        return links
-    more = left_over(members, slim, connected_components(links), percent)
-    return stored(links.union(verify(more, slim, texts, n, percent)), "ngram_links")
+    for best in () if members.isEmpty() else (True, False):
+        more = left_over(members, slim, connected_components(links), percent, best)
+        links = stored(links.union(verify(more, slim, texts, n, percent)), "ngram_links")
+    return links
 
 
 def ngram_jaccard_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:

@@ -78,7 +78,7 @@ def variants(seed, copies):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("run_length, block", [(32, 2000), (3, 4)])
+@pytest.mark.parametrize("run_length, block", [(8, 2000), (3, 4)])
 def test_large_groups(spark, monkeypatch, run_length, block):
     """The second case sends nearly all pairs by the way of long runs, block against block."""
     monkeypatch.setattr(j, "RUN", run_length)
