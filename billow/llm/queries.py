@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from billow.llm import hash_index, line_crf, ngram_join, pitman_yor, quality_rules, sanitise, token_counts
+from billow.llm import hash_index, line_crf, ngram_join, pitman_yor, quality_rules, sanitise, source_mixing, token_counts
 from billow.llm.common import table
 
 
@@ -18,6 +19,16 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+#: Target token shares of (quality, toxic).
+MIXTURE = {(1, 0): 0.90, (1, 1): 0.04, (0, 0): 0.05, (0, 1): 0.01}
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = source_mixing.mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), MIXTURE)
+    return rates.select("doc_id", "tokens", "domain", "rate",
+                        source_mixing.copies(F.col("rate"), F.col("doc_id"), F.col("text_key")).alias("copies"))
+
+
 def op4_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.line_crf_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,6 +49,6 @@ def op10_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_index.nearest(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
-QUERIES = {f.__name__: f for f in (op4_line_crf, op5_quality_rules, op6_token_counts, op7_ngram_jaccard_join,
+QUERIES = {f.__name__: f for f in (op2_source_mixing, op4_line_crf, op5_quality_rules, op6_token_counts, op7_ngram_jaccard_join,
                                     op8_pitman_yor, op9_sanitise, op10_hash_index)}
 ORACLE: dict[str, str] = {}
