@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billow.llm import hash_index, line_crf, ngram_join, pitman_yor, quality_rules, sanitise, source_mixing, token_counts
+from billow.llm import hash_index, line_crf, ngram_join, piece_sampling, pitman_yor, quality_rules, sanitise, source_mixing, token_counts
 from billow.llm.common import table
 
 
@@ -19,6 +19,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op1_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest and length of each document's sampled ids, and whether they decode to its text."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    coded = piece_sampling.decode(piece_sampling.encode(docs, path, F.col("doc_id")), path, text_col="decoded")
+    return coded.select("doc_id", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_digest"), (F.col("decoded") == F.col("text")).alias("lossless"))
+
+
 #: Target token shares of (quality, toxic).
 MIXTURE = {(1, 0): 0.90, (1, 1): 0.04, (0, 0): 0.05, (0, 1): 0.01}
 
@@ -49,6 +57,6 @@ def op10_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_index.nearest(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mixing, op4_line_crf, op5_quality_rules, op6_token_counts, op7_ngram_jaccard_join,
+QUERIES = {f.__name__: f for f in (op1_piece_sampling, op2_source_mixing, op4_line_crf, op5_quality_rules, op6_token_counts, op7_ngram_jaccard_join,
                                     op8_pitman_yor, op9_sanitise, op10_hash_index)}
 ORACLE: dict[str, str] = {}
