@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billow.llm import hash_index, line_crf, ngram_join, piece_sampling, pitman_yor, quality_rules, sanitise, source_mixing, token_counts
+from billow.llm import hash_index, line_crf, line_dedup, ngram_join, piece_sampling, pitman_yor, quality_rules, sanitise, source_mixing, token_counts
 from billow.llm.common import table
 
 
@@ -37,6 +37,10 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         source_mixing.copies(F.col("rate"), F.col("doc_id"), F.col("text_key")).alias("copies"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op4_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.line_crf_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,6 +61,6 @@ def op10_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_index.nearest(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
-QUERIES = {f.__name__: f for f in (op1_piece_sampling, op2_source_mixing, op4_line_crf, op5_quality_rules, op6_token_counts, op7_ngram_jaccard_join,
-                                    op8_pitman_yor, op9_sanitise, op10_hash_index)}
+QUERIES = {f.__name__: f for f in (op1_piece_sampling, op2_source_mixing, op3_line_dedup, op4_line_crf, op5_quality_rules,
+                                    op6_token_counts, op7_ngram_jaccard_join, op8_pitman_yor, op9_sanitise, op10_hash_index)}
 ORACLE: dict[str, str] = {}
