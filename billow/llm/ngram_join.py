@@ -14,12 +14,13 @@ A document's set holds 64-bit hashes of its distinct word n-grams.  Steps:
    pairs that pass the size and position filters.
 4. *Expand and verify.*  Group pairs expand to class pairs, parity bitmaps drop
    those that differ too much (a lower bound of the difference, so no link is
-   lost), and the rest are compared set with set.
+   lost), and the rest are compared set with set: each class's nearest one first,
+   then the nearest of two components, then all whose components are still apart
+   (a pair within a component cannot change it).
 5. *Long runs.*  In a run of more than ``RUN`` groups each one is first paired with
    one group of the run only.  Once links and components are known, what is left,
-   pairs across components, is filtered by bitmaps in blocks of ``BLOCK`` members.
-   Of two components the pair with the nearest bitmaps is verified first; then all
-   pairs whose components are still apart.  No pair is left out for a run's length.
+   pairs across components, is filtered by bitmaps in blocks of ``BLOCK`` members
+   and verified in the same order.  No pair is left out for a run's length.
 6. *Components* give each document the smallest doc_id that links reach.
 
 Defined results: null or empty texts and texts without words have an empty set,
@@ -51,7 +52,7 @@ BLOCK = 2000
 BROADCAST_ROWS = 1_000_000
 BITMAP_BYTES = 64
 #: Remembered word hashes per Python worker.
-MEMO_WORDS = 2_000_000
+MEMO_WORDS = 300_000
 _memo: dict[bytes, int] = {}
 
 
@@ -216,15 +217,15 @@ def as_bits(column: pd.Series) -> np.ndarray:
 
 
 def bitmap_filter(pairs: DataFrame, percent: int) -> DataFrame:
-    """Class pairs whose bitmaps and sizes leave a similarity of ``percent`` possible."""
+    """Class pairs whose bitmaps and sizes leave a similarity of ``percent`` possible; room: by how many bits."""
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             total = (b.size_a + b.size_b).to_numpy()
-            ok = bits_apart(as_bits(b.bits_a), as_bits(b.bits_b)) <= total - 2 * needed(total, percent)
-            yield b.loc[ok, ["a", "b"]]
+            room = total - 2 * needed(total, percent) - bits_apart(as_bits(b.bits_a), as_bits(b.bits_b))
+            yield b.assign(room=room).loc[room >= 0, ["a", "b", "room"]]
 
-    return pairs.mapInPandas(keep, "a binary, b binary")
+    return pairs.mapInPandas(keep, "a binary, b binary, room long")
 
 
 def side(classes: DataFrame, which: str) -> DataFrame:
@@ -233,10 +234,26 @@ def side(classes: DataFrame, which: str) -> DataFrame:
 
 
 def expand(group_pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Group pairs -> distinct class pairs (a < b) that pass the bitmap filter."""
+    """Group pairs -> distinct class pairs (a < b, room) that pass the bitmap filter."""
     p = group_pairs.select(F.col("a").alias("gid_a"), F.col("b").alias("gid_b")).distinct()
     p = p.join(side(classes, "a"), "gid_a").join(side(classes, "b"), "gid_b").where("gid_a <> gid_b OR a < b")
-    return bitmap_filter(p, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return bitmap_filter(p, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "room").distinct()
+
+
+def nearest_each(pairs: DataFrame) -> DataFrame:
+    """Of each class's pairs the one with most room."""
+    both = pairs.select(F.col("a").alias("x"), "a", "b", "room").union(pairs.select(F.col("b"), "a", "b", "room"))
+    return both.groupBy("x").agg(F.max_by(F.struct("a", "b"), F.struct("room", "a", "b")).alias("p")).select("p.*").distinct()
+
+
+def apart(pairs: DataFrame, labels: DataFrame, best: bool) -> DataFrame:
+    """Pairs whose classes are in different components; with ``best`` the one with most room of two components."""
+    side = lambda s: labels.select(F.col("node").alias(s), F.col("label").alias(f"l{s}"))
+    left = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").withColumns({"la": F.coalesce("la", "a"), "lb": F.coalesce("lb", "b")}).where("la <> lb")
+    if best:
+        left = left.groupBy(F.least("la", "lb").alias("x"), F.greatest("la", "lb").alias("y")).agg(
+            F.max_by(F.struct("a", "b"), F.struct("room", "a", "b")).alias("p")).select("p.*")
+    return left.select("a", "b")
 
 
 def verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -334,16 +351,19 @@ def find_links(texts: DataFrame, classes: DataFrame, n: int, percent: int) -> Da
     own_short, own_long = group_runs(classes)
     members = found.where("token IS NOT NULL").select("a", "part", "token", "pos", "length").unionByName(own_long.withColumn("part", F.expr(f"CAST(pmod(token, {ranges}) AS INT)")))
     slim = classes.drop("prefix")
-    pairs = expand(found.where("token IS NULL AND a <> b").select("a", "b").union(own_short), slim, percent)
-    links = verify(pairs, slim, texts, n, percent)
-    for best in () if members.isEmpty() else (True, False):
-        more = left_over(members, slim, connected_components(links), percent, best)
+    candidates = stored(expand(found.where("token IS NULL AND a <> b").select("a", "b").union(own_short), slim, percent), "ngram_candidates")
+    links = verify(nearest_each(candidates), slim, texts, n, percent)
+    for best in (True, False):
+        labels = connected_components(links)
+        more = apart(candidates, labels, best)
+        if not members.isEmpty():
+            more = more.union(left_over(members, slim, labels, percent, best)).distinct()
         links = stored(links.union(verify(more, slim, texts, n, percent)), "ngram_links")
     return links
 
 
 def ngram_jaccard_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id and n_links (found links of the document's set to other sets)."""
+    """doc_id, n_shingles, component_id and the 64-bit hash of the text per document."""
     texts = id_and_text(docs).withColumn("text_key", F.xxhash64("text"))
     texts = texts.withColumn("row_key", F.coalesce("doc_id", F.xxhash64(F.lit(1), "text")))
     signed = stored(signatures(texts, ngram_levels(texts, n), n, percent), "ngram_signed")
@@ -352,8 +372,6 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
     labels = connected_components(links)
     named = classes.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    degree = links.select(F.col("a").alias("cid")).union(links.select("b")).groupBy("cid").agg(F.count("*").alias("n_links"))
-    of_class = named.join(least, "label").join(degree, "cid", "left").select("cid", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    of_class = named.join(least, "label").select("cid", "component_id")
     return signed.join(of_class, "cid", "left").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        "doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "text_key")
