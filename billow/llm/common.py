@@ -31,3 +31,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows that Spark is asked to broadcast at most; beyond, it joins by shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (a stored table), marked for broadcast if it has at most ``rows`` rows."""
+    return F.broadcast(df) if df.count() <= rows else df

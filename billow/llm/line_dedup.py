@@ -26,13 +26,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billow.llm.common import stored
+from billow.llm.common import small, stored
 
 MIN_WORDS = 5
 NEAR_CHARS = 20
 EDITS = 2
-#: Rows that Spark is asked to broadcast at most; beyond, it joins by shuffle.
-BROADCAST_ROWS = 1_000_000
 ENDS = " \t\x0b\x0c\r"
 ENOUGH_WORDS = r"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){%d}[^\x20\x09-\x0D]"
 LAST = (1 << 63) - 1
@@ -78,10 +76,6 @@ def keyed(lines: DataFrame, edits: int, near_chars: int) -> DataFrame:
     return d.select("h1", "len", F.posexplode(F.expr(f"concat({index}, {probe})")).alias("at", "key"))
 
 
-def small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def parity() -> Column:
     """64 parity bits over the pairs of neighbouring characters of ``line``."""
     return F.expr("""aggregate(transform(split(line, ''), (c, i) -> i), 0L,

@@ -69,9 +69,10 @@ def repeated_words(words: str) -> dict[str, Column]:
 def base_statistics(docs: DataFrame) -> DataFrame:
     """doc_id, lang, source, the contract's counts, line count and capitals of every whole text."""
     d = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"))
+    d = d.withColumn("text_key", F.xxhash64("text"))
     d = d.withColumns({"words": F.filter(F.split("text", WS), lambda w: w != ""),
                        "lines": F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0)})
-    d = d.select("doc_id", "lang", "source", "words", F.size("words").cast("long").alias("n_words"),
+    d = d.select("doc_id", "text_key", "lang", "source", "words", F.size("words").cast("long").alias("n_words"),
                  F.length(F.regexp_replace("text", WS, "")).cast("long").alias("word_chars"),
                  F.length(F.regexp_replace("text", f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
                  F.length(F.regexp_replace("text", r"\P{Lu}+", "")).cast("long").alias("n_upper"),
@@ -164,7 +165,8 @@ def start(rows: DataFrame) -> DataFrame:
 
 
 def quality_rules(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """doc_id, the base counts, base_failed, kept, and the squared distance that decided (null: none)."""
+    """doc_id, the base counts, base_failed, kept, the squared distance that decided (null: none), and the
+    64-bit hash of the text."""
     base = stored(features(base_statistics(docs)), "rules_base")
     lang, source = F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit(""))
     name = F.concat_ws("|", F.col("lang").isNull().cast("string"), lang, F.col("source").isNull().cast("string"), source)
@@ -172,7 +174,7 @@ def quality_rules(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     sizes = base.where("NOT base_failed").groupBy("name").agg(F.count("*").alias("members"))
     named = base.join(sizes, "name", "left").withColumn(
         "grp", F.when(F.col("members") >= min_group, F.col("name")).otherwise(F.lit("pool")))
-    rows = stored(named.select("grp", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    rows = stored(named.select("grp", "doc_id", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                "base_failed", *FEATURES), "rules_rows")
     fitted = rows.where("NOT base_failed").select("grp", *FEATURES)
     sums = stored(sums_of(nearest(start(fitted), "d2")), "rules_sums")
@@ -181,4 +183,4 @@ def quality_rules(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     judged = with_distance(rows, sums)
     outlier = F.coalesce((F.col("s") >= H_SHARE * min_group) & (F.col("d2") > CUTOFF), F.lit(False))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                         (~F.col("base_failed") & ~outlier).alias("kept"), F.col("d2").alias("distance"))
+                         (~F.col("base_failed") & ~outlier).alias("kept"), F.col("d2").alias("distance"), "text_key")

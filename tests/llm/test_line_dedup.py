@@ -47,7 +47,9 @@ def run(df, **options):
 
 def changed(rng, line, edits):
     chars = list(line)
-    for _ in range(edits):
+    for _ in range(edits if chars else 0):
+        if not chars:
+            break
         i, kind = rng.randrange(len(chars)), rng.randrange(3)
         if kind == 0:
             chars[i] = rng.choice("xyzé ")
