@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 #: Scores of a merge vocabulary are ranks; this makes them log weights (0: all segmentations alike).
 TEMPERATURE = 0.0005
 #: Characters sampled at a time, so that memory does not follow batch or text size.
-BLOCK_CHARS = 6_000_000
+BLOCK_CHARS = 1_500_000
 SPACE, PLACE = "▁", np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -133,8 +133,8 @@ class Lattice:
         source = node[begin]
         target = source + length
         deep = target - np.repeat(self.start, sizes)[begin]  # distance from the unit's start
-        order = np.lexsort((target, deep))
         a = np.zeros(int(self.end[-1]) + 1 if len(units) else 0)
+        order = np.argsort((deep * len(a) + target) * 64 + length)  # one order, whatever else is in the block
         s, t, w = source[order], target[order], score[order]
         heads = np.flatnonzero(np.r_[True, t[1:] != t[:-1]]) if len(t) else np.empty(0, np.int64)
         levels = np.searchsorted(deep[order][heads], np.arange(1, int(deep.max()) + 2)) if len(t) else []
@@ -142,16 +142,17 @@ class Lattice:
             h0, h1 = levels[i], levels[i + 1]
             e0, e1 = heads[h0], heads[h1] if h1 < len(heads) else len(t)
             a[t[heads[h0:h1]]] = np.logaddexp.reduceat(a[s[e0:e1]] + w[e0:e1], heads[h0:h1] - e0)
-        by = np.argsort(target, kind="stable")
-        self.source, target = source[by], target[by]
-        self.first, self.count = first[by], count[by]
-        p = np.exp(a[self.source] + score[by] - a[target])
+        by = np.argsort(target * 64 + length)
+        self.source, target = source[by].astype(np.int32), target[by].astype(np.int32)
+        self.first, self.count = first[by].astype(np.int32), count[by].astype(np.int32)
+        # whole numbers, so that a draw depends on its own node alone
+        p = np.maximum(1, np.rint(np.exp(a[self.source] + score[by] - a[target]) * (1 << 30))).astype(np.int64)
         total = np.cumsum(p)
         heads = np.flatnonzero(np.r_[True, target[1:] != target[:-1]]) if len(target) else np.empty(0, np.int64)
-        base = np.repeat((total - p)[heads], np.diff(np.r_[heads, len(target)]))
-        self.cum = np.minimum(total - base, 1) + target  # ascending over all nodes
-        self.last = np.zeros(len(a), np.int64)
-        self.last[target] = np.arange(len(target))  # last edge into each node
+        inside = total - np.repeat((total - p)[heads], np.diff(np.r_[heads, len(target)]))
+        self.cum = inside + (target.astype(np.int64) << 32)
+        self.weight = np.zeros(len(a), np.int64)
+        self.weight[target] = inside  # of the last edge into each node: all of them
 
     def sample(self, unit: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all occurrences in order, ids per occurrence), walking all occurrences from end to start."""
@@ -159,11 +160,11 @@ class Lattice:
         taken, steps = [], np.zeros(len(unit), np.int64)
         draw = np.zeros(1, np.uint64)
         while len(at):
-            u = (mix(key[at] + draw) >> np.uint64(11)).astype(float) * 2.0 ** -53
-            edge = np.minimum(np.searchsorted(self.cum, walk + u, "right"), self.last[walk])
+            u = (mix(key[at] + draw) >> np.uint64(34)).astype(np.int64) * self.weight[walk] >> 30
+            edge = np.searchsorted(self.cum, (walk << 32) + u, "right")
             taken.append((at, edge))
             steps[at] += 1
-            walk = self.source[edge]
+            walk = self.source[edge].astype(np.int64)
             go = walk > stop[at]
             at, walk, draw = at[go], walk[go], draw + PLACE
         after = np.cumsum(steps)
