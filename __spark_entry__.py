@@ -264,7 +264,8 @@ def q_row_duplicate_count(spark, d):
 
 def q_duplicate_listing(spark, d):
     groups = dedup.duplicate_groups(_lineitem_with_copies(spark, d), exclude=())
-    return groups.orderBy(F.col("duplicate_count").desc())
+    # most groups have two rows: the row's columns break ties and let the range partitioner split them
+    return groups.orderBy(F.col("duplicate_count").desc(), *[c for c in groups.columns if c != "duplicate_count"])
 
 
 def q_cost_duplicate_groups(spark, d):
@@ -546,9 +547,9 @@ CTES = {
                   f"(PARTITION BY subscription_id, month ORDER BY {_LINE_ORDER_DESC}, copy_no DESC) = 1"),
     "cost_silver": "SELECT DISTINCT * FROM cost_kept WHERE subscription_id IS NOT NULL",
     "sales_m": ("SELECT subscription_id, strftime(start, '%Y-%m') AS month, "
-                "SUM(CAST(calculated_cost AS DECIMAL(18,6))) AS s FROM inv GROUP BY ALL"),
+                "SUM(CAST(calculated_cost AS DECIMAL(38,9))) AS s FROM inv GROUP BY ALL"),
     "costs_m": ("SELECT subscription_id, strftime(month, '%Y-%m') AS month, "
-                "SUM(CAST(Cost AS DECIMAL(18,6))) AS c FROM cost_last GROUP BY ALL"),
+                "SUM(CAST(Cost AS DECIMAL(38,9))) AS c FROM cost_last GROUP BY ALL"),
     "fct": ("SELECT s.subscription_id, s.month, CAST(s.s AS DOUBLE) AS sales_amount, "
             "COALESCE(CAST(c.c AS DOUBLE), 0.0) AS cost_amount, "
             "CAST(s.s AS DOUBLE) - COALESCE(CAST(c.c AS DOUBLE), 0.0) AS profit "
@@ -556,13 +557,13 @@ CTES = {
             "AND s.month IS NOT DISTINCT FROM c.month"),
     "li_dup": f"SELECT {_LI_COLS} FROM lineitem UNION ALL SELECT {_LI_COLS} FROM lineitem WHERE l_linenumber = 1",
     "p_sales_m": ("SELECT subscription_id, strftime(start, '%Y-%m') AS month, "
-                  "SUM(CAST(calculated_cost AS DECIMAL(18,6))) AS s FROM inv_silver GROUP BY ALL"),
+                  "SUM(CAST(calculated_cost AS DECIMAL(38,9))) AS s FROM inv_silver GROUP BY ALL"),
     "p_costs_m": ("SELECT subscription_id, strftime(month, '%Y-%m') AS month, "
-                  "SUM(CAST(Cost AS DECIMAL(18,6))) AS c FROM cost_silver GROUP BY ALL"),
+                  "SUM(CAST(Cost AS DECIMAL(38,9))) AS c FROM cost_silver GROUP BY ALL"),
     "inv_nr": ("SELECT l_orderkey AS subscription_id, l_extendedprice AS calculated_cost, l_shipdate AS start "
                "FROM lineitem WHERE l_returnflag <> 'R'"),
     "nr_sales_m": ("SELECT subscription_id, strftime(start, '%Y-%m') AS month, "
-                   "SUM(CAST(calculated_cost AS DECIMAL(18,6))) AS s FROM inv_nr GROUP BY ALL"),
+                   "SUM(CAST(calculated_cost AS DECIMAL(38,9))) AS s FROM inv_nr GROUP BY ALL"),
     "nr_fct": ("SELECT s.subscription_id, s.month, COALESCE(c.c, 0) AS c FROM nr_sales_m s LEFT JOIN costs_m c "
                "ON s.subscription_id = c.subscription_id AND s.month IS NOT DISTINCT FROM c.month"),
     "nr_orphan": ("SELECT c.subscription_id, c.month, c.c FROM costs_m c WHERE NOT EXISTS (SELECT 1 FROM "
@@ -691,11 +692,11 @@ ORACLE = {
                                    "GROUP BY subscription_id, month, Cost HAVING COUNT(*) > 1", "cost_raw"),
     "sales_by_month": _with(
         "SELECT subscription_id, strftime(start, '%Y-%m') AS month, "
-        "COALESCE(CAST(SUM(CAST(calculated_cost AS DECIMAL(18,6))) AS DOUBLE), 0.0) AS sales_amount "
+        "COALESCE(CAST(SUM(CAST(calculated_cost AS DECIMAL(38,9))) AS DOUBLE), 0.0) AS sales_amount "
         "FROM inv_nm GROUP BY ALL", "inv_nm"),
     "cost_by_month": _with(
         "SELECT subscription_id, strftime(month, '%Y-%m') AS month, "
-        "COALESCE(CAST(SUM(CAST(Cost AS DECIMAL(18,6))) AS DOUBLE), 0.0) AS cost_amount "
+        "COALESCE(CAST(SUM(CAST(Cost AS DECIMAL(38,9))) AS DOUBLE), 0.0) AS cost_amount "
         "FROM cost_silver GROUP BY ALL", "cost_silver"),
     "fct_sales": _with("SELECT * FROM inv_silver", "inv_silver"),
     "fct_profitability": _with("SELECT * FROM fct", "fct"),
@@ -715,10 +716,10 @@ ORACLE = {
         "FROM (SELECT subscription_id, COUNT(*) AS n, bool_or(is_churned) AS churned FROM churn "
         "GROUP BY subscription_id)", "churn"),
     "monthly_profit": _with(
-        "SELECT subscription_id, month, CAST(ROUND(SUM(CAST(profit AS DECIMAL(18,6))), 2) AS DOUBLE) "
+        "SELECT subscription_id, month, CAST(ROUND(SUM(CAST(profit AS DECIMAL(38,9))), 2) AS DOUBLE) "
         "AS total_profit FROM fct GROUP BY subscription_id, month", "fct"),
     "top_customers": _with(
-        "SELECT c.customer_id, CAST(ROUND(SUM(CAST(f.sales_amount AS DECIMAL(18,6))), 2) AS DOUBLE) AS total_sales "
+        "SELECT c.customer_id, CAST(ROUND(SUM(CAST(f.sales_amount AS DECIMAL(38,9))), 2) AS DOUBLE) AS total_sales "
         "FROM fct f JOIN dim_sub d ON f.subscription_id = d.subscription_id "
         "JOIN dim_cust c ON d.Customer = c.customer_id GROUP BY c.customer_id "
         "ORDER BY total_sales DESC, c.customer_id LIMIT 5", "fct", "dim_sub", "dim_cust"),
@@ -757,10 +758,10 @@ ORACLE = {
         "CAST(COALESCE(a.t, 0) AS DOUBLE) AS silver_cost, CAST(COALESCE(b.t, 0) AS DOUBLE) AS gold_cost, "
         "CAST(COALESCE(o.t, 0) AS DOUBLE) AS orphan_cost, "
         "CAST(COALESCE(a.t, 0) - COALESCE(b.t, 0) - COALESCE(o.t, 0) AS DOUBLE) AS difference "
-        "FROM (SELECT subscription_id, SUM(CAST(Cost AS DECIMAL(18,6))) AS t FROM cost_last GROUP BY ALL) a "
-        "FULL JOIN (SELECT subscription_id, SUM(CAST(CAST(c AS DOUBLE) AS DECIMAL(18,6))) AS t FROM nr_fct "
+        "FROM (SELECT subscription_id, SUM(CAST(Cost AS DECIMAL(38,9))) AS t FROM cost_last GROUP BY ALL) a "
+        "FULL JOIN (SELECT subscription_id, SUM(CAST(CAST(c AS DOUBLE) AS DECIMAL(38,9))) AS t FROM nr_fct "
         "GROUP BY ALL) b ON a.subscription_id = b.subscription_id "
-        "FULL JOIN (SELECT subscription_id, SUM(CAST(CAST(c AS DOUBLE) AS DECIMAL(18,6))) AS t FROM nr_orphan "
+        "FULL JOIN (SELECT subscription_id, SUM(CAST(CAST(c AS DOUBLE) AS DECIMAL(38,9))) AS t FROM nr_orphan "
         "GROUP BY ALL) o ON COALESCE(a.subscription_id, b.subscription_id) = o.subscription_id",
         "cost_last", "nr_fct", "nr_orphan"),
     "sale_type_domain": _with("SELECT DISTINCT sale_type FROM dim_sub", "dim_sub"),
@@ -776,8 +777,8 @@ ORACLE = {
         "SELECT COALESCE(r.subscription_id, g.subscription_id) AS subscription_id, "
         "CAST(COALESCE(r.t, 0) AS DOUBLE) AS raw_sales, CAST(COALESCE(g.t, 0) AS DOUBLE) AS gold_sales, "
         "CAST(COALESCE(r.t, 0) - COALESCE(g.t, 0) AS DOUBLE) AS difference "
-        "FROM (SELECT subscription_id, SUM(CAST(calculated_cost AS DECIMAL(18,6))) AS t FROM inv GROUP BY ALL) r "
-        "FULL JOIN (SELECT subscription_id, SUM(CAST(sales_amount AS DECIMAL(18,6))) AS t FROM fct GROUP BY ALL) g "
+        "FROM (SELECT subscription_id, SUM(CAST(calculated_cost AS DECIMAL(38,9))) AS t FROM inv GROUP BY ALL) r "
+        "FULL JOIN (SELECT subscription_id, SUM(CAST(sales_amount AS DECIMAL(38,9))) AS t FROM fct GROUP BY ALL) g "
         "ON r.subscription_id = g.subscription_id", "inv", "fct"),
 }
 

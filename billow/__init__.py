@@ -11,7 +11,6 @@ Layout
 ``operators``  DataFrame -> DataFrame building blocks (dedup, nulls, joins, aggs)
 ``sources``    CSV / Parquet / catalog readers and writers, layer paths, test roles
 ``plans``      composed stages: clean, enrich, marts, quality, analytics, pipeline
-``streaming``  (the reference has no streaming; see its docstring)
 """
 
 from billow.session import build_session, scratch_path

@@ -53,7 +53,22 @@ def lenient_date(c: Column | str) -> Column:
     instant_day = F.date_from_unix_date(
         F.floor(F.unix_seconds(F.try_to_timestamp(text)) / SECONDS_PER_DAY).cast("int"))
     wall_clock_day = F.to_date(text.try_cast("timestamp_ntz"))
-    return F.when(has_zone(text), instant_day).otherwise(wall_clock_day)
+    slashed = F.coalesce(F.try_to_date(text, "yyyy/M/d"), F.try_to_date(text, "M/d/yyyy"))
+    # a zone by name (Area/City) is an instant as well
+    named_zone = (F.instr(text, ":") > 0) & (F.instr(text, "/") > 0)
+    return (F.when(has_zone(text) | named_zone, instant_day)
+             .when(F.instr(text, "/") > 0, slashed)
+             .otherwise(F.coalesce(wall_clock_day, other_shapes(text))))
+
+
+def other_shapes(text: Column) -> Column:
+    """Day-first text with ``-``, ``.`` or spaces, month names, two-digit years with a month name, and
+    compact ``yyyyMMdd`` -> date; anything else -> null."""
+    parts = F.regexp_replace(F.trim(text), "[-. ]+", "/")
+    return (F.when(parts.rlike(r"^\d{8}$"), F.try_to_date(parts, "yyyyMMdd"))
+             .when(parts.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(parts, DAYFIRST_FORMAT))
+             .when(parts.rlike(r"^\d{1,2}/[A-Za-z]{3}/\d{4}$"), F.try_to_date(F.initcap(F.translate(parts, "/", " ")), "d MMM yyyy"))
+             .when(parts.rlike(r"^\d{1,2}/[A-Za-z]{3}/\d{2}$"), F.try_to_date(F.initcap(F.translate(parts, "/", " ")), "d MMM yy")))
 
 
 def dayfirst_date(c: Column | str, date_order: str = "ymd") -> Column:
@@ -70,7 +85,8 @@ def dayfirst_date(c: Column | str, date_order: str = "ymd") -> Column:
     """
     text = _col(c).cast("string")
     iso = YDM_DATE_FORMAT if date_order == "ydm" else ISO_DATE_FORMAT
-    return (F.when(F.instr(text, "/") > 0, F.try_to_date(text, DAYFIRST_FORMAT))
+    return (F.when((F.instr(text, "/") > 0) & (F.instr(text, ":") == 0),
+                   F.when(F.substring(text, 5, 1) == "/", F.try_to_date(text, "yyyy/M/d")).otherwise(F.try_to_date(text, DAYFIRST_FORMAT)))
              .when(F.substring(text, 5, 1) == "-", F.coalesce(F.try_to_date(text, iso), lenient_date(text)))
              .otherwise(lenient_date(text)))
 

@@ -19,7 +19,7 @@ def _col(c: Column | str) -> Column:
 
 
 def money(c: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """Amount as a long-backed decimal (precision 18)."""
+    """Amount as an exact decimal: units of 1e-9, totals up to 1e29 (parameters in ``spec``)."""
     return _col(c).cast(DecimalType(MONEY_PRECISION, scale))
 
 
@@ -31,4 +31,4 @@ def money_sum(c: Column | str, scale: int = MONEY_SCALE, empty_as_zero: bool = T
 
 def round_money(c: Column | str, digits: int = 2, scale: int = MONEY_SCALE) -> Column:
     """Round half-up on the decimal value, so binary noise never decides a tie."""
-    return F.round(_col(c).cast(DecimalType(MONEY_PRECISION + 10, scale)), digits).cast("double")
+    return F.round(_col(c).cast(DecimalType(MONEY_PRECISION, scale)), digits).cast("double")

@@ -147,8 +147,8 @@ def reconcile_sales(invoicing: DataFrame, fct: DataFrame, cols: BillingColumns =
     raw = invoicing.groupBy(sub).agg(F.sum(money(cols.invoice_amount)).alias("__raw"))
     gold = fct.groupBy(sub).agg(F.sum(money("sales_amount")).alias("__gold"))
     both = raw.join(gold, [sub], "full")
-    r = F.coalesce(F.col("__raw"), F.lit(0).cast("decimal(18,6)"))
-    g = F.coalesce(F.col("__gold"), F.lit(0).cast("decimal(18,6)"))
+    r = F.coalesce(F.col("__raw"), F.lit(0).cast("decimal(38,9)"))
+    g = F.coalesce(F.col("__gold"), F.lit(0).cast("decimal(38,9)"))
     return both.select(F.col(sub), r.cast("double").alias("raw_sales"),
                        g.cast("double").alias("gold_sales"), (r - g).cast("double").alias("difference"))
 

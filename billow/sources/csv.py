@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -109,11 +109,28 @@ ORDINAL_TYPE = StructType([StructField("file", StringType()),
                            StructField("row", LongType())])
 
 
+# RFC 4180 quoting: a quote inside a quoted field is doubled.
+DIALECT = {"quote": '"', "escape": '"'}
+
+
+def natural_order(path: Column) -> Column:
+    """Path text in which every number has 20 digits at least, so that text order is number order
+    (``part-99999`` before ``part-100000``)."""
+    padded = F.regexp_replace(path, r"(\d+)", "0" * 20 + "$1")
+    return F.regexp_replace(padded, r"(?<!\d)0*?(\d{20})(?!\d)", "$1")
+
+
+def has_quoted_breaks(spark: SparkSession, path: str | Sequence[str]) -> bool:
+    """Whether a line of the files holds an odd number of quotes: a quoted field goes on after it."""
+    odd = F.length(F.regexp_replace("value", '[^"]+', "")) % 2 == 1
+    return not spark.read.text(path if isinstance(path, str) else list(path)).where(odd).isEmpty()
+
+
 def _with_ordinal(df: DataFrame) -> DataFrame:
     return df.select(
         "*",
         F.struct(
-            F.col("_metadata.file_path").alias("file"),
+            natural_order(F.col("_metadata.file_path")).alias("file"),
             F.col("_metadata.file_block_start").alias("offset"),
             F.monotonically_increasing_id().alias("row"),
         ).alias(ORDINAL),
@@ -122,10 +139,17 @@ def _with_ordinal(df: DataFrame) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None,
              null_tokens: Sequence[str] = NULL_TOKENS, with_ordinal: bool = True,
-             multiline: bool = False) -> DataFrame:
-    """Header CSV -> typed DataFrame with null tokens and an optional row ordinal."""
-    raw = (spark.read.option("header", True).option("inferSchema", False)
-           .option("multiLine", multiline).option("mode", "PERMISSIVE")
+             multiline: bool | None = None) -> DataFrame:
+    """Header CSV -> typed DataFrame with null tokens and an optional row ordinal.
+
+    Files whose headers differ are an error (``enforceSchema`` off), never read by
+    position.  ``multiline=None`` looks for quoted line breaks first and keeps files
+    without any splittable.
+    """
+    if multiline is None:
+        multiline = has_quoted_breaks(spark, path)
+    raw = (spark.read.options(**DIALECT).option("header", True).option("inferSchema", False)
+           .option("multiLine", multiline).option("mode", "PERMISSIVE").option("enforceSchema", False)
            .csv(path if isinstance(path, str) else list(path)))
     if with_ordinal:
         raw = _with_ordinal(raw)
@@ -145,13 +169,13 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
 
 def read_csv_inferred(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> DataFrame:
     """Header CSV with Spark's type inference (an extra pass over the sample)."""
-    return (spark.read.option("header", True).option("inferSchema", True)
+    return (spark.read.options(**DIALECT).option("header", True).option("inferSchema", True)
             .option("samplingRatio", sampling_ratio).csv(path))
 
 
 def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
     """Header CSV with every column as text."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return spark.read.options(**DIALECT).option("header", True).option("inferSchema", False).csv(path)
 
 
 def read_optional(spark: SparkSession, path: str, schema: StructType, reader=None) -> DataFrame:
@@ -165,6 +189,7 @@ def read_optional(spark: SparkSession, path: str, schema: StructType, reader=Non
 
 
 def write_csv(df: DataFrame, path: str, drop: Sequence[str] = (ORDINAL,)) -> None:
-    """Overwrite ``path`` with header CSV (no index column)."""
+    """Overwrite ``path`` with header CSV (no index column); values keep their white space."""
     keep = [f"`{c}`" for c in df.columns if c not in set(drop)]
-    df.select(*keep).write.mode("overwrite").option("header", True).csv(path)
+    (df.select(*keep).write.mode("overwrite").options(**DIALECT).option("header", True)
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))

@@ -53,8 +53,8 @@ NULL_TOKENS = (
 
 # Money is summed as an exact decimal of this scale and returned as double,
 # so sums do not depend on partitioning or row order.
-MONEY_PRECISION = 18
-MONEY_SCALE = 6
+MONEY_PRECISION = 38
+MONEY_SCALE = 9
 
 # Name of the per-row ordinal column carried from the CSV scan (see sources.csv).
 ORDINAL = "_row_order"
