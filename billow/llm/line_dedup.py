@@ -70,16 +70,17 @@ def keys(edits: int) -> tuple[str, str]:
 
 
 def keyed(lines: DataFrame, edits: int, near_chars: int) -> DataFrame:
-    """(h1, len, at, key): the first edits + 1 keys of a line are its index, the others its probes."""
+    """(key, own, h1, len): the first edits + 1 keys of a line are its own segments, the others its probes."""
     index, probe = keys(edits)
     d = lines.select("line", "h1", F.length("line").alias("len")).where(F.col("len") >= max(near_chars, 2 * edits + 2))
-    return d.select("h1", "len", F.posexplode(F.expr(f"concat({index}, {probe})")).alias("at", "key"))
+    d = d.select("h1", "len", F.posexplode(F.expr(f"concat({index}, {probe})")).alias("at", "key"))
+    return d.select("key", (F.col("at") <= edits).alias("own"), "h1", "len")
 
 
 def parity() -> Column:
-    """64 parity bits over the pairs of neighbouring characters of ``line``."""
-    return F.expr("""aggregate(transform(split(line, ''), (c, i) -> i), 0L,
-        (a, i) -> a ^ shiftleft(1L, CAST(pmod(hash(substring(line, i + 1, 2)), 64) AS INT)))""")
+    """64 parity bits over the pairs of neighbouring characters of ``chars``."""
+    return F.expr("""aggregate(transform(sequence(0, size(chars) - 2), i -> CAST(pmod(hash(chars[i], chars[i + 1]), 64) AS INT)), 0L,
+        (a, bit) -> a ^ shiftleft(1L, bit))""")
 
 
 def within_edits(edits: int) -> Column:
@@ -104,17 +105,13 @@ def within_edits(edits: int) -> Column:
 
 def near_links(lines: DataFrame, edits: int = EDITS, near_chars: int = NEAR_CHARS) -> DataFrame:
     """(a1, a2, b1, b2): hashes of two different texts within ``edits`` edits, each pair once."""
-    index_keys = edits + 1
-    shared = keyed(lines, edits, near_chars).groupBy("key").agg(
-        F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.min("at").alias("first"), F.max("at").alias("last")) \
-        .where(f"lo <> hi AND first < {index_keys} AND last >= {index_keys}").select("key")
-    shared = stored(shared, "line_keys")
-    rows = keyed(lines, edits, near_chars).join(small(shared), "key", "left_semi") \
-        .select("key", (F.col("at") < index_keys).alias("own"), "h1", "len").distinct()
-    rows = stored(rows, "line_rows")
+    every = stored(keyed(lines, edits, near_chars), "line_keys")
+    shared = stored(every.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.max("own").alias("own"), F.min("own").alias("all_own"))
+                    .where("lo <> hi AND own AND NOT all_own").select("key"), "line_shared")
+    rows = stored(every.join(small(shared), "key", "left_semi").distinct(), "line_rows")
     asked = stored(rows.select("h1").distinct(), "line_asked")
     texts = lines.join(small(asked), "h1", "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"))
-    texts = stored(texts.withColumn("bits", parity()), "line_texts")
+    texts = stored(texts.withColumn("chars", F.split("line", "")).withColumn("bits", parity()).drop("chars"), "line_texts")
     rows = rows.join(texts.select("h1", "h2", "bits"), "h1")
     a = rows.where("own").select("key", F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("len").alias("la"), F.col("bits").alias("bits_a"))
     b = rows.where("NOT own").select("key", F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("len").alias("lb"), F.col("bits").alias("bits_b"))
@@ -128,6 +125,7 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, min_words: int = MIN_WORD
     """doc, removed (line numbers, in order) and near (how many of them for a line that differs) of documents that lose lines."""
     lines = lines_of(docs, min_words)
     links = near_links(lines, edits, near_chars)
+    lines = stored(lines.drop("line"), "line_places")
     firsts = stored(lines.groupBy("h1", "h2").agg(F.min(place()).alias("first"), F.count("*").alias("times")), "line_firsts")
     pick = lambda s: firsts.select(F.col("h1").alias(f"{s}1"), F.col("h2").alias(f"{s}2"), F.col("first").alias(f"first_{s}"))
     both = links.join(pick("a"), ["a1", "a2"]).join(pick("b"), ["b1", "b2"])
