@@ -372,16 +372,13 @@ def q_sale_type_domain(spark, d):
 
 
 def _gold_run(spark, d):
-    """Gold database of one pipeline run over the role tables, once per session and folder."""
-    runs = spark.__dict__.setdefault("_billow_gold_runs", {})
-    if d not in runs:
-        root = scratch_path(spark, "gold_run")
-        run = layers.Layers(root)
-        _write_roles_as_raw(spark, d, run.raw)
-        db = "gold_" + root.rstrip("/").split("/")[-2][:12]
-        run_pipeline(spark, run, RAW_SCHEMAS, database=db)
-        runs[d] = db
-    return runs[d]
+    """Gold database of one pipeline run over the role tables."""
+    root = scratch_path(spark, "gold_run")
+    run = layers.Layers(root)
+    _write_roles_as_raw(spark, d, run.raw)
+    db = "gold_" + root.rstrip("/").split("/")[-2][:12]
+    run_pipeline(spark, run, RAW_SCHEMAS, database=db)
+    return db
 
 
 def q_gold_sql_monthly_profit(spark, d):

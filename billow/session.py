@@ -48,16 +48,18 @@ def build_session(master: str | None = None, app_name: str = "billow",
 MB = 1 << 20
 
 
-def scale_settings(input_bytes: int, cores: int) -> dict[str, str]:
+def scale_settings(input_bytes: int, cores: int, max_width: int | None = None) -> dict[str, str]:
     """Shuffle and scan sizing for a run over ``input_bytes`` on ``cores`` task slots.
 
     Scan splits of 256 MB; an initial shuffle width of about one partition per
-    256 MB of input (at least 2 waves of the cluster, at most 64k) that AQE then
-    coalesces towards 128 MB per partition.  Partial aggregation shrinks most
+    256 MB of input (at least 2 waves of the cluster; no upper bound unless
+    ``max_width`` gives one) that AQE then coalesces towards 128 MB per partition.  Partial aggregation shrinks most
     shuffles far below the input size, which the coalescing absorbs; skewed
     join partitions are split by AQE.
     """
-    width = max(2 * cores, min(65536, input_bytes // (256 * MB) + 1))
+    width = max(2 * cores, input_bytes // (256 * MB) + 1)
+    if max_width:
+        width = min(width, max_width)
     return {
         "spark.sql.files.maxPartitionBytes": str(256 * MB),
         "spark.sql.shuffle.partitions": str(width),
@@ -102,6 +104,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return found
     warehouse = spark.conf.get("spark.sql.warehouse.dir")
     chosen = warehouse.rstrip("/") + "/_billow_checkpoints"
+    try:
+        master = spark.sparkContext.master
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's folders are not known here
+        master = "local"
+    if not master.startswith("local") and (chosen.startswith("file:") or "://" not in chosen):
+        raise RuntimeError(f"{chosen} is a folder of this machine: set spark.checkpoint.dir to a shared one")
     try:
         spark.sparkContext.setCheckpointDir(chosen)
     except Exception:  # noqa: BLE001 - Spark Connect: scratch tables only need the path

@@ -5,7 +5,8 @@ def test_scale_settings_bounds():
     small = scale_settings(10 ** 9, 8)
     big = scale_settings(100 * 10 ** 12, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 16          # two waves of 8 slots
-    assert int(big["spark.sql.shuffle.partitions"]) == 65536         # capped
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 10 ** 12 // (256 << 20) + 1  # follows the input
+    assert int(scale_settings(100 * 10 ** 12, 8000, 65536)["spark.sql.shuffle.partitions"]) == 65536
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
 
 
