@@ -30,7 +30,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     and a lost executor loses nothing."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more: whatever was made from them is stored itself."""
+    for df in tables:
+        jvm, jsc = df.sparkSession._jvm, df.sparkSession.sparkContext._jsc
+        path = jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: Rows that Spark is asked to broadcast at most; beyond, it joins by shuffle.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billow.llm.common import stored
+from billow.llm.common import discard, stored
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -15,7 +15,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     that label (pointer jumping), so that chains of links shorten fast; the rounds end when no label
     changes.  Labels are aggregated before they are shuffled, so a node with very many links is no hot key."""
     both = stored(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "cc_links")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+    table = labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
                     .select("node", F.least("node", "m").alias("label")), "cc_labels")
     while True:
         near = (both.join(labels.select(F.col("node").alias("b"), "label"), "b")
@@ -24,6 +24,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
         after = stored(step.join(jump, "label", "left").select(
             "node", "old", F.least("label", F.coalesce("next", "label")).alias("label")), "cc_labels")
-        labels = after.drop("old")
+        discard(table)
+        table, labels = after, after.drop("old")
         if after.where("old <> label").isEmpty():
+            discard(both)
             return labels

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billow.llm.common import small, stored
+from billow.llm.common import discard, small, stored
 
 MIN_WORDS = 5
 NEAR_CHARS = 20
@@ -109,6 +109,7 @@ def near_links(lines: DataFrame, edits: int = EDITS, near_chars: int = NEAR_CHAR
     shared = stored(every.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.max("own").alias("own"), F.min("own").alias("all_own"))
                     .where("lo <> hi AND own AND NOT all_own").select("key"), "line_shared")
     rows = stored(every.join(small(shared), "key", "left_semi").distinct(), "line_rows")
+    discard(every, shared)
     asked = stored(rows.select("h1").distinct(), "line_asked")
     texts = lines.join(small(asked), "h1", "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"))
     texts = stored(texts.withColumn("chars", F.split("line", "")).withColumn("bits", parity()).drop("chars"), "line_texts")
@@ -118,7 +119,9 @@ def near_links(lines: DataFrame, edits: int = EDITS, near_chars: int = NEAR_CHAR
     test = F.expr(f"lb - la BETWEEN 0 AND {edits} AND (lb > la OR b1 > a1 OR (b1 = a1 AND b2 > a2)) AND bit_count(bits_a ^ bits_b) <= {4 * edits}")
     pairs = stored(a.join(b, (a.key == b.key) & test).select("a1", "a2", "b1", "b2").distinct(), "line_pairs")
     of = lambda s: texts.select(F.col("h1").alias(f"{s}1"), F.col("h2").alias(f"{s}2"), F.split("line", "").alias(f"c{s}"))
-    return stored(pairs.join(of("a"), ["a1", "a2"]).join(of("b"), ["b1", "b2"]).where(within_edits(edits)).select("a1", "a2", "b1", "b2"), "line_links")
+    links = stored(pairs.join(of("a"), ["a1", "a2"]).join(of("b"), ["b1", "b2"]).where(within_edits(edits)).select("a1", "a2", "b1", "b2"), "line_links")
+    discard(pairs, texts, asked)
+    return links
 
 
 def removed_lines(docs: DataFrame, edits: int = EDITS, min_words: int = MIN_WORDS, near_chars: int = NEAR_CHARS) -> DataFrame:

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billow.llm.common import id_and_text, stored
+from billow.llm.common import discard, id_and_text, stored
 from billow.llm.components import connected_components
 
 COUNTERS = 1 << 20
@@ -260,7 +260,7 @@ def verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, perce
     """The class pairs that are links, by comparing their sets (of one document of each class)."""
     pairs = stored(pairs, "ngram_pairs")
     ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    wanted = stored(classes.join(ids, "cid").select("cid", "row.*"), "ngram_wanted")
+    wanted = told = stored(classes.join(ids, "cid").select("cid", "row.*"), "ngram_wanted")
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
 
@@ -282,7 +282,9 @@ def verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, perce
 
     both = pairs.join(found.select(F.col("cid").alias("a"), F.col("s").alias("s_a")), "a") \
         .join(found.select(F.col("cid").alias("b"), F.col("s").alias("s_b")), "b")
-    return stored(both.mapInPandas(similar, "a binary, b binary"), "ngram_links")
+    links = stored(both.mapInPandas(similar, "a binary, b binary"), "ngram_links")
+    discard(pairs, told, found)
+    return links
 
 
 def left_over(members: DataFrame, classes: DataFrame, labels: DataFrame, percent: int, best: bool) -> DataFrame:
@@ -359,6 +361,7 @@ def find_links(texts: DataFrame, classes: DataFrame, n: int, percent: int) -> Da
         if not members.isEmpty():
             more = more.union(left_over(members, slim, labels, percent, best)).distinct()
         links = stored(links.union(verify(more, slim, texts, n, percent)), "ngram_links")
+    discard(found, candidates)
     return links
 
 
