@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from billow.llm import hash_index, line_crf, line_dedup, ngram_join, piece_sampling, pitman_yor, quality_rules, sanitise, source_mixing, token_counts
 from billow.llm.common import table
+from billow.llm.oracles import ORACLE  # noqa: F401 - read by the entry file
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +17,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+    judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op1_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +48,8 @@ def op4_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"), n=4, percent=85)
+    joined = ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"), n=4, percent=85)
+    return joined.select("doc_id", "n_shingles", "component_id")
 
 
 def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,4 +66,3 @@ def op10_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_piece_sampling, op2_source_mixing, op3_line_dedup, op4_line_crf, op5_quality_rules,
                                     op6_token_counts, op7_ngram_jaccard_join, op8_pitman_yor, op9_sanitise, op10_hash_index)}
-ORACLE: dict[str, str] = {}
