@@ -86,7 +86,7 @@ def dayfirst_date(c: Column | str, date_order: str = "ymd") -> Column:
     text = _col(c).cast("string")
     iso = YDM_DATE_FORMAT if date_order == "ydm" else ISO_DATE_FORMAT
     return (F.when((F.instr(text, "/") > 0) & (F.instr(text, ":") == 0),
-                   F.when(F.substring(text, 5, 1) == "/", F.try_to_date(text, "yyyy/M/d")).otherwise(F.try_to_date(text, DAYFIRST_FORMAT)))
+                   F.when(F.instr(text, "/") == 5, F.try_to_date(text, "yyyy/M/d")).otherwise(F.try_to_date(text, DAYFIRST_FORMAT)))
              .when(F.substring(text, 5, 1) == "-", F.coalesce(F.try_to_date(text, iso), lenient_date(text)))
              .otherwise(lenient_date(text)))
 
