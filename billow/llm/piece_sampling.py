@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 #: Scores of a merge vocabulary are ranks; this makes them log weights (0: all segmentations alike).
 TEMPERATURE = 0.0005
 #: Characters sampled at a time, so that memory does not follow batch or text size.
-BLOCK_CHARS = 1_500_000
+BLOCK_CHARS = 400_000
 SPACE, PLACE = "▁", np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -64,7 +64,10 @@ class Vocabulary:
         for i in ids:
             for n in range(1, len(self.pieces[i])):
                 self.begins[self.hash_of(self.pieces[i][:n]) >> 42] = True
-        self.raw = [bytes([int(p[1:-1], 16)]) if sp.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
+        raw = [bytes([int(p[1:-1], 16)]) if sp.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
+        self.table = np.frombuffer(b"".join(raw), np.uint8)
+        self.sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        self.begin = np.cumsum(self.sizes) - self.sizes
 
     @staticmethod
     def hash_of(piece: str) -> int:
@@ -227,7 +230,13 @@ def encode(df: DataFrame, model_path: str, key: Column, text_col: str = "text",
 
 
 def decode_ids(v: Vocabulary, ids) -> str:
-    return b"".join(map(v.raw.__getitem__, ids)).decode("utf-8")[1:]
+    ids, parts = np.asarray(ids, np.int64), []
+    for i in range(0, len(ids), BLOCK_CHARS):
+        some = ids[i:i + BLOCK_CHARS]
+        n = v.sizes[some]
+        made = np.cumsum(n)
+        parts.append(v.table[np.repeat(v.begin[some] - (made - n), n) + np.arange(made[-1])].tobytes())
+    return b"".join(parts).decode("utf-8")[1:]
 
 
 def decode(df: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
