@@ -15,6 +15,8 @@ from billow.llm.common import small, stored, table
 
 #: A document that keeps less of its characters than this after line dedup goes whole.
 KEEP_SHARE = 0.2
+#: Near duplicates share this percentage of their word n-grams of this length.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 #: Target token shares of (quality, toxic); rates stay at 1 or below, so documents of a wanted domain stay whole.
 MIXTURE = {(1, 0): 1.0}
 PIECES = "piece_bpe_32k.model"
@@ -41,7 +43,7 @@ def lines(spark, docs, sf_dir):
 
 def near_duplicates(spark, docs, sf_dir):
     """One document of each component stays: the one with the smallest id (rows without id: where no id is known)."""
-    joined = ngram_join.ngram_jaccard_join(docs)
+    joined = ngram_join.ngram_jaccard_join(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
     return without(docs, joined.where("NOT (doc_id <=> component_id)"))
 
 

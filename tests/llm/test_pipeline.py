@@ -6,6 +6,7 @@ import pytest
 import corpus_pipeline as c
 from tests.llm.test_line_dedup import brute as brute_lines
 from tests.llm.test_ngram_join import brute as brute_join
+from tests.llm.test_ngram_join import shingles
 from tests.llm.test_quality_rules import brute_base
 
 
@@ -79,3 +80,24 @@ def test_registered():
 
     assert "pipeline" in e.queries() and {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in e.queries() if q.startswith("op")}
     assert json.dumps(sorted(e.oracle_sql())) and c.run
+
+
+def test_near_duplicates_share_four_fifths_of_five_word_runs(spark, tmp_path):
+    """Texts of 50 words with one or two words changed: 0.80 of the 5-word runs but 0.84 of the 4-word runs for one."""
+    rng, rows = random.Random(8), []
+    for i in range(0, 60, 3):
+        words = [f"w{i}x{k}" for k in range(rng.randrange(44, 58))]
+        one, two = list(words), list(words)
+        one[20] = two[12] = two[30] = "changed"
+        rows += [(i, " ".join(words)), (i + 1, " ".join(one)), (i + 2, " ".join(two))]
+    sets = {d: shingles(t, 5) for d, t in rows}
+    close = lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    # families share no words, so a document goes where a chain of links within its three reaches a smaller id
+    want = set()
+    for i in range(0, 60, 3):
+        ab, ac, bc = close(i, i + 1), close(i, i + 2), close(i + 1, i + 2)
+        want |= {i} | ({i + 1} if not (ab or ac and bc) else set()) | ({i + 2} if not (ac or bc) else set())
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id for r in c.near_duplicates(spark, docs, str(tmp_path)).collect()}
+    assert got == want and 60 > len(got) > 20
+    assert want != {d for d, _, least in brute_join(rows) if d == least}
