@@ -13,8 +13,10 @@ matrix of the posteriors.  Documents are variables in the metric of their tokens
 so a step moves r by the posterior times the weighted residuals.  Each step is one distributed sum of as many numbers as there are
 domains; a document's rate follows from its posterior and the steps so far, so
 steps are replayed where they are needed and no state is kept.  Documents are
-grouped by posterior, rounded to ``GRID`` parts, before the descent: its table is
-bounded by the number of grid points, whatever the corpus.
+grouped into cells by posterior, rounded to ``GRID`` parts, before the descent: its
+table is bounded by the number of grid points, whatever the corpus.  A cell has one
+rate and the exact posterior mass of its documents (sum of tokens * posterior), so
+totals, Gram matrix and residuals have no rounding in them.
 
 Defined results: null and empty texts hold no tokens and have the posterior of
 an empty text; domains that no labelled training document has do not exist; with
@@ -143,12 +145,24 @@ def replay(p: np.ndarray, steps: list[np.ndarray], max_rate: float | None) -> np
     return ahead if steps else r
 
 
+def cell_table(members: DataFrame, k: int) -> DataFrame:
+    """cell, tokens and mean (posterior by tokens; plain where a cell has none) of each cell.  Sums are decimals, so
+    that they don't depend on the order of rows."""
+    p = [F.col("posterior")[i] for i in range(k)]
+    exact = lambda c: F.sum(c.cast("decimal(28,12)")).cast("double")
+    got = members.groupBy("cell").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n"),
+                                      *[exact(F.col("tokens") * x).alias(f"m{i}") for i, x in enumerate(p)], *[exact(x).alias(f"p{i}") for i, x in enumerate(p)])
+    mean = F.array(*[F.when(F.col("tokens") > 0, F.col(f"m{i}") / F.col("tokens")).otherwise(F.col(f"p{i}") / F.col("n")) for i in range(k)])
+    return got.select("cell", "tokens", mean.alias("mean"))
+
+
 def sums(cells: DataFrame, k: int, value) -> np.ndarray:
-    """Sum over all cells of value(posteriors, tokens), a vector of k numbers; a few rows per task come back."""
+    """Sum over all cells of value(mean posteriors, tokens), a vector of k numbers; a few rows per task come back."""
+    mean = "mean" if "mean" in cells.columns else "cell"
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            p = np.array(b.cell.tolist(), float).reshape(len(b), -1)
+            p = np.array(b[mean].tolist(), float).reshape(len(b), -1)
             yield pd.DataFrame({"k": np.arange(k), "s": value(p / p.sum(1, keepdims=True), b.tokens.to_numpy(float))})
 
     got = cells.mapInPandas(add, "k int, s double").toPandas()
@@ -156,7 +170,7 @@ def sums(cells: DataFrame, k: int, value) -> np.ndarray:
 
 
 def descend(cells: DataFrame, target: np.ndarray, total: float, max_rate: float | None, rounds: int = STEPS) -> list[np.ndarray]:
-    """Steps of the descent on (cell, tokens); each is one distributed sum over cells."""
+    """Steps of the descent on (cell, tokens, mean); each is one distributed sum over cells (no mean: the cell itself)."""
     k, steps = len(target), []
     gram = sums(cells, k * k, lambda p, n: (p.T @ (p * n[:, None])).ravel()).reshape(k, k) / total
     weight = np.linalg.inv(gram + 1e-4 * np.eye(k))  # no curvature over 1 is left, whatever rates are held at a bound
@@ -184,18 +198,19 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, weights: dict[tuple, float]
         return id_and_text(docs).select("doc_id", F.xxhash64("text").alias("text_key"), F.lit(0).cast("long").alias("tokens"),
                                         F.expr("CAST(map() AS map<string,double>)").alias("posterior"), F.lit(None).cast("string").alias("domain"), F.lit(1.0).alias("rate"))
     members = stored(soft_members(docs, model), "mix_members")
-    cells = stored(members.groupBy("cell").agg(F.sum("tokens").alias("tokens")).where("tokens > 0"), "mix_cells")
+    every = stored(cell_table(members, len(model.classes)), "mix_cells")
+    cells = every.where("tokens > 0")
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
     share = np.array([weights.get(c, 0.0) for c in model.classes])
     steps = descend(cells.coalesce(4), share / max(share.sum(), 1e-12) * budget * total, total, max_rate) if total and share.sum() else []
 
     @F.pandas_udf("double")
-    def rate(cell: pd.Series) -> pd.Series:
-        p = np.array(cell.tolist(), float).reshape(len(cell), len(model.classes))
+    def rate(mean: pd.Series) -> pd.Series:
+        p = np.array(mean.tolist(), float).reshape(len(mean), len(model.classes))
         return pd.Series(final_rates(p / p.sum(1, keepdims=True), steps, max_rate))
 
     names = F.array(*[F.lit(domain_name(c)) for c in model.classes])
-    rates = cells.select("cell").union(members.where("tokens = 0").select("cell")).distinct().withColumn("rate", rate("cell"))
+    rates = every.select("cell", rate("mean").alias("rate"))
     out = members.withColumn("key", F.xxhash64("cell")).join(rates.select(F.xxhash64("cell").alias("key"), F.col("cell").alias("c"), "rate"), "key").where("cell = c")
     return out.select("doc_id", "text_key", "tokens", F.map_from_arrays(names, "posterior").alias("posterior"),
                       F.element_at(names, F.array_position("posterior", F.array_max("posterior")).cast("int")).alias("domain"), "rate")

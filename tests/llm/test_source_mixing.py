@@ -82,3 +82,14 @@ def test_odd_rows(spark, odd, none):
     assert len(rows) == odd.count() and all(np.isfinite(r.rate) and r.rate >= 0 for r in rows)
     assert m.mixing_rates(none, labels, WEIGHTS).count() == 0
     assert {r.rate for r in m.mixing_rates(odd, labels.limit(0), WEIGHTS).collect()} == {1.0}
+
+
+def test_rare_domains_meet_their_targets(spark):
+    """Relative error of each domain's expected total, by the documents' own posteriors."""
+    docs, labels = tables(spark, "/root/testdata/sf0.1")
+    rows = m.mixing_rates(docs, labels, WEIGHTS).collect()
+    tokens, got = sum(r.tokens for r in rows), expected(rows)
+    share = {w: got[m.domain_name(w)] / tokens for w in WEIGHTS}
+    print(share)
+    for domain, w in WEIGHTS.items():
+        assert share[domain] == pytest.approx(w, rel=0.01), share
