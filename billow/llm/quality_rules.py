@@ -39,8 +39,8 @@ STEPS = 4
 MIN_GROUP = 200
 #: Bins per doubling of the squared distance when its quantile is sought.
 BINS = 32
-#: Squared distance beyond which a document is rejected (chi-square, 5 degrees: beyond 1 - 1e-9).
-CUTOFF = 50.0
+#: A document is rejected whose squared distance lies beyond this chi-square quantile.
+CUT_SHARE = 0.999
 #: Smallest standard deviation taken for each transformed statistic, in order of FEATURES.
 FEATURES = {"f_len": 0.05, "f_symbols": 0.04, "f_upper": 0.03, "f_lines": 0.05, "f_repeat": 0.05}
 P = len(FEATURES)
@@ -104,13 +104,22 @@ def chi2_cdf_odd(x: float, k: int) -> float:
     return math.erf(math.sqrt(x / 2)) - total
 
 
-def consistency() -> float:
-    """Factor that makes the covariance of the nearest ``H_SHARE`` of normal rows a normal covariance."""
+def chi2_quantile_odd(share: float, k: int) -> float:
+    """Chi-square quantile for odd degrees of freedom."""
     lo, hi = 0.0, 100.0
     for _ in range(80):
         mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if chi2_cdf_odd(mid, P) < H_SHARE else (lo, mid)
-    return H_SHARE / chi2_cdf_odd(lo, P + 2)
+        lo, hi = (mid, hi) if chi2_cdf_odd(mid, k) < share else (lo, mid)
+    return lo
+
+
+#: Squared distance beyond which a document is rejected: 20.5 for five statistics.
+CUTOFF = chi2_quantile_odd(CUT_SHARE, P)
+
+
+def consistency() -> float:
+    """Factor that makes the covariance of the nearest ``H_SHARE`` of normal rows a normal covariance."""
+    return H_SHARE / chi2_cdf_odd(chi2_quantile_odd(H_SHARE, P), P + 2)
 
 
 def covariance(i: int, j: int) -> str:

@@ -92,3 +92,16 @@ def test_quality_labels_agree(spark):
 def test_main_path_is_native(docs):
     plan = q.base_statistics(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_cutoff_is_the_chi_square_quantile(spark):
+    """Documents of sf0.1 beyond the 99.9 % quantile (20.515 in tables) go, those that a cutoff of 50 kept among them."""
+    assert abs(q.CUTOFF - 20.515) < 1e-3
+    d = "/root/testdata/sf0.1"
+    out = q.quality_rules(spark.read.parquet(f"{d}/documents.parquet")).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").collect()
+    tested = [r for r in out if not r.base_failed]
+    assert all(r.kept == (r.distance <= 20.5151) for r in tested)
+    assert any(20.52 < r.distance < 50 for r in tested)
+    bad, good = [r.kept for r in out if r.quality == 0], [r.kept for r in out if r.quality == 1]
+    print("quality 0 kept", sum(bad), "of", len(bad), "quality 1 rejected", len(good) - sum(good), "of", len(good))
+    assert sum(bad) <= 10 < len(bad) and sum(good) > 0.95 * len(good)
