@@ -2,7 +2,7 @@
 
 Lines (without white space at their ends) of at least ``MIN_WORDS`` words take
 part; shorter ones always stay.  A line is removed where the corpus holds an
-equal line earlier, in order of doc_id and line number, or where the first place
+equal line earlier, in order of document and line number, or where the first place
 of its text comes after the first place of a text within ``EDITS`` edits (for
 lines of ``NEAR_CHARS`` characters or more).
 
@@ -17,8 +17,11 @@ distance: one machine word per number of edits holds the band of reachable
 prefixes.
 
 All steps are DataFrame and SQL functions.  Defined results: null text has no
-lines that take part and stays null; rows with null doc_id come last; rows of
-equal doc_id count as one document; an empty table gives an empty result.
+lines that take part and stays null; a document is known by its doc_id and the
+hash of its text together, so repeated rows share a decision; documents come in
+order of doc_id, rows with null doc_id last, in order of their text's hash; equal
+places of rows with equal doc_id and other texts follow ``TIE`` bits of that hash;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,18 +37,28 @@ EDITS = 2
 ENDS = " \t\x0b\x0c\r"
 ENOUGH_WORDS = r"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){%d}[^\x20\x09-\x0D]"
 LAST = (1 << 63) - 1
+#: Bits of the text's hash that decide between equal line numbers of equal ids (what a decimal has left).
+TIE = 30
+
+
+def text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def lines_of(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc (null ids last), n (line number), line, h1, h2 of every line that takes part."""
-    d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.posexplode(F.split("text", "\n")).alias("n", "raw"))
-    d = d.select("doc", "n", F.expr(f"trim(BOTH '{ENDS}' FROM raw)").alias("line")).where(F.col("line").rlike(ENOUGH_WORDS % (min_words - 1)))
-    return d.select("doc", "n", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+    """doc, text_key, n (line number), line, h1, h2 of every line that takes part."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc"), text_key().alias("text_key"), F.posexplode(F.split("text", "\n")).alias("n", "raw"))
+    d = d.select("doc", "text_key", "n", F.expr(f"trim(BOTH '{ENDS}' FROM raw)").alias("line")).where(F.col("line").rlike(ENOUGH_WORDS % (min_words - 1)))
+    return d.select("doc", "text_key", "n", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
 def place() -> Column:
-    """Order of (doc, n) as one number, which a hash aggregate can hold."""
-    return F.expr("CAST(doc AS DECIMAL(20, 0)) * CAST(4294967296 AS DECIMAL(10, 0)) + n")
+    """Order of (doc, n, ``TIE`` bits of text_key), or for null ids of (text_key, n) after all others, as one number,
+    which a hash aggregate can hold.  Known ids are moved to [-2^64, 0), hashes to [0, 2^64)."""
+    half, whole = "CAST(9223372036854775808 AS DECIMAL(19, 0))", 1 << (31 + TIE)
+    document = f"IF(doc IS NULL, CAST(text_key AS DECIMAL(19, 0)) + {half}, CAST(doc AS DECIMAL(19, 0)) - {half})"
+    tie = f"IF(doc IS NULL, 0L, text_key & {(1 << TIE) - 1}L)"
+    return F.expr(f"CAST({document} * CAST({whole} AS DECIMAL(19, 0)) AS DECIMAL(38, 0)) + (shiftleft(CAST(n AS BIGINT), {TIE}) | {tie})")
 
 
 def segment(length: str, i: int, edits: int) -> tuple[str, str]:
@@ -125,7 +138,7 @@ def near_links(lines: DataFrame, edits: int = EDITS, near_chars: int = NEAR_CHAR
 
 
 def removed_lines(docs: DataFrame, edits: int = EDITS, min_words: int = MIN_WORDS, near_chars: int = NEAR_CHARS) -> DataFrame:
-    """doc, removed (line numbers, in order) and near (how many of them for a line that differs) of documents that lose lines."""
+    """doc, text_key, removed (line numbers, in order) and near (how many of them for a line that differs) of documents that lose lines."""
     lines = lines_of(docs, min_words)
     links = near_links(lines, edits, near_chars)
     lines = stored(lines.drop("line"), "line_places")
@@ -134,14 +147,15 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, min_words: int = MIN_WORD
     both = links.join(pick("a"), ["a1", "a2"]).join(pick("b"), ["b1", "b2"])
     late = both.select(F.expr("IF(first_a < first_b, b1, a1)").alias("h1"), F.expr("IF(first_a < first_b, b2, a2)").alias("h2")).distinct().withColumn("near", F.lit(True))
     told = stored(firsts.join(late, ["h1", "h2"], "left").where("times > 1 OR near"), "line_told")
-    gone = lines.select("doc", "n", "h1", "h2").join(small(told), ["h1", "h2"]).where(F.col("near") | (place() > F.col("first")))
-    return gone.groupBy("doc").agg(F.sort_array(F.collect_set("n")).alias("removed"), F.count(F.when(F.col("near"), 1)).alias("near"))
+    gone = lines.join(small(told), ["h1", "h2"]).where(F.col("near") | (place() > F.col("first")))
+    return gone.groupBy("doc", "text_key").agg(F.sort_array(F.collect_set("n")).alias("removed"), F.count(F.when(F.col("near"), 1)).alias("near"))
 
 
 def dedup_report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_lines, n_removed, n_near and the removed line numbers of every document."""
-    d = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
-    return d.join(removed_lines(docs, **options), "doc", "left").select(
+    d = docs.select("doc_id", text_key().alias("key"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("doc")) & (F.col("key") == F.col("text_key"))
+    return d.join(removed_lines(docs, **options), same, "left").select(
         "doc_id", F.greatest("n_lines", F.lit(0)).alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
         F.coalesce("near", F.lit(0)).cast("int").alias("n_near"), F.coalesce("removed", F.expr("CAST(array() AS array<int>)")).alias("removed"))
 
@@ -149,8 +163,9 @@ def dedup_report(docs: DataFrame, **options) -> DataFrame:
 def dedup_lines(docs: DataFrame, keep_share: float = 0.0, **options) -> DataFrame:
     """``docs`` with all its columns, ``text`` without removed lines.  Documents whose characters in lines that
     stay fall below ``keep_share`` of the text's go whole (documents that lose nothing always stay)."""
-    gone = removed_lines(docs, **options).select(F.col("doc").alias("__doc"), F.col("removed").alias("__removed"))
-    d = docs.withColumn("__doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).join(gone, "__doc", "left")
+    gone = removed_lines(docs, **options).select(F.col("doc").alias("__doc"), F.col("text_key").alias("__key"), F.col("removed").alias("__removed"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__key"))
+    d = docs.withColumn("__own", text_key()).join(gone, same, "left")
     d = d.withColumn("__text", F.expr("IF(__removed IS NULL, text, array_join(filter(split(text, '\\n'), (x, i) -> NOT array_contains(__removed, i)), '\\n'))"))
     stay = F.col("__removed").isNull() | ((F.length("__text") > 0) & (F.length("__text") >= keep_share * F.length("text")))
     return d.where(stay).select(*[F.col("__text").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])

@@ -108,3 +108,22 @@ def test_rewritten_texts_keep_all_columns(spark, odd):
 def test_main_path_is_native(docs):
     plan = d.keyed(d.lines_of(docs), 2, 20)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_rows_without_id_and_repeated_ids_are_known_by_their_text(spark):
+    """A line goes from the rows that repeat it, not from others of the same id, and equal places of two rows are told apart."""
+    shared, low = "a line that two rows share at one place", -(1 << 63)
+    rows = [(None, "one line that stands here alone\nseen before in the first document"), (None, "other lines that stand here alone\nfresh words that no document has"),
+            (None, f"{shared}\nx1"), (None, f"{shared}\nx2"), (7, f"{shared} too\nx1"), (7, f"{shared} too\nx2"), (7, f"{shared} too\nx2"),
+            (1, "seen before in the first document"), (low, "smallest number of all the documents"), (d.LAST, "smallest number of all the documents"),
+            (None, "smallest number of all the documents"), (None, "largest number after all the others"), (d.LAST, "largest number after all the others")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.text) for r in d.dedup_lines(df).collect())
+    report = Counter((r.doc_id, tuple(r.removed)) for r in d.dedup_report(df).collect())
+    assert got[None, rows[0][1].split("\n")[0]] == 1 and got[None, rows[1][1]] == 1
+    assert {got[None, f"{shared}\nx{i}"] + got[None, f"x{i}"] for i in (1, 2)} == {1} and got[None, "x1"] + got[None, "x2"] == 1
+    # the two equal rows of id 7 share their decision, whichever text comes first
+    assert (got[7, f"{shared} too\nx1"], got[7, "x2"]) == (1, 2) or (got[7, "x1"], got[7, f"{shared} too\nx2"]) == (1, 2)
+    assert got[low, rows[8][1]] == 1 and got[d.LAST, rows[8][1]] == got[None, rows[8][1]] == 0
+    assert got[d.LAST, rows[12][1]] == 1 and got[None, rows[12][1]] == 0
+    assert sum(report.values()) == len(rows) and report[None, (1,)] == 1
