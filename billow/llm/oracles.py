@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from billow.llm import quality_rules as q
+from billow.llm import spot_signatures as g
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -81,4 +82,72 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     NOT base_failed AND NOT coalesce(s >= {q.H_SHARE * q.MIN_GROUP} AND d2 > {q.CUTOFF}, false) AS kept FROM judged"""
 
 
-ORACLE = {"op5_quality_rules": quality_rules(), "op7_ngram_jaccard_join": NGRAM_JOIN}
+HARD_NEGATIVES = """
+WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS w FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, CAST(list_inner_product(a.w, b.w) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""
+
+#: crc32 by its table of 256 remainders, over the UTF-8 bytes of id, colon and run.
+SPELLING = f"""
+WITH RECURSIVE d AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[A-Za-zÀ-ÿ]{{7,}}')) AS run FROM documents),
+e AS (SELECT doc_id, run, count(*) AS n FROM d GROUP BY ALL),
+t AS MATERIALIZED (SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS r
+    FROM range(256) x(i)),
+b AS (SELECT doc_id, run, n, flatten(list_transform(string_split(concat(doc_id, ':', run), ''), lambda c:
+    CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END)) AS bytes FROM e),
+h AS (SELECT run, n, xor(4294967295, list_reduce(bytes, lambda c, x: xor(c >> 8, r[1 + (xor(c, CAST(x AS BIGINT)) & 255)]), 4294967295::BIGINT)) AS h FROM b, t),
+w AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT n, CASE WHEN h % 31 = 0
+        THEN concat(run[:h % len(run)], run[h % len(run) + 2:]) ELSE run END AS word FROM h) WHERE len(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS MATERIALIZED (SELECT word, i, concat(word[:i], word[i + 2:]) AS rest FROM (SELECT word, unnest(range(len(word))) AS i FROM w)),
+near AS MATERIALIZED (SELECT a.word AS x, b.word AS y FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT cut.word, w.word FROM cut JOIN w ON w.word = rest UNION SELECT w.word, cut.word FROM cut JOIN w ON w.word = rest),
+best AS (SELECT x, count(*) AS n_near, arg_min(y, {{'a': -w.n, 'b': y}}) AS y FROM near JOIN w ON w.word = y GROUP BY x),
+f AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN o.n >= 10 * w.n THEN y END AS form, CASE WHEN o.n >= 10 * w.n THEN o.n END AS form_n
+    FROM w LEFT JOIN best ON x = w.word LEFT JOIN w o ON o.word = y),
+walk AS (SELECT word, word AS at, form AS next FROM f UNION ALL SELECT walk.word, f.word, f.form FROM walk JOIN f ON f.word = walk.next)
+SELECT f.word, f.form, walk.at AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n FROM f JOIN walk ON walk.word = f.word AND walk.next IS NULL"""
+
+
+def spot_signatures() -> str:
+    """The chains by numbered words: content words, and before which of them common words stand."""
+    common = ", ".join(f"'{c}'" for c in dict.fromkeys(g.COMMON))
+
+    def signed(name: str, source: str, text: str) -> list[str]:
+        return [
+            rf"{name}_w AS (SELECT k, t, list_filter(regexp_split_to_array(lower(t), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM (SELECT doc_id AS k, {text} AS t FROM {source}))",
+            f"{name}_u AS (SELECT k, unnest(w) AS x, unnest(range(len(w))) AS i FROM {name}_w)",
+            f"{name}_v AS (SELECT *, x NOT IN ({common}) AS content, coalesce(sum(CASE WHEN x NOT IN ({common}) THEN 1 END) "
+            f"OVER (PARTITION BY k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM {name}_u)",
+            # the common words of a place stand before its content word; the last place may hold none
+            f"{name}_p AS (SELECT k, place, coalesce(list(x ORDER BY i) FILTER (NOT content), []) AS anchor, coalesce(any_value(x) FILTER (content), '') AS word FROM {name}_v GROUP BY ALL)",
+            f"{name}_c AS (SELECT *, " + ", ".join(f"lead(word, {i}) OVER o AS w{i}" for i in range(1, g.CHAIN)) + f" FROM {name}_p WINDOW o AS (PARTITION BY k ORDER BY place))",
+            f"{name}_s AS (SELECT k, list_sort(list(DISTINCT left(md5(concat_ws(' ', concat(CASE WHEN place = 0 THEN chr(1) ELSE '' END, "
+            f"CASE WHEN len(anchor) > 0 THEN concat(array_to_string(anchor, chr(1)), chr(1)) ELSE '' END, word), "
+            + ", ".join(f"w{i}" for i in range(1, g.CHAIN)) + f")), {g.DIGITS}))) AS s FROM {name}_c WHERE place = 0 OR len(anchor) > 0 GROUP BY k)",
+            f"{name} AS (SELECT {name}_w.k, t, CASE WHEN t = '' THEN [] WHEN len(w) = 0 THEN [left(md5(t), {g.DIGITS})] ELSE s END AS s "
+            f"FROM {name}_w LEFT JOIN {name}_s ON {name}_s.k = {name}_w.k)"]
+
+    ctes = ["d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)", *signed("own", "d", "text"),
+            "f AS (SELECT doc_id, text, coalesce(lead(doc_id) OVER o, first_value(doc_id) OVER o) AS next FROM d WINDOW o AS (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))",
+            "x AS (SELECT f.doc_id, next, length(f.text) AS n, concat(left(f.text, CAST(n - n // 3 AS BIGINT)), left(z.text, CAST(n // 3 AS BIGINT))) AS edited FROM f JOIN d z ON z.doc_id = next)",
+            *signed("edit", "x", "edited")]
+
+    def like(a: str, b: str) -> str:
+        return f"CASE WHEN len({a}) + len({b}) = 0 THEN 1.0 ELSE len(list_intersect({a}, {b})) / CAST(len({a}) + len({b}) - len(list_intersect({a}, {b})) AS DOUBLE) END"
+
+    return "WITH " + ",\n".join(c.replace(" AS (", " AS MATERIALIZED (", 1) for c in ctes) + f"""
+SELECT x.doc_id, CAST(x.n AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256, array_to_string(own.s, '') AS fingerprint,
+    array_to_string(edit.s, '') AS edited_fingerprint, {like('own.s', 'edit.s')} AS near_edited, {like('own.s', 'other.s')} AS near_next
+FROM x JOIN own ON own.k = x.doc_id JOIN edit ON edit.k = x.doc_id JOIN own other ON other.k = x.next"""
+
+
+ORACLE = {"op11_spot_signatures": spot_signatures(), "op12_spelling_groups": SPELLING, "op13_hard_negatives": HARD_NEGATIVES,
+          "op5_quality_rules": quality_rules(), "op7_ngram_jaccard_join": NGRAM_JOIN}

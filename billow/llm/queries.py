@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billow.llm import hash_index, line_crf, line_dedup, ngram_join, piece_sampling, pitman_yor, quality_rules, sanitise, source_mixing, token_counts
+from billow.llm import (hard_negatives, hash_index, line_crf, line_dedup, ngram_join, piece_sampling, pitman_yor, quality_rules, sanitise,
+                        source_mixing, spelling_groups, spot_signatures, token_counts)
 from billow.llm.common import table
 from billow.llm.oracles import ORACLE  # noqa: F401 - read by the entry file
 
@@ -64,5 +65,19 @@ def op10_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_index.nearest(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+def op11_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_signatures.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of ids divisible by 7 are moved on by one."""
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), every=100, positives=5, negatives=10, low=30, high=90, relabel=7, labels=10)
+
+
 QUERIES = {f.__name__: f for f in (op1_piece_sampling, op2_source_mixing, op3_line_dedup, op4_line_crf, op5_quality_rules,
-                                    op6_token_counts, op7_ngram_jaccard_join, op8_pitman_yor, op9_sanitise, op10_hash_index)}
+                                    op6_token_counts, op7_ngram_jaccard_join, op8_pitman_yor, op9_sanitise, op10_hash_index,
+                                    op11_spot_signatures, op12_spelling_groups, op13_hard_negatives)}

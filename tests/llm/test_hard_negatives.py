@@ -1,0 +1,92 @@
+import math
+import random
+
+import numpy as np
+import pytest
+
+from billow.llm import hard_negatives as m
+
+KIND = "vec_id long, embedding array<double>, label int, score string, id string"
+
+
+def brute(rows, every=100, positives=5, negatives=10, low=30, high=90, relabel=7, labels=10):
+    ok = [(i, tuple(math.floor(256 * x) for x in v), l) for i, v, l in rows
+          if i is not None and l is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    ok = [r for r in ok if sum(x * x for x in r[1]) < 4.6e18]
+    usual = max(sorted({len(v) for _, v, _ in ok}), key=lambda n: sum(len(v) == n for _, v, _ in ok), default=0)
+    ok = sorted({(i, v, (l + 1) % labels if relabel and i % relabel == 0 else l) for i, v, l in ok if len(v) == usual})
+    out = []
+    for a in ok:
+        if a[0] % every:
+            continue
+        scored = sorted(((-sum(x * y for x, y in zip(a[1], b[1])), b[0], b[2]) for b in ok if b is not a))
+        for p in [s for s in scored if s[2] == a[2]][:positives]:
+            good = [s for s in scored if s[2] != a[2] and low * -p[0] <= 100 * -s[0] <= high * -p[0]]
+            out += [(a[0], p[1], k + 1, s[1], -p[0], -s[0]) for k, s in enumerate(good[:negatives])]
+    return sorted(out)
+
+
+def got(df):
+    return sorted(tuple(r) for r in df.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score").collect())
+
+
+def test_given_vectors(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    want = brute([(r.vec_id, r.embedding, r.label) for r in df.collect()], every=20)
+    assert want and got(m.hard_negatives(df, every=20, relabel=7)) == want
+
+
+def rows(dim=6, n=400):
+    rng = random.Random(dim)
+    out = []
+    for i in range(n):  # clusters with ties, so that windows hold many rows
+        centre = [((i % 5) * 7 + k * 3) % 11 / 10 - 0.3 for k in range(dim)]
+        out.append((i, [c + rng.choice([0, 0, 0.1, -0.2]) for c in centre], rng.randint(0, 9)))
+    return out
+
+
+ODD = [(7, None, 1), (20, [None] * 6, 1), (40, [math.nan] * 6, 2), (60, [math.inf] + [0.0] * 5, 3), (80, [], 4), (100, [1.0, 2.0], 5), (None, [1.0] * 6, 6), (120, [0.5] * 6, None),
+       (140, [0.0] * 6, 7), (160, [-1.0] * 6, 8), (20, [0.4] * 6, 1), (20, [0.4] * 6, 1), (20, [0.5] * 6, 1), (40, [0.5] * 6, 2), (180, [1e300] * 6, 2), (200, [1e5, -1e5, 1e-300, 0.0, 3.0, 1.0], 3)]
+
+
+@pytest.mark.parametrize("blocks", [(8192, 512), (30, 3)])
+def test_equals_brute_force(spark, monkeypatch, blocks):
+    monkeypatch.setattr(m, "BLOCK_ROWS", blocks[0])
+    monkeypatch.setattr(m, "BLOCK_ANCHORS", blocks[1])
+    data = rows() + ODD
+    df = spark.createDataFrame([(*r, "clash", "clash") for r in data], KIND).repartition(5)
+    assert got(m.hard_negatives(df, every=20, relabel=7)) == brute(data, every=20)
+    assert got(m.hard_negatives(df, every=20, positives=2, negatives=400, low=-50, high=101)) == brute(data, every=20, positives=2, negatives=400, low=-50, high=101, relabel=None)
+
+
+def test_empty_and_few(spark):
+    assert got(m.hard_negatives(spark.createDataFrame([], KIND))) == []
+    few = [(0, [1.0], 1), (1, [1.0], 1), (2, [0.5], 2)]
+    assert got(m.hard_negatives(spark.createDataFrame([(*r, "", "") for r in few], KIND))) == brute(few, relabel=None) == [(0, 1, 1, 2, 65536, 32768)]
+
+
+@pytest.mark.parametrize("dim", [1, 3, 16, 50])
+def test_bounds_hold(dim):
+    rng = np.random.default_rng(dim)
+    x = np.floor(rng.normal(size=(60, dim)) * 300).astype(int)
+    block = m.Block(x.tolist())
+    exact, everywhere = x @ x.T, np.arange(60)
+    reach = []
+    for level in range(len(m.LEVELS)):
+        bounds = [block.bounds(level, block, i, everywhere) for i in range(60)]
+        assert all((lo <= exact[i]).all() and (exact[i] <= hi).all() for i, (lo, hi) in enumerate(bounds))
+        reach.append(sum((hi - lo).sum() for lo, hi in bounds))
+    assert reach == sorted(reach, reverse=True)  # finer segments bound no worse
+
+
+def test_bounds_exclude_most_of_clustered_rows(monkeypatch):
+    """Rows of far clusters never get an exact score."""
+    rng = np.random.default_rng(0)
+    x = np.repeat(rng.normal(size=(20, 16)) * 400, 16 // 16, 1)
+    x = np.floor(np.repeat(x, 50, 0).repeat(4, 1) + rng.normal(size=(1000, 64)) * 5).astype(int)
+    block, scored = m.Block(x.tolist()), []
+    exact = m.Block.scores
+    monkeypatch.setattr(m.Block, "scores", lambda self, of, i, at: scored.append(len(at)) or exact(self, of, i, at))
+    (at, scores), = m.search(block, np.arange(1000), block, 0, np.arange(1, 1000), 5, [(-np.inf, np.inf)])
+    full = x[1:] @ x[0]
+    assert scores.tolist() == sorted(full.tolist(), reverse=True)[:5] and scored[0] < 100
