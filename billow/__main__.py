@@ -29,14 +29,21 @@ def _run(args: argparse.Namespace) -> int:
     layers = Layers(args.root, raw_dir=args.raw)
     try:
         result = run_pipeline(spark, layers, database=args.database, pre_checks=args.pre_checks,
-                              post_gate=not args.no_gate, size_session=True, multiline=args.multiline,
-                              start_at=args.start_at)
+                              post_gate=not args.no_gate, size_session=True,
+                              multiline=False if args.no_line_breaks else None,
+                              start_at=args.start_at, export_csv=args.export_csv)
     except DataQualityError as exc:
         print(f"stopped: {exc}", file=sys.stderr)
         return 1
     print("ingested:", result.ingested)
     for w in result.warnings:
         print("warning:", w)
+    for name, n in result.malformed.items():
+        if n:
+            print(f"warning: {name}: {n} records with more fields than the header, in quarantine")
+    for name, layer, column, n in result.losses:
+        if n:
+            print(f"warning: {name}.{column}: {n} values became null in {layer}")
     steps_frame(spark, result).show(100, truncate=False)
     result.dq.show(200, truncate=False)
     print("gold tables:", ", ".join(result.gold.values()))
@@ -81,7 +88,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--pre-checks", action="store_true", help="also check raw against bronze")
     run.add_argument("--no-gate", action="store_true", help="write gold even if a check fails")
     run.add_argument("--query", action="store_true", help="print the gold sample and churn summary")
-    run.add_argument("--multiline", action="store_true", help="quoted CSV fields may hold line breaks")
+    run.add_argument("--no-line-breaks", action="store_true", help="no quoted CSV field holds a line break: skip the pass that looks for them")
+    run.add_argument("--export-csv", action="store_true", help="also write the gold tables as CSV")
     run.add_argument("--start-at", default="ingest", choices=("ingest", "transform", "model"),
                      help="restart from the bronze (transform) or silver (model) layer of a previous run")
     run.set_defaults(fn=_run)

@@ -29,28 +29,35 @@ from billow.spec import ORDINAL, DatasetSpec
 
 _N = "__copies"
 _PICK = "__pick"
+_LOST = "__lost_"  # prefix: 1 where parsing the column of that name nulled its text
 
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def parse_dates(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Timestamp-like columns (by name pattern) -> UTC date; day-first columns -> date."""
+def parse_dates(df: DataFrame, spec: DatasetSpec, losses: bool = False) -> DataFrame:
+    """Timestamp-like columns (by name pattern) -> UTC date; day-first columns -> date.
+
+    ``losses``: also a column of 0 or 1 for each text column parsed (1: its text is no date)."""
     types = dict(df.dtypes)
-    out = []
+    out, texts = [], []
     for c in df.columns:
         lc = c.lower()
-        if c == ORDINAL:
+        lenient = any(p in lc for p in spec.timestamp_name_parts)
+        if c == ORDINAL or not (lenient or c in spec.dayfirst_date_columns):
             out.append(_q(c))
-        elif any(p in lc for p in spec.timestamp_name_parts):
-            out.append((lenient_date(_q(c)) if types[c] == "string" else F.to_date(_q(c))).alias(c))
-        elif c in spec.dayfirst_date_columns:
-            out.append((dayfirst_date(_q(c), spec.date_order) if types[c] == "string"
-                        else F.to_date(_q(c))).alias(c))
+        elif types[c] != "string":
+            out.append(F.to_date(_q(c)).alias(c))
         else:
-            out.append(_q(c))
-    return df.select(*out)
+            out.append((lenient_date(_q(c)) if lenient else dayfirst_date(_q(c), spec.date_order)).alias(c))
+            texts.append(c)
+    if not losses:
+        return df.select(*out)
+    # the text is carried beside its date, so that it is parsed once
+    parsed = df.select(*out, *[_q(c).alias(f"__text_{c}") for c in texts])
+    return parsed.select(*[_q(c) for c in df.columns], *[
+        (_q(f"__text_{c}").isNotNull() & _q(c).isNull()).cast("int").alias(_LOST + c) for c in texts])
 
 
 @dataclass
@@ -61,10 +68,14 @@ class Grouped:
     columns: list[str]       # output columns in order
     keep_last: bool
     required: list[str]
+    parsed: list[str]        # date columns with a ``__lost_`` count
 
 
 def group_for_clean(parsed: DataFrame, spec: DatasetSpec) -> Grouped:
-    cols = list(parsed.columns)
+    cols = [c for c in parsed.columns if not c.startswith(_LOST)]
+    dates = [c[len(_LOST):] for c in parsed.columns if c.startswith(_LOST)]
+    counts = [F.count(F.lit(1)).alias(_N), *[F.sum(_q(_LOST + c)).alias(_LOST + c) for c in dates]]
+    kept = [F.col(_N), *[_q(_LOST + c) for c in dates]]
     # keep-last needs its whole key; with a key column missing the step is skipped
     key = list(spec.keep_last_by) if len(present(parsed, spec.keep_last_by)) == len(spec.keep_last_by) else []
     required = present(parsed, spec.required)
@@ -75,17 +86,16 @@ def group_for_clean(parsed: DataFrame, spec: DatasetSpec) -> Grouped:
         payload = [c for c in out_cols if c not in key]
         fields = [_q(c).alias(f"__o{i}") for i, c in enumerate(order)] + [_q(c) for c in payload]
         g = parsed.groupBy(*[_q(k) for k in key]).agg(
-            F.count(F.lit(1)).alias(_N), F.max(F.struct(*fields)).alias(_PICK))
-        rows = g.select(*[(_q(c) if c in key else F.col(_PICK).getField(c).alias(c)) for c in out_cols],
-                        F.col(_N))
-        return Grouped(rows, out_cols, True, required)
+            *counts, F.max(F.struct(*fields)).alias(_PICK))
+        rows = g.select(*[(_q(c) if c in key else F.col(_PICK).getField(c).alias(c)) for c in out_cols], *kept)
+        return Grouped(rows, out_cols, True, required, dates)
     data = [c for c in cols if c != ORDINAL]
-    aggs = [F.count(F.lit(1)).alias(_N)]
+    aggs = list(counts)
     if ORDINAL in out_cols:
         # first copy's ordinal: a struct minimum, planned as a sort aggregate
         aggs.append(F.min(_q(ORDINAL)).alias(ORDINAL))
     g = parsed.groupBy(*[_q(c) for c in data]).agg(*aggs)
-    return Grouped(g.select(*[_q(c) for c in out_cols], F.col(_N)), out_cols, False, required)
+    return Grouped(g.select(*[_q(c) for c in out_cols], *kept), out_cols, False, required, dates)
 
 
 def _all_present(cols: list[str]) -> Column:
@@ -122,6 +132,11 @@ def count_exprs(g: Grouped) -> tuple[list[Column], list[tuple[str, str, str]]]:
     return exprs, steps
 
 
+def loss_exprs(g: Grouped) -> dict[str, Column]:
+    """Name -> count of the values that a date parse nulled, by column (over all bronze rows)."""
+    return {f"lost_{i}": F.coalesce(F.sum(_q(_LOST + c)), F.lit(0)).cast("bigint").alias(f"lost_{i}") for i, c in enumerate(g.parsed)}
+
+
 def clean_dataset(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Silver rows of one dataset (lazy)."""
     return cleaned(group_for_clean(parse_dates(df, spec), spec))

@@ -2,26 +2,31 @@
 
 Every layer is written to shared storage before the next stage reads it, so
 each stage restarts from the previous layer, not from raw, after a failure.
-Dropped-row counts are observed while silver is written (no extra pass).
+A manifest names the tables a stage wrote; the next one reads those and no others.
+Dropped rows and values that a date parse nulled are counted by the tasks that
+write a table (no extra pass, and a retried task counts once).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from billow.plans import marts
-from billow.plans.clean import cleaned, count_exprs, group_for_clean, parse_dates, steps_from_counts
+from billow.plans.clean import cleaned, count_exprs, group_for_clean, loss_exprs, parse_dates, steps_from_counts
 from billow.plans.enrich import enrich_subscriptions
 from billow.plans.quality import REPORT_SCHEMA, dq_report, gate, raw_vs_bronze
-from billow.session import apply_scale_settings
-from billow.sources.csv import folder_bytes, list_csv_datasets, read_csv
+from billow.session import apply_scale_settings, scratch_path
+from billow.sources.csv import folder_bytes, list_csv_datasets, read_csv, write_csv
 from billow.sources.layers import (Layers, ingest, read_layer, run_concurrently, save_gold_table,
-                                   write_layer)
-from billow.spec import COLS, REQUIRED_COLUMNS, BillingColumns, DatasetSpec, billing_specs
+                                   write_layer, write_observed)
+from billow.sources.manifest import Entry, schema_hash, verified, write_manifest
+from billow.spec import COLS, REQUIRED_COLUMNS, BillingColumns, DatasetSpec, billing_schemas, billing_specs
 
 STEP_SCHEMA = StructType([
     StructField("dataset", StringType()), StructField("step", StringType()),
@@ -32,7 +37,11 @@ STEP_SCHEMA = StructType([
 
 @dataclass
 class RunResult:
+    run_id: str = ""
     ingested: dict[str, int] = field(default_factory=dict)
+    malformed: dict[str, int] = field(default_factory=dict)   # records in quarantine, by dataset
+    losses: list[tuple] = field(default_factory=list)         # (dataset, layer, column, values nulled)
+    silver: dict[str, Entry] = field(default_factory=dict)
     skipped: list[str] = field(default_factory=list)
     warnings: list[str] = field(default_factory=list)
     steps: list[tuple] = field(default_factory=list)
@@ -41,36 +50,49 @@ class RunResult:
 
 
 def _clean_one(spark: SparkSession, layers: Layers, name: str, spec: DatasetSpec,
-               cols: BillingColumns) -> list[tuple] | None:
-    bronze = read_layer(spark, layers.table("bronze", name))
-    if bronze is None:
-        return None
-    g = group_for_clean(parse_dates(bronze, spec), spec)
+               cols: BillingColumns, tags: bool) -> tuple[list[tuple], list[tuple], Entry]:
+    """Write one silver table; (dropped-row steps, lost values, manifest entry)."""
+    g = group_for_clean(parse_dates(read_layer(spark, layers.table("bronze", name)), spec, losses=True), spec)
     exprs, steps = count_exprs(g)
+    lost = loss_exprs(g)
     obs = Observation(f"clean_{name}")
-    g.rows = g.rows.observe(obs, *exprs)
-    silver = cleaned(g)
-    if name == "subscriptions":
-        silver = enrich_subscriptions(silver, read_layer(spark, layers.table("bronze", "sales_tags")), cols)
-    write_layer(silver, layers.table("silver", name))
-    return steps_from_counts(name, obs.get, steps)
+    g.rows = g.rows.observe(obs, *exprs, *lost.values())
+    silver, path = cleaned(g), layers.table("silver", name)
+    if name == "subscriptions" and tags:
+        # counts belong to the tasks that write; below the join a recomputed stage would count again
+        staged = scratch_path(spark, "clean_subscriptions")
+        write_layer(silver, staged)
+        silver = enrich_subscriptions(spark.read.parquet(staged), read_layer(spark, layers.table("bronze", "sales_tags")), cols)
+    elif name == "subscriptions":
+        silver = enrich_subscriptions(silver, None, cols)
+    rows = write_observed(silver, path, f"silver_{name}")
+    counts = obs.get
+    losses = [(name, "silver", c, int(counts[k])) for k, c in zip(lost, g.parsed)]
+    return steps_from_counts(name, counts, steps), losses, Entry(rows, schema_hash(silver))
 
 
 def transform(spark: SparkSession, layers: Layers, specs: Mapping[str, DatasetSpec],
-              cols: BillingColumns = COLS, result: RunResult | None = None) -> RunResult:
+              cols: BillingColumns = COLS, result: RunResult | None = None,
+              datasets: Collection[str] | None = None) -> RunResult:
     """Bronze -> silver for every spec'd dataset (independent jobs, run concurrently).
 
+    ``datasets``: the bronze tables of this run; None: those of the newest bronze manifest.
     Each silver table depends on bronze only (subscriptions also on bronze
     sales tags), so the datasets do not wait for each other.
     """
-    result = result or RunResult()
-    done = run_concurrently({name: (lambda n=name, s=spec: _clean_one(spark, layers, n, s, cols))
-                             for name, spec in specs.items()})
+    result = result or RunResult(run_id=uuid.uuid4().hex)
+    if datasets is None:
+        datasets = verified(spark, layers.root, "bronze")[1]
+    done = run_concurrently({name: (lambda n=name, s=spec: _clean_one(spark, layers, n, s, cols, "sales_tags" in datasets))
+                             for name, spec in specs.items() if name in datasets})
     for name in specs:
-        if done[name] is None:
+        if name not in done:
             result.skipped.append(name)
-        else:
-            result.steps.extend(done[name])
+            continue
+        steps, losses, result.silver[name] = done[name]
+        result.steps.extend(steps)
+        result.losses.extend(losses)
+    write_manifest(spark, layers.root, "silver", result.run_id, result.silver)
     return result
 
 
@@ -85,13 +107,17 @@ GOLD_BUCKET_KEYS = {
 
 
 def model(spark: SparkSession, layers: Layers, cols: BillingColumns = COLS,
-          database: str = "gold", buckets: int | None = None) -> dict[str, str]:
+          database: str = "gold", buckets: int | None = None,
+          datasets: Collection[str] | None = None) -> dict[str, str]:
     """Silver -> gold catalog tables (always replaced, also when empty).
 
+    ``datasets``: the silver tables of this run; None: those of the newest silver manifest.
     Facts and dimensions joined on subscription id share ``buckets`` hash
     buckets of it, so the fact-to-dimension join over gold needs no shuffle.
     """
-    silver = {n: read_layer(spark, layers.table("silver", n))
+    if datasets is None:
+        datasets = verified(spark, layers.root, "silver")[1]
+    silver = {n: read_layer(spark, layers.table("silver", n)) if n in datasets else None
               for n in ("customers", "subscriptions", "invoicing", "costs")}
     tables: dict[str, DataFrame] = {}
     if silver["customers"] is not None:
@@ -112,57 +138,88 @@ def model(spark: SparkSession, layers: Layers, cols: BillingColumns = COLS,
 STAGES = ("ingest", "transform", "model")
 
 
+def _pre_checks(spark: SparkSession, layers: Layers, schemas: Mapping[str, StructType], written: Collection[str],
+                multiline: bool | None) -> None:
+    """Raw against bronze for every dataset with required columns; a raw dataset without bronze table fails."""
+    reports = []
+    for name, path in list_csv_datasets(spark, layers.raw).items():
+        if name not in REQUIRED_COLUMNS:
+            continue
+        if name not in written:
+            reports.append(spark.createDataFrame([(name, "present", None, None, None, False)], REPORT_SCHEMA))
+            continue
+        # malformed records are counted apart, so both sides are compared without them
+        raw = read_csv(spark, path, schemas.get(name), multiline=multiline, malformed="keep")
+        raw = raw.where(raw["_malformed"].isNull()).drop("_malformed")
+        reports.append(raw_vs_bronze(name, raw, read_layer(spark, layers.table("bronze", name)), REQUIRED_COLUMNS[name]))
+    if reports:
+        gate(reduce(DataFrame.unionByName, reports))
+
+
+def _loss_rows(result: RunResult) -> list[tuple]:
+    """Report rows of what ingest and cleaning could not keep.  Malformed records and amounts that are no
+    numbers fail the gate; text that is no date becomes null by rule, and is counted only."""
+    rows = [(n, "malformed_rows", None, k, 0, k == 0) for n, k in result.malformed.items()]
+    return rows + [(n, f"lost_values:{layer}", c, k, 0 if layer == "bronze" else None, k == 0 if layer == "bronze" else None)
+                   for n, layer, c, k in result.losses]
+
+
 def run_pipeline(spark: SparkSession, layers: Layers,
                  schemas: Mapping[str, StructType] | None = None,
                  specs: Mapping[str, DatasetSpec] | None = None,
                  cols: BillingColumns = COLS, database: str = "gold",
                  pre_checks: bool = False, post_gate: bool = True,
-                 size_session: bool = False, multiline: bool = False,
-                 start_at: str = "ingest") -> RunResult:
+                 size_session: bool = False, multiline: bool | None = None,
+                 start_at: str = "ingest", export_csv: bool = False) -> RunResult:
     """Ingest, (optional pre-check), transform, post-check + gate, model.
 
+    ``schemas``: types by dataset (default: the billing amounts are numbers).
     ``size_session``: derive shuffle and split sizes from the raw input size
     (``session.apply_scale_settings``) for settings the cluster left unset.
     ``start_at``: "transform" or "model" restarts a failed run from the layer
-    the previous stage already wrote (bronze or silver) instead of from raw.
+    the previous stage already wrote (bronze or silver) instead of from raw: its manifest
+    names the tables, which must still be as it says.
+    ``export_csv``: also write each gold table that has rows as CSV under ``<gold>_csv``.
     The quality check before the model always runs.
     """
     if start_at not in STAGES:
         raise ValueError(f"start_at must be one of {STAGES}")
     specs = specs or billing_specs()
-    result = RunResult()
+    schemas = billing_schemas() if schemas is None else schemas
+    result = RunResult(run_id=uuid.uuid4().hex)
     if size_session:
         apply_scale_settings(spark, folder_bytes(spark, layers.raw))
     if start_at == "ingest":
-        result.ingested = ingest(spark, layers.raw, layers.bronze, schemas, multiline)
+        done = ingest(spark, layers.raw, layers.bronze, schemas, multiline)
+        bronze = {n: Entry(d.rows, d.schema_hash) for n, d in done.items()}
+        write_manifest(spark, layers.root, "bronze", result.run_id, bronze)
+        result.ingested = {n: d.rows for n, d in done.items()}
+        result.malformed = {n: d.malformed for n, d in done.items()}
+        result.losses = [(n, "bronze", c, k) for n, d in done.items() for c, k in d.losses.items()]
         result.warnings.extend(f"{n}: not in raw, skipped" for n in specs if n not in result.ingested)
         if pre_checks:
-            raw = list_csv_datasets(spark, layers.raw)
-            reports = [raw_vs_bronze(n, read_csv(spark, p, (schemas or {}).get(n), multiline=multiline),
-                                     read_layer(spark, layers.table("bronze", n)),
-                                     REQUIRED_COLUMNS.get(n, ()))
-                       for n, p in raw.items() if n in REQUIRED_COLUMNS]
-            if reports:
-                pre = reports[0]
-                for r in reports[1:]:
-                    pre = pre.unionByName(r)
-                gate(pre)
+            _pre_checks(spark, layers, schemas, done, multiline)
+    else:
+        _, bronze = verified(spark, layers.root, "bronze")
     if start_at in ("ingest", "transform"):
-        transform(spark, layers, specs, cols, result)
-    silver = {n: read_layer(spark, layers.table("silver", n)) for n in specs}
-    # bronze row counts observed while ingest wrote bronze need no recount;
-    # on a restart the bronze tables are counted
-    bronze = (dict(result.ingested) if start_at == "ingest"
-              else {n: read_layer(spark, layers.table("bronze", n)) for n in specs})
-    report = dq_report(silver, bronze, {n: s.post_dq_keys for n, s in specs.items()
-                                        if s.post_dq_keys is not None})
+        transform(spark, layers, specs, cols, result, bronze)
+    else:
+        _, result.silver = verified(spark, layers.root, "silver")
+    silver = {n: read_layer(spark, layers.table("silver", n)) if n in result.silver else None for n in specs}
+    # bronze row counts stand in the manifest: observed while ingest wrote bronze
+    report = dq_report(silver, {n: e.rows for n, e in bronze.items()},
+                       {n: s.post_dq_keys for n, s in specs.items() if s.post_dq_keys is not None})
     # a few dozen rows: computed once, kept, so reading the report later does
     # not scan the silver tables again
-    rows = report.collect()
-    result.dq = spark.createDataFrame(rows, REPORT_SCHEMA)
+    result.dq = spark.createDataFrame([*map(tuple, report.collect()), *_loss_rows(result)], REPORT_SCHEMA)
     if post_gate:
-        gate(rows)
-    result.gold = model(spark, layers, cols, database)
+        gate(result.dq)
+    result.gold = model(spark, layers, cols, database, datasets=result.silver)
+    if export_csv:
+        for name, table in result.gold.items():
+            df = spark.table(table)
+            if not df.isEmpty():
+                write_csv(df, f"{layers.gold}_csv/{name}")
     return result
 
 

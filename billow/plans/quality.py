@@ -9,13 +9,14 @@ ever reach the driver, in ``gate``.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DecimalType, LongType, StringType, StructField, StructType
 
 from billow.functions.money import money
-from billow.spec import COLS, ORDINAL, POST_DQ_KEYS, BillingColumns
+from billow.spec import COLS, MONEY_PRECISION, MONEY_SCALE, ORDINAL, POST_DQ_KEYS, BillingColumns
 
 REPORT_SCHEMA = StructType([
     StructField("dataset", StringType()), StructField("check", StringType()),
@@ -141,16 +142,21 @@ def gate(report: DataFrame | list) -> None:
         raise DataQualityError("data quality failed: " + "; ".join(lines))
 
 
+def _totals(parts: Mapping[str, DataFrame], key: str) -> DataFrame:
+    """Per key the exact sum of each part (columns ``key``, ``amount``): one union and one grouping, no joins."""
+    tagged = [df.select(F.col(key), money("amount").alias("amount"), F.lit(name).alias("part")) for name, df in parts.items()]
+    zero = F.lit(0).cast(DecimalType(MONEY_PRECISION, MONEY_SCALE))
+    return reduce(DataFrame.unionByName, tagged).groupBy(key).agg(
+        *[F.coalesce(F.sum(F.when(F.col("part") == name, F.col("amount"))), zero).alias(name) for name in parts])
+
+
 def reconcile_sales(invoicing: DataFrame, fct: DataFrame, cols: BillingColumns = COLS) -> DataFrame:
     """Per subscription: invoiced total vs gold sales total; difference should be 0."""
     sub = cols.subscription_id
-    raw = invoicing.groupBy(sub).agg(F.sum(money(cols.invoice_amount)).alias("__raw"))
-    gold = fct.groupBy(sub).agg(F.sum(money("sales_amount")).alias("__gold"))
-    both = raw.join(gold, [sub], "full")
-    r = F.coalesce(F.col("__raw"), F.lit(0).cast("decimal(38,9)"))
-    g = F.coalesce(F.col("__gold"), F.lit(0).cast("decimal(38,9)"))
-    return both.select(F.col(sub), r.cast("double").alias("raw_sales"),
-                       g.cast("double").alias("gold_sales"), (r - g).cast("double").alias("difference"))
+    both = _totals({"raw": invoicing.select(sub, F.col(cols.invoice_amount).alias("amount")),
+                    "gold": fct.select(sub, F.col("sales_amount").alias("amount"))}, sub)
+    return both.select(F.col(sub), F.col("raw").cast("double").alias("raw_sales"), F.col("gold").cast("double").alias("gold_sales"),
+                       (F.col("raw") - F.col("gold")).cast("double").alias("difference"))
 
 
 def reconcile_costs(costs: DataFrame, fct: DataFrame, invoicing: DataFrame,
@@ -161,15 +167,11 @@ def reconcile_costs(costs: DataFrame, fct: DataFrame, invoicing: DataFrame,
     an orphan month; ``difference`` should be 0.
     """
     sub = cols.subscription_id
-    zero = F.lit(0).cast("decimal(38,6)")
-    silver = costs.groupBy(sub).agg(F.sum(money(cols.cost_amount)).alias("__silver"))
-    gold = fct.groupBy(sub).agg(F.sum(money("cost_amount")).alias("__gold"))
-    orphan = orphan_costs(costs, invoicing, cols).groupBy(sub).agg(
-        F.sum(money("cost_amount")).alias("__orphan"))
-    both = silver.join(gold, [sub], "full").join(orphan, [sub], "full")
-    s, g, o = (F.coalesce(F.col(c), zero) for c in ("__silver", "__gold", "__orphan"))
-    return both.select(F.col(sub), s.cast("double").alias("silver_cost"), g.cast("double").alias("gold_cost"),
-                       o.cast("double").alias("orphan_cost"), (s - g - o).cast("double").alias("difference"))
+    t = _totals({"silver": costs.select(sub, F.col(cols.cost_amount).alias("amount")),
+                 "gold": fct.select(sub, F.col("cost_amount").alias("amount")),
+                 "orphan": orphan_costs(costs, invoicing, cols).select(sub, F.col("cost_amount").alias("amount"))}, sub)
+    return t.select(F.col(sub), *[F.col(c).cast("double").alias(f"{c}_cost") for c in ("silver", "gold", "orphan")],
+                    (F.col("silver") - F.col("gold") - F.col("orphan")).cast("double").alias("difference"))
 
 
 def orphan_costs(costs: DataFrame, invoicing: DataFrame, cols: BillingColumns = COLS) -> DataFrame:

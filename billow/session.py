@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -121,3 +121,10 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([root, "billow", uuid.uuid4().hex, *parts])
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared scratch folder and read back, so that its lineage ends there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

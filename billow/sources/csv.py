@@ -11,13 +11,18 @@ file order needs one.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from billow.functions.text import normalise_dataset_name, null_tokens_to_null
+from billow.session import stored
+from billow.sources import records
 from billow.spec import NULL_TOKENS, ORDINAL
 
 
@@ -111,6 +116,13 @@ ORDINAL_TYPE = StructType([StructField("file", StringType()),
 
 # RFC 4180 quoting: a quote inside a quoted field is doubled.
 DIALECT = {"quote": '"', "escape": '"'}
+#: Text of a record with more fields than the header.
+MALFORMED = "_malformed"
+FROM_CSV = DIALECT | {"multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+
+
+def _ordinal(file: Column, offset: Column, row: Column) -> Column:
+    return F.struct(natural_order(file).alias("file"), offset.alias("offset"), row.alias("row")).alias(ORDINAL)
 
 
 def natural_order(path: Column) -> Column:
@@ -120,51 +132,118 @@ def natural_order(path: Column) -> Column:
     return F.regexp_replace(padded, r"(?<!\d)0*?(\d{20})(?!\d)", "$1")
 
 
-def has_quoted_breaks(spark: SparkSession, path: str | Sequence[str]) -> bool:
-    """Whether a line of the files holds an odd number of quotes: a quoted field goes on after it."""
-    odd = F.length(F.regexp_replace("value", '[^"]+', "")) % 2 == 1
-    return not spark.read.text(path if isinstance(path, str) else list(path)).where(odd).isEmpty()
+def csv_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """The data files under ``path`` (a listing; nothing is read)."""
+    return [_plain(f) for f in spark.read.text(path if isinstance(path, str) else list(path)).inputFiles()]
 
 
-def _with_ordinal(df: DataFrame) -> DataFrame:
-    return df.select(
-        "*",
-        F.struct(
-            natural_order(F.col("_metadata.file_path")).alias("file"),
-            F.col("_metadata.file_block_start").alias("offset"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias(ORDINAL),
-    )
+def _plain(path: str) -> str:
+    """One spelling of a path: without escapes, ``file:/x`` for ``file:///x``."""
+    return re.sub(r"^file:/+", "file:/", unquote(path))
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None,
-             null_tokens: Sequence[str] = NULL_TOKENS, with_ordinal: bool = True,
-             multiline: bool | None = None) -> DataFrame:
-    """Header CSV -> typed DataFrame with null tokens and an optional row ordinal.
+def field_count(record: Column) -> Column:
+    """Fields of a record: commas outside quoted fields, and one."""
+    bare = F.regexp_replace(record, r'(?s)(?<=^|,)"(?:[^"]++|"")*+"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
+
+
+def _extra_fields(df: DataFrame, n_columns: int) -> DataFrame:
+    """``MALFORMED`` stays only where a record has more fields than the header (short ones are filled with nulls)."""
+    extra = F.col(MALFORMED).isNotNull() & (field_count(F.col(MALFORMED)) > n_columns)
+    # Spark refuses a scan of this column alone: name another one beside it
+    text = F.concat(MALFORMED, F.substring(F.coalesce(F.col(f"`{df.columns[0]}`"), F.lit("")), 1, 0))
+    return df.withColumn(MALFORMED, F.when(extra, text))
+
+
+def _text_schema(names: Sequence[str]) -> StructType:
+    return StructType([StructField(n, StringType()) for n in (*names, MALFORMED)])
+
+
+def _scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Splittable scan of files without quoted line breaks."""
+    reader = spark.read.options(**DIALECT).option("header", True).option("inferSchema", False)
+    names = reader.csv(list(paths)).columns
+    # a malformed record is only seen when all fields are parsed, so columns are not pruned
+    raw = (reader.option("mode", "PERMISSIVE").option("enforceSchema", False).option("columnPruning", False)
+           .option("columnNameOfCorruptRecord", MALFORMED).schema(_text_schema(names)).csv(list(paths)))
+    return _extra_fields(raw.select("*", _ordinal(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+                                                  F.monotonically_increasing_id())), len(names))
 
-    Files whose headers differ are an error (``enforceSchema`` off), never read by
-    position.  ``multiline=None`` looks for quoted line breaks first and keeps files
-    without any splittable.
+
+def _scan_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Scan of files with quoted line breaks: records put together from the lines of all splits."""
+    names = (spark.read.options(**DIALECT).option("header", True).option("inferSchema", False)
+             .option("multiLine", True).csv(paths[0]).columns)
+    found = records.records(spark, paths, stored)
+    heads = stored(found.groupBy("file").agg(F.min(F.struct("offset", "row", "text")).alias("head")), "csv_heads")
+    numbered = [f"c{i}" for i in range(len(names))]  # any text may be a name
+    as_row = lambda c: F.from_csv(c, F.lit(", ".join(f"{n} string" for n in (*numbered, MALFORMED))), FROM_CSV)
+    cells = F.array(*[F.lower(F.col("row").getField(n)) for n in numbered])
+    other = heads.select("file", as_row(F.regexp_replace("head.text", "^\ufeff", "")).alias("row")) \
+        .where(F.col("row").getField(MALFORMED).isNotNull() | ~cells.eqNullSafe(F.array(*[F.lit(n.lower()) for n in names]))).first()
+    if other is not None:
+        raise ValueError(f"the header of {other.file} differs: {names} expected")
+    first = heads.select("file", F.col("head.offset").alias("__offset"), F.col("head.row").alias("__row"))
+    body = found.join(first, "file").where("offset <> __offset OR row <> __row")  # one row a file: Spark broadcasts it if small
+    body = body.select(as_row(F.col("text")).alias("__r"), _ordinal(F.col("file"), F.col("offset"), F.col("row")))
+    return _extra_fields(body.select(*[F.col("__r").getField(c).alias(n) for c, n in zip((*numbered, MALFORMED), (*names, MALFORMED))], ORDINAL), len(names))
+
+
+def read_records(spark: SparkSession, path: str | Sequence[str], multiline: bool | None = None) -> DataFrame:
+    """Every field as text, the row ordinal, and ``MALFORMED``: the record's text where it has more fields than the header.
+
+    Files whose headers differ are an error (``enforceSchema`` off), never read by position.
+    ``multiline``: None looks which files hold quoted line breaks; True takes it that all may, False that none does.
+    Either way every file is read by as many tasks as it has splits.
     """
-    if multiline is None:
-        multiline = has_quoted_breaks(spark, path)
-    raw = (spark.read.options(**DIALECT).option("header", True).option("inferSchema", False)
-           .option("multiLine", multiline).option("mode", "PERMISSIVE").option("enforceSchema", False)
-           .csv(path if isinstance(path, str) else list(path)))
-    if with_ordinal:
-        raw = _with_ordinal(raw)
+    paths = [path] if isinstance(path, str) else list(path)
+    if multiline is False:
+        return _scan(spark, paths)
+    files = csv_files(spark, paths)
+    broken = set(files if multiline else map(_plain, records.files_with_breaks(spark, paths)))
+    parts = [_scan(spark, paths)] if not broken else []
+    if broken:
+        whole = [f for f in files if f not in broken]
+        parts = [_scan_records(spark, sorted(broken)), *([_scan(spark, whole)] if whole else [])]
+    if len(parts) == 2 and [c.lower() for c in parts[0].columns] != [c.lower() for c in parts[1].columns]:
+        raise ValueError(f"headers differ: {parts[0].columns[:-2]} and {parts[1].columns[:-2]}")
+    return reduce(DataFrame.union, parts)
+
+
+def typed(raw: DataFrame, schema: StructType | None, null_tokens: Sequence[str] = NULL_TOKENS) -> tuple[dict[str, Column], dict[str, Column]]:
+    """(column -> its value: null tokens to null, known columns cast; column -> whether the cast lost its text)."""
     types = {f.name.lower(): f.dataType for f in (schema.fields if schema else [])}
-    out = []
+    values, lost = {}, {}
     for name in raw.columns:
-        if name == ORDINAL:
-            out.append(F.col(name))
+        if name == MALFORMED:
             continue
-        c = null_tokens_to_null(F.col(f"`{name}`"), tuple(null_tokens))
-        dtype = types.get(name.lower())
-        if dtype is not None and not isinstance(dtype, StringType):
-            c = c.try_cast(dtype)
-        out.append(c.alias(name))
-    return raw.select(*out)
+        c = F.col(f"`{name}`")
+        if name != ORDINAL:
+            c = null_tokens_to_null(c, tuple(null_tokens))
+            dtype = types.get(name.lower())
+            if dtype is not None and not isinstance(dtype, StringType):
+                lost[name] = c.isNotNull() & c.try_cast(dtype).isNull()
+                c = c.try_cast(dtype)
+        values[name] = c.alias(name)
+    return values, lost
+
+
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None,
+             null_tokens: Sequence[str] = NULL_TOKENS, with_ordinal: bool = True,
+             multiline: bool | None = None, malformed: str = "raise") -> DataFrame:
+    """Header CSV -> typed DataFrame with null tokens and an optional row ordinal.
+
+    ``malformed``: what becomes of records with more fields than the header: "raise" stops the job
+    that reads them, "keep" keeps them with their text in the column ``MALFORMED``.
+    """
+    raw = read_records(spark, path, multiline)
+    values, _ = typed(raw, schema, null_tokens)
+    if malformed == "raise":
+        text = F.concat(F.lit("record with more fields than the header: "), F.substring(MALFORMED, 1, 200))
+        raw = raw.where(F.when(F.col(MALFORMED).isNull(), True).otherwise(F.raise_error(text).cast("boolean")))
+    keep = [c for n, c in values.items() if with_ordinal or n != ORDINAL]
+    return raw.select(*keep, *([MALFORMED] if malformed == "keep" else []))
 
 
 def read_csv_inferred(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> DataFrame:

@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from billow.sources.csv import list_csv_datasets, path_exists, read_csv
+from billow.sources.csv import MALFORMED, list_csv_datasets, path_exists, read_records, typed
+from billow.sources.manifest import schema_hash
+from billow.spec import ORDINAL
 
 
 @dataclass(frozen=True)
@@ -60,12 +62,9 @@ def run_concurrently(tasks: Mapping[str, Callable[[], object]],
         return {name: f.result() for name, f in futures.items()}
 
 
-def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def write_layer(df: DataFrame, path: str) -> None:
     """Overwrite a layer table as Parquet (also when it has 0 rows)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    df.write.mode("overwrite").parquet(path)
 
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame | None:
@@ -80,21 +79,57 @@ def write_observed(df: DataFrame, path: str, name: str) -> int:
     return int(obs.get["rows"])
 
 
-def ingest(spark: SparkSession, raw: str, bronze: str,
-           schemas: Mapping[str, StructType] | None = None, multiline: bool = False) -> dict[str, int]:
+@dataclass(frozen=True)
+class Ingested:
+    """What one dataset's ingest wrote and what it could not keep."""
+
+    rows: int
+    malformed: int                                          # records in quarantine
+    losses: dict[str, int] = field(default_factory=dict)    # column -> values that its cast nulled
+    schema_hash: str = ""
+
+
+def quarantine(bronze: str, name: str) -> str:
+    """Table of the records of ``name`` with more fields than the header: their text and ordinal."""
+    return f"{bronze}/_quarantine/{name}"
+
+
+def ingest_dataset(spark: SparkSession, path: str, bronze: str, name: str, schema: StructType | None = None,
+                   multiline: bool | None = None) -> Ingested:
+    """One raw CSV dataset -> ``bronze/name``.
+
+    Missing-value tokens become null, known columns get their types, and the row ordinal is
+    stored so later stages need not rebuild it.  Records with more fields than the header go to the
+    quarantine table (written only if there are any, else removed).  Rows, malformed records and values
+    that a cast turned to null are counted by the tasks that write bronze, so a retried task counts once.
+    """
+    raw = read_records(spark, path, multiline)
+    values, lost = typed(raw, schema)
+    good = F.col(MALFORMED).isNull()
+    names = {f"lost_{i}": n for i, n in enumerate(lost)}
+    obs = Observation(f"ingest_{name}")
+    seen = raw.observe(obs, F.count_if(good).alias("rows"), F.count_if(~good).alias("malformed"),
+                       *[F.count_if(good & lost[n]).alias(k) for k, n in names.items()])
+    df = seen.where(good).select(*values.values())
+    write_layer(df, f"{bronze}/{name}")
+    counts = obs.get
+    bad = raw.where(~good).select(F.col(MALFORMED).alias("record"), ORDINAL)
+    if counts["malformed"]:
+        write_layer(bad, quarantine(bronze, name))
+    elif path_exists(spark, quarantine(bronze, name)):
+        write_layer(spark.createDataFrame([], bad.schema), quarantine(bronze, name))  # an earlier run's records
+    return Ingested(int(counts["rows"]), int(counts["malformed"]), {n: int(counts[k]) for k, n in names.items()}, schema_hash(df))
+
+
+def ingest(spark: SparkSession, raw: str, bronze: str, schemas: Mapping[str, StructType] | None = None,
+           multiline: bool | None = None) -> dict[str, Ingested]:
     """Every raw ``*.csv`` -> bronze Parquet of the same (normalised) name.
 
-    Missing-value tokens become null, known columns get their types, and the
-    row ordinal is stored so later stages need not rebuild it.  Returns the
-    row count written per dataset.  ``multiline``: quoted fields may hold line
-    breaks (each file is then read by one task, as it cannot be split).
+    ``multiline``: None looks which files hold quoted line breaks (a pass over the text); False takes
+    it that none does.  Every file is read by as many tasks as it has splits either way.
     """
     schemas = schemas or {}
-
-    def one(name: str, path: str) -> Callable[[], int]:
-        return lambda: write_observed(read_csv(spark, path, schemas.get(name), multiline=multiline),
-                                      f"{bronze}/{name}", f"ingest_{name}")
-    return run_concurrently({name: one(name, path)
+    return run_concurrently({name: (lambda n=name, p=path: ingest_dataset(spark, p, bronze, n, schemas.get(n), multiline))
                              for name, path in list_csv_datasets(spark, raw).items()})
 
 

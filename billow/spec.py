@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from pyspark.sql.types import DoubleType, StructField, StructType
+
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for the same results.
 # ---------------------------------------------------------------------------
@@ -36,13 +38,6 @@ COST_KEEP_LAST_KEY = ("subscription_id", "month")
 CHURN_STATUS_PATTERN = "cancel|terminate|churn"
 # Sales tags look like "type:detail"; the sale type is the part before this.
 TAG_DELIMITER = ":"
-# Status values of the billing system.
-STATUS_VALUES = (
-    "SUBSCRIPTION_STATUS_ACTIVATED",
-    "SUBSCRIPTION_STATUS_PENDING",
-    "SUBSCRIPTION_STATUS_CANCELLED",
-    "SUBSCRIPTION_STATUS_PAUSED",
-)
 # Text read as null from CSV (the default missing-value tokens of pandas' CSV reader).
 NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -106,6 +101,15 @@ def billing_specs(order_by: tuple[str, ...] = (ORDINAL,)) -> dict[str, DatasetSp
     }
 
 
+# Columns that are numbers in the billing exports; the rest stays text.
+AMOUNT_COLUMNS = {"invoicing": ("calculated_cost",), "costs": ("Cost",)}
+
+
+def billing_schemas() -> dict[str, StructType]:
+    """Types of the columns that are not text, by dataset."""
+    return {name: StructType([StructField(c, DoubleType()) for c in cols]) for name, cols in AMOUNT_COLUMNS.items()}
+
+
 @dataclass(frozen=True)
 class BillingColumns:
     """Column names the gold marts use; override to run on other schemas."""

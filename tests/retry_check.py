@@ -48,6 +48,30 @@ def main(sf_dir: str, flag_dir: str) -> None:
     failing = csvsrc.read_csv(spark, path).where(F.udf(fail_once, BooleanType())("subscription_id"))
     second = sorted(map(repr, dedup.keep_last(failing, ["subscription_id", "month"]).collect()))
     assert os.path.exists(flag) and first == second, "keep-last differs after retry"
+    # 3) dropped-row counts with a failure in a map task of the subscriptions plan
+    from billow.plans import pipeline
+    from billow.sources import layers
+    from billow.spec import billing_specs
+    root = os.path.join(flag_dir, "run")
+    subs = spark.createDataFrame([(f"S{i % 40}" if i % 9 else None, "C1", "SUBSCRIPTION_STATUS_PAUSED") for i in range(200)],
+                                 "subscription_id string, Customer string, status string").repartition(4)
+    tags = spark.createDataFrame([(f"S{i % 40}", f"type{i % 3}:x") for i in range(120)], "subscription_id string, tag string")
+    csvsrc.write_csv(subs, f"{root}/raw/Subscriptions.csv")
+    csvsrc.write_csv(tags, f"{root}/raw/Sales tags.csv")
+    run = layers.Layers(root)
+    pipeline.ingest(spark, run.raw, run.bronze)
+    specs = {"subscriptions": billing_specs()["subscriptions"]}
+    good = pipeline.transform(spark, run, specs, datasets={"subscriptions", "sales_tags"})
+    plain_read = pipeline.read_layer
+
+    def failing_read(s, path):
+        df = plain_read(s, path)
+        return df.where(F.udf(fail_once, BooleanType())(df.columns[0])) if "/bronze/" in path else df
+    for name in ("subscriptions", "sales_tags"):
+        os.remove(flag)
+        pipeline.read_layer = lambda s, path, n=name: failing_read(s, path) if path.endswith(n) else plain_read(s, path)
+        again = pipeline.transform(spark, run, specs, datasets={"subscriptions", "sales_tags"})
+        assert os.path.exists(flag) and again.steps == good.steps and again.silver == good.silver, (again.steps, good.steps)
     print("RETRY_OK", len(got), len(first), flush=True)
 
 
