@@ -4,12 +4,18 @@
 by patterns in every whole text.  The patterns run in linear time: possessive
 repeats, and starts only where a leftmost match can start.
 
-*Method.*  The found values are protected entities.  Over the lines of the whole
-corpus, a term t that stands in lines of entity e has the pointwise mutual
-information PMI = log2(lines * co(t, e) / (lines(t) * lines(e))), against the
-entity's own information IC = -log2(lines(e) / lines).  A term discloses e where
-PMI >= ``ALPHA`` * IC, seen in at least ``SUPPORT`` different lines (copies of a
-line are one).  Disclosing terms are spans of kind ``term`` wherever they occur.
+*Method.*  The found values are protected, and so is what they have in common: an
+entity is a value itself, its domain, network, issuer or area (``VIEWS``), its
+kind, or any of them.  Over the distinct texts of the whole corpus, an entity e has the
+information content IC = -log2(texts(e) / texts).  A term t that stands in texts
+with e says of it PMI = log2(share / (texts(e) / texts)), where share =
+both(t, e) / (texts(t) + ``PRIOR``) leans rare terms towards saying nothing.  A term
+discloses e where PMI >= ``ALPHA`` * IC, in at least ``SUPPORT`` texts with e and in
+different lines (a line that copies share is one).  Disclosing terms are
+spans of kind ``term`` wherever they occur.
+
+A term is a lower-cased word with a letter, without punctuation at its ends; words
+with an @ are none.
 
 ``sanitise`` rewrites the texts: base spans become their kind in brackets, a
 disclosing term becomes its generalisation where the caller's table has one that
@@ -27,8 +33,9 @@ from pyspark.sql import functions as F
 
 from billow.llm.common import WS, stored
 
-ALPHA = 0.95
-SUPPORT = 3
+ALPHA = 0.8
+SUPPORT = 6
+PRIOR = 2
 #: Rows of a lookup that Spark is asked to broadcast at most; beyond, it joins by shuffle.
 BROADCAST_ROWS = 100_000
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -49,6 +56,9 @@ VALID = {
         0L, (a, x) -> a + x) % 10 = 0""",
     "phone": "length(regexp_replace(m, '[^0-9]', '')) BETWEEN 9 AND 15",
 }
+#: What several values share, by kind.
+VIEWS = {"email": "lower(substring_index(s.m, '@', -1))", "ip": "substring_index(s.m, '.', 2)", "card": "left(regexp_replace(s.m, '[^0-9]', ''), 6)",
+         "phone": "left(regexp_replace(s.m, '[^0-9]', ''), 4)"}
 STEP = 256
 SPAN = "struct<start:bigint,kind:int,end:bigint,m:string>"
 
@@ -91,39 +101,9 @@ def joined(spans: str) -> Column:
 
 
 def terms(text: str) -> Column:
-    """Distinct words with a letter, lower-cased, without punctuation at their ends, outside all base patterns."""
-    bare = F.lower(F.col(text))
-    for p in PATTERNS.values():
-        bare = F.regexp_replace(bare, p, " ")
-    bare = F.regexp_replace(bare, r"[^\p{L}\p{N}\x20\x09-\x0D]++(?=[\x20\x09-\x0D]|$)|(?<![^\x20\x09-\x0D])[^\p{L}\p{N}\x20\x09-\x0D]++", "")
-    return F.filter(F.array_distinct(F.split(bare, WS)), lambda w: w.rlike(r"\p{L}"))
-
-
-def lines_of(docs: DataFrame) -> DataFrame:
-    return docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("text")).where(F.length("text") > 0)
-
-
-def disclosing_terms(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
-    """term, entity (hash), share of the term's lines that hold the entity, for terms that disclose an entity."""
-    lines = lines_of(docs)
-    # lines without a valid match end with no entity: a filter on the spans would be pushed down and repeat them
-    marked = base_spans(lines.where(" OR ".join(f"({n})" for n in NEEDS.values())))
-    held = stored(marked.select(F.xxhash64("text").alias("line"), F.expr("array_distinct(transform(base, s -> xxhash64(s.kind, lower(s.m))))").alias("entities"),
-                                terms("text").alias("terms")), "pii_lines")
-    each = held.select("line", F.explode("entities").alias("entity"), "terms")
-    pairs = each.select("line", "entity", F.explode("terms").alias("term")).groupBy("entity", "term", "line").agg(F.count("*").alias("n"))
-    pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("different"), F.sum("n").alias("both")).where(F.col("different") >= support)
-    pairs = stored(pairs, "pii_pairs")
-    if pairs.isEmpty():
-        return pairs.select("term", "entity", F.lit(1.0).alias("share"))
-    of_entity = each.groupBy("entity").agg(F.count("*").alias("of_entity"))
-    asked = pairs.select("term").distinct()
-    of_term = lines.select(F.explode(terms("text")).alias("term")).groupBy("term").agg(F.count("*").alias("of_term")).join(asked, "term", "left_semi")
-    n = lines.count()
-    pmi = pairs.join(of_entity, "entity").join(of_term, "term").withColumns({
-        "pmi": F.log2(n * F.col("both") / (F.col("of_term") * F.col("of_entity"))), "ic": -F.log2(F.col("of_entity") / n)})
-    return stored(pmi.where((F.col("ic") > 0) & (F.col("pmi") >= alpha * F.col("ic")))
-                  .select("term", "entity", (F.col("both") / F.col("of_term")).alias("share")), "pii_terms")
+    """Distinct words with a letter, lower-cased, without punctuation at their ends; none with an @."""
+    bare = F.regexp_replace(F.lower(F.col(text)), r"[^\p{L}\p{N}\x20\x09-\x0D]++(?=[\x20\x09-\x0D]|$)|(?<![^\x20\x09-\x0D])[^\p{L}\p{N}\x20\x09-\x0D]++", "")
+    return F.filter(F.array_distinct(F.split(bare, WS)), lambda w: w.rlike(r"\p{L}") & ~F.contains(w, F.lit("@")))
 
 
 def row_keys(docs: DataFrame) -> DataFrame:
@@ -131,16 +111,52 @@ def row_keys(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"k1": F.xxhash64(text), "k2": F.xxhash64(F.lit(1), text)})
 
 
-def term_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """k1, k2, text: each text once, however many documents hold it (copies meet already in the tasks that read them)."""
+    rows = row_keys(docs.select(F.coalesce("text", F.lit("")).alias("text")))
+    return stored(rows.groupBy("k1", "k2").agg(F.first("text").alias("text")), "pii_texts")
+
+
+def entities(spans: str = "base") -> Column:
+    """Hashes of the values, what they share, their kinds, and of any of them."""
+    view = "CASE s.kind " + " ".join(f"WHEN {i} THEN {VIEWS[k]}" for i, k in enumerate(PATTERNS)) + " END"
+    return F.expr(f"""IF(size({spans}) = 0, array(), array_distinct(concat(array(xxhash64('any')), flatten(transform({spans}, s -> array(
+        xxhash64('value', s.kind, lower(s.m)), xxhash64('view', s.kind, {view}), xxhash64('kind', s.kind)))))))""")
+
+
+def _bounded(df: DataFrame) -> DataFrame:
+    """``df`` (a stored table), broadcast if it has at most ``BROADCAST_ROWS`` rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def disclosing_terms(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT, texts: DataFrame | None = None) -> DataFrame:
+    """term, entity (hash), share of the term's texts that hold the entity, for terms that disclose an entity."""
+    texts = distinct_texts(docs) if texts is None else texts
+    # texts without a valid match end with no entity: a filter on the spans would be pushed down and repeat them
+    marked = base_spans(texts.where(" OR ".join(f"({n})" for n in NEEDS.values())))
+    held = stored(marked.select("k1", "text", entities().alias("entities")), "pii_held")
+    each = held.select("k1", F.explode("entities").alias("entity"))
+    of_entity = each.groupBy("entity").agg(F.count("*").alias("of_entity")).where(F.col("of_entity") >= support)
+    lines = held.where("size(entities) > 0").select("k1", "entities", F.explode(F.split("text", "\n")).alias("line"))
+    words = lines.select("k1", "entities", F.xxhash64("line").alias("line"), F.explode(terms("line")).alias("term"))
+    # one row for a term and a text: first and last hash of the lines that hold it there
+    words = words.groupBy("k1", "term").agg(F.first("entities").alias("entities"), F.min("line").alias("least"), F.max("line").alias("most"))
+    pairs = words.select("term", "least", "most", F.explode("entities").alias("entity")).groupBy("entity", "term").agg(
+        F.count("*").alias("both"), F.min("least").alias("least"), F.max("most").alias("most"))
+    pairs = stored(pairs.where((F.col("both") >= support) & (F.col("least") < F.col("most"))).select("entity", "term", "both").join(of_entity, "entity"), "pii_pairs")
+    n = texts.count()
+    asked = _bounded(stored(pairs.select("term").distinct(), "pii_asked"))
+    of_term = texts.select(F.explode(terms("text")).alias("term")).join(asked, "term", "left_semi").groupBy("term").agg(F.count("*").alias("of_term"))
+    share = F.col("both") / (F.col("of_term") + PRIOR)
+    pmi = pairs.join(of_term, "term").withColumns({"share": share, "pmi": F.log2(n * share / F.col("of_entity")), "ic": -F.log2(F.col("of_entity") / n)})
+    return stored(pmi.where((F.col("ic") > 0) & (F.col("pmi") >= alpha * F.col("ic"))).select("term", "entity", "share"), "pii_terms")
+
+
+def term_spans(texts: DataFrame, found: DataFrame) -> DataFrame:
     """k1, k2 (text key) and term_spans of every text that holds a disclosing term."""
-    asked = found.select("term").distinct()
-    if asked.count() <= BROADCAST_ROWS:
-        asked = F.broadcast(asked)
-    texts = row_keys(docs.select(F.coalesce("text", F.lit("")).alias("text")))
-    # each line's words outside base patterns, as they were counted
-    hits = texts.select("k1", "k2", F.explode(F.split("text", "\n")).alias("line")).select("k1", "k2", F.explode(terms("line")).alias("term")) \
-        .join(asked, "term").select("k1", "k2", "term").distinct().groupBy("k1", "k2").agg(F.sort_array(F.collect_list("term")).alias("terms"))
-    kept = texts.join(hits, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    asked = _bounded(stored(found.select("term").distinct(), "pii_found"))
+    hits = texts.select("k1", "k2", F.explode(terms("text")).alias("term")).join(asked, "term").groupBy("k1", "k2").agg(F.sort_array(F.collect_list("term")).alias("terms"))
+    kept = texts.join(_bounded(stored(hits, "pii_hits")), ["k1", "k2"])
     # term words hold letters, digits and inner punctuation: quoted, longest first, case folded as lower() does
     kept = kept.withColumn("pattern", F.expr(r"""concat('(?iu)(?<![\\p{L}\\p{N}])(?:', array_join(transform(array_sort(terms, (x, y) -> length(y) - length(x)),
         t -> regexp_replace(t, '([^\\p{L}\\p{N}])', '\\\\$1')), '|'), ')(?![\\p{L}\\p{N}])')"""))
@@ -148,31 +164,32 @@ def term_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     return spans.select("k1", "k2", F.expr("filter(term_spans, t -> NOT exists(base, b -> t.start < b.end AND b.start < t.end))").alias("term_spans"))
 
 
-def all_spans(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, base span arrays and term_spans of every row with its text key, disclosing terms)."""
-    found = disclosing_terms(docs, alpha, support)
-    rows = row_keys(base_spans(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))))
+def all_spans(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id and text key of every row; key, text, base span arrays and term_spans of every distinct text; disclosing terms)."""
+    texts = distinct_texts(docs)
+    found = disclosing_terms(docs, alpha, support, texts)
+    rows = base_spans(texts)
     if found.isEmpty():
-        return rows.withColumn("term_spans", F.expr(f"CAST(array() AS array<{SPAN}>)")), found
-    more = stored(term_spans(docs, found), "pii_term_spans")
-    if more.count() <= BROADCAST_ROWS:
-        more = F.broadcast(more)
-    rows = rows.join(more, ["k1", "k2"], "left").withColumn("term_spans", F.coalesce("term_spans", F.expr(f"CAST(array() AS array<{SPAN}>)")))
-    return rows, found
+        rows = rows.withColumn("term_spans", F.expr(f"CAST(array() AS array<{SPAN}>)"))
+    else:
+        more = _bounded(stored(term_spans(texts, found), "pii_term_spans"))
+        rows = rows.join(more, ["k1", "k2"], "left").withColumn("term_spans", F.coalesce("term_spans", F.expr(f"CAST(array() AS array<{SPAN}>)")))
+    return row_keys(docs.select("doc_id", "text")).select("doc_id", "k1", "k2"), rows, found
 
 
 def find_personal_data(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
-    """doc_id, counts by kind, digest of the base spans, all spans, and the number of disclosing terms found."""
-    rows, _ = all_spans(docs, alpha, support)
+    """doc_id, counts by kind, digest of the base spans, all spans, and the numbers of disclosing terms and of all spans."""
+    keys, rows, _ = all_spans(docs, alpha, support)
     rows = rows.withColumn("every", F.expr("array_sort(concat(base, term_spans))"))
-    return rows.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in PATTERNS],
-                       F.sha2(joined("base"), 256).alias("base_sha256"), joined("every").alias("spans"), F.size("term_spans").cast("long").alias("n_term"))
+    of_text = rows.select("k1", "k2", *[F.size(k).cast("long").alias(f"n_{k}") for k in PATTERNS], F.sha2(joined("base"), 256).alias("base_sha256"),
+                          joined("every").alias("spans"), F.size("term_spans").cast("long").alias("n_term"), F.size("every").cast("long").alias("n_spans"))
+    return keys.join(of_text, ["k1", "k2"]).drop("k1", "k2")
 
 
 def sanitise(docs: DataFrame, generalisations: DataFrame | None = None, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
     """doc_id and the text without personal data and disclosing terms.  generalisations: (term, general), at most
     ``BROADCAST_ROWS`` rows; of several for a term the alphabetically first that does not disclose anything."""
-    rows, found = all_spans(docs, alpha, support)
+    keys, rows, found = all_spans(docs, alpha, support)
     table = F.expr("map()").cast("map<string,string>")
     if generalisations is not None:
         usable = generalisations.select(F.lower("term").alias("term"), "general").where("term IS NOT NULL AND general IS NOT NULL")
@@ -186,4 +203,4 @@ def sanitise(docs: DataFrame, generalisations: DataFrame | None = None, alpha: f
         (a, s) -> IF(s.start >= a.at, named_struct('at', s.end, 'out', concat(a.out, substring(text, CAST(a.at + 1 AS INT), CAST(s.start - a.at AS INT)),
             IF(s.kind < 4, {names}[least(s.kind, 3)], coalesce(general_of[lower(s.m)], '')))), named_struct('at', greatest(a.at, s.end), 'out', a.out)),
         a -> concat(a.out, substring(text, CAST(a.at + 1 AS INT))))""")
-    return rows.select("doc_id", text.alias("text"))
+    return keys.join(rows.select("k1", "k2", text.alias("text")), ["k1", "k2"]).select("doc_id", "text")
