@@ -28,7 +28,7 @@ from billow.plans.pipeline import run_pipeline
 from billow.session import scratch_path
 from billow.sources import csv as csvsrc
 from billow.sources import layers, roles
-from billow.spec import ORDINAL, billing_specs
+from billow.spec import ORDINAL, billing_schemas, billing_specs
 
 SF0001 = "/root/testdata/sf0.001"
 LOOKUP_ID = 7
@@ -111,6 +111,39 @@ def q_ingest_roundtrip(spark, d):
     return _data(spark.read.parquet(f"{root}/bronze/customers"))
 
 
+_LOSS_COLS = "dataset string, measure string, column_name string, value long"
+
+
+def q_ingest_losses(spark, d):
+    """Line items as a billing export with quoted line breaks, amounts that are no numbers and records with an
+    extra field: what bronze holds and what was counted as lost."""
+    root = scratch_path(spark, "losses")
+    li = roles.table(spark, d, "lineitem")
+    note = F.when(F.col("l_suppkey") % 20 == 0, F.lit('"two\nlines, ""quoted"""')).when(F.col("l_suppkey") % 20 == 1, F.lit('5" pipe')).otherwise(F.col("l_returnflag"))
+    amount = F.when(F.col("l_partkey") % 50 == 0, F.lit('"1,234.50"')).when(F.col("l_partkey") % 50 == 1, F.lit("NA")).otherwise(F.col("l_quantity").cast("string"))
+    extra = F.when(F.col("l_orderkey") % 40 == 3, F.lit(",EXTRA")).otherwise(F.lit(""))
+    record = F.concat_ws(",", F.col("l_orderkey").cast("string"), note, amount)
+    first = F.expr("monotonically_increasing_id() & 8589934591 = 0")  # the header stands before the first record of each file
+    lines = li.select(F.concat(F.when(first, F.lit("subscription_id,note,calculated_cost\n")).otherwise(F.lit("")), record, extra).alias("value"))
+    lines.write.text(f"{root}/raw/Invoicing.csv")
+    done = layers.ingest(spark, f"{root}/raw", f"{root}/bronze", billing_schemas())["invoicing"]
+    bronze = spark.read.parquet(f"{root}/bronze/invoicing")
+    counted = spark.createDataFrame([("invoicing", "rows", None, done.rows), ("invoicing", "malformed_rows", None, done.malformed),
+                                     *[("invoicing", "lost_values", c, n) for c, n in done.losses.items()]], _LOSS_COLS)
+    kept = bronze.agg(F.count_if(F.col("note") == 'two\nlines, "quoted"').alias("b"), F.count_if(F.col("note") == '5" pipe').alias("p"),
+                      F.count("calculated_cost").alias("c"), F.sum(F.col("calculated_cost").cast("decimal(20,2)")).cast("long").alias("s"))
+    kept = kept.select(F.expr("""inline(array(
+        named_struct('dataset', 'invoicing', 'measure', 'notes_with_break', 'column_name', 'note', 'value', b),
+        named_struct('dataset', 'invoicing', 'measure', 'notes_with_plain_quote', 'column_name', 'note', 'value', p),
+        named_struct('dataset', 'invoicing', 'measure', 'amounts', 'column_name', 'calculated_cost', 'value', c),
+        named_struct('dataset', 'invoicing', 'measure', 'whole_total', 'column_name', 'calculated_cost', 'value', s)))"""))
+    bad = spark.read.parquet(layers.quarantine(f"{root}/bronze", "invoicing")) if done.malformed else None
+    if bad is None:
+        return counted.unionByName(kept)
+    return counted.unionByName(kept).unionByName(bad.agg(F.count_if(F.col("record").endswith(",EXTRA")).alias("value")).select(
+        F.lit("invoicing").alias("dataset"), F.lit("quarantined_records").alias("measure"), F.lit(None).cast("string").alias("column_name"), "value"))
+
+
 def _part_csv(spark, d):
     path = scratch_path(spark, "part.csv")
     csvsrc.write_csv(roles.table(spark, d, "part"), path)
@@ -399,6 +432,7 @@ def q_reconcile_sales(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_roundtrip": q_ingest_roundtrip,
+    "ingest_losses": q_ingest_losses,
     "csv_inferred": q_csv_inferred,
     "csv_all_strings": q_csv_all_strings,
     "csv_folder_scan": q_csv_folder_scan,
@@ -460,10 +494,8 @@ def entry(spark: SparkSession) -> DataFrame:
 try:
     import corpus_pipeline as _pipeline
     from billow.llm import queries as _llm
-except ModuleNotFoundError as err:
-    if err.name not in ("corpus_pipeline", "billow.llm"):
-        raise
-    _pipeline = _llm = None  # the training-data subpackage is not installed
+except ImportError:
+    _pipeline = _llm = None  # the training-data subpackage, or a library of it, is not installed
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -614,6 +646,15 @@ def _dq_rows(ds: str, silver: str, bronze: str, keys: list[str], cols: str) -> s
 
 ORACLE = {
     "ingest_roundtrip": CTES["cust"],
+    "ingest_losses": """WITH r AS (SELECT *, l_orderkey % 40 = 3 AS extra FROM lineitem), g AS (SELECT * FROM r WHERE NOT extra)
+        SELECT 'invoicing' AS dataset, 'rows' AS measure, CAST(NULL AS VARCHAR) AS column_name, count(*) AS value FROM g
+        UNION ALL SELECT 'invoicing', 'malformed_rows', NULL, count(*) FROM r WHERE extra
+        UNION ALL SELECT 'invoicing', 'lost_values', 'calculated_cost', count(*) FROM g WHERE l_partkey % 50 = 0
+        UNION ALL SELECT 'invoicing', 'notes_with_break', 'note', count(*) FROM g WHERE l_suppkey % 20 = 0
+        UNION ALL SELECT 'invoicing', 'notes_with_plain_quote', 'note', count(*) FROM g WHERE l_suppkey % 20 = 1
+        UNION ALL SELECT 'invoicing', 'amounts', 'calculated_cost', count(*) FROM g WHERE l_partkey % 50 > 1
+        UNION ALL SELECT 'invoicing', 'whole_total', 'calculated_cost', CAST(sum(l_quantity) AS BIGINT) FROM g WHERE l_partkey % 50 > 1
+        UNION ALL SELECT 'invoicing', 'quarantined_records', NULL, count(*) FROM r WHERE extra""",
     "csv_inferred": ("SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size, "
                      "p_retailprice FROM part"),
     "csv_all_strings": ("SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type, "

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DecimalType, LongType, StringType, StructField, StructType
 
 from billow.functions.money import money
+from billow.operators.dedup import distinct_rows
 from billow.spec import COLS, MONEY_PRECISION, MONEY_SCALE, ORDINAL, POST_DQ_KEYS, BillingColumns
 
 REPORT_SCHEMA = StructType([
@@ -58,20 +59,18 @@ def dataset_checks(name: str, df: DataFrame, keys: Sequence[str],
                    parity: bool = False) -> DataFrame:
     """Row count, emptiness, key presence, key nulls and duplicates of one table.
 
-    All counts come from ONE grouping of the whole row: rows = sum of group
-    sizes, duplicates = rows - groups, key nulls = sizes of groups whose key
-    is null.  The grouping is partially aggregated before its shuffle, so
-    many copies of one row never meet in one task.
+    All counts come from ONE grouping by the hash of the whole row: rows = sum of group
+    sizes, duplicates = rows - groups, key nulls = sums over the groups.  Only hashes and
+    counts are shuffled, after a partial aggregation, so many copies of one row never meet in one task.
     ``compare_rows``: the other layer, or its row count when already known
     (e.g. observed while it was written); reported (``parity``: must match).
     """
     data = _data(df)
     present_keys = [k for k in keys if k in data.columns]
-    groups = data.groupBy(*[F.col(f"`{c}`") for c in data.columns]).agg(F.count(F.lit(1)).alias("__c"))
+    groups = distinct_rows(data, (), {f"n{i}": F.col(f"`{k}`").isNull().cast("long") for i, k in enumerate(present_keys)})
     stats = groups.agg(
-        F.coalesce(F.sum("__c"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("groups"),
-        *[F.coalesce(F.sum(F.when(F.col(f"`{k}`").isNull(), F.col("__c"))), F.lit(0)).alias(f"n{i}")
-          for i, k in enumerate(present_keys)])
+        F.coalesce(F.sum("__cnt"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("groups"),
+        *[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(present_keys))])
     items = [_row_sql(name, "row_count", None, "rows", "NULL", "NULL"),
              _row_sql(name, "not_empty", None, "rows", "NULL", "rows > 0")]
     for k in keys:
@@ -85,11 +84,13 @@ def dataset_checks(name: str, df: DataFrame, keys: Sequence[str],
     if compare_rows is not None:
         if isinstance(compare_rows, DataFrame):
             other = _data(compare_rows).agg(F.count(F.lit(1)).alias("o"))
+            row = (_row_sql(name, "row_count_parity", None, "NULL", "o", "NULL") if parity
+                   else _row_sql(name, compare_label, None, "o", "NULL", "NULL"))
+            out = out.unionByName(_rows(other, [row]))
         else:
-            other = stats.select(F.lit(int(compare_rows)).cast("bigint").alias("o"))
-        row = (_row_sql(name, "row_count_parity", None, "NULL", "o", "NULL") if parity
-               else _row_sql(name, compare_label, None, "o", "NULL", "NULL"))
-        out = out.unionByName(_rows(other, [row]))
+            n = int(compare_rows)
+            known = (name, "row_count_parity", None, None, n, None) if parity else (name, compare_label, None, n, None, None)
+            out = out.unionByName(_literal_rows(df.sparkSession, [known]))
     return out
 
 
