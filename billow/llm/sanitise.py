@@ -111,12 +111,6 @@ def row_keys(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"k1": F.xxhash64(text), "k2": F.xxhash64(F.lit(1), text)})
 
 
-def distinct_texts(docs: DataFrame) -> DataFrame:
-    """k1, k2, text: each text once, however many documents hold it (copies meet already in the tasks that read them)."""
-    rows = row_keys(docs.select(F.coalesce("text", F.lit("")).alias("text")))
-    return stored(rows.groupBy("k1", "k2").agg(F.first("text").alias("text")), "pii_texts")
-
-
 def entities(spans: str = "base") -> Column:
     """Hashes of the values, what they share, their kinds, and of any of them."""
     view = "CASE s.kind " + " ".join(f"WHEN {i} THEN {VIEWS[k]}" for i, k in enumerate(PATTERNS)) + " END"
@@ -129,34 +123,41 @@ def _bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def disclosing_terms(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT, texts: DataFrame | None = None) -> DataFrame:
+def disclosing_terms(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
     """term, entity (hash), share of the term's texts that hold the entity, for terms that disclose an entity."""
-    texts = distinct_texts(docs) if texts is None else texts
+    rows = row_keys(docs.select(F.coalesce("text", F.lit("")).alias("text")))
+    # how many rows hold a text: each then counts as one part of it, and the parts of n texts sum to n
+    copies = stored(rows.groupBy("k1", "k2").agg(F.count("*").alias("copies")), "pii_keys")
+    n, copies = copies.count(), _bounded(stored(copies.where("copies > 1"), "pii_copies"))
     # texts without a valid match end with no entity: a filter on the spans would be pushed down and repeat them
-    marked = base_spans(texts.where(" OR ".join(f"({n})" for n in NEEDS.values())))
-    held = stored(marked.select("k1", "text", entities().alias("entities")), "pii_held")
-    each = held.select("k1", F.explode("entities").alias("entity"))
-    of_entity = each.groupBy("entity").agg(F.count("*").alias("of_entity")).where(F.col("of_entity") >= support)
-    lines = held.where("size(entities) > 0").select("k1", "entities", F.explode(F.split("text", "\n")).alias("line"))
+    marked = base_spans(rows.where(" OR ".join(f"({n})" for n in NEEDS.values())))
+    held = stored(marked.select("k1", "k2", "text", entities().alias("entities")), "pii_held").where("size(entities) > 0")
+    held = held.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.first("entities").alias("entities"))
+    each = stored(held.select("k1", "k2", F.explode("entities").alias("entity"), "text"), "pii_entities")
+    of_entity = stored(each.groupBy("entity").agg(F.count("*").alias("of_entity")).where(F.col("of_entity") >= support), "pii_of_entity")
+    # entities of too few texts go before they meet terms
+    held = each.join(_bounded(of_entity), "entity").groupBy("k1", "k2").agg(F.first("text").alias("text"), F.collect_list("entity").alias("entities"))
+    lines = held.select("k1", "entities", F.explode(F.split("text", "\n")).alias("line"))
     words = lines.select("k1", "entities", F.xxhash64("line").alias("line"), F.explode(terms("line")).alias("term"))
     # one row for a term and a text: first and last hash of the lines that hold it there
     words = words.groupBy("k1", "term").agg(F.first("entities").alias("entities"), F.min("line").alias("least"), F.max("line").alias("most"))
     pairs = words.select("term", "least", "most", F.explode("entities").alias("entity")).groupBy("entity", "term").agg(
         F.count("*").alias("both"), F.min("least").alias("least"), F.max("most").alias("most"))
     pairs = stored(pairs.where((F.col("both") >= support) & (F.col("least") < F.col("most"))).select("entity", "term", "both").join(of_entity, "entity"), "pii_pairs")
-    n = texts.count()
     asked = _bounded(stored(pairs.select("term").distinct(), "pii_asked"))
-    of_term = texts.select(F.explode(terms("text")).alias("term")).join(asked, "term", "left_semi").groupBy("term").agg(F.count("*").alias("of_term"))
+    parts = rows.join(copies, ["k1", "k2"], "left").select(F.explode(terms("text")).alias("term"), (F.lit(1.0) / F.coalesce("copies", F.lit(1))).alias("part"))
+    of_term = parts.join(asked, "term", "left_semi").groupBy("term").agg(F.round(F.sum("part")).cast("long").alias("of_term"))
     share = F.col("both") / (F.col("of_term") + PRIOR)
     pmi = pairs.join(of_term, "term").withColumns({"share": share, "pmi": F.log2(n * share / F.col("of_entity")), "ic": -F.log2(F.col("of_entity") / n)})
     return stored(pmi.where((F.col("ic") > 0) & (F.col("pmi") >= alpha * F.col("ic"))).select("term", "entity", "share"), "pii_terms")
 
 
-def term_spans(texts: DataFrame, found: DataFrame) -> DataFrame:
+def term_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     """k1, k2 (text key) and term_spans of every text that holds a disclosing term."""
     asked = _bounded(stored(found.select("term").distinct(), "pii_found"))
-    hits = texts.select("k1", "k2", F.explode(terms("text")).alias("term")).join(asked, "term").groupBy("k1", "k2").agg(F.sort_array(F.collect_list("term")).alias("terms"))
-    kept = texts.join(_bounded(stored(hits, "pii_hits")), ["k1", "k2"])
+    rows = row_keys(docs.select(F.coalesce("text", F.lit("")).alias("text")))
+    hits = rows.select("k1", "k2", F.explode(terms("text")).alias("term")).join(asked, "term").distinct().groupBy("k1", "k2").agg(F.sort_array(F.collect_list("term")).alias("terms"))
+    kept = rows.join(_bounded(stored(hits, "pii_hits")), ["k1", "k2"]).groupBy("k1", "k2").agg(F.first("text").alias("text"), F.first("terms").alias("terms"))
     # term words hold letters, digits and inner punctuation: quoted, longest first, case folded as lower() does
     kept = kept.withColumn("pattern", F.expr(r"""concat('(?iu)(?<![\\p{L}\\p{N}])(?:', array_join(transform(array_sort(terms, (x, y) -> length(y) - length(x)),
         t -> regexp_replace(t, '([^\\p{L}\\p{N}])', '\\\\$1')), '|'), ')(?![\\p{L}\\p{N}])')"""))
@@ -164,32 +165,29 @@ def term_spans(texts: DataFrame, found: DataFrame) -> DataFrame:
     return spans.select("k1", "k2", F.expr("filter(term_spans, t -> NOT exists(base, b -> t.start < b.end AND b.start < t.end))").alias("term_spans"))
 
 
-def all_spans(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(doc_id and text key of every row; key, text, base span arrays and term_spans of every distinct text; disclosing terms)."""
-    texts = distinct_texts(docs)
-    found = disclosing_terms(docs, alpha, support, texts)
-    rows = base_spans(texts)
+def all_spans(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text, base span arrays and term_spans of every row, disclosing terms)."""
+    found = disclosing_terms(docs, alpha, support)
+    rows = row_keys(base_spans(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))))
     if found.isEmpty():
-        rows = rows.withColumn("term_spans", F.expr(f"CAST(array() AS array<{SPAN}>)"))
-    else:
-        more = _bounded(stored(term_spans(texts, found), "pii_term_spans"))
-        rows = rows.join(more, ["k1", "k2"], "left").withColumn("term_spans", F.coalesce("term_spans", F.expr(f"CAST(array() AS array<{SPAN}>)")))
-    return row_keys(docs.select("doc_id", "text")).select("doc_id", "k1", "k2"), rows, found
+        return rows.withColumn("term_spans", F.expr(f"CAST(array() AS array<{SPAN}>)")), found
+    more = _bounded(stored(term_spans(docs, found), "pii_term_spans"))
+    rows = rows.join(more, ["k1", "k2"], "left").withColumn("term_spans", F.coalesce("term_spans", F.expr(f"CAST(array() AS array<{SPAN}>)")))
+    return rows, found
 
 
 def find_personal_data(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
     """doc_id, counts by kind, digest of the base spans, all spans, and the numbers of disclosing terms and of all spans."""
-    keys, rows, _ = all_spans(docs, alpha, support)
+    rows, _ = all_spans(docs, alpha, support)
     rows = rows.withColumn("every", F.expr("array_sort(concat(base, term_spans))"))
-    of_text = rows.select("k1", "k2", *[F.size(k).cast("long").alias(f"n_{k}") for k in PATTERNS], F.sha2(joined("base"), 256).alias("base_sha256"),
-                          joined("every").alias("spans"), F.size("term_spans").cast("long").alias("n_term"), F.size("every").cast("long").alias("n_spans"))
-    return keys.join(of_text, ["k1", "k2"]).drop("k1", "k2")
+    return rows.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in PATTERNS], F.sha2(joined("base"), 256).alias("base_sha256"),
+                       joined("every").alias("spans"), F.size("term_spans").cast("long").alias("n_term"), F.size("every").cast("long").alias("n_spans"))
 
 
 def sanitise(docs: DataFrame, generalisations: DataFrame | None = None, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
     """doc_id and the text without personal data and disclosing terms.  generalisations: (term, general), at most
     ``BROADCAST_ROWS`` rows; of several for a term the alphabetically first that does not disclose anything."""
-    keys, rows, found = all_spans(docs, alpha, support)
+    rows, found = all_spans(docs, alpha, support)
     table = F.expr("map()").cast("map<string,string>")
     if generalisations is not None:
         usable = generalisations.select(F.lower("term").alias("term"), "general").where("term IS NOT NULL AND general IS NOT NULL")
@@ -203,4 +201,4 @@ def sanitise(docs: DataFrame, generalisations: DataFrame | None = None, alpha: f
         (a, s) -> IF(s.start >= a.at, named_struct('at', s.end, 'out', concat(a.out, substring(text, CAST(a.at + 1 AS INT), CAST(s.start - a.at AS INT)),
             IF(s.kind < 4, {names}[least(s.kind, 3)], coalesce(general_of[lower(s.m)], '')))), named_struct('at', greatest(a.at, s.end), 'out', a.out)),
         a -> concat(a.out, substring(text, CAST(a.at + 1 AS INT))))""")
-    return keys.join(rows.select("k1", "k2", text.alias("text")), ["k1", "k2"]).select("doc_id", "text")
+    return rows.select("doc_id", text.alias("text"))
