@@ -229,6 +229,28 @@ def encode(df: DataFrame, model_path: str, key: Column, text_col: str = "text",
     return df.withColumn(ids_col, ids(F.coalesce(F.col(text_col), F.lit("")), F.xxhash64(F.lit(seed), key)))
 
 
+def round_trip(df: DataFrame, model_path: str, key: Column, text_col: str = "text", seed: int = 0, temperature: float = TEMPERATURE) -> DataFrame:
+    """``df`` without its text, with sampled ``ids`` and ``lossless`` (whether they decode to the text).
+
+    Both in one pass over blocks of ``BLOCK_CHARS`` characters, so a worker holds one block's ids and texts."""
+
+    def both(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        v = vocabulary(model_path)
+        for b in batches:
+            size = b[text_col].str.len().to_numpy()
+            block = np.cumsum(size) // BLOCK_CHARS
+            for _, some in b.groupby(block, sort=False):
+                texts = some[text_col].tolist()
+                ids = sample_texts(v, texts, some["__key"].to_numpy(np.int64).astype(np.uint64), temperature)
+                same = [decode_ids(v, x) == t for x, t in zip(ids, texts)]
+                yield some[rest].assign(ids=pd.Series(ids, index=some.index, dtype=object), lossless=same)
+
+    rest = [c for c in df.columns if c != text_col]
+    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in rest)
+    keyed = df.withColumns({text_col: F.coalesce(F.col(text_col), F.lit("")), "__key": F.xxhash64(F.lit(seed), key)})
+    return keyed.mapInPandas(both, f"{kinds}, ids array<int>, lossless boolean")
+
+
 def decode_ids(v: Vocabulary, ids) -> str:
     ids, parts = np.asarray(ids, np.int64), []
     for i in range(0, len(ids), BLOCK_CHARS):

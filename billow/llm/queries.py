@@ -25,9 +25,8 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest and length of each document's sampled ids, and whether they decode to its text."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    coded = piece_sampling.decode(piece_sampling.encode(docs, path, F.col("doc_id")), path, text_col="decoded")
-    return coded.select("doc_id", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_digest"), (F.col("decoded") == F.col("text")).alias("lossless"))
+    coded = piece_sampling.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), path, F.col("doc_id"))
+    return coded.select("doc_id", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_digest"), "lossless")
 
 
 #: Target token shares of (quality, toxic).

@@ -42,7 +42,14 @@ BUCKETS = 4096
 SHARES = (b"#*$%&|<>", bytes(range(65, 91)), bytes(range(48, 58)), b".,;:", b"!?", b" \t\n\x0b\x0c\r")
 WIDTH = BUCKETS + len(SHARES) + 2
 GRID = 64
-STEPS = 25
+#: The descent ends where no domain misses its target by more than TARGET_ERROR of all tokens, or, for targets that no
+#: rates can meet, where a step moves rates by less than MOVED (root mean square over tokens).  ROUNDS only guards
+#: against a descent that does neither: then an error tells so.
+TARGET_ERROR = 1e-5
+MOVED = 3e-5
+ROUNDS = 5000
+#: Cells that one task of a step sums.
+CELLS_A_TASK = 20_000
 MEMO_WORDS = 300_000
 _memo: dict[bytes, int] = {}
 
@@ -133,16 +140,20 @@ def soft_members(docs: DataFrame, model: Classifier) -> DataFrame:
     return rows.mapInPandas(member, "doc_id long, text_key long, tokens long, posterior array<double>, cell array<long>")
 
 
-def replay(p: np.ndarray, steps: list[np.ndarray], max_rate: float | None) -> np.ndarray:
-    """Rates of posteriors p (rows) after the projected gradient steps (FISTA, from 1)."""
+def replay(p: np.ndarray, steps: list[tuple[np.ndarray, bool]], max_rate: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Posteriors p (rows) after the projected gradient steps (FISTA, from 1): the point where the next step
+    is taken, what the last step moved, and what momentum moved against it (its sign says whether momentum still helps).
+    A step is a gradient by domain and whether momentum starts anew."""
     top = np.inf if max_rate is None else max_rate
     r = np.minimum(np.ones(len(p)), top)
-    ahead, t = r, 1.0
-    for g in steps:
+    ahead, t, moved, against = r, 1.0, np.zeros(len(p)), np.zeros(len(p))
+    for g, anew in steps:
         new = np.clip(ahead - p @ g, 0, top)
+        t = 1.0 if anew else t
         t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        moved, against = new - ahead, (ahead - new) * (new - r)
         ahead, r, t = new + (t - 1) / t_new * (new - r), new, t_new
-    return ahead if steps else r
+    return ahead, moved, against
 
 
 def cell_table(members: DataFrame, k: int) -> DataFrame:
@@ -169,22 +180,27 @@ def sums(cells: DataFrame, k: int, value) -> np.ndarray:
     return np.bincount(got.k, got.s, k)
 
 
-def descend(cells: DataFrame, target: np.ndarray, total: float, max_rate: float | None, rounds: int = STEPS) -> list[np.ndarray]:
+def descend(cells: DataFrame, target: np.ndarray, total: float, max_rate: float | None, rounds: int = ROUNDS) -> list[tuple[np.ndarray, bool]]:
     """Steps of the descent on (cell, tokens, mean); each is one distributed sum over cells (no mean: the cell itself)."""
     k, steps = len(target), []
     gram = sums(cells, k * k, lambda p, n: (p.T @ (p * n[:, None])).ravel()).reshape(k, k) / total
     weight = np.linalg.inv(gram + 1e-4 * np.eye(k))  # no curvature over 1 is left, whatever rates are held at a bound
+
+    def of_cells(p: np.ndarray, n: np.ndarray) -> np.ndarray:
+        rate, moved, against = replay(p, steps, max_rate)
+        return np.r_[(p * (rate * n)[:, None]).sum(0), (n * moved * moved).sum(), (n * against).sum()]
+
     for _ in range(rounds):
-        got = sums(cells, k, lambda p, n: (p * (replay(p, steps, max_rate) * n)[:, None]).sum(0))
-        residual = (got - target) / total
-        if np.abs(residual).max() < 1e-5:
-            break
-        steps.append(weight @ residual)
-    return steps
+        *got, moved, against = sums(cells, k + 2, of_cells)
+        residual = (np.array(got) - target) / total
+        if np.abs(residual).max() < TARGET_ERROR or steps and np.sqrt(moved / total) < MOVED:
+            return steps
+        steps.append((weight @ residual, against > 0))
+    raise RuntimeError(f"the descent did not settle in {rounds} rounds; residual by domain {residual}")
 
 
-def final_rates(p: np.ndarray, steps: list[np.ndarray], max_rate: float | None) -> np.ndarray:
-    return np.clip(replay(p, steps, max_rate), 0, np.inf if max_rate is None else max_rate)
+def final_rates(p: np.ndarray, steps: list[tuple[np.ndarray, bool]], max_rate: float | None) -> np.ndarray:
+    return np.clip(replay(p, steps, max_rate)[0], 0, np.inf if max_rate is None else max_rate)
 
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, weights: dict[tuple, float], budget: float = 1.0,
@@ -202,7 +218,7 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, weights: dict[tuple, float]
     cells = every.where("tokens > 0")
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
     share = np.array([weights.get(c, 0.0) for c in model.classes])
-    steps = descend(cells.coalesce(4), share / max(share.sum(), 1e-12) * budget * total, total, max_rate) if total and share.sum() else []
+    steps = descend(cells.coalesce(-(-cells.count() // CELLS_A_TASK)), share / max(share.sum(), 1e-12) * budget * total, total, max_rate) if total and share.sum() else []
 
     @F.pandas_udf("double")
     def rate(mean: pd.Series) -> pd.Series:

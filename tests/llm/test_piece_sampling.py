@@ -84,3 +84,13 @@ def test_long_unit(v):
 
 def test_empty_table(none):
     assert ps.decode(ps.encode(none, PATH, F.col("doc_id")), PATH, text_col="back").count() == 0
+
+
+def test_round_trip_equals_encode_and_decode(spark, odd, monkeypatch):
+    monkeypatch.setattr(ps, "BLOCK_CHARS", 500)
+    docs = odd.select("doc_id", "text", "lang")
+    coded = ps.decode(ps.encode(docs, PATH, F.col("doc_id")), PATH, text_col="decoded")
+    want = Counter((r.doc_id, r.lang, tuple(r.ids), r.decoded == (r.text or "")) for r in coded.collect())
+    got = ps.round_trip(docs, PATH, F.col("doc_id"))
+    assert Counter((r.doc_id, r.lang, tuple(r.ids), r.lossless) for r in got.collect()) == want and all(k[3] for k in want)
+    assert ps.round_trip(docs.limit(0), PATH, F.col("doc_id")).count() == 0

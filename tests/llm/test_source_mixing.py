@@ -49,7 +49,7 @@ def test_descent_equals_brute_force(spark):
     p = cell / cell.sum(1, keepdims=True)
     total = float(tokens.sum())
     for target, top in ((np.array([0.5, 0.3, 0.2]), None), (np.array([0.9, 0.05, 0.0]), None), (np.array([0.1, 0.1, 0.8]), 1.0)):
-        steps = m.descend(cells, target * total, total, top, 60)
+        steps = m.descend(cells, target * total, total, top)
         r = m.final_rates(p, steps, top)
         gram = (p.T @ (p * tokens[:, None])) / total
         w = np.linalg.inv(gram + 1e-4 * np.eye(3))
