@@ -55,10 +55,8 @@ def mixing(spark, docs, sf_dir):
 
 def encoding(spark, docs, sf_dir):
     """Sampled pieces of every document, and whether they decode to its text."""
-    path = public_tokenizers.path(PIECES)
-    texts = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"))
-    coded = piece_sampling.decode(piece_sampling.encode(texts, path, F.col("doc_id")), path, text_col="decoded")
-    return coded.select("doc_id", "lang", "source", "ids", F.size("ids").alias("n_pieces"), (F.col("decoded") == F.col("text")).alias("lossless"))
+    coded = piece_sampling.round_trip(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path(PIECES), F.col("doc_id"))
+    return coded.select("doc_id", "lang", "source", "ids", F.size("ids").alias("n_pieces"), "lossless")
 
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("n-gram Jaccard join", near_duplicates), ("mixing sources", mixing), ("piece encoding", encoding)]
