@@ -56,11 +56,24 @@ def lenient_date(c: Column | str) -> Column:
     slashed = F.coalesce(F.try_to_date(text, "yyyy/M/d"), F.try_to_date(text, "M/d/yyyy"))
     # a zone by name (Area/City) is an instant as well
     named_zone = (F.instr(text, ":") > 0) & (F.instr(text, "/") > 0)
-    return (F.when(has_zone(text) | named_zone, instant_day)
+    # the usual shapes first: each value is parsed by the one parser its shape picks
+    return (F.when(is_iso_day(text), text.try_cast("date"))
+             .when(~text.rlike("[0-9]"), F.lit(None).cast("date"))
+             .when(has_zone(text) | named_zone, instant_day)
              .when(F.instr(text, "/") > 0, slashed)
              .otherwise(F.coalesce(wall_clock_day, other_shapes(text))))
 
 
+def is_iso_day(text: Column) -> Column:
+    """Ten characters shaped ``yyyy-MM-dd``."""
+    return (F.length(text) == 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+
+
+def is_slashed_day(text: Column) -> Column:
+    """Ten characters shaped ``dd/MM/yyyy``."""
+    return (F.length(text) == 10) & (F.substring(text, 3, 1) == "/") & (F.substring(text, 6, 1) == "/")
+
+
 def other_shapes(text: Column) -> Column:
     """Day-first text with ``-``, ``.`` or spaces, month names, two-digit years with a month name, and
     compact ``yyyyMMdd`` -> date; anything else -> null."""
@@ -78,14 +91,16 @@ def dayfirst_date(c: Column | str, date_order: str = "ymd") -> Column:
     as year-day-month, which reproduces the reference's silver month values
     (2022-09-01 -> 2022-01-09); it exists for parity tests only.
 
-    Each value is parsed once, by the format its shape allows: day-first text
-    has a ``/``, an ISO date a ``-`` after the year; anything else goes to the
-    timestamp reading.  (Trying the formats in turn gives the same result but
-    pays for a failed parse on every day-first value.)
+    Each value is parsed once, by the parser its shape picks: ``dd/MM/yyyy`` and
+    ``yyyy-MM-dd`` by a cast (no pattern is interpreted), other day-first text by its
+    ``/``, other ISO text by the ``-`` after the year; anything else goes to the
+    timestamp reading.
     """
     text = _col(c).cast("string")
     iso = YDM_DATE_FORMAT if date_order == "ydm" else ISO_DATE_FORMAT
-    return (F.when((F.instr(text, "/") > 0) & (F.instr(text, ":") == 0),
+    turned = F.concat(F.substring(text, 7, 4), F.lit("-"), F.substring(text, 4, 2), F.lit("-"), F.substring(text, 1, 2)).try_cast("date")
+    iso_day = is_iso_day(text) if date_order == "ymd" else F.lit(False)
+    return (F.when(is_slashed_day(text), turned).when(iso_day, text.try_cast("date")).when((F.instr(text, "/") > 0) & (F.instr(text, ":") == 0),
                    F.when(F.instr(text, "/") == 5, F.try_to_date(text, "yyyy/M/d")).otherwise(F.try_to_date(text, DAYFIRST_FORMAT)))
              .when(F.substring(text, 5, 1) == "-", F.coalesce(F.try_to_date(text, iso), lenient_date(text)))
              .otherwise(lenient_date(text)))

@@ -106,14 +106,26 @@ GOLD_BUCKET_KEYS = {
 }
 
 
+#: Rows of a bucket of a gold table, by the rows of the silver tables it is made of.
+BUCKET_ROWS = 2_000_000
+#: Silver tables that bound the rows of the gold tables bucketed on a key; tables of one key share a bucket count.
+BUCKET_SOURCES = {"customer_id": ("customers",), "subscription_id": ("subscriptions", "invoicing")}
+
+
+def bucket_counts(rows: Mapping[str, int]) -> dict[str, int]:
+    """Buckets by join key, from the row counts of the silver tables (one at least)."""
+    return {key: max(1, -(-max(rows.get(n, 0) for n in names) // BUCKET_ROWS)) for key, names in BUCKET_SOURCES.items()}
+
+
 def model(spark: SparkSession, layers: Layers, cols: BillingColumns = COLS,
           database: str = "gold", buckets: int | None = None,
-          datasets: Collection[str] | None = None) -> dict[str, str]:
+          datasets: Mapping[str, Entry] | None = None) -> dict[str, str]:
     """Silver -> gold catalog tables (always replaced, also when empty).
 
     ``datasets``: the silver tables of this run; None: those of the newest silver manifest.
-    Facts and dimensions joined on subscription id share ``buckets`` hash
-    buckets of it, so the fact-to-dimension join over gold needs no shuffle.
+    Facts and dimensions joined on subscription id share their hash buckets, so the fact-to-dimension
+    join over gold needs no shuffle.  Their number follows from the silver row counts
+    (``bucket_counts``) unless ``buckets`` gives one.
     """
     if datasets is None:
         datasets = verified(spark, layers.root, "silver")[1]
@@ -131,8 +143,10 @@ def model(spark: SparkSession, layers: Layers, cols: BillingColumns = COLS,
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{layers.gold}'")
     keys = {n: (cols.customer_id if k == "customer_id" else cols.subscription_id)
             for n, k in GOLD_BUCKET_KEYS.items()}
+    sized = bucket_counts({n: e.rows for n, e in datasets.items()})
     return run_concurrently({name: (lambda n=name, df=df: save_gold_table(
-        spark, df, n, database, bucket_by=keys.get(n), buckets=buckets)) for name, df in tables.items()})
+        spark, df, n, database, bucket_by=keys.get(n), buckets=buckets or sized.get(GOLD_BUCKET_KEYS.get(n))))
+        for name, df in tables.items()})
 
 
 STAGES = ("ingest", "transform", "model")

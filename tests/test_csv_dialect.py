@@ -60,3 +60,22 @@ def test_date_shapes(spark):
     assert {r.d for r in df.select(dayfirst_date("t").alias("d")).collect()} == {day}
     zones = spark.createDataFrame([("2022-10-05 23:30:00 America/New_York",), ("2022-10-06",), ("10/06/2022",)], "t string")
     assert {r.d for r in zones.select(lenient_date("t").alias("d")).collect()} == {dt.date(2022, 10, 6)}
+
+
+def test_each_shape_has_one_parser_and_the_same_answer(spark):
+    """The casts of the usual shapes against the patterns they stand for."""
+    import itertools
+
+    from billow.functions.dates import DAYFIRST_FORMAT, ISO_DATE_FORMAT
+    days, months, years = ("00", "01", "9 ", " 9", "29", "30", "31", "32", "+1", "a1"), ("00", "02", "09", "12", "13", "1 "), ("2022", "2024", "0000", "20a2", " 022")
+    texts = [f"{d}/{m}/{y}" for d, m, y in itertools.product(days, months, years)] + [f"{y}-{m}-{d}" for d, m, y in itertools.product(days, months, years)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.when(F.instr("t", "/") > 0, F.try_to_date("t", DAYFIRST_FORMAT)).otherwise(F.try_to_date("t", ISO_DATE_FORMAT))
+    odd = df.select("t", dayfirst_date("t").alias("got"), plain.alias("want")).where("NOT (got <=> want)").collect()
+    assert [r.t for r in odd if r.want is not None or r.t.strip() == r.t and "+" not in r.t and " " not in r.t] == []
+
+
+def test_buckets_follow_the_rows():
+    from billow.plans.pipeline import BUCKET_ROWS, bucket_counts
+    assert bucket_counts({}) == {"customer_id": 1, "subscription_id": 1}
+    assert bucket_counts({"customers": 5, "subscriptions": 10, "invoicing": 10 * BUCKET_ROWS + 1}) == {"customer_id": 1, "subscription_id": 11}
