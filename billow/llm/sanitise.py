@@ -10,8 +10,8 @@ kind, or any of them.  Over the distinct texts of the whole corpus, an entity e
 information content IC = -log2(texts(e) / texts).  A term t that stands in texts
 with e says of it PMI = log2(share / (texts(e) / texts)), where share =
 both(t, e) / (texts(t) + ``PRIOR``) leans rare terms towards saying nothing.  A term
-discloses e where PMI >= ``ALPHA`` * IC, in at least ``SUPPORT`` texts with e and in
-different lines (a line that copies share is one).  Disclosing terms are
+discloses e where PMI >= ``ALPHA`` * IC, in at least ``SUPPORT`` texts with e that do
+not all have it from the same line (as copies have).  Disclosing terms are
 spans of kind ``term`` wherever they occur.
 
 A term is a lower-cased word with a letter, without punctuation at its ends; words
@@ -100,9 +100,9 @@ def joined(spans: str) -> Column:
     return F.expr(f"concat_ws(',', transform({spans}, s -> concat({names}[s.kind], ':', s.start, ':', s.end)))")
 
 
-def terms(text: str) -> Column:
+def terms(text: Column | str) -> Column:
     """Distinct words with a letter, lower-cased, without punctuation at their ends; none with an @."""
-    bare = F.regexp_replace(F.lower(F.col(text)), r"[^\p{L}\p{N}\x20\x09-\x0D]++(?=[\x20\x09-\x0D]|$)|(?<![^\x20\x09-\x0D])[^\p{L}\p{N}\x20\x09-\x0D]++", "")
+    bare = F.regexp_replace(F.lower(F.col(text) if isinstance(text, str) else text), r"[^\p{L}\p{N}\x20\x09-\x0D]++(?=[\x20\x09-\x0D]|$)|(?<![^\x20\x09-\x0D])[^\p{L}\p{N}\x20\x09-\x0D]++", "")
     return F.filter(F.array_distinct(F.split(bare, WS)), lambda w: w.rlike(r"\p{L}") & ~F.contains(w, F.lit("@")))
 
 
@@ -132,17 +132,17 @@ def disclosing_terms(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPO
     # texts without a valid match end with no entity: a filter on the spans would be pushed down and repeat them
     marked = base_spans(rows.where(" OR ".join(f"({n})" for n in NEEDS.values())))
     held = stored(marked.select("k1", "k2", "text", entities().alias("entities")), "pii_held").where("size(entities) > 0")
-    held = held.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.first("entities").alias("entities"))
-    each = stored(held.select("k1", "k2", F.explode("entities").alias("entity"), "text"), "pii_entities")
+    held = stored(held.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.first("entities").alias("entities")), "pii_texts")
+    each = held.select("k1", "k2", F.explode("entities").alias("entity"))
     of_entity = stored(each.groupBy("entity").agg(F.count("*").alias("of_entity")).where(F.col("of_entity") >= support), "pii_of_entity")
     # entities of too few texts go before they meet terms
-    held = each.join(_bounded(of_entity), "entity").groupBy("k1", "k2").agg(F.first("text").alias("text"), F.collect_list("entity").alias("entities"))
-    lines = held.select("k1", "entities", F.explode(F.split("text", "\n")).alias("line"))
-    words = lines.select("k1", "entities", F.xxhash64("line").alias("line"), F.explode(terms("line")).alias("term"))
-    # one row for a term and a text: first and last hash of the lines that hold it there
-    words = words.groupBy("k1", "term").agg(F.first("entities").alias("entities"), F.min("line").alias("least"), F.max("line").alias("most"))
-    pairs = words.select("term", "least", "most", F.explode("entities").alias("entity")).groupBy("entity", "term").agg(
-        F.count("*").alias("both"), F.min("least").alias("least"), F.max("most").alias("most"))
+    common = each.join(_bounded(of_entity), "entity").groupBy("k1", "k2").agg(F.collect_list("entity").alias("common"))
+    # a term once for each text, with the smallest hash of the lines that hold it there
+    found = F.flatten(F.transform(F.split("text", "\n"), lambda line: F.transform(terms(line), lambda t: F.struct(t.alias("term"), F.xxhash64(line).alias("line")))))
+    words = held.select("k1", "k2", F.array_sort(found).alias("found")) \
+        .select("k1", "k2", F.expr("filter(found, (x, i) -> i = 0 OR x.term <> found[i - 1].term)").alias("found"))
+    words = words.join(common, ["k1", "k2"]).select("common", F.explode("found").alias("x")).select(F.explode("common").alias("entity"), "x.term", "x.line")
+    pairs = words.groupBy("entity", "term").agg(F.count("*").alias("both"), F.min("line").alias("least"), F.max("line").alias("most"))
     pairs = stored(pairs.where((F.col("both") >= support) & (F.col("least") < F.col("most"))).select("entity", "term", "both").join(of_entity, "entity"), "pii_pairs")
     asked = _bounded(stored(pairs.select("term").distinct(), "pii_asked"))
     parts = rows.join(copies, ["k1", "k2"], "left").select(F.explode(terms("text")).alias("term"), (F.lit(1.0) / F.coalesce("copies", F.lit(1))).alias("part"))

@@ -3,6 +3,7 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import xxhash
 from pyspark.sql import functions as F
 
 from billow.llm import sanitise as s
@@ -96,9 +97,14 @@ def brute_terms(rows, alpha=s.ALPHA, support=s.SUPPORT):
         for e in entities:
             for w in words_of(text):
                 both[e, w] += 1
+            first = {}
             for line in text.split("\n"):
+                h = xxhash.xxh64_intdigest(line, 42)
+                h -= (h >> 63) << 64
                 for w in words_of(line):
-                    lines[e, w].add(line)
+                    first[w] = min(h, first.get(w, h))
+            for w, h in first.items():
+                lines[e, w].add(h)
     n = len(texts)
     return {w for (e, w), c in both.items() if c >= support and len(lines[e, w]) > 1 and of_entity[e] < n
             and math.log2(n * c / (of_term[w] + s.PRIOR) / of_entity[e]) >= alpha * -math.log2(of_entity[e] / n)}
