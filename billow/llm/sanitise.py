@@ -137,12 +137,12 @@ def disclosing_terms(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPO
     of_entity = stored(each.groupBy("entity").agg(F.count("*").alias("of_entity")).where(F.col("of_entity") >= support), "pii_of_entity")
     # entities of too few texts go before they meet terms
     common = each.join(_bounded(of_entity), "entity").groupBy("k1", "k2").agg(F.collect_list("entity").alias("common"))
+    lines = held.select("k1", "k2", "text").join(common, ["k1", "k2"]).select("k1", "common", F.explode(F.split("text", "\n")).alias("line"))
+    words = lines.select("k1", "common", F.xxhash64("line").alias("line"), F.explode(terms("line")).alias("term"))
     # a term once for each text, with the smallest hash of the lines that hold it there
-    found = F.flatten(F.transform(F.split("text", "\n"), lambda line: F.transform(terms(line), lambda t: F.struct(t.alias("term"), F.xxhash64(line).alias("line")))))
-    words = held.select("k1", "k2", F.array_sort(found).alias("found")) \
-        .select("k1", "k2", F.expr("filter(found, (x, i) -> i = 0 OR x.term <> found[i - 1].term)").alias("found"))
-    words = words.join(common, ["k1", "k2"]).select("common", F.explode("found").alias("x")).select(F.explode("common").alias("entity"), "x.term", "x.line")
-    pairs = words.groupBy("entity", "term").agg(F.count("*").alias("both"), F.min("line").alias("least"), F.max("line").alias("most"))
+    words = words.groupBy("k1", "term").agg(F.first("common").alias("common"), F.min("line").alias("line"))
+    pairs = words.select("term", "line", F.explode("common").alias("entity")).groupBy("entity", "term").agg(
+        F.count("*").alias("both"), F.min("line").alias("least"), F.max("line").alias("most"))
     pairs = stored(pairs.where((F.col("both") >= support) & (F.col("least") < F.col("most"))).select("entity", "term", "both").join(of_entity, "entity"), "pii_pairs")
     asked = _bounded(stored(pairs.select("term").distinct(), "pii_asked"))
     parts = rows.join(copies, ["k1", "k2"], "left").select(F.explode(terms("text")).alias("term"), (F.lit(1.0) / F.coalesce("copies", F.lit(1))).alias("part"))
