@@ -66,12 +66,12 @@ def lenient_date(c: Column | str) -> Column:
 
 def is_iso_day(text: Column) -> Column:
     """Ten characters shaped ``yyyy-MM-dd``."""
-    return (F.length(text) == 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    return (F.length(text) == 10) & (F.instr(text, " ") == 0) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
 
 
 def is_slashed_day(text: Column) -> Column:
     """Ten characters shaped ``dd/MM/yyyy``."""
-    return (F.length(text) == 10) & (F.substring(text, 3, 1) == "/") & (F.substring(text, 6, 1) == "/")
+    return (F.length(text) == 10) & (F.instr(text, " ") == 0) & (F.substring(text, 3, 1) == "/") & (F.substring(text, 6, 1) == "/")
 
 
 def other_shapes(text: Column) -> Column:

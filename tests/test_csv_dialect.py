@@ -71,8 +71,9 @@ def test_each_shape_has_one_parser_and_the_same_answer(spark):
     texts = [f"{d}/{m}/{y}" for d, m, y in itertools.product(days, months, years)] + [f"{y}-{m}-{d}" for d, m, y in itertools.product(days, months, years)]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     plain = F.when(F.instr("t", "/") > 0, F.try_to_date("t", DAYFIRST_FORMAT)).otherwise(F.try_to_date("t", ISO_DATE_FORMAT))
-    odd = df.select("t", dayfirst_date("t").alias("got"), plain.alias("want")).where("NOT (got <=> want)").collect()
-    assert [r.t for r in odd if r.want is not None or r.t.strip() == r.t and "+" not in r.t and " " not in r.t] == []
+    odd = df.select("t", dayfirst_date("t").cast("string").alias("got"), plain.cast("string").alias("want")).where("NOT (got <=> want)")
+    assert [r.t for r in odd.collect() if " " not in r.t] == []  # ISO text with spaces goes on to the timestamp reading
+    assert odd.where("t LIKE '%/%'").isEmpty()
 
 
 def test_buckets_follow_the_rows():
