@@ -415,15 +415,15 @@ def _gold_run(spark, d):
 
 
 def q_gold_sql_monthly_profit(spark, d):
-    return analytics.gold_sql(spark, "monthly_profit", _gold_run(spark, d))
+    return analytics.gold_question(spark, "monthly_profit", _gold_run(spark, d))
 
 
 def q_gold_sql_churn_summary(spark, d):
-    return analytics.gold_sql(spark, "churn_summary", _gold_run(spark, d))
+    return analytics.gold_question(spark, "churn_summary", _gold_run(spark, d))
 
 
 def q_gold_sql_top_customers(spark, d):
-    return analytics.gold_sql(spark, "top_customers", _gold_run(spark, d))
+    return analytics.gold_question(spark, "top_customers", _gold_run(spark, d))
 
 
 def q_reconcile_sales(spark, d):

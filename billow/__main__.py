@@ -53,13 +53,13 @@ def _run(args: argparse.Namespace) -> int:
 
 
 def _show_gold(spark, database: str, rows: int) -> None:
-    from billow.plans.analytics import gold_sql, sample_rows
+    from billow.plans.analytics import gold_question, sample_rows
     print("Sample profitability:")
     sample_rows(spark, f"{database}.fct_profitability",
                 ["subscription_id", "month", "sales_amount", "cost_amount", "profit"],
                 ["subscription_id", "month"], rows).show(rows, truncate=False)
     print("Churn summary:")
-    gold_sql(spark, "churn_summary", database).show(truncate=False)
+    gold_question(spark, "churn_summary", database).show(truncate=False)
 
 
 def _query(args: argparse.Namespace) -> int:

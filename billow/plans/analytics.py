@@ -13,36 +13,30 @@ from billow.operators.joins import semi_join
 from billow.spec import COLS, BillingColumns
 
 
-# Business questions asked of the gold tables in SQL ({db} = gold database).
+# A business question asked of the gold tables in SQL ({db} = gold database).
 # The names of the result columns are fixed values; money is summed per subscription before any join.
-GOLD_SQL = {
-    "monthly_profit": """
-        WITH month_sum AS (
-            SELECT subscription_id, month, SUM(profit) AS profit_sum
-            FROM {db}.fct_profitability
-            GROUP BY ALL)
-        SELECT subscription_id, month, ROUND(profit_sum, 2) AS total_profit FROM month_sum""",
-    "churn_summary": """
-        SELECT flag AS is_churned, COUNT(flag_row) AS subs
-        FROM (SELECT is_churned AS flag, 1 AS flag_row FROM {db}.fct_churn)
-        GROUP BY flag""",
-    "top_customers": """
-        WITH sold AS (
-            SELECT subscription_id, SUM(sales_amount) AS amount FROM {db}.fct_profitability GROUP BY subscription_id),
-        by_customer AS (
-            SELECT owned.Customer AS customer_id, SUM(sold.amount) AS amount
-            FROM sold INNER JOIN {db}.dim_subscription AS owned USING (subscription_id)
-            GROUP BY owned.Customer)
-        SELECT customer_id, ROUND(amount, 2) AS total_sales
-        FROM by_customer LEFT SEMI JOIN {db}.dim_customer USING (customer_id)
-        ORDER BY total_sales DESC, customer_id
-        LIMIT 5""",
-}
-
-
-def gold_sql(spark, name: str, database: str = "gold") -> DataFrame:
-    """One of the business questions, answered by Spark SQL over the gold tables."""
-    return spark.sql(GOLD_SQL[name].format(db=f"`{database}`"))
+TOP_CUSTOMERS_SQL = """
+    WITH sold AS (
+        SELECT subscription_id, SUM(sales_amount) AS amount FROM {db}.fct_profitability GROUP BY subscription_id),
+    by_customer AS (
+        SELECT owned.Customer AS customer_id, SUM(sold.amount) AS amount
+        FROM sold INNER JOIN {db}.dim_subscription AS owned USING (subscription_id)
+        GROUP BY owned.Customer)
+    SELECT customer_id, ROUND(amount, 2) AS total_sales
+    FROM by_customer LEFT SEMI JOIN {db}.dim_customer USING (customer_id)
+    ORDER BY total_sales DESC, customer_id
+    LIMIT 5"""
+
+
+def gold_question(spark, name: str, database: str = "gold") -> DataFrame:
+    """One of the business questions over the gold tables: the library's own queries where it has them."""
+    if name == "monthly_profit":
+        return monthly_profit(spark.table(f"`{database}`.fct_profitability"))
+    if name == "churn_summary":
+        return churn_summary(spark.table(f"`{database}`.fct_churn"))
+    if name == "top_customers":
+        return spark.sql(TOP_CUSTOMERS_SQL.format(db=f"`{database}`"))
+    raise KeyError(name)
 
 
 def monthly_profit(fct: DataFrame, cols: BillingColumns = COLS) -> DataFrame:
