@@ -41,8 +41,7 @@ def quality_rules() -> str:
         f"ln((word_chars + {5.0 * q.PRIOR_WORDS}) / (n_words + {q.PRIOR_WORDS})) AS f_len, sqrt(n_symbols / (word_chars + {5.0 * q.PRIOR_WORDS})) AS f_symbols, "
         f"sqrt(n_upper / (word_chars + {5.0 * q.PRIOR_WORDS})) AS f_upper, n_dup_lines / (n_lines + 10.0::DOUBLE) AS f_lines, "
         f"n_repeat_words / (n_words + {float(q.PRIOR_WORDS)}::DOUBLE) AS f_repeat FROM b)",
-        f"a AS (SELECT c.*, CASE WHEN z.m >= {q.MIN_GROUP} THEN coalesce(c.lang, '-') || '|' || coalesce(c.source, '-') ELSE 'pool' END AS grp FROM c "
-        "LEFT JOIN (SELECT lang, source, count(*) AS m FROM c WHERE NOT base_failed GROUP BY ALL) z ON z.lang IS NOT DISTINCT FROM c.lang AND z.source IS NOT DISTINCT FROM c.source)",
+        "a AS (SELECT c.*, coalesce(lang, '-') AS lng, coalesce(lang, '-') || '|' || coalesce(source, '-') AS grp FROM c)",
         "fit AS (SELECT * FROM a WHERE NOT base_failed)",
         f"med AS (SELECT grp, {', '.join(f'quantile_disc({x}, 0.5) AS c_{x}' for x in f)} FROM fit GROUP BY grp)",
         f"near0 AS (SELECT fit.*, {' + '.join(f'pow(({x} - c_{x}) / {v!r}, 2)' for x, v in q.FEATURES.items())} AS d2 FROM fit JOIN med USING (grp))",
@@ -57,7 +56,7 @@ def quality_rules() -> str:
                 value = f"sqrt(greatest({entry}, 1e-12))" if i == j else f"({entry}) / l{j}{j}"
                 out.append(f"{name}_l{i}{j} AS (SELECT *, {value} AS l{i}{j} FROM {last})")
                 last = f"{name}_l{i}{j}"
-        fitted = ", ".join(["grp AS fg", "s", *[f"s{i} / s AS m{i}" for i in range(p)], *[f"l{i}{j}" for i in range(p) for j in range(i + 1)]])
+        fitted = ", ".join(["grp AS fg", *[f"s{i} / s AS m{i}" for i in range(p)], *[f"l{i}{j}" for i in range(p) for j in range(i + 1)]])
         out.append(f"{name}_z AS (SELECT {source}.*, t.* FROM {source} LEFT JOIN (SELECT {fitted} FROM {last}) t ON fg = grp)")
         last = f"{name}_z"
         for i in range(p):
@@ -74,12 +73,16 @@ def quality_rules() -> str:
             f"bin{step} AS (SELECT *, floor(log2(greatest(d2, 1e-9)) * {q.BINS}) AS bin FROM near{step})",
             f"cum{step} AS (SELECT grp, bin, sum(count(*)) OVER (PARTITION BY grp ORDER BY bin) AS c, sum(count(*)) OVER (PARTITION BY grp) AS n FROM bin{step} GROUP BY grp, bin)",
             f"cut{step} AS (SELECT grp, min(bin) AS cut FROM cum{step} WHERE c >= n * {q.H_SHARE} GROUP BY grp)",
-            f"sums{step} AS (SELECT grp, {sums} FROM bin{step} JOIN cut{step} USING (grp) WHERE bin <= cut GROUP BY grp)",
+            f"own{step} AS (SELECT grp, lng, {sums} FROM bin{step} JOIN cut{step} USING (grp) WHERE bin <= cut GROUP BY grp, lng)",
+            f"lang{step} AS (SELECT lng, {', '.join(f'sum({m}) AS l_{m}' for m in q.MOMENTS)} FROM own{step} GROUP BY lng)",
+            f"corpus{step} AS (SELECT {', '.join(f'sum({m}) AS c_{m}' for m in q.MOMENTS)} FROM own{step})",
+            f"lean{step} AS (SELECT lng, {', '.join(f'(l_{m} + {q.PRIOR_ROWS} * c_{m} / c_s) / (l_s + {q.PRIOR_ROWS}) AS p_{m}' for m in q.MOMENTS)} FROM lang{step}, corpus{step})",
+            f"sums{step} AS (SELECT grp, {', '.join(f'{m} + {q.PRIOR_ROWS} * p_{m} AS {m}' for m in q.MOMENTS)} FROM own{step} JOIN lean{step} USING (lng))",
         ]
     ctes += distance("a", f"sums{q.STEPS}", "judged")
     return "WITH " + ",\n".join(c.replace(" AS (", " AS MATERIALIZED (", 1) for c in ctes) + f"""
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    NOT base_failed AND NOT coalesce(s >= {q.H_SHARE * q.MIN_GROUP} AND d2 > {q.CUTOFF}, false) AS kept FROM judged"""
+    NOT base_failed AND NOT coalesce(d2 > {q.CUTOFF}, false) AS kept FROM judged"""
 
 
 HARD_NEGATIVES = """

@@ -10,9 +10,10 @@ distance passes ``CUTOFF`` is rejected.
 
 The fits read all rows that pass the base limits.  A group's distance quantile
 comes from exact counts per logarithmic distance bin, so no group is ever held
-in one task.  Language and source groups with fewer than ``MIN_GROUP`` rows
-share one pooled estimate; where even the pool is smaller, base limits alone
-decide.
+in one task.  Estimates shrink: to a group's sums are added ``PRIOR_ROWS`` rows
+with the mean moments of its language, and to the language's as many with those of
+the corpus.  So every group of any size has its own estimate, a row alone is judged
+by its language, and a document's verdict moves smoothly as its group grows.
 
 Defined results: null text has no words (and so fails the base limits); null
 language or source is a group of its own; repeated rows are judged each on
@@ -26,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billow.llm.common import WS, stored
+from billow.llm.common import BROADCAST_ROWS, WS, stored
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -36,7 +37,8 @@ SYMBOLS = "#*$%&|<>"
 PRIOR_WORDS = 50
 H_SHARE = 0.75
 STEPS = 4
-MIN_GROUP = 200
+#: Rows of its language (and, for a language, of the corpus) that each estimate leans on.
+PRIOR_ROWS = 200
 #: Bins per doubling of the squared distance when its quantile is sought.
 BINS = 32
 #: A document is rejected whose squared distance lies beyond this chi-square quantile.
@@ -128,34 +130,46 @@ def covariance(i: int, j: int) -> str:
     return f"({consistency()!r} * (s{min(i, j)}{max(i, j)} / s - (s{i} / s) * (s{j} / s)){floor})"
 
 
-def with_distance(rows: DataFrame, sums: DataFrame) -> DataFrame:
+MOMENTS = ["s", *[f"s{i}" for i in range(P)], *[f"s{i}{j}" for i in range(P) for j in range(i, P)]]
+
+
+def shrunk(sums: DataFrame, prior: int) -> DataFrame:
+    """The groups' sums, with ``prior`` rows of their language's mean moments, which lean on the corpus's."""
+    by_lang = sums.groupBy("lng").agg(*[F.sum(m).alias(f"l_{m}") for m in MOMENTS])
+    corpus = by_lang.agg(*[F.sum(f"l_{m}").alias(f"c_{m}") for m in MOMENTS])
+    # one row: the whole corpus
+    langs = by_lang.withColumn("all", F.lit(0)).join(F.broadcast(corpus.withColumn("all", F.lit(0))), "all")
+    langs = langs.select("lng", *[F.expr(f"(l_{m} + {prior} * c_{m} / c_s) / (l_s + {prior})").alias(f"p_{m}") for m in MOMENTS])
+    return sums.join(langs, "lng").select("grp", "lng", *[F.expr(f"{m} + {prior} * p_{m}").alias(m) for m in MOMENTS])
+
+
+def with_distance(rows: DataFrame, sums: DataFrame, sized) -> DataFrame:
     """Squared Mahalanobis distance d2 by Cholesky factors, written out as columns of the group's row.
 
-    The group table is one row per language and source (its size does not follow the documents'),
-    and joins like any other table, so Spark decides how."""
+    The group table is one row per language and source; ``sized`` marks it for broadcast where it is small."""
     fit = sums
     for i in range(P):
         for j in range(i + 1):
             less = "".join(f" - l{i}{k} * l{j}{k}" for k in range(j))
             entry = f"{covariance(i, j)}{less}"
             fit = fit.withColumn(f"l{i}{j}", F.expr(f"sqrt(greatest({entry}, 1e-12))" if i == j else f"({entry}) / l{j}{j}"))
-    fit = fit.select("grp", "s", *[F.expr(f"s{i} / s").alias(f"m{i}") for i in range(P)],
+    fit = fit.select("grp", *[F.expr(f"s{i} / s").alias(f"m{i}") for i in range(P)],
                      *[f"l{i}{j}" for i in range(P) for j in range(i + 1)])
-    out = rows.join(fit, "grp", "left")
+    out = rows.join(sized(fit), "grp", "left")
     for i, name in enumerate(FEATURES):
         less = "".join(f" - l{i}{k} * z{k}" for k in range(i))
         out = out.withColumn(f"z{i}", F.expr(f"({name} - m{i}{less}) / l{i}{i}"))
-    return out.withColumn("d2", F.expr(" + ".join(f"z{i} * z{i}" for i in range(P)))).select(*rows.columns, "s", "d2")
+    return out.withColumn("d2", F.expr(" + ".join(f"z{i} * z{i}" for i in range(P)))).select(*rows.columns, "d2")
 
 
 def sums_of(rows: DataFrame) -> DataFrame:
     f = list(FEATURES)
-    return rows.groupBy("grp").agg(
+    return rows.groupBy("grp", "lng").agg(
         F.count("*").cast("double").alias("s"), *[F.sum(f[i]).alias(f"s{i}") for i in range(P)],
         *[F.sum(F.col(f[i]) * F.col(f[j])).alias(f"s{i}{j}") for i in range(P) for j in range(i, P)])
 
 
-def nearest(rows: DataFrame, distance: str) -> DataFrame:
+def nearest(rows: DataFrame, distance: str, sized) -> DataFrame:
     """The rows of each group up to the bin in which the ``H_SHARE`` quantile of ``distance`` lies."""
     rows = rows.withColumn("bin", F.expr(f"CAST(floor(log2(greatest({distance}, 1e-9)) * {BINS}) AS INT)"))
     counts = rows.groupBy("grp", "bin").agg(F.count("*").alias("c"))
@@ -163,33 +177,30 @@ def nearest(rows: DataFrame, distance: str) -> DataFrame:
     # a group has some thousand bins at most: the walk to the quantile stays in its row
     cut = bins.select("grp", F.expr(f"""aggregate(b, struct(0L AS c, CAST(NULL AS INT) AS cut),
         (a, x) -> struct(a.c + x.c AS c, IF(a.cut IS NULL AND a.c + x.c >= n * {H_SHARE}, x.bin, a.cut) AS cut), a -> a.cut)""").alias("cut"))
-    return rows.join(cut, "grp").where("bin <= cut")
+    return rows.join(sized(cut), "grp").where("bin <= cut")
 
 
-def start(rows: DataFrame) -> DataFrame:
+def start(rows: DataFrame, sized) -> DataFrame:
     """First distances: from the group's medians (by the floors' scale), which outliers barely move."""
     med = rows.groupBy("grp").agg(*[F.percentile_approx(f, 0.5, 1000).alias(f"c_{f}") for f in FEATURES])
     d0 = " + ".join(f"pow(({f} - c_{f}) / {s!r}, 2)" for f, s in FEATURES.items())
-    return rows.join(med, "grp").withColumn("d2", F.expr(d0)).select(*rows.columns, "d2")
-
-
-def quality_rules(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """doc_id, the base counts, base_failed, kept, the squared distance that decided (null: none), and the
-    64-bit hash of the text."""
-    base = stored(features(base_statistics(docs)), "rules_base")
-    lang, source = F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit(""))
-    name = F.concat_ws("|", F.col("lang").isNull().cast("string"), lang, F.col("source").isNull().cast("string"), source)
-    base = base.withColumn("name", name)
-    sizes = base.where("NOT base_failed").groupBy("name").agg(F.count("*").alias("members"))
-    named = base.join(sizes, "name", "left").withColumn(
-        "grp", F.when(F.col("members") >= min_group, F.col("name")).otherwise(F.lit("pool")))
-    rows = stored(named.select("grp", "doc_id", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    return rows.join(sized(med), "grp").withColumn("d2", F.expr(d0)).select(*rows.columns, "d2")
+
+
+def quality_rules(docs: DataFrame, prior: int = PRIOR_ROWS) -> DataFrame:
+    """doc_id, the base counts, base_failed, kept, the squared distance that decided (null: no row of its
+    language and source passed the base limits), and the 64-bit hash of the text."""
+    null_or = lambda c: F.concat(F.col(c).isNull().cast("string"), F.coalesce(c, F.lit("")))
+    named = features(base_statistics(docs)).withColumns({"lng": null_or("lang"), "grp": F.concat_ws("|", null_or("lang"), null_or("source"))})
+    rows = stored(named.select("grp", "lng", "doc_id", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                "base_failed", *FEATURES), "rules_rows")
-    fitted = rows.where("NOT base_failed").select("grp", *FEATURES)
-    sums = stored(sums_of(nearest(start(fitted), "d2")), "rules_sums")
+    fitted = rows.where("NOT base_failed").select("grp", "lng", *FEATURES)
+    # tables of one row a group are broadcast up to a bound on groups, and join by shuffle beyond
+    sized = F.broadcast if fitted.select("grp").distinct().count() <= BROADCAST_ROWS else lambda df: df
+    sums = stored(shrunk(sums_of(nearest(start(fitted, sized), "d2", sized)), prior), "rules_sums")
     for _ in range(STEPS):
-        sums = stored(sums_of(nearest(with_distance(fitted, sums), "d2")), "rules_sums")
-    judged = with_distance(rows, sums)
-    outlier = F.coalesce((F.col("s") >= H_SHARE * min_group) & (F.col("d2") > CUTOFF), F.lit(False))
+        sums = stored(shrunk(sums_of(nearest(with_distance(fitted, sums, sized), "d2", sized)), prior), "rules_sums")
+    judged = with_distance(rows, sums, sized)
+    outlier = F.coalesce(F.col("d2") > CUTOFF, F.lit(False))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          (~F.col("base_failed") & ~outlier).alias("kept"), F.col("d2").alias("distance"), "text_key")

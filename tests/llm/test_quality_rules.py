@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from billow.llm import quality_rules as q
 
@@ -25,34 +26,42 @@ def base_of(row):
     return (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words, row.base_failed)
 
 
-def brute_kept(rows, min_group):
+def moments(x):
+    x = np.hstack([np.ones((len(x), 1)), x])
+    return x.T @ x
+
+
+def brute_kept(rows, prior=q.PRIOR_ROWS):
     """rows: (key, lang, source, text).  The same concentration steps in numpy."""
-    f, base, groups = {}, {}, Counter()
+    f, base, by, fit, d2 = {}, {}, {}, {}, {}
     for key, lang, source, text in rows:
         n, chars, symbols, dup, rep, failed, upper, lines = base[key] = brute_base(text)
         f[key] = [math.log((chars + 250) / (n + 50)), math.sqrt(symbols / (chars + 250)), math.sqrt(upper / (chars + 250)),
                   dup / (lines + 10), rep / (n + 50)]
-        groups[lang, source] += not failed
-    by = {}
-    for key, lang, source, _ in rows:
-        by.setdefault((lang, source) if groups[lang, source] >= min_group else "pool", []).append(key)
-    floor, out = np.array(list(q.FEATURES.values())), {}
-    for keys in by.values():
-        fit = np.array([f[k] for k in keys if not base[k][5]]).reshape(-1, q.P)
-        d2 = np.array([])
-        if len(fit):
-            med = np.sort(fit, axis=0)[math.ceil(len(fit) / 2) - 1]
-            d2 = (((fit - med) / floor) ** 2).sum(1)
-            for _ in range(q.STEPS + 1):
-                bins = np.floor(np.log2(np.maximum(d2, 1e-9)) * q.BINS)
-                near = fit[bins <= np.sort(bins)[math.ceil(len(bins) * q.H_SHARE) - 1]]
-                mean, cov = near.mean(0), q.consistency() * np.cov(near.T, bias=True) + np.diag(floor ** 2)
-                dist = lambda x: np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)  # noqa: B023,E731
-                d2 = dist(fit)
-        for k in keys:
-            far = len(fit) and len(near) >= q.H_SHARE * min_group and dist(np.array([f[k]]))[0] > q.CUTOFF
-            out[k] = not base[k][5] and not far
-    return out
+        by.setdefault((lang, source), []).append(key)
+    floor = np.array(list(q.FEATURES.values()))
+    for g, keys in by.items():
+        x = np.array([f[k] for k in keys if not base[k][5]])
+        if len(x):
+            fit[g] = x
+            d2[g] = (((x - np.sort(x, axis=0)[math.ceil(len(x) / 2) - 1]) / floor) ** 2).sum(1)
+
+    def distance(m, x):
+        mean = m[0, 1:] / m[0, 0]
+        cov = q.consistency() * (m[1:, 1:] / m[0, 0] - np.outer(mean, mean)) + np.diag(floor ** 2)
+        return np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+
+    for _ in range(q.STEPS + 1):
+        own, lang = {}, {}
+        for g, x in fit.items():
+            bins = np.floor(np.log2(np.maximum(d2[g], 1e-9)) * q.BINS)
+            own[g] = moments(x[bins <= np.sort(bins)[math.ceil(len(bins) * q.H_SHARE) - 1]])
+            lang[g[0]] = lang.get(g[0], 0) + own[g]
+        corpus = sum(lang.values())
+        lean = {k: (m + prior * corpus / corpus[0, 0]) / (m[0, 0] + prior) for k, m in lang.items()}
+        model = {g: m + prior * lean[g[0]] for g, m in own.items()}
+        d2 = {g: distance(model[g], x) for g, x in fit.items()}
+    return {k: not base[k][5] and distance(model[g], np.array([f[k]]))[0] <= q.CUTOFF for g, keys in by.items() for k in keys}
 
 
 def test_base_counts(docs, odd):
@@ -61,19 +70,24 @@ def test_base_counts(docs, odd):
         assert got == Counter((r.doc_id, *brute_base(r.text)[:6]) for r in df.collect())
 
 
-def test_outliers_equal_brute_force(docs):
-    got = {r.doc_id: r.kept for r in q.quality_rules(docs, min_group=30).collect()}
-    want = brute_kept([(r.doc_id, r.lang, r.source, r.text) for r in docs.collect()], 30)
+@pytest.mark.parametrize("prior", [q.PRIOR_ROWS, 5])
+def test_outliers_equal_brute_force(docs, prior):
+    got = {r.doc_id: r.kept for r in q.quality_rules(docs, prior).collect()}
+    want = brute_kept([(r.doc_id, r.lang, r.source, r.text) for r in docs.collect()], prior)
     assert got == want and 0 < sum(got.values()) < len(got)
 
 
-def test_language_and_source_have_their_own_estimate(spark):
-    rows = [(i, " ".join(("tiny " if i % 2 else "considerable ").split() * 1 + [f"w{i}x{k}" for k in range(40)]), "en", f"s{i % 2}") for i in range(120)]
-    rows += [(500, " ".join(f"W{k}$$$" for k in range(40)), "en", "s1"), (501, None, None, None)]
+def test_groups_of_every_size_have_a_verdict(spark):
+    """Junk alone in its group, alone in its language and in a large group goes; groups keep their own estimate."""
+    prose = lambda i: " ".join([("tiny " if i % 2 else "considerable ") + f"w{i}x{k}" for k in range(40)])
+    junk = " ".join(f"W{k}$$$" for k in range(40))
+    rows = [(i, prose(i), "en", f"s{i % 2}") for i in range(600)]
+    rows += [(1000, junk, "en", "s1"), (1001, junk, "en", "alone"), (1002, junk, "xx", None), (1003, prose(4), "en", "alone too"),
+             (1004, None, None, None), (1005, prose(5), None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    got = {r.doc_id: r.kept for r in q.quality_rules(df, min_group=50).collect()}
-    assert got == brute_kept(rows and [(r[0], r[2], r[3], r[1]) for r in rows], 50)
-    assert not got[500] and not got[501] and all(got[i] for i in range(120))
+    got = {r.doc_id: r.kept for r in q.quality_rules(df).collect()}
+    assert got == brute_kept([(r[0], r[2], r[3], r[1]) for r in rows])
+    assert [got[i] for i in range(1000, 1006)] == [False, False, False, True, False, True] and all(got[i] for i in range(600))
 
 
 def test_empty_table(none):
@@ -90,8 +104,8 @@ def test_quality_labels_agree(spark):
 
 
 def test_main_path_is_native(docs):
-    plan = q.base_statistics(docs)._jdf.queryExecution().toString()
-    assert not re.search("Python|Pandas|Arrow", plan)
+    for df in (q.base_statistics(docs), q.quality_rules(docs)):
+        assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().toString())
 
 
 def test_cutoff_is_the_chi_square_quantile(spark):
