@@ -96,16 +96,16 @@ def radius_for(cosine: float, bits: int) -> int:
     return math.ceil(bits * p + NormalDist().inv_cdf(1 - MISS) * math.sqrt(bits * p * (1 - p)))
 
 
-def search(index: Index, x: np.ndarray, norms: np.ndarray, ids: list, q: np.ndarray, code: np.ndarray, k: int) -> list[tuple[float, int]]:
-    """The k best (cosine, id) of one block for one query vector, best first, ties to smaller ids."""
+def search(index: Index, x: np.ndarray, norms: np.ndarray, ids: list, q: np.ndarray, code: np.ndarray, k: int) -> list[tuple[float, int, int]]:
+    """The k best (cosine, id, row) of one block for one query vector, best first, ties to smaller ids."""
     q_norm, bits = math.sqrt(float(q @ q)), 8 * index.rows.shape[1]
 
-    def ranked(at: np.ndarray) -> list[tuple[float, int]]:
+    def ranked(at: np.ndarray) -> list[tuple[float, int, int]]:
         cosine = (x[at] * q).sum(1) / (norms[at] * q_norm)
         if len(at) > k:
             keep = cosine >= np.partition(cosine, len(at) - k)[len(at) - k]
             at, cosine = at[keep], cosine[keep]
-        return sorted(((c, i) for c, r in zip(cosine.tolist(), at) for i in ids[r]), key=lambda y: (-y[0], y[1]))[:k]
+        return sorted(((c, i, r) for c, r in zip(cosine.tolist(), at) for i in ids[r]), key=lambda y: (-y[0], y[1]))[:k]
 
     radius = step = max(1, bits // 32)
     at, _ = index.within(code, radius)
@@ -154,15 +154,15 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, id_col: str = "vec_id",
             (v, c), (q, qc) = prepared(vs), prepared(qs)
             found, norms, ids = Index(c), np.sqrt((v * v).sum(1)), vs.ids.tolist()
             for k1, k2, a, b in zip(qs.k1, qs.k2, q, qc):
-                out += [(k1, k2, s, i) for s, i in search(found, v, norms, ids, a, b, k + 1)]
-        return pd.DataFrame(out, columns=["k1", "k2", "score", "id"]).astype({"k1": "int64", "k2": "int64", "score": float, "id": "int64"})
+                out += [(k1, k2, s, i, vs.k1[r] == k1 and vs.k2[r] == k2) for s, i, r in search(found, v, norms, ids, a, b, k + 1)]
+        return pd.DataFrame(out, columns=["k1", "k2", "score", "id", "same"]).astype({"k1": "int64", "k2": "int64", "score": float, "id": "int64", "same": bool})
 
     left = index.withColumns({"block": F.expr(f"pmod(xxhash64(k2), {blocks})"), "qblock": F.expr(f"explode(sequence(0L, {query_blocks - 1}L))")})
     right = asked.withColumns({"qblock": F.expr(f"pmod(xxhash64(k2), {query_blocks})"), "block": F.expr(f"explode(sequence(0L, {blocks - 1}L))")})
-    found = left.groupBy("block", "qblock").cogroup(right.groupBy("block", "qblock")).applyInPandas(meet, "k1 long, k2 long, score double, id long")
+    found = left.groupBy("block", "qblock").cogroup(right.groupBy("block", "qblock")).applyInPandas(meet, "k1 long, k2 long, score double, id long, same boolean")
     # k + 1 answers of each block at most come together for one query vector
-    lists = found.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "id"))).alias("all"))
+    lists = found.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "id", "same"))).alias("all"))
     own = queries.distinct().join(lists, ["k1", "k2"]).select(
-        F.col("id").alias("query_id"), F.expr(f"slice(filter(all, x -> x.id <> id), 1, {k})").alias("best"))
+        F.col("id").alias("query_id"), F.expr(f"slice(filter(all, x -> NOT (x.id = id AND x.same)), 1, {k})").alias("best"))
     return own.select("query_id", F.posexplode("best").alias("p", "x")).select(
         "query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("x.id").alias("vec_id"), (-F.col("x.minus")).alias("score"))

@@ -77,3 +77,9 @@ def test_odd_rows(spark):
     got = run(df, 50, 5)
     assert got.keys() == {0, 50, 150} and [i for _, i in got[0]] == [8, 50, 150, 8] and [i for _, i in got[50]][0] == 150
     assert run(df.limit(0), 50, 5) == {} == run(df.where("vec_id = 0"), 50, 5)
+
+
+def test_rows_of_one_id_with_different_vectors_see_each_other(spark):
+    df = spark.createDataFrame([(50, [1.0, 0.0]), (50, [1.0, 0.1]), (50, [1.0, 0.0]), (7, [0.0, 1.0])], "vec_id long, embedding array<float>")
+    rows = sorted((r.vec_id, round(r.score, 3), r["rank"]) for r in h.nearest(df, 50, 5).collect())
+    assert rows == sorted([(50, 0.995, 1), (7, 0.0, 2), (50, 0.995, 1), (7, 0.1, 2)])
