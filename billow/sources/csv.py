@@ -3,10 +3,11 @@
 ``read_csv`` reads every field as text in one pass (no inference pass),
 turns missing-value tokens into null, and casts the known columns with
 ``try_cast`` so a bad value becomes null instead of failing the job.  Unknown
-columns stay text.  It also attaches the row ordinal ``_row_order`` =
-``(file path, split start, row id within the split)``, taken directly at the
-scan before any shuffle: Spark has no row order, and keep-first/keep-last in
-file order needs one.
+columns stay text.  It also attaches the row ordinal ``_row_order``: one number made of
+the file's rank in the listing, the split's start and the row within the scan task,
+taken directly at the scan before any shuffle: Spark has no row order, and
+keep-first/keep-last in file order needs one.  Being one number, its minimum is a
+hash aggregate.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 from billow.functions.text import normalise_dataset_name, null_tokens_to_null
 from billow.session import stored
@@ -99,19 +100,19 @@ def _entries_from_listing(spark: SparkSession, base: str) -> list[tuple[str, str
         base_path = base[len("file:"):] if base.startswith("file:") else base
     base_path = base_path.rstrip("/") + "/"
     entries: dict[str, str] = {}
-    for row in _file_listing(spark, base).select("path").collect():
-        at = row.path.find(base_path)
-        if at < 0:
-            continue
-        top = row.path[at + len(base_path):].split("/", 1)[0]
-        if top.lower().endswith(".csv"):
-            entries[top] = row.path[: at + len(base_path)] + top
+    # the part of each path up to the first slash after the folder: one row an entry comes to the driver
+    after = F.substring_index(F.substring(F.col("path"), F.locate(base_path, F.col("path")) + F.lit(len(base_path)), F.length("path")), "/", 1)
+    before = F.substring(F.col("path"), F.lit(1), F.locate(base_path, F.col("path")) + F.lit(len(base_path) - 1))
+    tops = _file_listing(spark, base).where(F.contains("path", F.lit(base_path))).select(before.alias("before"), after.alias("top"))
+    for row in tops.where(F.endswith("top", F.lit(".csv"))).distinct().collect():
+        entries[row.top] = row.before + row.top
     return sorted(entries.items())
 
 
-ORDINAL_TYPE = StructType([StructField("file", StringType()),
-                           StructField("offset", LongType()),
-                           StructField("row", LongType())])
+#: The ordinal is one number: rank of the file, byte offset of the split (14 digits), row within the scan task (10 digits).
+ORDINAL_TYPE = DecimalType(38, 0)
+#: Files whose ranks Spark is asked to broadcast; beyond, it decides how to join them.
+BROADCAST_FILES = 1_000_000
 
 
 # RFC 4180 quoting: a quote inside a quoted field is doubled.
@@ -121,20 +122,39 @@ MALFORMED = "_malformed"
 FROM_CSV = DIALECT | {"multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
 
 
-def _ordinal(file: Column, offset: Column, row: Column) -> Column:
-    return F.struct(natural_order(file).alias("file"), offset.alias("offset"), row.alias("row")).alias(ORDINAL)
+def natural_key(path: str) -> list:
+    """Sort key in which digits count as numbers (``part-99999`` before ``part-100000``)."""
+    return [(0, int(x), "") if x.isdigit() else (1, 0, x) for x in re.split(r"([0-9]+)", path) if x]
+
+
+def file_ranks(files: Sequence[str]) -> dict[str, int]:
+    """Rank of each file in natural order of the paths, under the spellings that Spark has for them."""
+    ranks: dict[str, int] = {}
+    for spell in (lambda f: f, unquote):
+        for n, f in enumerate(sorted(files, key=lambda f: (natural_key(unquote(f)), f))):
+            rest = re.sub(r"^file:/+", "", spell(f))
+            for name in ([f"file:/{rest}", f"file:///{rest}"] if f.startswith("file:/") else [rest]):
+                ranks.setdefault(name, n)
+    return ranks
 
 
-def natural_order(path: Column) -> Column:
-    """Path text in which every number has 20 digits at least, so that text order is number order
-    (``part-99999`` before ``part-100000``)."""
-    padded = F.regexp_replace(path, r"(\d+)", "0" * 20 + "$1")
-    return F.regexp_replace(padded, r"(?<!\d)0*?(\d{20})(?!\d)", "$1")
+def _with_ordinal(df: DataFrame, ranks: dict[str, int]) -> DataFrame:
+    """The columns ``__file``, ``__offset``, ``__row`` as one number.  A file without a rank is an error."""
+    if len(set(ranks.values())) == 1:
+        rank = F.lit(0)
+    else:
+        table = df.sparkSession.createDataFrame(list(ranks.items()), "__file string, __rank bigint")
+        df = df.join(F.broadcast(table) if len(ranks) <= BROADCAST_FILES else table, "__file", "left")
+        rank = F.coalesce("__rank", F.raise_error(F.concat(F.lit("file is not in the listing: "), "__file")).cast("bigint"))
+    in_task = F.col("__row").bitwiseAND(F.lit((1 << 33) - 1))  # the id's other bits are the task's number
+    packed = (rank.cast("decimal(13,0)") * F.lit(10 ** 14).cast("decimal(15,0)") + F.col("__offset")).cast("decimal(28,0)")
+    number = (packed * F.lit(10 ** 10).cast("decimal(11,0)") + in_task).cast(ORDINAL_TYPE)
+    return df.withColumn(ORDINAL, number).drop("__file", "__offset", "__row", "__rank")
 
 
 def csv_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
     """The data files under ``path`` (a listing; nothing is read)."""
-    return [_plain(f) for f in spark.read.text(path if isinstance(path, str) else list(path)).inputFiles()]
+    return spark.read.text(path if isinstance(path, str) else list(path)).inputFiles()
 
 
 def _plain(path: str) -> str:
@@ -160,18 +180,19 @@ def _text_schema(names: Sequence[str]) -> StructType:
     return StructType([StructField(n, StringType()) for n in (*names, MALFORMED)])
 
 
-def _scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def _scan(spark: SparkSession, paths: Sequence[str], ranks: dict[str, int]) -> DataFrame:
     """Splittable scan of files without quoted line breaks."""
     reader = spark.read.options(**DIALECT).option("header", True).option("inferSchema", False)
     names = reader.csv(list(paths)).columns
     # a malformed record is only seen when all fields are parsed, so columns are not pruned
     raw = (reader.option("mode", "PERMISSIVE").option("enforceSchema", False).option("columnPruning", False)
            .option("columnNameOfCorruptRecord", MALFORMED).schema(_text_schema(names)).csv(list(paths)))
-    return _extra_fields(raw.select("*", _ordinal(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
-                                                  F.monotonically_increasing_id())), len(names))
+    placed = raw.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__offset"),
+                        F.monotonically_increasing_id().alias("__row"))
+    return _extra_fields(_with_ordinal(placed, ranks), len(names))
 
 
-def _scan_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def _scan_records(spark: SparkSession, paths: Sequence[str], ranks: dict[str, int]) -> DataFrame:
     """Scan of files with quoted line breaks: records put together from the lines of all splits."""
     names = (spark.read.options(**DIALECT).option("header", True).option("inferSchema", False)
              .option("multiLine", True).csv(paths[0]).columns)
@@ -184,9 +205,10 @@ def _scan_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         .where(F.col("row").getField(MALFORMED).isNotNull() | ~cells.eqNullSafe(F.array(*[F.lit(n.lower()) for n in names]))).first()
     if other is not None:
         raise ValueError(f"the header of {other.file} differs: {names} expected")
-    first = heads.select("file", F.col("head.offset").alias("__offset"), F.col("head.row").alias("__row"))
-    body = found.join(first, "file").where("offset <> __offset OR row <> __row")  # one row a file: Spark broadcasts it if small
-    body = body.select(as_row(F.col("text")).alias("__r"), _ordinal(F.col("file"), F.col("offset"), F.col("row")))
+    first = heads.select("file", F.col("head.offset").alias("head_offset"), F.col("head.row").alias("head_row"))
+    body = found.join(first, "file").where("offset <> head_offset OR row <> head_row")  # one row a file: Spark broadcasts it if small
+    body = _with_ordinal(body.select(as_row(F.col("text")).alias("__r"), F.col("file").alias("__file"), F.col("offset").alias("__offset"),
+                                     F.col("row").alias("__row")), ranks)
     return _extra_fields(body.select(*[F.col("__r").getField(c).alias(n) for c, n in zip((*numbered, MALFORMED), (*names, MALFORMED))], ORDINAL), len(names))
 
 
@@ -198,14 +220,16 @@ def read_records(spark: SparkSession, path: str | Sequence[str], multiline: bool
     Either way every file is read by as many tasks as it has splits.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    if multiline is False:
-        return _scan(spark, paths)
     files = csv_files(spark, paths)
-    broken = set(files if multiline else map(_plain, records.files_with_breaks(spark, paths)))
-    parts = [_scan(spark, paths)] if not broken else []
+    ranks = file_ranks(files)
+    if multiline is False:
+        return _scan(spark, paths, ranks)
+    plain = set(map(_plain, files))
+    broken = plain if multiline else set(map(_plain, records.files_with_breaks(spark, paths)))
+    parts = [_scan(spark, paths, ranks)] if not broken else []
     if broken:
-        whole = [f for f in files if f not in broken]
-        parts = [_scan_records(spark, sorted(broken)), *([_scan(spark, whole)] if whole else [])]
+        whole = sorted(plain - broken)
+        parts = [_scan_records(spark, sorted(broken), ranks), *([_scan(spark, whole, ranks)] if whole else [])]
     if len(parts) == 2 and [c.lower() for c in parts[0].columns] != [c.lower() for c in parts[1].columns]:
         raise ValueError(f"headers differ: {parts[0].columns[:-2]} and {parts[1].columns[:-2]}")
     return reduce(DataFrame.union, parts)

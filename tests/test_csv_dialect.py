@@ -7,6 +7,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from billow.functions import dayfirst_date, lenient_date
 from billow.functions.money import money_sum
+from billow.operators.dedup import drop_row_duplicates
 from billow.sources import csv as c
 
 SCHEMA = StructType([StructField("key", StringType()), StructField("note", StringType()), StructField("amount", DoubleType())])
@@ -41,10 +42,32 @@ def test_other_header_order_is_an_error(spark, tmp_path):
         c.read_csv(spark, path, SCHEMA).collect()
 
 
-def test_part_files_in_number_order(spark):
+def test_part_files_in_number_order(spark, tmp_path):
     names = ["/x/part-99999-c.csv", "/x/part-100000-c.csv", "/x/costs_9.csv", "/x/costs_10.csv"]
-    df = spark.createDataFrame([(n,) for n in names], "p string").select("p", c.natural_order(F.col("p")).alias("n"))
-    assert [r.p for r in df.orderBy("n").collect()] == [names[2], names[3], names[0], names[1]]
+    assert sorted(names, key=c.natural_key) == [names[2], names[3], names[0], names[1]]
+    folder = tmp_path / "many parts.csv"
+    folder.mkdir()
+    for n in (10, 9, 100, 2):
+        (folder / f"part {n}%20+é.csv").write_text("key,note,amount\n" + "".join(f"S{n},r{i},1\n" for i in range(3)))
+    for multiline in (None, False, True):
+        rows = c.read_csv(spark, str(folder), SCHEMA, multiline=multiline).orderBy(c.ORDINAL).collect()
+        assert [(r.key, r.note) for r in rows] == [(f"S{n}", f"r{i}") for n in (2, 9, 10, 100) for i in range(3)]
+        assert len({r[c.ORDINAL] for r in rows}) == 12
+
+
+def test_ordinal_is_one_number_and_groups_by_hash(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "key,note,amount\nS1,x,10\nS1,x,10\nS2,y,5\n")
+    df = c.read_csv(spark, path, SCHEMA)
+    assert df.schema[c.ORDINAL].dataType == c.ORDINAL_TYPE
+    once = drop_row_duplicates(df)
+    assert "SortAggregate" not in once._jdf.queryExecution().toString()
+    assert [r.key for r in once.orderBy(c.ORDINAL).collect()] == ["S1", "S2"]
+
+
+def test_file_without_rank_is_an_error(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "key,note,amount\nS1,x,10\n")
+    with pytest.raises(Exception, match="not in the listing"):
+        c._scan(spark, [path], {"file:/other": 0, "file:/another": 1}).select(c.ORDINAL).collect()
 
 
 def test_small_units_and_large_totals(spark):
