@@ -14,6 +14,10 @@ the only one; an empty text has none.
 All steps are DataFrame and SQL functions.  Defined results: null text is empty;
 two empty sets are alike (1.0), an empty and another one are not (0.0).  A row
 whose set has too different a length for the asked likeness is settled by the lengths alone.
+``near_classes`` joins all documents with each other: equal sets (copies) are one class, two sets
+are compared only if their lengths lie in the same or neighbouring partitions and they share one of their
+rarest signatures, and only if lengths and places leave room for the asked likeness.  It links no
+document without signatures (null and empty texts are a class of their own); a null id stays a member.
 In ``next_texts`` documents follow each other by descending id, rows of one id by
 their texts; the first follows the last (a single document follows itself); rows
 without id have no next text (an empty one).
@@ -21,9 +25,13 @@ without id have no next text (an empty one).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from billow.llm.common import discard, id_and_text, stored
+
 #: Common words of English, Spanish, French and German prose.
 COMMON = """
 the of and to a in is that it for was on with as be by are this at from
@@ -37,6 +45,8 @@ DIGITS = 8
 #: Rows of a page of consecutive ids, and pages at most (sizing only: results do not depend on them).
 PAGE_ROWS, PAGES = 1000, 4096
 MARK = "\x01"
+#: Entries of a (length partition, signature) bucket that meet in one key of the join; larger ones are cut.
+BUCKET = 2000
 
 
 def signatures(df: DataFrame, text: str, out: str, chain: int = CHAIN) -> DataFrame:
@@ -109,3 +119,44 @@ def edited_fingerprints(docs: DataFrame, page_rows: int = PAGE_ROWS) -> DataFram
     rows = with_likeness(with_likeness(rows, "sigs", "edited_sigs", "near_edited"), "sigs", "next_sigs", "near_next")
     return rows.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), fingerprint("sigs").alias("fingerprint"),
                        fingerprint("edited_sigs").alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+def length_partition(n: str, percent: int) -> Column:
+    """Partitions of set lengths, each as wide as the lengths a set may be alike to: a set's partners of
+    its length or longer lie in its own partition or the next."""
+    return F.floor(F.log(F.col(n)) / math.log(100 / percent) + 1e-9).cast("int")
+
+
+def rare_entries(classes: DataFrame, percent: int) -> DataFrame:
+    """key, n, sig, place, part: of every set its rarest signatures, as many as two sets of this likeness must share one of."""
+    entries = classes.select("key", "n", F.explode("sigs").alias("sig"))
+    ranked = entries.join(entries.groupBy("sig").agg(F.count("*").alias("c")), "sig") \
+        .withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("c", "sig")))
+    return ranked.where(100 * F.col("place") <= (100 - percent) * F.col("n") + 100).select(
+        "key", "n", "sig", "place", length_partition("n", percent).alias("part"))
+
+
+def near_classes(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """(members: doc_id, key, n; pairs: a, b, likeness) of all documents whose signature sets have a Jaccard
+    similarity of ``percent`` or more.  Documents of one ``key`` have equal sets of n signatures; a pair links two keys, a < b."""
+    signed = signatures(id_and_text(docs), "text", "sigs").select("doc_id", "sigs", F.md5(fingerprint("sigs").cast("binary")).alias("key"), F.size("sigs").alias("n"))
+    signed = stored(signed, "spot_signed")
+    classes = stored(signed.where("n > 0").groupBy("key").agg(F.any_value("sigs").alias("sigs"), F.any_value("n").alias("n")), "spot_classes")
+    entries = stored(rare_entries(classes, percent), "spot_entries")
+    # a set meets those of its own partition and, as the shorter one, those of the next
+    probes = entries.withColumn("part", F.explode(F.array("part", F.col("part") + 1)))
+    cuts = entries.groupBy("part", "sig").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("cuts")).where("cuts > 1")
+    index = entries.join(cuts, ["part", "sig"], "left").withColumn("cut", F.expr("pmod(xxhash64(key), coalesce(cuts, 1))"))
+    probes = probes.join(cuts, ["part", "sig"], "left").withColumn("cut", F.explode(F.expr("sequence(0L, coalesce(cuts, 1) - 1L)")))
+    x, y = (df.select("part", "sig", "cut", *[F.col(c).alias(f"{c}_{side}") for c in ("key", "n", "place")]) for df, side in ((probes, "x"), (index, "y")))
+    room = 1 + F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y"))
+    met = x.join(y, ["part", "sig", "cut"]).where((F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("key_x") < F.col("key_y")))) \
+        .where(100 * F.col("n_x") >= percent * F.col("n_y")) \
+        .where((100 + percent) * (room + F.least("place_x", "place_y") - 1) >= percent * (F.col("n_x") + F.col("n_y")))
+    met = met.select(F.least("key_x", "key_y").alias("a"), F.greatest("key_x", "key_y").alias("b")).distinct()
+    sets = lambda k: classes.select(F.col("key").alias(k), F.col("sigs").alias(f"sigs_{k}"))
+    both = met.join(sets("a"), "a").join(sets("b"), "b").withColumn("both", F.size(F.array_intersect("sigs_a", "sigs_b")))
+    both = both.withColumn("all", F.size("sigs_a") + F.size("sigs_b") - F.col("both")).where(100 * F.col("both") >= percent * F.col("all"))
+    pairs = stored(both.select("a", "b", (F.col("both").cast("double") / F.col("all")).alias("likeness")), "spot_pairs")
+    discard(classes, entries)
+    return signed.select("doc_id", "key", "n"), pairs

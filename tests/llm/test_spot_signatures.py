@@ -78,6 +78,35 @@ def test_edits_stay_near_and_other_texts_are_far(spark):
     assert sum(r.near_edited for r in rows) / len(rows) > 0.4 and sum(r.near_next for r in rows) / len(rows) < 0.05
 
 
+@pytest.mark.parametrize("percent, bucket", [(80, 2000), (50, 3)])
+def test_near_classes_equal_brute_force(spark, docs, odd, percent, bucket, monkeypatch):
+    """All pairs of different sets, over given documents, edits of them, copies, and odd rows."""
+    monkeypatch.setattr(m, "BUCKET", bucket)
+    rng = random.Random(percent)
+    rows = [(r.doc_id, r.text) for r in docs.limit(60).collect()]
+    for i, text in rows[:40]:
+        words = (text or "").split(" ")
+        for k in range(4):
+            cut = rng.randrange(len(words))
+            rows.append((10_000 + 10 * i + k, " ".join(words[:cut] + words[cut + 1 + k * k:])))
+    rows += [(r.doc_id, r.text) for r in odd.collect()] + rows[:5]
+    members, pairs = m.near_classes(spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, text string, key string, n int").repartition(4), percent)
+    sets = {}
+    for _, text in rows:
+        s = frozenset(signed(text or ""))
+        sets["".join(sorted(s))] = s
+    key = {hashlib.md5(k.encode()).hexdigest(): s for k, s in sets.items()}
+    want = {(a, b): like(key[a], key[b]) for a in key for b in key if a < b and key[a] and key[b] and 100 * len(key[a] & key[b]) >= percent * len(key[a] | key[b])}
+    assert {(r.a, r.b): r.likeness for r in pairs.collect()} == pytest.approx(want) and len(want) > 50
+    got = sorted(((r.doc_id, r.key, r.n) for r in members.collect()), key=repr)
+    assert got == sorted(((i, hashlib.md5("".join(sorted(signed(t or ""))).encode()).hexdigest(), len(signed(t or ""))) for i, t in rows), key=repr)
+
+
+def test_near_classes_of_nothing(none):
+    members, pairs = m.near_classes(none)
+    assert members.count() == pairs.count() == 0
+
+
 def test_native_plan(spark):
     plan = e.queries()["op11_spot_signatures"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|ExistingRDD", plan)
