@@ -86,7 +86,8 @@ def keyed(lines: DataFrame, edits: int, near_chars: int) -> DataFrame:
     """(key, own, h1, len): the first edits + 1 keys of a line are its own segments, the others its probes."""
     index, probe = keys(edits)
     d = lines.select("line", "h1", F.length("line").alias("len")).where(F.col("len") >= max(near_chars, 2 * edits + 2))
-    d = d.select("h1", "len", F.posexplode(F.expr(f"concat({index}, {probe})")).alias("at", "key"))
+    # keys as a column, and "outer": otherwise the planner infers a filter that works all keys out once more
+    d = d.select("h1", "len", F.expr(f"concat({index}, {probe})").alias("keys")).select("h1", "len", F.posexplode_outer("keys").alias("at", "key"))
     return d.select("key", (F.col("at") <= edits).alias("own"), "h1", "len")
 
 
@@ -148,7 +149,7 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, min_words: int = MIN_WORD
     late = both.select(F.expr("IF(first_a < first_b, b1, a1)").alias("h1"), F.expr("IF(first_a < first_b, b2, a2)").alias("h2")).distinct().withColumn("near", F.lit(True))
     told = stored(firsts.join(late, ["h1", "h2"], "left").where("times > 1 OR near"), "line_told")
     gone = lines.join(small(told), ["h1", "h2"]).where(F.col("near") | (place() > F.col("first")))
-    return gone.groupBy("doc", "text_key").agg(F.sort_array(F.collect_set("n")).alias("removed"), F.count(F.when(F.col("near"), 1)).alias("near"))
+    return gone.groupBy("doc", "text_key").agg(F.sort_array(F.collect_set("n")).alias("removed"), F.count_distinct(F.when(F.col("near"), F.col("n"))).alias("near"))
 
 
 def dedup_report(docs: DataFrame, **options) -> DataFrame:

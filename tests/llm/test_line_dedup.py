@@ -32,12 +32,12 @@ def brute(rows, edits=2, min_words=5, near_chars=20):
         first.setdefault(line, (doc, n))
     texts = [t for t in first if len(t) >= near_chars]
     late = {b for b in texts for a in texts if abs(len(a) - len(b)) <= edits and first[a] < first[b] and distance(a, b) <= edits}
-    gone, near = {}, Counter()
+    gone, near = {}, {}
     for doc, n, line in lines:
         if line in late or first[line] != (doc, n):
             gone.setdefault(doc, set()).add(n)
-            near[doc] += line in late
-    return Counter((doc, 0 if text is None else len(text.split("\n")), tuple(sorted(gone.get(key, ()))), near[key])
+            near.setdefault(doc, set()).update([n] if line in late else [])
+    return Counter((doc, 0 if text is None else len(text.split("\n")), tuple(sorted(gone.get(key, ()))), len(near.get(key, ())))
                    for doc, text in rows for key in [d.LAST if doc is None else doc])
 
 
@@ -127,3 +127,8 @@ def test_rows_without_id_and_repeated_ids_are_known_by_their_text(spark):
     assert got[low, rows[8][1]] == 1 and got[d.LAST, rows[8][1]] == got[None, rows[8][1]] == 0
     assert got[d.LAST, rows[12][1]] == 1 and got[None, rows[12][1]] == 0
     assert sum(report.values()) == len(rows) and report[None, (1,)] == 1
+
+
+def test_near_lines_of_repeated_rows_count_once(spark):
+    rows = [(1, "a line of text that stands in the first row"), (2, "a line of text that stands in the first rows"), (2, "a line of text that stands in the first rows")]
+    assert run(spark.createDataFrame(rows, "doc_id long, text string")) == Counter({(1, 1, (), 0): 1, (2, 1, (0,), 1): 2})
