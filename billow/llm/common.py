@@ -28,6 +28,13 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def one_text_each(rows: DataFrame) -> DataFrame:
+    """One row for each doc_id with the same other columns: that of the smallest text hash.  Repeated ids meet in
+    partial aggregates, so a sample of few ids stays small however often one is repeated."""
+    keys = [c for c in rows.columns if c != "text"]
+    return rows.groupBy(*keys).agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least")).select(*keys, "least.text")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back: lineage ends there,
     and a lost executor loses nothing.  Nothing reads the write's shuffles afterwards, so they are freed."""

@@ -4,19 +4,23 @@ Every line of a text is a node labelled good or bad.  A node sees statistics of
 its own line and of the lines before and after it; edges hold the label
 transitions.  Training lines take the label of their document (weak labels) and
 the conditional likelihood is maximised on at most ``TRAIN_DOCS`` labelled
-documents, chosen evenly by a hash of their id.  A document's score is the mean
+documents, chosen evenly by a hash of their id; of one with more than
+``TRAIN_LINES`` lines, a run of so many neighbouring lines from a place that the
+text's hash names (scores take every line of every text).  A document's score is the mean
 of its lines' forward-backward marginals for "good", weighted by line length, put
 on the scale of a probability by a one-variable logistic fit to the labels of
 the same training documents.
 
 Only the text enters a score.  Defined results: null and empty texts are one
 empty line and get that line's score; repeated rows are scored alike, each in
-its place; where no labelled training document exists, every score is 0.5; an
+its place; of a training document's repeated rows that with the smallest text
+hash counts; where no labelled training document exists, every score is 0.5; an
 empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billow.llm.common import fold, id_and_text
+from billow.llm.common import fold, id_and_text, one_text_each
 
 #: Labelled documents to learn from, at most (the sample's documented bound), and lines of one of them.
 TRAIN_DOCS = 3000
@@ -153,22 +157,27 @@ def score_texts(texts: Iterator[str], model: dict) -> Iterator[float]:
         yield from flush(xs, weights)
 
 
+def training_run(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Features and lengths of at most ``TRAIN_LINES`` neighbouring lines."""
+    x, n = line_features(text)
+    start = zlib.crc32(text.encode("utf-8", "replace")) % max(1, len(x) - TRAIN_LINES + 1)
+    return x[start:start + TRAIN_LINES], n[start:start + TRAIN_LINES]
+
+
 def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> dict | None:
     """Fit on the ``limit`` labelled documents outside fold 0 with the smallest id hashes."""
     chosen = (labels.select("doc_id", F.col("quality").alias("y")).where("doc_id IS NOT NULL AND y IN (0, 1)")
               .where(fold(F.col("doc_id"), FOLDS) != 0)
               .groupBy("doc_id").agg(F.min("y").alias("y"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
-    rows = id_and_text(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
+    rows = one_text_each(id_and_text(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text"))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            # of a very long training document, an even choice of lines (its neighbours' features stay)
-            some = [(x[::k], n[::k]) for x, n in map(line_features, b.text) for k in [-(-len(x) // TRAIN_LINES)]]
+            some = list(map(training_run, b.text))
             yield pd.DataFrame({"doc_id": b.doc_id, "y": b.y, "n": [n for _, n in some], "x": [x.ravel() for x, _ in some]})
 
-    got = rows.mapInPandas(features, "doc_id long, y int, n array<double>, x array<float>").toPandas()
-    got = got.assign(lines=got.n.map(len)).sort_values(["doc_id", "lines"]).drop_duplicates("doc_id")
+    got = rows.mapInPandas(features, "doc_id long, y int, n array<double>, x array<float>").toPandas().sort_values("doc_id")
     if got.y.nunique() < 2:
         return None
     return fit([(np.asarray(r.x).reshape(-1, WIDTH), np.asarray(r.n), int(r.y)) for r in got.itertuples()])

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billow.llm.common import id_and_text, stored
+from billow.llm.common import id_and_text, one_text_each, stored
 
 #: Labelled documents to learn from, at most (the sample's documented bound).
 TRAIN_DOCS = 3000
@@ -109,7 +109,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> Classi
     chosen = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
               .groupBy("doc_id").agg(F.min(F.struct("quality", "toxic")).alias("domain"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).select("doc_id", "domain.quality", "domain.toxic"))
-    rows = id_and_text(docs).join(F.broadcast(chosen), "doc_id")
+    rows = one_text_each(id_and_text(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "toxic", "text"))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -117,7 +117,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> Classi
             yield pd.DataFrame({"doc_id": b.doc_id, "quality": b.quality, "toxic": b.toxic, "at": [a for a, _, _ in made], "dense": [d for _, d, _ in made]})
 
     got = rows.select("doc_id", "quality", "toxic", "text").mapInPandas(features, "doc_id long, quality int, toxic int, at array<long>, dense array<double>").toPandas()
-    got = got.assign(n=got["at"].map(len)).sort_values(["doc_id", "n"]).drop_duplicates("doc_id")
+    got = got.sort_values("doc_id")
     if got.empty:
         return None
     return Classifier.fit([(np.asarray(r.at, np.int64), np.asarray(r.dense), (r.quality, r.toxic)) for r in got.itertuples()])

@@ -69,3 +69,19 @@ def test_any_text_scores(text):
     model = {"emit": np.ones(c.WIDTH), "trans": np.ones((2, 2)), "odds": (0, 1)}
     (s,) = c.score_texts(iter([text]), model)
     assert 0 <= s <= 1
+
+
+def test_long_training_documents_give_neighbouring_lines():
+    text = "\n".join(f"line {i} " + "word " * (i % 7) for i in range(300))
+    x, n = c.line_features(text)
+    some, sizes = c.training_run(text)
+    starts = [i for i in range(len(x) - c.TRAIN_LINES + 1) if np.array_equal(x[i:i + c.TRAIN_LINES], some)]
+    assert len(some) == c.TRAIN_LINES and starts and np.array_equal(n[starts[0]:starts[0] + c.TRAIN_LINES], sizes)
+    assert len(c.training_run("one\ntwo")[0]) == 2
+
+
+def test_repeated_training_rows_count_once(spark):
+    docs = spark.createDataFrame([(i, f"good text {i}" if i % 2 else f"bad ### text {i}") for i in range(12)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    once, often = c.train(docs, labels), c.train(docs.union(docs).union(docs), labels)
+    assert np.array_equal(once["emit"], often["emit"]) and once["odds"] == often["odds"]
