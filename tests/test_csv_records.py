@@ -132,3 +132,12 @@ def test_ends_inside_follows_the_quotes(spark):
     lines = list({"".join(rng.choices('",a', k=rng.randint(0, 9))) for _ in range(2000)})
     df = spark.createDataFrame([(x,) for x in lines], "line string").select("line", records.ends_inside("line", False).alias("o"), records.ends_inside("line", True).alias("i"))
     assert all((r.o, r.i) == (machine(r.line, False), machine(r.line, True)) for r in df.collect())
+
+
+def test_empty_part_files_beside_files_with_breaks(spark, tmp_path):
+    write(tmp_path / "a.csv" / "part-0.csv", "")
+    write(tmp_path / "a.csv" / "part-1.csv", 'key,note\n1,"two\nlines"\n')
+    write(tmp_path / "a.csv" / "part-2.csv", "\n")
+    assert got(c.read_csv(spark, str(tmp_path / "a.csv"))) == [("1", "two\nlines")]
+    write(tmp_path / "a.csv" / "part-3.csv", "key,note\n2,plain\n")
+    assert got(c.read_csv(spark, str(tmp_path / "a.csv"))) == [("1", "two\nlines"), ("2", "plain")]
