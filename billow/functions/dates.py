@@ -53,15 +53,21 @@ def lenient_date(c: Column | str) -> Column:
     instant_day = F.date_from_unix_date(
         F.floor(F.unix_seconds(F.try_to_timestamp(text)) / SECONDS_PER_DAY).cast("int"))
     wall_clock_day = F.to_date(text.try_cast("timestamp_ntz"))
-    slashed = F.coalesce(F.try_to_date(text, "yyyy/M/d"), F.try_to_date(text, "M/d/yyyy"))
+    slashed = lambda t: F.coalesce(F.try_to_date(t, "yyyy/M/d"), F.try_to_date(t, "M/d/yyyy"))
     # a zone by name (Area/City) is an instant as well
     named_zone = (F.instr(text, ":") > 0) & (F.instr(text, "/") > 0)
     # the usual shapes first: each value is parsed by the one parser its shape picks
     return (F.when(is_iso_day(text), text.try_cast("date"))
              .when(~text.rlike("[0-9]"), F.lit(None).cast("date"))
              .when(has_zone(text) | named_zone, instant_day)
-             .when(F.instr(text, "/") > 0, slashed)
-             .otherwise(F.coalesce(wall_clock_day, other_shapes(text))))
+             .when(F.instr(text, "/") > 0, _apart(text, slashed))
+             .otherwise(F.coalesce(wall_clock_day, _apart(text, other_shapes))))
+
+
+def _apart(text: Column, parse) -> Column:
+    """``parse(text)`` for the seldom shapes, outside the code made for the whole stage: with the parsers of several date
+    columns in it that becomes one method too long for the JVM to compile, and each row takes about six times as long."""
+    return F.transform(F.array(text), parse)[0]
 
 
 def is_iso_day(text: Column) -> Column:

@@ -293,8 +293,17 @@ def read_optional(spark: SparkSession, path: str, schema: StructType, reader=Non
     return spark.createDataFrame([], StructType(fields))
 
 
-def write_csv(df: DataFrame, path: str, drop: Sequence[str] = (ORDINAL,)) -> None:
-    """Overwrite ``path`` with header CSV (no index column); values keep their white space."""
+#: Rows of a compressed part file, which one task reads whole.
+COMPRESSED_ROWS = 1_000_000
+
+
+def write_csv(df: DataFrame, path: str, drop: Sequence[str] = (ORDINAL,), compression: str | None = None) -> None:
+    """Overwrite ``path`` with header CSV (no index column); values keep their white space.
+
+    ``compression``: e.g. gzip.  Such a file has one split, so files end after ``COMPRESSED_ROWS`` rows."""
     keep = [f"`{c}`" for c in df.columns if c not in set(drop)]
-    (df.select(*keep).write.mode("overwrite").options(**DIALECT).option("header", True)
-       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    writer = (df.select(*keep).write.mode("overwrite").options(**DIALECT).option("header", True)
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    if compression:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", COMPRESSED_ROWS)
+    writer.csv(path)

@@ -62,9 +62,13 @@ def run_concurrently(tasks: Mapping[str, Callable[[], object]],
         return {name: f.result() for name, f in futures.items()}
 
 
+#: Codec of layer tables: about a quarter smaller than Spark's default (snappy).
+COMPRESSION = "zstd"
+
+
 def write_layer(df: DataFrame, path: str) -> None:
     """Overwrite a layer table as Parquet (also when it has 0 rows)."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
 
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame | None:
@@ -151,7 +155,7 @@ def save_gold_table(spark: SparkSession, df: DataFrame, name: str, database: str
     if bucket_by:
         n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         writer = df.repartition(n, bucket_by).write.bucketBy(n, bucket_by)
-    writer.mode("overwrite").format("parquet").saveAsTable(full)
+    writer.mode("overwrite").format("parquet").option("compression", COMPRESSION).saveAsTable(full)
     return full
 
 

@@ -141,3 +141,11 @@ def test_empty_part_files_beside_files_with_breaks(spark, tmp_path):
     assert got(c.read_csv(spark, str(tmp_path / "a.csv"))) == [("1", "two\nlines")]
     write(tmp_path / "a.csv" / "part-3.csv", "key,note\n2,plain\n")
     assert got(c.read_csv(spark, str(tmp_path / "a.csv"))) == [("1", "two\nlines"), ("2", "plain")]
+
+
+def test_compressed_files_are_cut_and_keep_their_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(c, "COMPRESSED_ROWS", 10)
+    rows = [(i, f"note {i}" if i % 7 else "two\nlines") for i in range(95)]
+    c.write_csv(spark.createDataFrame(rows, "key long, note string").coalesce(1), str(tmp_path / "a.csv"), compression="gzip")
+    assert len([*(tmp_path / "a.csv").glob("*.csv.gz")]) == 10
+    assert got(c.read_csv(spark, str(tmp_path / "a.csv"))) == [(str(k), n) for k, n in rows]

@@ -221,3 +221,13 @@ def test_file_metadata_without_jvm_access(spark, tmp_path, monkeypatch):
     assert norm(without[0]) == norm(with_jvm[0]) and sorted(with_jvm[0]) == ["customers", "sales_tags"]
     assert without[1:] == with_jvm[1:] and with_jvm[1:3] == (True, False)
     assert read_csv(spark, without[0]["sales_tags"], with_ordinal=False).count() == 1
+
+
+def test_two_date_columns_compile_to_short_methods(spark):
+    """Beyond 8,000 bytes the JVM never compiles a method: the parsers of several date columns must not meet in one."""
+    from billow.plans.clean import parse_dates
+    from billow.spec import billing_specs
+    df = spark.range(1).selectExpr("cast(id as string) created_at", "cast(id as string) start", "cast(id as string) end")
+    parsed = parse_dates(df, billing_specs()["invoicing"], losses=True)
+    stages = parsed._jdf.queryExecution().debug().codegenToSeq()
+    assert all(stages.apply(i)._3().maxMethodCodeSize() < 8000 for i in range(stages.size()))
