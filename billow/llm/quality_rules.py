@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from billow.llm.common import BROADCAST_ROWS, WS, stored
@@ -164,20 +164,20 @@ def with_distance(rows: DataFrame, sums: DataFrame, sized) -> DataFrame:
 
 def sums_of(rows: DataFrame) -> DataFrame:
     f = list(FEATURES)
-    return rows.groupBy("grp", "lng").agg(
+    return rows.groupBy("grp", "lng", "bin").agg(
         F.count("*").cast("double").alias("s"), *[F.sum(f[i]).alias(f"s{i}") for i in range(P)],
         *[F.sum(F.col(f[i]) * F.col(f[j])).alias(f"s{i}{j}") for i in range(P) for j in range(i, P)])
 
 
-def nearest(rows: DataFrame, distance: str, sized) -> DataFrame:
-    """The rows of each group up to the bin in which the ``H_SHARE`` quantile of ``distance`` lies."""
-    rows = rows.withColumn("bin", F.expr(f"CAST(floor(log2(greatest({distance}, 1e-9)) * {BINS}) AS INT)"))
-    counts = rows.groupBy("grp", "bin").agg(F.count("*").alias("c"))
-    bins = counts.groupBy("grp").agg(F.sum("c").alias("n"), F.array_sort(F.collect_list(F.struct("bin", "c"))).alias("b"))
-    # a group has some thousand bins at most: the walk to the quantile stays in its row
-    cut = bins.select("grp", F.expr(f"""aggregate(b, struct(0L AS c, CAST(NULL AS INT) AS cut),
-        (a, x) -> struct(a.c + x.c AS c, IF(a.cut IS NULL AND a.c + x.c >= n * {H_SHARE}, x.bin, a.cut) AS cut), a -> a.cut)""").alias("cut"))
-    return rows.join(sized(cut), "grp").where("bin <= cut")
+def nearest(rows: DataFrame, distance: str) -> DataFrame:
+    """Sums over the rows of each group up to the bin in which the ``H_SHARE`` quantile of ``distance`` lies.
+
+    Rows are read once, summed by group and bin; the rest works on those sums, some thousand bins a group at most."""
+    bins = sums_of(rows.withColumn("bin", F.expr(f"CAST(floor(log2(greatest({distance}, 1e-9)) * {BINS}) AS INT)")))
+    group = Window.partitionBy("grp")
+    before = F.coalesce(F.sum("s").over(group.orderBy("bin").rangeBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    near = bins.withColumns({"before": before, "n": F.sum("s").over(group)}).where(f"before < n * {H_SHARE}")
+    return near.groupBy("grp", "lng").agg(*[F.sum(m).alias(m) for m in MOMENTS])
 
 
 def start(rows: DataFrame, sized) -> DataFrame:
@@ -197,10 +197,11 @@ def quality_rules(docs: DataFrame, prior: int = PRIOR_ROWS) -> DataFrame:
     fitted = rows.where("NOT base_failed").select("grp", "lng", *FEATURES)
     # tables of one row a group are broadcast up to a bound on groups, and join by shuffle beyond
     sized = F.broadcast if fitted.select("grp").distinct().count() <= BROADCAST_ROWS else lambda df: df
-    sums = stored(shrunk(sums_of(nearest(start(fitted, sized), "d2", sized)), prior), "rules_sums")
+    # sums are stored as they are: shrinking reads them three times, and is worked out where it is used
+    sums = stored(nearest(start(fitted, sized), "d2"), "rules_sums")
     for _ in range(STEPS):
-        sums = stored(shrunk(sums_of(nearest(with_distance(fitted, sums, sized), "d2", sized)), prior), "rules_sums")
-    judged = with_distance(rows, sums, sized)
+        sums = stored(nearest(with_distance(fitted, shrunk(sums, prior), sized), "d2"), "rules_sums")
+    judged = with_distance(rows, shrunk(sums, prior), sized)
     outlier = F.coalesce(F.col("d2") > CUTOFF, F.lit(False))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          (~F.col("base_failed") & ~outlier).alias("kept"), F.col("d2").alias("distance"), "text_key")

@@ -119,3 +119,12 @@ def test_cutoff_is_the_chi_square_quantile(spark):
     bad, good = [r.kept for r in out if r.quality == 0], [r.kept for r in out if r.quality == 1]
     print("quality 0 kept", sum(bad), "of", len(bad), "quality 1 rejected", len(good) - sum(good), "of", len(good))
     assert sum(bad) <= 10 < len(bad) and sum(good) > 0.95 * len(good)
+
+
+def test_each_step_reads_the_rows_once(docs, monkeypatch):
+    """The first step reads them for the medians too; plans that read them for each use grow the driver's memory."""
+    plans, keep = [], q.stored
+    monkeypatch.setattr(q, "stored", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or keep(df, name))
+    q.quality_rules(docs)
+    reads = [sum("Relation [" in x and "n_repeat_words#" in x for x in p.split("\n")) for p in plans[1:]]
+    assert reads == [2] + [1] * q.STEPS
