@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 TEMPERATURE = 0.0005
 #: Characters sampled at a time, so that memory does not follow batch or text size.
 BLOCK_CHARS = 400_000
+SLOT_BITS = 22
 SPACE, PLACE = "▁", np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -59,11 +60,13 @@ class Vocabulary:
         hashes = np.array([self.hash_of(self.pieces[i]) for i in ids], np.uint64)
         order = np.argsort(hashes)
         self.hashes, self.ids, self.scores = hashes[order], np.array(ids, np.int32)[order], scores[order]
-        self.likely, self.begins = np.zeros(1 << 22, bool), np.zeros(1 << 22, bool)
-        self.likely[(self.hashes >> np.uint64(42)).astype(np.int64)] = True
+        # by the first SLOT_BITS of a hash: twice the number of its first row from 1 (0: none), and 1 where a piece may begin so
+        self.slots = np.zeros(1 << SLOT_BITS, np.int32)
+        slot, first, shared = np.unique(self.slot_of(self.hashes), return_index=True, return_counts=True)
+        self.slots[slot], self.shared = 2 * (first + 1), int(shared.max())
         for i in ids:
             for n in range(1, len(self.pieces[i])):
-                self.begins[self.hash_of(self.pieces[i][:n]) >> 42] = True
+                self.slots[self.hash_of(self.pieces[i][:n]) >> (64 - SLOT_BITS)] |= 1
         raw = [bytes([int(p[1:-1], 16)]) if sp.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
         self.table = np.frombuffer(b"".join(raw), np.uint8)
         self.sizes = np.fromiter(map(len, raw), np.int64, len(raw))
@@ -76,12 +79,19 @@ class Vocabulary:
             h = ((h + ord(c) + 1) * int(PLACE)) & (2 ** 64 - 1)
         return int(mix(np.array([h], np.uint64))[0])
 
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(positions in h, rows of the vocabulary) of hashes that are pieces."""
-        at = np.flatnonzero(self.likely[(h >> np.uint64(42)).astype(np.int64)])
-        row = np.minimum(np.searchsorted(self.hashes, h[at]), len(self.hashes) - 1)
-        ok = self.hashes[row] == h[at]
-        return at[ok], row[ok]
+    @staticmethod
+    def slot_of(h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(64 - SLOT_BITS)).view(np.int64)
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(positions in h, rows of the vocabulary) of hashes that are pieces, and positions of those that may begin one."""
+        held = self.slots[self.slot_of(h)]
+        at = np.flatnonzero(held > 1)
+        begin, row, h = np.flatnonzero(held & 1), (held[at] >> 1) - 1, h[at]
+        for _ in range(self.shared - 1):  # rows of one slot follow each other
+            row += (self.hashes[row] != h) & (row < len(self.hashes) - 1)
+        ok = self.hashes[row] == h
+        return at[ok], row[ok], begin
 
 
 @lru_cache(maxsize=2)
@@ -114,12 +124,10 @@ class Lattice:
             inside = left[at] >= n
             at, h = at[inside], h[inside]
             h = (h + chars[at + n - 1] + np.uint64(1)) * PLACE
-            mixed = mix(h)
-            hit, found = v.find(mixed)
+            hit, found, go = v.find(mix(h))
             begin.append(at[hit])
             length.append(np.full(len(hit), n))
             row.append(found)
-            go = v.begins[(mixed >> np.uint64(42)).astype(np.int64)]
             at, h = at[go], h[go]
         alone = np.ones(len(chars), bool)
         alone[begin[0]] = False  # has a piece of its own
@@ -137,7 +145,10 @@ class Lattice:
         target = source + length
         deep = target - np.repeat(self.start, sizes)[begin]  # distance from the unit's start
         a = np.zeros(int(self.end[-1]) + 1 if len(units) else 0)
-        order = np.argsort((deep * len(a) + target) * 64 + length)  # one order, whatever else is in the block
+        # edges of each length come in order of their targets, which a stable sort merges; one order, whatever else is in the block
+        by = np.argsort(target * 64 + length, kind="stable")
+        depth = deep[by]
+        order = by[np.argsort(depth.astype(np.uint16) if len(depth) and depth.max() < 1 << 16 else depth, kind="stable")]
         s, t, w = source[order], target[order], score[order]
         heads = np.flatnonzero(np.r_[True, t[1:] != t[:-1]]) if len(t) else np.empty(0, np.int64)
         levels = np.searchsorted(deep[order][heads], np.arange(1, int(deep.max()) + 2)) if len(t) else []
@@ -145,7 +156,6 @@ class Lattice:
             h0, h1 = levels[i], levels[i + 1]
             e0, e1 = heads[h0], heads[h1] if h1 < len(heads) else len(t)
             a[t[heads[h0:h1]]] = np.logaddexp.reduceat(a[s[e0:e1]] + w[e0:e1], heads[h0:h1] - e0)
-        by = np.argsort(target * 64 + length)
         self.source, target = source[by].astype(np.int32), target[by].astype(np.int32)
         self.first, self.count = first[by].astype(np.int32), count[by].astype(np.int32)
         # whole numbers, so that a draw depends on its own node alone

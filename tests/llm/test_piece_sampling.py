@@ -94,3 +94,15 @@ def test_round_trip_equals_encode_and_decode(spark, odd, monkeypatch):
     got = ps.round_trip(docs, PATH, F.col("doc_id"))
     assert Counter((r.doc_id, r.lang, tuple(r.ids), r.lossless) for r in got.collect()) == want and all(k[3] for k in want)
     assert ps.round_trip(docs.limit(0), PATH, F.col("doc_id")).count() == 0
+
+
+def test_hashes_that_share_a_slot_are_told_apart():
+    v = ps.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    assert v.shared > 1
+    at, row, begin = v.find(v.hashes)
+    assert (at == np.arange(len(v.hashes))).all() and (row == at).all()
+    near = v.hashes ^ np.uint64(1)  # same slots, no pieces
+    assert len(v.find(near)[0]) == np.isin(near, v.hashes).sum()
+    longer = {p[:k] for p in (v.pieces[i] for i in v.ids) for k in range(1, len(p))}
+    some = np.array([v.hash_of(p) for p in sorted(longer)[:500]], np.uint64)
+    assert len(v.find(some)[2]) == len(some)
