@@ -53,6 +53,8 @@ BROADCAST_ROWS = 1_000_000
 BITMAP_BYTES = 64
 #: Remembered word hashes per Python worker.
 MEMO_WORDS = 300_000
+#: Remembered n-gram sets per task that compares pairs.
+MEMO_SETS = 500
 _memo: dict[bytes, int] = {}
 
 
@@ -264,24 +266,29 @@ def verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, perce
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"cid": b.cid, "s": [ngram_set(t, n).tobytes() for t in b.text]})
-
-    found = stored(texts.join(wanted, ["row_key", "text_key"]).select("cid", "text")
-                   .mapInPandas(sets, "cid binary, s binary").dropDuplicates(["cid"]), "ngram_sets")
+    # texts travel, which compress; their sets of hashes take several times the disk
+    found = stored(texts.join(wanted, ["row_key", "text_key"]).select("cid", "text").dropDuplicates(["cid"]), "ngram_texts")
 
     def similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sets: dict[bytes, np.ndarray] = {}
+
+        def set_of(cid: bytes, text: str) -> np.ndarray:
+            if len(sets) > MEMO_SETS:
+                sets.clear()
+            if cid not in sets:
+                sets[cid] = ngram_set(text, n)
+            return sets[cid]
+
         for b in batches:
             ok = []
-            for x, y in zip(b.s_a, b.s_b):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for row in b.itertuples():
+                x, y = set_of(row.a, row.text_a), set_of(row.b, row.text_b)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield b.loc[ok, ["a", "b"]]
 
-    both = pairs.join(found.select(F.col("cid").alias("a"), F.col("s").alias("s_a")), "a") \
-        .join(found.select(F.col("cid").alias("b"), F.col("s").alias("s_b")), "b")
+    both = pairs.join(found.select(F.col("cid").alias("a"), F.col("text").alias("text_a")), "a") \
+        .join(found.select(F.col("cid").alias("b"), F.col("text").alias("text_b")), "b")
     links = stored(both.mapInPandas(similar, "a binary, b binary"), "ngram_links")
     discard(pairs, told, found)
     return links

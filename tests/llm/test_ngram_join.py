@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -100,3 +101,21 @@ def test_components(spark):
     got = {r.node: r.label for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 200: 200, 250: 200, 300: 200}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_stored_tables_hold_texts_not_sets(docs, monkeypatch):
+    """Hashes do not compress: a table of sets, shuffled for each side of the pairs, took most of the disk."""
+    kept, keep = {}, j.stored
+    monkeypatch.setattr(j, "stored", lambda df, name: kept.update({name: df.columns}) or keep(df, name))
+    j.ngram_jaccard_join(docs)
+    assert kept["ngram_texts"] == ["cid", "text"]
+
+
+def test_a_stored_tables_shuffles_are_freed(spark):
+    blocks = lambda: {b for b in str(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()).split(", ") if "shuffle_" in b and ".data" in b}
+    before = blocks()
+    out = j.stored(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count(), "freed")
+    end = time.time() + 10
+    while blocks() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not blocks() - before and out.count() == 7
