@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 #: Scores of a merge vocabulary are ranks; this makes them log weights (0: all segmentations alike).
 TEMPERATURE = 0.0005
 #: Characters sampled at a time, so that memory does not follow batch or text size.
-BLOCK_CHARS = 400_000
+BLOCK_CHARS = 1_600_000
+#: Characters of distinct units in one lattice: the longer a block, the more of its units are repeats, which cost no new edges.
+LATTICE_CHARS = 400_000
 SLOT_BITS = 22
 SPACE, PLACE = "▁", np.uint64(0x9E3779B97F4A7C15)
 
@@ -194,7 +196,7 @@ def sample_texts(v: Vocabulary, texts: list[str], keys: np.ndarray, temperature:
     """Sampled ids of each text, blocks of units at a time."""
     out: list[list[np.ndarray]] = [[] for _ in texts]
     number: dict[str, int] = {}
-    unit, key, cuts, chars = [], [], [], 0
+    unit, key, cuts, chars, new = [], [], [], 0, 0
 
     def flush() -> None:
         which = np.concatenate(unit)
@@ -208,19 +210,20 @@ def sample_texts(v: Vocabulary, texts: list[str], keys: np.ndarray, temperature:
 
     for doc, text in enumerate(texts):
         units = units_of(text)
-        step = max(1, BLOCK_CHARS // 8)
+        step = max(1, BLOCK_CHARS // 32)
         for i in range(0, len(units), step):
             part = units[i:i + step]
-            for u in part:
+            for u in dict.fromkeys(part):
                 if u not in number:
                     number[u] = len(number)
+                    new += len(u)
             unit.append(np.fromiter(map(number.__getitem__, part), np.int64, len(part)))
             key.append(mix(mix(keys[doc:doc + 1]) + np.arange(i, i + len(part), dtype=np.uint64)))
             cuts.append((doc, len(part)))
             chars += sum(map(len, part))
-            if chars >= BLOCK_CHARS:
+            if chars >= BLOCK_CHARS or new >= LATTICE_CHARS:
                 flush()
-                chars = 0
+                chars = new = 0
     if cuts:
         flush()
     return [np.concatenate(x).astype(np.int32) if x else np.empty(0, np.int32) for x in out]

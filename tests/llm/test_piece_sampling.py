@@ -76,6 +76,20 @@ def test_blocks_do_not_change_samples(v, docs, monkeypatch):
     assert [ps.decode_ids(v, i) if len(i) else "" for i in whole] == texts
 
 
+def test_units_of_a_block_share_edges(v, monkeypatch):
+    """Lattices are made of 1.6 million characters' distinct units, and of no more than ``LATTICE_CHARS`` characters."""
+    made, init = [], ps.Lattice.__init__
+    monkeypatch.setattr(ps.Lattice, "__init__", lambda self, v, units, t: made.append(sum(map(len, units))) or init(self, v, units, t))
+    texts = [" ".join(f"word{i % 300}" for i in range(1000))] * 150
+    keys = np.arange(len(texts), dtype=np.uint64)
+    whole = ps.sample_texts(v, texts, keys, ps.TEMPERATURE)
+    assert sum(map(len, texts)) > 1_000_000 and len(made) == 1
+    made.clear()
+    monkeypatch.setattr(ps, "LATTICE_CHARS", 100)
+    parts = ps.sample_texts(v, texts[:3] + ["x" * 90 + f" y{i}" for i in range(5)], np.arange(8, dtype=np.uint64), ps.TEMPERATURE)
+    assert len(made) > 4 and all(np.array_equal(a, b) for a, b in zip(whole[:3], parts))
+
+
 def test_long_unit(v):
     text = "a" * 30_000
     (ids,) = ps.sample_texts(v, [text], np.zeros(1, np.uint64), ps.TEMPERATURE)
