@@ -14,13 +14,15 @@ A document's set holds 64-bit hashes of its distinct word n-grams.  Steps:
    pairs that pass the size and position filters.
 4. *Expand and verify.*  Group pairs expand to class pairs, parity bitmaps drop
    those that differ too much (a lower bound of the difference, so no link is
-   lost), and the rest are compared set with set: each class's nearest one first,
+   lost).  Sets of more n-grams than a bitmap has bits would pass it whatever they
+   hold: their pairs go by sketches, bitmaps as long as the set, in the same way.
+   The rest are compared set with set: each class's nearest one first,
    then the nearest of two components, then all whose components are still apart
    (a pair within a component cannot change it).
 5. *Long runs.*  In a run of more than ``RUN`` groups each one is first paired with
    one group of the run only.  Once links and components are known, what is left,
-   pairs across components, is filtered by bitmaps in blocks of ``BLOCK`` members
-   and verified in the same order.  No pair is left out for a run's length.
+   pairs across components, is filtered by bitmaps in blocks of ``BLOCK`` members,
+   then by sketches, and verified in the same order.  No pair is left out for a run's length.
 6. *Components* give each document the smallest doc_id that links reach.
 
 Defined results: null or empty texts and texts without words have an empty set,
@@ -118,13 +120,31 @@ def parity(s: np.ndarray) -> bytes:
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parity bitmap of a set too large for ``parity``, with as many bits as it has elements, rounded up to a
+    power of two; else nothing."""
+    if len(s) <= 8 * BITMAP_BYTES:
+        return b""
+    bits = 1 << (len(s) - 1).bit_length()
+    odd = np.bincount((s >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def sketches_apart(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ, the longer one folded to the other's length: at most the sets' difference."""
+    x, y = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def needed(total: np.ndarray, percent: int) -> np.ndarray:
     """Smallest intersection that two sets of ``total`` elements together need: 100 i >= percent (total - i)."""
     return -(-percent * total // (100 + percent))
 
 
 def signatures(texts: DataFrame, level: np.ndarray, n: int, percent: int) -> DataFrame:
-    """doc_id, size, class id, group id, prefix and parity bitmap per document."""
+    """doc_id, size, class id, group id, prefix, parity bitmap and sketch per document."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -135,12 +155,12 @@ def signatures(texts: DataFrame, level: np.ndarray, n: int, percent: int) -> Dat
                 order = np.argsort(level[(s % np.uint64(COUNTERS)).astype(np.int64)], kind="stable")
                 prefix = s[order[:size - -(-percent * size // 100) + 1]].tobytes() if size else b""
                 gid = int.from_bytes(xxhash.xxh64_digest(prefix, size), "little", signed=True)
-                rows.append((size, xxhash.xxh128_digest(s.tobytes()), gid, prefix, parity(s)))
-            made = pd.DataFrame(rows, columns=["size", "cid", "gid", "prefix", "bits"], index=b.index)
+                rows.append((size, xxhash.xxh128_digest(s.tobytes()), gid, prefix, parity(s), sketch(s)))
+            made = pd.DataFrame(rows, columns=["size", "cid", "gid", "prefix", "bits", "sketch"], index=b.index)
             yield pd.concat([b.drop(columns="text").astype({"doc_id": "Int64"}), made], axis=1)
 
     return texts.select("doc_id", "row_key", "text_key", "text").mapInPandas(
-        sign, "doc_id long, row_key long, text_key long, size long, cid binary, gid long, prefix binary, bits binary")
+        sign, "doc_id long, row_key long, text_key long, size long, cid binary, gid long, prefix binary, bits binary, sketch binary")
 
 
 ENTRY = np.dtype([("token", "<u8"), ("gid", "<i8"), ("size", "<i4"), ("pos", "<i4")])
@@ -230,6 +250,25 @@ def bitmap_filter(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInPandas(keep, "a binary, b binary, room long")
 
 
+def sketch_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Class pairs (a, b, room) whose sketches leave a similarity of ``percent`` possible; those of sets without
+    sketch pass."""
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            some = b[b.size_a.notna() & b.size_b.notna()]
+            total = (some.size_a + some.size_b).to_numpy(np.int64)
+            apart = np.fromiter(map(sketches_apart, some.sketch_a, some.sketch_b), np.int64, len(some))
+            room = b.room.copy()
+            room[some.index] = np.minimum(some.room, total - 2 * needed(total, percent) - apart)
+            yield b.assign(room=room).loc[room >= 0, ["a", "b", "room"]]
+
+    large = classes.where(F.length("sketch") > 0)
+    for s in ("a", "b"):
+        pairs = pairs.join(large.select(F.col("cid").alias(s), F.col("size").alias(f"size_{s}"), F.col("sketch").alias(f"sketch_{s}")), s, "left")
+    return pairs.mapInPandas(keep, "a binary, b binary, room long")
+
+
 def side(classes: DataFrame, which: str) -> DataFrame:
     return classes.select(F.col("gid").alias(f"gid_{which}"), F.col("cid").alias(which), F.col("size").alias(f"size_{which}"),
                           F.col("bits").alias(f"bits_{which}"))
@@ -238,7 +277,8 @@ def side(classes: DataFrame, which: str) -> DataFrame:
 def expand(group_pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Group pairs -> distinct class pairs (a < b, room) that pass the bitmap filter."""
     p = group_pairs.select(F.col("a").alias("gid_a"), F.col("b").alias("gid_b")).distinct()
-    p = p.join(side(classes, "a"), "gid_a").join(side(classes, "b"), "gid_b").where("gid_a <> gid_b OR a < b")
+    p = p.join(side(classes, "a"), "gid_a").join(side(classes, "b"), "gid_b").where("gid_a <> gid_b OR a < b") \
+        .where(f"100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)")  # the pairs of long runs come unfiltered
     return bitmap_filter(p, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "room").distinct()
 
 
@@ -334,14 +374,14 @@ def left_over(members: DataFrame, classes: DataFrame, labels: DataFrame, percent
 
     found = rows.groupBy("part", "lo", "hi").applyInPandas(block, "a binary, b binary, la binary, lb binary, room long")
     if best:
-        found = found.groupBy("la", "lb").agg(F.max_by(F.struct("a", "b"), "room").alias("p")).select("p.*")
-    return found.select("a", "b").distinct()
+        found = found.groupBy("la", "lb").agg(F.max_by(F.struct("a", "b", "room"), "room").alias("p")).select("p.*")
+    return sketch_filter(found.select("a", "b", "room").distinct(), classes, percent).select("a", "b")
 
 
 def class_table(signed: DataFrame) -> DataFrame:
     """One row per distinct set: size, group, prefix, bitmap, smallest doc_id and the key of one of its rows."""
     return signed.where("size > 0").groupBy("cid").agg(
-        F.first("size").alias("size"), F.first("gid").alias("gid"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"),
+        F.first("size").alias("size"), F.first("gid").alias("gid"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"), F.first("sketch").alias("sketch"),
         F.min("doc_id").alias("doc_id"), F.min(F.struct("row_key", "text_key")).alias("row"))
 
 
@@ -360,7 +400,7 @@ def find_links(texts: DataFrame, classes: DataFrame, n: int, percent: int) -> Da
     own_short, own_long = group_runs(classes)
     members = found.where("token IS NOT NULL").select("a", "part", "token", "pos", "length").unionByName(own_long.withColumn("part", F.expr(f"CAST(pmod(token, {ranges}) AS INT)")))
     slim = classes.drop("prefix")
-    candidates = stored(expand(found.where("token IS NULL AND a <> b").select("a", "b").union(own_short), slim, percent), "ngram_candidates")
+    candidates = stored(sketch_filter(expand(found.where("token IS NULL AND a <> b").select("a", "b").union(own_short), slim, percent), slim, percent), "ngram_candidates")
     links = verify(nearest_each(candidates), slim, texts, n, percent)
     for best in (True, False):
         labels = connected_components(links)

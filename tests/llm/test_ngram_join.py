@@ -4,6 +4,7 @@ import time
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from billow.llm import ngram_join as j
@@ -119,3 +120,39 @@ def test_a_stored_tables_shuffles_are_freed(spark):
     while blocks() - before and time.time() < end:
         time.sleep(0.2)
     assert not blocks() - before and out.count() == 7
+
+
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 1 << 63, 40_000).astype(np.uint64)
+    assert j.sketch(np.unique(pool[:512])) == b""
+    for size, other in [(513, 513), (1000, 1100), (3000, 3000), (5000, 4400), (16_000, 18_000)]:
+        a = np.unique(pool[:size])
+        near = np.unique(np.r_[pool[:min(size, other) - 30], pool[20_000:20_030 + max(0, other - size)]])
+        far = np.unique(pool[20_000:20_000 + other])
+        for b, alike in ((a, True), (near, True), (far, False)):
+            apart = j.sketches_apart(j.sketch(a), j.sketch(b))
+            assert apart == j.sketches_apart(j.sketch(b), j.sketch(a)) <= len(np.setxor1d(a, b))
+            total = len(a) + len(b)
+            assert (total - 2 * j.needed(np.array([total]), 85)[0] >= apart) == alike
+
+
+def test_long_texts_that_share_a_passage_are_not_compared(spark, monkeypatch):
+    """Bitmaps of 512 bits let every pair of long texts pass, and pairs of long runs came whatever their sizes."""
+    rng = random.Random(4)
+    words = lambda n: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    passages = [words(60) for _ in range(8)]
+    texts = [passages[i // 5] + " " + words(rng.choice([900, 930, 2500])) for i in range(35)]
+    texts += [passages[7] + " " + words(size) for size in range(300, 3000, 100)]
+    texts += [t + " " + words(k) for t in texts[::9] for k in (20, 200)]
+    rows = list(enumerate(texts))
+    sets, compared, verify = [shingles(t) for t in texts], [], j.verify
+
+    def seen(pairs, classes, *rest):
+        ids = {r.cid: r.doc_id for r in classes.collect()}
+        compared.extend((sets[ids[r.a]], sets[ids[r.b]]) for r in pairs.collect())
+        return verify(pairs, classes, *rest)
+
+    monkeypatch.setattr(j, "verify", seen)
+    assert run(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    assert compared and all(len(a & b) >= 0.6 * len(a | b) for a, b in compared)
