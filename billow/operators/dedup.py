@@ -31,13 +31,14 @@ def keep_latest(df: DataFrame, key: Sequence[str], order_by: Sequence[str],
     deterministic.  Column order is preserved.
     """
     key = list(key)
-    payload = [c for c in df.columns if c not in key]
+    # an ordering column is carried once
+    held = {c: f"__o{i}" for i, c in reversed([*enumerate(order_by)])}
     fields = [_q(c).alias(f"__o{i}") for i, c in enumerate(order_by)]
-    fields += [_q(c) for c in payload]
+    fields += [_q(c) for c in df.columns if c not in key and c not in held]
     pick = F.max if latest else F.min
     picked = df.groupBy(*[_q(k) for k in key]).agg(pick(F.struct(*fields)).alias(_WIN))
     return picked.select(*[
-        (_q(c) if c in key else F.col(_WIN).getField(c).alias(c)) for c in df.columns
+        (_q(c) if c in key else F.col(_WIN).getField(held.get(c, c)).alias(c)) for c in df.columns
     ])
 
 
@@ -76,21 +77,23 @@ def duplicate_groups(df: DataFrame, cols: Sequence[str] | None = None,
               .where(F.col(count_name) > 1))
 
 
-def row_hashes(columns: Sequence[str]) -> list[Column]:
-    """Two 64-bit hashes of a whole row.  Null flags are hashed along: a hash passes over nulls, so
+def row_hashes(columns: Sequence[str], hashes: int = 2) -> list[Column]:
+    """64-bit hashes of a whole row.  Null flags are hashed along: a hash passes over nulls, so
     ``(a, null)`` and ``(null, a)`` would be one row without them."""
     parts = [x for c in columns for x in (_q(c).isNull(), _q(c))]
-    return [F.xxhash64(F.lit(seed), *parts).alias(f"__h{seed}") for seed in (1, 2)]
+    return [F.xxhash64(F.lit(seed), *parts).alias(f"__h{seed}") for seed in range(1, hashes + 1)]
 
 
-def distinct_rows(df: DataFrame, exclude: Sequence[str] = (ORDINAL,), sums: dict[str, Column] | None = None) -> DataFrame:
+def distinct_rows(df: DataFrame, exclude: Sequence[str] = (ORDINAL,), sums: dict[str, Column] | None = None, hashes: int = 2) -> DataFrame:
     """One row for each distinct row of ``df``: ``__cnt`` copies, and ``sums`` over them.
 
     Groups by 128 bits of hash, so 16 bytes a row are shuffled instead of the row: two different rows
-    of n share them with a probability of about n^2 / 2^129 (1e-15 for 1e12 rows)."""
+    of n share them with a probability of about n^2 / 2^129 (1e-15 for 1e12 rows).
+    ``hashes``: 1 groups by 64 bits.  Equal rows still meet, so a table without copies by one hash has none;
+    found copies may be different rows of one hash, and have to be counted by two."""
     sums = sums or {}
-    keyed = df.select(*row_hashes(_data_columns(df, exclude)), *[c.alias(n) for n, c in sums.items()])
-    return keyed.groupBy("__h1", "__h2").agg(F.count(F.lit(1)).alias("__cnt"), *[F.sum(n).alias(n) for n in sums])
+    keyed = df.select(*row_hashes(_data_columns(df, exclude), hashes), *[c.alias(n) for n, c in sums.items()])
+    return keyed.groupBy(*[f"__h{i}" for i in range(1, hashes + 1)]).agg(F.count(F.lit(1)).alias("__cnt"), *[F.sum(n).alias(n) for n in sums])
 
 
 def row_duplicate_count(df: DataFrame, exclude: Sequence[str] = (ORDINAL,),

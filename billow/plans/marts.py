@@ -85,9 +85,10 @@ def profitability_schema(df: DataFrame, cols: BillingColumns = COLS) -> StructTy
 
 
 def fct_profitability(invoicing: DataFrame, costs: DataFrame | None,
-                      cols: BillingColumns = COLS) -> DataFrame:
+                      cols: BillingColumns = COLS, partitions: int | None = None) -> DataFrame:
     """Monthly sales, cost and profit per subscription.
 
+    ``partitions``: hash-partitioned in so many by subscription, before the columns that follow from others are made.
     Every sales month is kept (left join); a month without cost has cost 0.0;
     costs in a month without sales are not in the fact (see quality.orphan_costs).
     Missing invoice columns give an empty typed table; missing costs give cost 0.0.
@@ -101,13 +102,12 @@ def fct_profitability(invoicing: DataFrame, costs: DataFrame | None,
         joined = sales.join(cost_by, [sub, *MONTH_KEYS], "left")
     else:
         joined = sales.withColumn("cost_amount", F.lit(None).cast("double"))
-    cost = F.coalesce(F.col("cost_amount"), F.lit(0.0))
-    return joined.select(
-        F.col(sub), month_text(),
-        F.col("sales_amount").cast("double").alias("sales_amount"),
-        cost.alias("cost_amount"),
-        (F.col("sales_amount") - cost).alias("profit"),
-    )
+    cost = F.coalesce(F.col("cost_amount"), F.lit(0.0)).alias("cost_amount")
+    joined = joined.select(sub, *MONTH_KEYS, F.col("sales_amount").cast("double").alias("sales_amount"), cost)
+    if partitions:
+        joined = joined.repartition(partitions, sub)
+    return joined.select(F.col(sub), month_text(), "sales_amount", "cost_amount",
+                         (F.col("sales_amount") - F.col("cost_amount")).alias("profit"))
 
 
 def profit_flag(fct: DataFrame) -> DataFrame:

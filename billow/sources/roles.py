@@ -174,18 +174,45 @@ def cost_month_text(shipdate: str, orderkey: str, linenumber: str) -> Column:
              .otherwise(F.concat(F.lit("01/"), dmy)))
 
 
+def _cost_key() -> Column:
+    return F.when(F.col("l_orderkey") % 10 != 0, F.col("l_orderkey"))
+
+
 def costs_raw(spark: SparkSession, d: str) -> DataFrame:
     """Null id where key % 10 = 0, month as ISO (even keys) or dd/MM/yyyy (odd)
     text, 'bad' on line 7, and whole-row copies of line 1."""
     li = table(spark, d, "lineitem").where(F.col("l_returnflag") == "R")
     rows = li.select(
-        F.when(F.col("l_orderkey") % 10 != 0, F.col("l_orderkey")).alias("subscription_id"),
+        _cost_key().alias("subscription_id"),
         cost_month_text("l_shipdate", "l_orderkey", "l_linenumber").alias("month"),
         F.col("l_extendedprice").alias("Cost"), *LINE_ORDER)
     out = _with_copies(rows, rows.where(F.col("l_linenumber") == 1), _line_order)
     return out.select("subscription_id", "month", "Cost", ORDINAL)
 
 
+# -- exports in row order ------------------------------------------------------
+# The rows of a role as its raw file has them, ordered by (subscription, row order) and without the ordinal.  Only what
+# orders the lines is moved: texts that follow from it are made after the sort, and so are copies, which stand beside their line.
+def costs_export(spark: SparkSession, d: str) -> DataFrame:
+    """``costs_raw`` in row order."""
+    key = _cost_key()
+    li = table(spark, d, "lineitem").where(F.col("l_returnflag") == "R").select("l_orderkey", *LINE_ORDER)
+    copies = F.when(F.col("l_linenumber") == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return li.orderBy(key, *LINE_ORDER).select(
+        key.alias("subscription_id"), cost_month_text("l_shipdate", "l_orderkey", "l_linenumber").alias("month"),
+        F.col("l_extendedprice").alias("Cost"), F.explode(copies).alias("copy_no")).drop("copy_no")
+
+
+def sales_tags_export(spark: SparkSession, d: str) -> DataFrame:
+    """``sales_tags`` in row order.  Supplier and price are left out of the order: lines equal in all before them have
+    one part and so the same tags."""
+    order = [c for c in LINE_ORDER if c not in ("l_suppkey", "l_extendedprice")]
+    li = table(spark, d, "lineitem").select("l_orderkey", *order)
+    tags = table(spark, d, "part").select("p_partkey", tag_text(F.col("p_type"), F.col("p_brand"), F.col("p_size")).alias("tag"))
+    j = li.join(tags, li.l_partkey == tags.p_partkey, "inner").select("l_orderkey", "tag", *order)
+    return j.orderBy("l_orderkey", *order).select(F.col("l_orderkey").alias("subscription_id"), "tag")
+
+
 def date_text(ts: str, key: str) -> Column:
     """ISO for even keys, dd/MM/yyyy for odd keys, 'bad' where key % 50 = 0."""
     return (F.when(F.col(key) % 50 == 0, F.lit("bad"))
