@@ -84,16 +84,18 @@ def row_hashes(columns: Sequence[str], hashes: int = 2) -> list[Column]:
     return [F.xxhash64(F.lit(seed), *parts).alias(f"__h{seed}") for seed in range(1, hashes + 1)]
 
 
-def distinct_rows(df: DataFrame, exclude: Sequence[str] = (ORDINAL,), sums: dict[str, Column] | None = None, hashes: int = 2) -> DataFrame:
+def distinct_rows(df: DataFrame, exclude: Sequence[str] = (ORDINAL,), sums: dict[str, Column] | None = None, hashes: int = 2,
+                  by: Sequence[str] = ()) -> DataFrame:
     """One row for each distinct row of ``df``: ``__cnt`` copies, and ``sums`` over them.
 
     Groups by 128 bits of hash, so 16 bytes a row are shuffled instead of the row: two different rows
     of n share them with a probability of about n^2 / 2^129 (1e-15 for 1e12 rows).
     ``hashes``: 1 groups by 64 bits.  Equal rows still meet, so a table without copies by one hash has none;
-    found copies may be different rows of one hash, and have to be counted by two."""
+    found copies may be different rows of one hash, and have to be counted by two.
+    ``by``: columns that ``df`` is stored in buckets of; grouped by them too, its rows need no shuffle."""
     sums = sums or {}
-    keyed = df.select(*row_hashes(_data_columns(df, exclude), hashes), *[c.alias(n) for n, c in sums.items()])
-    return keyed.groupBy(*[f"__h{i}" for i in range(1, hashes + 1)]).agg(F.count(F.lit(1)).alias("__cnt"), *[F.sum(n).alias(n) for n in sums])
+    keyed = df.select(*by, *row_hashes(_data_columns(df, exclude), hashes), *[c.alias(n) for n, c in sums.items()])
+    return keyed.groupBy(*by, *[f"__h{i}" for i in range(1, hashes + 1)]).agg(F.count(F.lit(1)).alias("__cnt"), *[F.sum(n).alias(n) for n in sums])
 
 
 def row_duplicate_count(df: DataFrame, exclude: Sequence[str] = (ORDINAL,),

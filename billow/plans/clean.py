@@ -71,7 +71,11 @@ class Grouped:
     parsed: list[str]        # date columns with a ``__lost_`` count
 
 
-def group_for_clean(parsed: DataFrame, spec: DatasetSpec) -> Grouped:
+def group_for_clean(parsed: DataFrame, spec: DatasetSpec, partitions: int | None = None, by: str | None = None) -> Grouped:
+    """``partitions``, ``by``: the rows are first hash-partitioned in so many by that column, and grouped where they are
+    (every grouping holds the column), so that what follows stays partitioned that way."""
+    if partitions:
+        parsed = parsed.repartition(partitions, _q(by))
     cols = [c for c in parsed.columns if not c.startswith(_LOST)]
     dates = [c[len(_LOST):] for c in parsed.columns if c.startswith(_LOST)]
     counts = [F.count(F.lit(1)).alias(_N), *[F.sum(_q(_LOST + c)).alias(_LOST + c) for c in dates]]

@@ -12,8 +12,12 @@ from billow.spec import COLS, ORDINAL, BillingColumns
 TAG_ORDER = "__tag_order"
 
 
-def sale_type_pairs(tags: DataFrame, cols: BillingColumns = COLS) -> DataFrame:
-    """Distinct ``(subscription_id, sale_type)``; with an ordinal, the first occurrence's."""
+def sale_type_pairs(tags: DataFrame, cols: BillingColumns = COLS, partitions: int | None = None) -> DataFrame:
+    """Distinct ``(subscription_id, sale_type)``; with an ordinal, the first occurrence's.
+
+    ``partitions``: hash-partitioned in so many by subscription, grouped where they are."""
+    if partitions:
+        tags = tags.repartition(partitions, cols.subscription_id)
     t = tags.select(F.col(cols.subscription_id), sale_type(cols.tag).alias("sale_type"),
                     *([F.col(ORDINAL)] if ORDINAL in tags.columns else []))
     if ORDINAL in t.columns:
@@ -22,15 +26,18 @@ def sale_type_pairs(tags: DataFrame, cols: BillingColumns = COLS) -> DataFrame:
 
 
 def enrich_subscriptions(subs: DataFrame, tags: DataFrame | None,
-                         cols: BillingColumns = COLS) -> DataFrame:
+                         cols: BillingColumns = COLS, partitions: int | None = None) -> DataFrame:
     """Left join of the distinct sale-type pairs; a subscription with several types
     gets one row per type (as in the reference), one with none gets a null type.
 
+    ``partitions``: ``subs`` is hash-partitioned in so many by subscription; the tags are too, and joined where they are.
     Without a usable tags table the subscriptions pass through unchanged.
     """
     if tags is None or cols.subscription_id not in tags.columns or cols.tag not in tags.columns:
         return subs
-    pairs = sale_type_pairs(tags, cols)
+    if partitions:
+        tags = tags.where(F.col(cols.subscription_id).isNotNull())  # joins nothing
+    pairs = sale_type_pairs(tags, cols, partitions)
     if ORDINAL in pairs.columns:
         pairs = pairs.withColumnRenamed(ORDINAL, TAG_ORDER)
     joined = left_join(subs, pairs, [cols.subscription_id])

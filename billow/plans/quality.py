@@ -56,7 +56,7 @@ def _rows(one_row: DataFrame, rows: list[str]) -> DataFrame:
 
 def dataset_checks(name: str, df: DataFrame, keys: Sequence[str],
                    compare_rows: DataFrame | int | None = None, compare_label: str = "bronze_rows",
-                   parity: bool = False, hashes: int = 2) -> DataFrame:
+                   parity: bool = False, hashes: int = 2, by: Sequence[str] = ()) -> DataFrame:
     """Row count, emptiness, key presence, key nulls and duplicates of one table.
 
     All counts come from ONE grouping by the hash of the whole row: rows = sum of group
@@ -64,11 +64,11 @@ def dataset_checks(name: str, df: DataFrame, keys: Sequence[str],
     counts are shuffled, after a partial aggregation, so many copies of one row never meet in one task.
     ``compare_rows``: the other layer, or its row count when already known
     (e.g. observed while it was written); reported (``parity``: must match).
-    ``hashes``: see ``distinct_rows``.
+    ``hashes``, ``by``: see ``distinct_rows``.
     """
     data = _data(df)
     present_keys = [k for k in keys if k in data.columns]
-    groups = distinct_rows(data, (), {f"n{i}": F.col(f"`{k}`").isNull().cast("long") for i, k in enumerate(present_keys)}, hashes)
+    groups = distinct_rows(data, (), {f"n{i}": F.col(f"`{k}`").isNull().cast("long") for i, k in enumerate(present_keys)}, hashes, by)
     stats = groups.agg(
         F.coalesce(F.sum("__cnt"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("groups"),
         *[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(present_keys))])
@@ -96,11 +96,12 @@ def dataset_checks(name: str, df: DataFrame, keys: Sequence[str],
 
 
 def dq_report(silver: Mapping[str, DataFrame | None], bronze: Mapping[str, DataFrame | int | None],
-              keys: Mapping[str, Sequence[str]] = POST_DQ_KEYS, hashes: int = 2) -> DataFrame:
+              keys: Mapping[str, Sequence[str]] = POST_DQ_KEYS, hashes: int = 2,
+              by: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Post-transform report over the silver tables (bronze counts informational).
 
     ``bronze``: bronze tables, or their row counts when already known.
-    ``hashes``: see ``distinct_rows``.
+    ``hashes``, ``by`` (by table): see ``distinct_rows``.
     """
     present = {n: silver[n] for n in keys if silver.get(n) is not None}
     if not present:
@@ -108,19 +109,19 @@ def dq_report(silver: Mapping[str, DataFrame | None], bronze: Mapping[str, DataF
     spark = next(iter(present.values())).sparkSession
     out = _literal_rows(spark, [(n, "present", None, None, None, False) for n in keys if n not in present])
     for name, df in present.items():
-        out = out.unionByName(dataset_checks(name, df, keys[name], bronze.get(name), hashes=hashes))
+        out = out.unionByName(dataset_checks(name, df, keys[name], bronze.get(name), hashes=hashes, by=(by or {}).get(name, ())))
     return out
 
 
 def dq_rows(silver: Mapping[str, DataFrame | None], bronze: Mapping[str, DataFrame | int | None],
-            keys: Mapping[str, Sequence[str]] = POST_DQ_KEYS) -> list[tuple]:
+            keys: Mapping[str, Sequence[str]] = POST_DQ_KEYS, by: Mapping[str, Sequence[str]] | None = None) -> list[tuple]:
     """The rows of ``dq_report`` over stored tables, with half its shuffle where no table has copies: one hash of each
     row shows that, and only tables in which it finds copies are grouped by two."""
-    rows = [tuple(r) for r in dq_report(silver, bronze, keys, hashes=1).collect()]
+    rows = [tuple(r) for r in dq_report(silver, bronze, keys, 1, by).collect()]
     suspects = {name for name, check, _, value, *_ in rows if check == "duplicate_rows" and value}
     if not suspects:
         return rows
-    again = dq_report(silver, bronze, {n: k for n, k in keys.items() if n in suspects}).collect()
+    again = dq_report(silver, bronze, {n: k for n, k in keys.items() if n in suspects}, by=by).collect()
     exact = {tuple(r)[:3]: tuple(r) for r in again}
     return [exact.get(r[:3], r) for r in rows]
 

@@ -76,11 +76,42 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
-def write_observed(df: DataFrame, path: str, name: str) -> int:
-    """Write a layer table and return its row count, counted during the write."""
+@dataclass(frozen=True)
+class Buckets:
+    """How the layer tables of a run are stored in hash buckets of a column: the catalog holds them beside their path."""
+
+    database: str
+    run_id: str
+    count: int
+    column: str
+    null_keys: frozenset[str] = frozenset()  # datasets with rows that have none
+
+    def table(self, name: str) -> str:
+        return f"`{self.database}`.`silver_{name}_{self.run_id[:12]}`"
+
+
+def write_observed(df: DataFrame, path: str, name: str, buckets: Buckets | None = None, table: str | None = None) -> int:
+    """Write a layer table and return its row count, counted during the write.
+
+    ``buckets``, ``table``: stored in buckets, as that (external) catalog table too, if it has rows."""
     obs = Observation(name)
-    write_layer(df.observe(obs, F.count(F.lit(1)).alias("rows")), path)
-    return int(obs.get["rows"])
+    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if buckets:
+        save_bucketed(df, table, buckets.column, buckets.count, path)
+    else:
+        write_layer(df, path)
+    rows = int(obs.get["rows"])
+    if buckets and not rows:
+        write_layer(df.sparkSession.createDataFrame([], df.schema), path)  # no bucket leaves no file, and so no schema
+    return rows
+
+
+def save_bucketed(df: DataFrame, table: str, column: str, n: int, path: str | None = None) -> None:
+    """Replace a catalog table, stored in ``n`` hash buckets of ``column`` and sorted by it in each.  Rows are first
+    hash-partitioned the same way, so each task writes one file; Spark leaves that out where they already are."""
+    writer = (df.repartition(n, F.col(f"`{column}`")).write.bucketBy(n, column).sortBy(column)
+              .mode("overwrite").format("parquet").option("compression", COMPRESSION))
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 @dataclass(frozen=True)
@@ -139,24 +170,20 @@ def ingest(spark: SparkSession, raw: str, bronze: str, schemas: Mapping[str, Str
 
 def save_gold_table(spark: SparkSession, df: DataFrame, name: str, database: str = "gold",
                     location: str | None = None, bucket_by: str | None = None,
-                    buckets: int | None = None, hashed: bool = False) -> str:
+                    buckets: int | None = None) -> str:
     """Replace catalog table ``database.name`` (always, also with 0 rows).
 
     ``bucket_by``: store the table in ``buckets`` hash buckets of that column,
-    so joins of two tables bucketed the same way on it need no shuffle.  Rows
-    are first hash-partitioned the same way, so each write task produces one
-    file per bucket instead of one per bucket per task (``hashed``: they are already).  Meant for tables with
-    a bounded number of rows per key (dimensions, per-key aggregates).  Rows of a bucket are
-    sorted by the column, which packs them closer.
+    so joins of two tables bucketed the same way on it need no shuffle.  Meant for tables with
+    a bounded number of rows per key (dimensions, per-key aggregates).
     """
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
     full = f"`{database}`.`{name}`"
-    writer = df.write
     if bucket_by:
-        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        writer = (df if hashed else df.repartition(n, bucket_by)).write.bucketBy(n, bucket_by).sortBy(bucket_by)
-    writer.mode("overwrite").format("parquet").option("compression", COMPRESSION).saveAsTable(full)
+        save_bucketed(df, full, bucket_by, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    else:
+        df.write.mode("overwrite").format("parquet").option("compression", COMPRESSION).saveAsTable(full)
     return full
 
 
